@@ -54,8 +54,9 @@ def traffic_window(log: DataFrame, size: str = "10 seconds") -> DataFrame:
 
 def home_detail_window(log: DataFrame, size: str = "10 seconds") -> DataFrame:
     """AGG-2 with SEQ-3: daily unique visitors of the home and detail pages."""
-    pv = page_views(log).where(F.col("page_id").isin("home", "good_detail"))
-    firsts = daily_firsts(pv, F.struct("mid", "page_id").alias("_k"), "ts", "log_id", ["page_id"])
+    pv = (page_views(log).where(F.col("page_id").isin("home", "good_detail"))
+          .withColumn("_mp", F.struct("mid", "page_id")))
+    firsts = daily_firsts(pv, "_mp", "ts", "log_id", ["page_id"])
     agg = (firsts.groupBy(_win("ts", size).alias("window"))
            .agg(F.sum(F.when(F.col("page_id") == "home", 1).otherwise(0)).alias("home_uv_ct"),
                 F.sum(F.when(F.col("page_id") == "good_detail", 1).otherwise(0))

@@ -42,7 +42,8 @@ def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     firsts = (df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_o"))
               .select(*keys, *[F.col("_o")[c].alias(f"_f_{c}") for c in order],
                       F.lit(1).alias(flag)))
-    cond = [df[k].eqNullSafe(firsts[k]) for k in keys] + [df[c] == firsts[f"_f_{c}"] for c in order]
+    cond = [df[k].eqNullSafe(firsts[k]) for k in keys] + \
+        [df[c].eqNullSafe(firsts[f"_f_{c}"]) for c in order]
     return (df.join(firsts, cond, "left")
             .select(df["*"], F.coalesce(firsts[flag], F.lit(0)).alias(flag)))
 
@@ -105,7 +106,7 @@ def retract_duplicates(df: DataFrame, key: str, amounts: Sequence[str],
     amount over the output therefore gives the latest row per key.
     """
     last = df.groupBy(key).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_last"))
-    cond = [df[key] == last[key]] + [df[c] == last["_last"][c] for c in order]
+    cond = [df[key] == last[key]] + [df[c].eqNullSafe(last["_last"][c]) for c in order]
     superseded = df.join(last, cond, "left_anti")
     neg = superseded.select(*[
         (-F.col(c).cast("decimal(20,4)")).alias(c) if c in amounts else F.col(c)

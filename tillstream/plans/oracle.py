@@ -63,3 +63,421 @@ SELECT {win('ts', 10000)}, vc, ch, ar, is_new,
 FROM flagged
 GROUP BY ALL
 """
+
+# ------------------------------------------------------------ change stream
+def money(cents: str) -> str:
+    c = f"({cents})"
+    return f"(CAST({c} // 100 AS VARCHAR) || '.' || lpad(CAST({c} % 100 AS VARCHAR), 2, '0'))"
+
+
+ORD = """
+o AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus AS st, o_orderpriority AS prio, o_totalprice,
+         CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
+         CAST(o_custkey % 25 AS VARCHAR) AS province_id,
+         """ + money("CAST(round(o_totalprice * 100) AS BIGINT)") + """ AS total_amount,
+         epoch_us(o_orderdate) // 1000 + (o_orderkey % 86400) * 1000 AS t0
+  FROM orders)"""
+
+LINES = """
+dl0 AS (
+  SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS ep,
+         CAST(round(l_discount * 100) AS BIGINT) AS disc, CAST(round(l_tax * 100) AS BIGINT) AS tax,
+         CAST(l_quantity AS BIGINT) AS q
+  FROM lineitem),
+dl AS (
+  SELECT l_orderkey || '_' || l_linenumber AS id, CAST(l_orderkey AS VARCHAR) AS order_id,
+         CAST(l_partkey AS VARCHAR) AS sku_id, 'sku_' || l_partkey AS sku_name,
+         CAST(q AS VARCHAR) AS sku_num,
+         """ + money("(ep + q // 2) // q") + """ AS order_price,
+         """ + money("(ep * (100 - disc) + 50) // 100") + """ AS split_total_amount,
+         """ + money("(ep * disc + 50) // 100") + """ AS split_activity_amount,
+         """ + money("(ep * tax + 50) // 100") + """ AS split_coupon_amount,
+         disc, tax, epoch_us(l_shipdate) // 1000 + l_linenumber * 1000 AS t
+  FROM dl0)"""
+
+
+def fmt(ms: str) -> str:
+    return f"strftime(epoch_ms({ms}), '%Y-%m-%d %H:%M:%S')"
+
+
+DETAIL_FACT = ORD + "," + LINES + f""",
+act AS (SELECT id AS act_id, CAST(disc AS VARCHAR) AS activity_id,
+               CAST(disc * 10 AS VARCHAR) AS activity_rule_id FROM dl WHERE disc >= 5),
+cou AS (SELECT id AS cou_id, CAST(tax AS VARCHAR) AS coupon_id FROM dl WHERE tax >= 6),
+od AS (
+  SELECT dl.id, dl.order_id, o.user_id, dl.sku_id, dl.sku_name, o.province_id,
+         act.activity_id, act.activity_rule_id, cou.coupon_id,
+         strftime(epoch_ms(dl.t), '%Y-%m-%d') AS date_id, {fmt('dl.t')} AS create_time,
+         dl.sku_num,
+         CAST(CAST(dl.sku_num AS DECIMAL(16,2)) * CAST(dl.order_price AS DECIMAL(16,2)) AS VARCHAR)
+           AS split_original_amount,
+         dl.split_activity_amount, dl.split_coupon_amount, dl.split_total_amount, dl.t AS ts_ms
+  FROM dl JOIN o ON dl.order_id = o.id
+  LEFT JOIN act ON dl.id = act.act_id
+  LEFT JOIN cou ON dl.id = cou.cou_id)"""
+
+DIC = """
+dic(dic_code, dic_name) AS (VALUES ('1101','alipay'), ('1102','wechat pay'), ('1103','bank card'),
+  ('1201','good'), ('1202','neutral'), ('1203','bad'), ('1301','quality issue'),
+  ('1302','wrong size'), ('1303','changed mind'), ('1501','refund only'),
+  ('1502','return and refund'))"""
+
+CHANGE_META = ORD + "," + LINES + "," + EV + """,
+meta AS (
+  SELECT 'order_info' AS tbl, 'c' AS op, t0 AS ts_ms FROM o
+  UNION ALL SELECT 'order_info', 'u', t0 + 600000 FROM o WHERE st = 'F'
+  UNION ALL SELECT 'order_info', 'u', t0 + 1800000 FROM o WHERE st = 'P'
+  UNION ALL SELECT 'order_info', 'u', t0 + 259200000 FROM o WHERE st = 'F' AND prio = '1-URGENT'
+  UNION ALL SELECT 'order_info', 'd', t0 + 86400000 FROM o WHERE st = 'P' AND prio = '5-LOW'
+  UNION ALL SELECT 'payment_info', 'u', t0 + 600000 FROM o WHERE st = 'F'
+  UNION ALL SELECT 'order_refund_info', 'c', t0 + 259200000 FROM o WHERE st = 'F' AND prio = '1-URGENT'
+  UNION ALL SELECT 'order_detail', 'c', t FROM dl
+  UNION ALL SELECT 'order_detail_activity', 'c', t FROM dl WHERE disc >= 5
+  UNION ALL SELECT 'order_detail_coupon', 'c', t FROM dl WHERE tax >= 6
+  UNION ALL SELECT 'cart_info', 'c', ts FROM ev WHERE event_type = 'click'
+  UNION ALL SELECT 'cart_info', 'u', ts FROM ev WHERE event_type IN ('purchase', 'error')
+  UNION ALL SELECT 'comment_info', 'c', 1704067200000 + doc_id * 37000 FROM documents
+  UNION ALL SELECT 'user_info', 'c', 1704067200000 + c_custkey * 60000 FROM customer
+  UNION ALL SELECT 'user_info_sup_msg', 'c',
+                   1704067200000 + c_custkey * 60000 + (c_custkey % 61) * 60000 FROM customer)"""
+
+ORACLE["cdc_parse"] = f"""
+WITH {CHANGE_META}
+SELECT tbl, op, count(*) AS n_records FROM meta WHERE ts_ms % 97 <> 0 GROUP BY tbl, op
+UNION ALL
+SELECT '__corrupt__', NULL, count(*) FROM meta WHERE ts_ms % 97 = 0
+"""
+
+ORACLE["cdc_table_filter"] = f"""
+WITH {ORD}
+SELECT id, '1001' AS old_status, '1002' AS new_status, t0 + 600000 AS ts_ms FROM o WHERE st = 'F'
+UNION ALL SELECT id, '1001', '1003', t0 + 1800000 FROM o WHERE st = 'P'
+UNION ALL SELECT id, '1002', '1005', t0 + 259200000 FROM o WHERE st = 'F' AND prio = '1-URGENT'
+"""
+
+ORACLE["cdc_row_image"] = f"""
+WITH {ORD}
+SELECT id, 'c' AS op, '1001' AS order_status, t0 AS ts_ms FROM o
+UNION ALL SELECT id, 'u', '1002', t0 + 600000 FROM o WHERE st = 'F'
+UNION ALL SELECT id, 'u', '1003', t0 + 1800000 FROM o WHERE st = 'P'
+UNION ALL SELECT id, 'u', '1005', t0 + 259200000 FROM o WHERE st = 'F' AND prio = '1-URGENT'
+UNION ALL SELECT id, 'd', '1003', t0 + 86400000 FROM o WHERE st = 'P' AND prio = '5-LOW'
+"""
+
+
+def _img(*pairs: tuple[str, str]) -> str:
+    items = ", ".join(f"'{k}=' || ({v})" for k, v in pairs)
+    return f"array_to_string(list_sort(list_filter([{items}], lambda x: x IS NOT NULL)), ';')"
+
+
+ROUTED = ORD + "," + EV + f""",
+routed AS (
+  SELECT 'dwd_order_created' AS sink_table, t0 AS ts_ms, 4 AS n_cols,
+         {_img(('id', 'id'), ('user_id', 'user_id'), ('total_amount', 'total_amount'),
+               ('ts_ms', 't0'))} AS image FROM o
+  UNION ALL
+  SELECT 'dwd_order_status', t, 4,
+         {_img(('id', 'id'), ('order_status', 's'), ('operate_time', fmt('t')), ('ts_ms', 't'))}
+  FROM (SELECT id, '1002' AS s, t0 + 600000 AS t FROM o WHERE st = 'F'
+        UNION ALL SELECT id, '1003', t0 + 1800000 FROM o WHERE st = 'P'
+        UNION ALL SELECT id, '1005', t0 + 259200000 FROM o WHERE st = 'F' AND prio = '1-URGENT')
+  UNION ALL
+  SELECT 'dwd_cart_raw', ts, 4,
+         {_img(('id', 'log_id'), ('user_id', 'user_id'), ('sku_num', 'k % 5 + 1'), ('ts_ms', 'ts'))}
+  FROM ev WHERE event_type = 'click'
+  UNION ALL
+  SELECT 'dwd_comment_raw', t, 10,
+         {_img(('id', 'doc_id'), ('user_id', 'doc_id % 1500'), ('nick_name', "'nick_' || (doc_id % 1500)"),
+               ('sku_id', 'doc_id % 2000'), ('spu_id', 'doc_id % 200'), ('order_id', 'doc_id * 15'),
+               ('appraise', "'120' || (doc_id % 4 + 1)"), ('comment_txt', 'text'),
+               ('create_time', fmt('t')), ('ts_ms', 't'))}
+  FROM (SELECT *, 1704067200000 + doc_id * 37000 AS t FROM documents))"""
+
+ORACLE["config_latest"] = f"""
+WITH {ROUTED}
+SELECT sink_table, count(*) AS n_rows, max(n_cols) AS max_cols FROM routed GROUP BY sink_table
+"""
+
+ORACLE["dwd_route"] = f"""
+WITH {ROUTED}
+SELECT sink_table, image, ts_ms FROM routed
+"""
+
+ORACLE["dim_route"] = f"""
+WITH {ORD}, {LINES},
+cu AS (SELECT *, 1704067200000 + c_custkey * 60000 AS t FROM customer),
+oi AS (
+  SELECT id, 'c' AS op, '1001' AS s, t0 AS t FROM o
+  UNION ALL SELECT id, 'u', '1002', t0 + 600000 FROM o WHERE st = 'F'
+  UNION ALL SELECT id, 'u', '1003', t0 + 1800000 FROM o WHERE st = 'P'
+  UNION ALL SELECT id, 'u', '1005', t0 + 259200000 FROM o WHERE st = 'F' AND prio = '1-URGENT'
+  UNION ALL SELECT id, 'd', '1003', t0 + 86400000 FROM o WHERE st = 'P' AND prio = '5-LOW')
+SELECT 'dim_user_info' AS sink_table, CAST(c_custkey AS VARCHAR) AS row_key, 'c' AS op,
+       {_img(('id', 'c_custkey'), ('name', 'c_name'), ('user_level', 'c_custkey % 5 + 1'),
+             ('gender', "CASE c_custkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' END"))} AS image,
+       t AS ts_ms
+FROM cu
+UNION ALL
+SELECT 'dim_user_sup', CAST(c_custkey AS VARCHAR), 'c',
+       {_img(('uid', 'c_custkey'), ('height', '150 + c_custkey % 40'), ('weight', '45 + c_custkey % 50'))},
+       t + (c_custkey % 61) * 60000
+FROM cu
+UNION ALL
+SELECT 'dim_coupon_use', id, 'c', {_img(('order_detail_id', 'id'), ('coupon_id', 'tax'))}, t
+FROM dl WHERE tax >= 6
+UNION ALL
+SELECT 'dim_order_brief', id, op, {_img(('id', 'id'), ('order_status', 's'))}, t FROM oi
+"""
+
+ORACLE["upsert_latest"] = f"""
+WITH {ORD},
+v AS (
+  SELECT id, '1001' AS order_status, t0 AS ts_ms, 0 AS r FROM o
+  UNION ALL SELECT id, '1002', t0 + 600000, 1 FROM o WHERE st = 'F'
+  UNION ALL SELECT id, '1003', t0 + 1800000, 1 FROM o WHERE st = 'P'
+  UNION ALL SELECT id, '1005', t0 + 259200000, 2 FROM o WHERE st = 'F' AND prio = '1-URGENT'),
+last AS (SELECT id, arg_max(order_status, ts_ms) AS order_status, max(ts_ms) AS ts_ms FROM v GROUP BY id)
+SELECT last.* FROM last JOIN o USING (id) WHERE NOT (o.st = 'P' AND o.prio = '5-LOW')
+"""
+
+# ------------------------------------------------------------------- logs
+ORACLE["log_etl"] = f"""
+WITH {EV}
+SELECT log_id, 'mid_' || user_id AS mid,
+       CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'view' THEN 'home'
+            WHEN event_type = 'click' THEN 'good_detail' ELSE event_type END AS page_id,
+       ts, CAST(k % 2 AS VARCHAR) AS is_new,
+       CASE WHEN event_type = 'view' THEN k % 4 ELSE 0 END AS n_displays,
+       CASE WHEN event_type = 'click' THEN k % 3 ELSE 0 END AS n_actions,
+       CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS has_err,
+       CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS has_start
+FROM ev WHERE log_id % 50 <> 49
+"""
+
+ORACLE["is_new_repair"] = f"""
+WITH {EV},
+f AS (
+  SELECT user_id, arg_min(k % 2, (ts, log_id)) AS first_new, min(ts) AS first_ts
+  FROM ev GROUP BY user_id),
+a AS (
+  SELECT user_id,
+         CASE WHEN first_new = 1 THEN CAST(epoch_ms(first_ts) AS DATE)
+              ELSE CAST(epoch_ms(first_ts) AS DATE) - 1 END AS anchor
+  FROM f)
+SELECT log_id, 'mid_' || ev.user_id AS mid, ts,
+       CASE WHEN k % 2 = 1 AND CAST(epoch_ms(ts) AS DATE) <> anchor THEN '0'
+            ELSE CAST(k % 2 AS VARCHAR) END AS is_new
+FROM ev JOIN a USING (user_id)
+"""
+
+ORACLE["log_split_counts"] = f"""
+WITH {EV}
+SELECT 'err' AS stream, count(*) AS n_rows FROM ev WHERE event_type = 'error'
+UNION ALL SELECT 'start', count(*) FROM ev WHERE event_type = 'signup'
+UNION ALL SELECT 'display', coalesce(sum(k % 4), 0) FROM ev WHERE event_type = 'view'
+UNION ALL SELECT 'action', coalesce(sum(k % 3), 0) FROM ev WHERE event_type = 'click'
+UNION ALL SELECT 'page', count(*) FROM ev WHERE event_type <> 'signup'
+"""
+
+ORACLE["log_displays"] = f"""
+WITH {EV}
+SELECT log_id, 'mid_' || user_id AS mid, 'home' AS page_id, CAST(k + i AS VARCHAR) AS item,
+       CAST(i AS VARCHAR) AS pos_id, ts
+FROM ev, range(1, 4) AS r(i)
+WHERE event_type = 'view' AND i <= k % 4
+"""
+
+ORACLE["log_actions"] = f"""
+WITH {EV}
+SELECT log_id, 'mid_' || user_id AS mid, 'good_detail' AS page_id,
+       CASE WHEN i = 1 THEN 'cart_add' ELSE 'favor_add' END AS action_id,
+       CAST(k + i AS VARCHAR) AS item, CAST(ts + i * 1000 AS VARCHAR) AS action_ts
+FROM ev, range(1, 3) AS r(i)
+WHERE event_type = 'click' AND i <= k % 3
+"""
+
+# ------------------------------------------------------------------ facts
+ORACLE["dwd_cart_add"] = f"""
+WITH {EV}
+SELECT CAST(log_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id,
+       CAST(k AS VARCHAR) AS sku_id, CAST(k % 5 + 1 AS VARCHAR) AS sku_num, ts AS ts_ms
+FROM ev WHERE event_type = 'click'
+UNION ALL
+SELECT CAST(log_id AS VARCHAR), CAST(user_id AS VARCHAR), CAST(k AS VARCHAR),
+       CAST(k % 3 - 1 AS VARCHAR), ts
+FROM ev WHERE event_type = 'purchase' AND k % 3 >= 1
+"""
+
+ORACLE["dwd_order_detail"] = f"""
+WITH {DETAIL_FACT}
+SELECT * FROM od
+"""
+
+ORACLE["dwd_order_cancel"] = f"""
+WITH {DETAIL_FACT}
+SELECT od.id, od.order_id, od.user_id, od.sku_id, od.sku_name, od.province_id, od.activity_id,
+       od.activity_rule_id, od.coupon_id,
+       strftime(epoch_ms(o.t0 + 1800000), '%Y-%m-%d') AS order_cancel_date_id,
+       {fmt('o.t0 + 1800000')} AS operate_time, od.sku_num, od.split_original_amount,
+       od.split_activity_amount, od.split_coupon_amount, od.split_total_amount,
+       o.t0 + 1800000 AS ts_ms
+FROM od JOIN o ON od.order_id = o.id WHERE o.st = 'P'
+"""
+
+ORACLE["dwd_payment"] = f"""
+WITH {DETAIL_FACT}, {DIC},
+pi AS (SELECT id AS order_id, '110' || (o_orderkey % 3 + 1) AS ptype, t0 + 600000 AS t
+       FROM o WHERE st = 'F')
+SELECT od.id AS order_detail_id, od.order_id, od.user_id, od.sku_id, od.sku_name,
+       od.province_id, od.activity_id, od.activity_rule_id, od.coupon_id,
+       pi.ptype AS payment_type_code, dic.dic_name AS payment_type_name,
+       {fmt('pi.t')} AS callback_time, od.sku_num, od.split_original_amount,
+       od.split_activity_amount, od.split_coupon_amount, od.split_total_amount AS split_payment_amount,
+       pi.t AS ts_ms
+FROM pi JOIN od ON pi.order_id = od.order_id JOIN dic ON pi.ptype = dic.dic_code
+"""
+
+ORACLE["dwd_refund"] = f"""
+WITH {ORD}, {DIC},
+ri AS (SELECT *, t0 + 259200000 AS t, '150' || (o_orderkey % 2 + 1) AS rtype,
+              '130' || (o_orderkey % 3 + 1) AS rreason
+       FROM o WHERE st = 'F' AND prio = '1-URGENT')
+SELECT ri.id, ri.user_id, ri.id AS order_id, CAST(o_orderkey % 2000 AS VARCHAR) AS sku_id,
+       ri.province_id, strftime(epoch_ms(t), '%Y-%m-%d') AS date_id, {fmt('t')} AS create_time,
+       rtype AS refund_type_code, d1.dic_name AS refund_type_name,
+       rreason AS refund_reason_type_code, d2.dic_name AS refund_reason_type_name,
+       'reason ' || o_orderkey AS refund_reason_txt, '1' AS refund_num,
+       ri.total_amount AS refund_amount, t AS ts_ms
+FROM ri JOIN dic d1 ON rtype = d1.dic_code JOIN dic d2 ON rreason = d2.dic_code
+"""
+
+ORACLE["dwd_comment"] = f"""
+WITH {DIC}
+SELECT CAST(doc_id AS VARCHAR) AS id, CAST(doc_id % 1500 AS VARCHAR) AS user_id,
+       CAST(doc_id % 2000 AS VARCHAR) AS sku_id, '120' || (doc_id % 4 + 1) AS appraise,
+       dic.dic_name AS appraise_name, text AS comment_txt, 1704067200000 + doc_id * 37000 AS ts
+FROM documents JOIN dic ON '120' || (doc_id % 4 + 1) = dic.dic_code
+"""
+
+ORACLE["lookup_join"] = f"""
+WITH {DETAIL_FACT}
+SELECT od.id, od.order_id, od.province_id, n.n_name AS province_name, od.sku_id,
+       coalesce(p.p_name, 'N/A') AS dim_sku_name,
+       coalesce(regexp_extract(p.p_brand, '#(\\d+)', 1), 'N/A') AS tm_id
+FROM od LEFT JOIN nation n ON od.province_id = CAST(n.n_nationkey AS VARCHAR)
+LEFT JOIN part p ON od.sku_id = CAST(p.p_partkey AS VARCHAR)
+"""
+
+# -------------------------------------------------------------------- DWS
+ORACLE["dws_home_detail_uv"] = f"""
+WITH {PAGES},
+f AS (
+  SELECT page_id, min(ts) AS ts FROM pages WHERE page_id IN ('home', 'good_detail')
+  GROUP BY mid, page_id, {day('ts')})
+SELECT {win('ts', 10000)},
+       sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END) AS home_uv_ct,
+       sum(CASE WHEN page_id = 'good_detail' THEN 1 ELSE 0 END) AS good_detail_uv_ct
+FROM f GROUP BY ALL
+"""
+
+ORACLE["dws_cart_add_uu"] = f"""
+WITH {EV},
+c AS (SELECT user_id, ts FROM ev WHERE event_type = 'click'
+      UNION ALL SELECT user_id, ts FROM ev WHERE event_type = 'purchase' AND k % 3 >= 1),
+f AS (SELECT min(ts) AS ts FROM c GROUP BY user_id, {day('ts')})
+SELECT {win('ts', 10000)}, count(*) AS cart_add_uu_ct FROM f GROUP BY ALL
+"""
+
+ORACLE["dws_user_login"] = f"""
+WITH {PAGES},
+f AS (SELECT uid, CAST(epoch_ms(ts) AS DATE) AS d, min(ts) AS ts FROM pages
+      WHERE page_id = 'purchase' AND coalesce(last_page_id, '') = '' GROUP BY uid, d),
+g AS (SELECT ts, lag(d) OVER (PARTITION BY uid ORDER BY d) AS pd FROM f)
+SELECT {win('ts', 1000)},
+       sum(CASE WHEN pd IS NOT NULL
+                 AND (ts - epoch_us(CAST(pd AS TIMESTAMP)) // 1000) // 86400000 >= 8
+                THEN 1 ELSE 0 END) AS back_ct,
+       count(*) AS uu_ct
+FROM g GROUP BY ALL
+"""
+
+RETRACTED = DETAIL_FACT + """,
+dd AS (SELECT DISTINCT * FROM od),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, sku_id DESC, sku_num DESC,
+      split_total_amount DESC, split_activity_amount DESC, split_coupon_amount DESC,
+      activity_id DESC NULLS LAST, coupon_id DESC NULLS LAST, create_time DESC) AS rn
+  FROM dd)"""
+
+
+def _d4(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(20,4))"
+
+
+ORACLE["retract_dedup"] = f"""
+WITH {RETRACTED}
+SELECT id, 1 AS sign, sku_id, ts_ms, {_d4('split_original_amount')} AS split_original_amount,
+       {_d4('split_activity_amount')} AS split_activity_amount,
+       {_d4('split_coupon_amount')} AS split_coupon_amount,
+       {_d4('split_total_amount')} AS split_total_amount
+FROM ranked
+UNION ALL
+SELECT id, -1, sku_id, ts_ms, -{_d4('split_original_amount')}, -{_d4('split_activity_amount')},
+       -{_d4('split_coupon_amount')}, -{_d4('split_total_amount')}
+FROM ranked WHERE rn > 1
+"""
+
+
+def _lastsum(c: str, alias: str) -> str:
+    return f"sum(CASE WHEN rn = 1 THEN coalesce({_d4(c)}, 0) ELSE 0 END) AS {alias}"
+
+
+ORACLE["dws_sku_order"] = f"""
+WITH {RETRACTED},
+agg AS (
+  SELECT ts_ms - ts_ms % 10000 AS ws, sku_id,
+         {_lastsum('split_original_amount', 'original_amount')},
+         {_lastsum('split_activity_amount', 'activity_reduce_amount')},
+         {_lastsum('split_coupon_amount', 'coupon_reduce_amount')},
+         {_lastsum('split_total_amount', 'order_amount')}
+  FROM ranked GROUP BY ALL),
+p AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name, p_brand, p_type, p_size,
+             CAST(p_partkey % 200 AS VARCHAR) AS spu_id,
+             regexp_extract(p_brand, '#(\\d+)', 1) AS tm_id,
+             p_type || '_' || (p_size % 4) AS c3 FROM part)
+SELECT {win('ws', 10000)}, agg.sku_id, original_amount, activity_reduce_amount,
+       coupon_reduce_amount, order_amount,
+       p.p_name AS sku_name, p.spu_id, p.tm_id AS trademark_id, p.c3 AS category3_id,
+       CASE WHEN p.spu_id IS NOT NULL THEN 'spu_' || p.spu_id END AS spu_name,
+       p.p_brand AS trademark_name,
+       lower(p.p_type) || ' size ' || (p.p_size % 4) AS category3_name,
+       p.p_type AS category2_id, lower(p.p_type) AS category2_name,
+       substr(p.p_type, 1, 1) AS category1_id, 'group ' || substr(p.p_type, 1, 1) AS category1_name
+FROM agg LEFT JOIN p ON agg.sku_id = p.id
+"""
+
+ORACLE["dws_province_order"] = f"""
+WITH {RETRACTED},
+agg AS (
+  SELECT ts_ms - ts_ms % 1000 AS ws, province_id,
+         count(DISTINCT order_id) AS order_count,
+         {_lastsum('split_total_amount', 'order_amount')}
+  FROM ranked GROUP BY ALL)
+SELECT {win('ws', 1000)}, province_id, order_count, order_amount, n.n_name AS province_name
+FROM agg LEFT JOIN nation n ON province_id = CAST(n.n_nationkey AS VARCHAR)
+"""
+
+TOKENS = """
+list_concat(
+  list_transform(regexp_extract_all(item, '[A-Za-z0-9]+'), lambda s: lower(s)),
+  flatten(list_transform(regexp_extract_all(item, '[\\x{4E00}-\\x{9FFF}]+'),
+    lambda r: CASE WHEN length(r) = 1 THEN [r]
+              ELSE list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) END)))"""
+
+ORACLE["dws_keyword_count"] = f"""
+WITH {PAGES},
+kw AS (SELECT ts, unnest({TOKENS}) AS keyword FROM pages
+       WHERE last_page_id = 'search' AND item_type = 'keyword' AND item IS NOT NULL)
+SELECT {win('ts', 1000)}, keyword, count(*) AS keyword_count FROM kw GROUP BY ALL
+"""

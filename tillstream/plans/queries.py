@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.operators import dws
+from tillstream.operators import cdc, dws, facts, logs, sequence
+from tillstream.operators.joins import lookup
+from tillstream.sources import config as cfgsrc
+from tillstream.sources import dims
 from tillstream.sources import driver as drv
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,7 +36,221 @@ def _pages(spark, sf):
     return dws.page_views(_log(spark, sf))
 
 
+def _changes(spark, sf):
+    return drv.all_changes(spark, sf)
+
+
+def _details(spark, sf):
+    return facts.order_detail(_changes(spark, sf))
+
+
+def _image_text(m: str = "data"):
+    """A map rendered as sorted ``key=value`` pairs joined by ``;`` (null values skipped)."""
+    return F.array_join(F.array_sort(F.transform(
+        F.map_entries(F.col(m)), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+
+
+# ------------------------------------------------------------------ CDC
+@query("cdc_parse")
+def q_cdc_parse(spark, sf):
+    good, bad = cdc.parse_envelope(drv.changes_as_text(_changes(spark, sf)))
+    g = cdc.ods_filter(good, keep_deletes=True).select(
+        F.col("source")["table"].alias("tbl"), "op")
+    b = bad.select(F.lit("__corrupt__").alias("tbl"), F.lit(None).cast("string").alias("op"))
+    return g.unionByName(b).groupBy("tbl", "op").agg(F.count("*").alias("n_records"))
+
+
+@query("cdc_table_filter")
+def q_cdc_table_filter(spark, sf):
+    c = cdc.table_changes(_changes(spark, sf), "order_info", ["u"])
+    return c.select(F.col("after")["id"].alias("id"),
+                    F.col("before")["order_status"].alias("old_status"),
+                    F.col("after")["order_status"].alias("new_status"), "ts_ms")
+
+
+@query("cdc_row_image")
+def q_cdc_row_image(spark, sf):
+    c = cdc.row_image(cdc.table_changes(_changes(spark, sf), "order_info"))
+    return c.select(F.col("data")["id"].alias("id"), "op",
+                    F.col("data")["order_status"].alias("order_status"), "ts_ms")
+
+
+@query("config_latest")
+def q_config_latest(spark, sf):
+    routed = cdc.route_facts(_changes(spark, sf), cfgsrc.config_log(spark, cfgsrc.DWD_CONFIG_LOG))
+    return routed.groupBy("sink_table").agg(
+        F.count("*").alias("n_rows"),
+        F.max(F.size("data")).alias("max_cols"))
+
+
+@query("dwd_route")
+def q_dwd_route(spark, sf):
+    routed = cdc.route_facts(_changes(spark, sf), cfgsrc.config_log(spark, cfgsrc.DWD_CONFIG_LOG))
+    return routed.select("sink_table", _image_text().alias("image"), "ts_ms")
+
+
+@query("dim_route")
+def q_dim_route(spark, sf):
+    routed = cdc.route_dims(_changes(spark, sf), cfgsrc.config_log(spark, cfgsrc.DIM_CONFIG_LOG))
+    return routed.select("sink_table", "row_key", "op", _image_text().alias("image"), "ts_ms")
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf):
+    c = cdc.row_image(cdc.table_changes(_changes(spark, sf), "order_info"))
+    rows = c.select(F.col("data")["id"].alias("id"),
+                    F.col("data")["order_status"].alias("order_status"), "ts_ms",
+                    (F.col("op") == "d").alias("deleted"))
+    inserts = rows.where(F.col("ts_ms").isNotNull() & ~F.col("deleted"))
+    target = cdc.upsert(None, inserts.where(F.col("order_status") == "1001"), ["id"], ["ts_ms"],
+                        delete_col="deleted")
+    changes = rows.where(F.col("order_status") != "1001")
+    return cdc.upsert(target, changes, ["id"], ["ts_ms"], delete_col="deleted")
+
+
+# ------------------------------------------------------------------ logs
+@query("log_etl")
+def q_log_etl(spark, sf):
+    good, _bad = logs.parse_log(drv.events_log_text(drv.table(spark, sf, "events")))
+    return good.select(
+        "log_id", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts",
+        F.col("common.is_new").alias("is_new"),
+        F.coalesce(F.size("displays"), F.lit(0)).alias("n_displays"),
+        F.coalesce(F.size("actions"), F.lit(0)).alias("n_actions"),
+        F.col("err").isNotNull().cast("int").alias("has_err"),
+        F.col("start").isNotNull().cast("int").alias("has_start"))
+
+
+@query("is_new_repair")
+def q_is_new_repair(spark, sf):
+    fixed = sequence.repair_is_new(_log(spark, sf))
+    return fixed.select("log_id", F.col("common.mid").alias("mid"), "ts",
+                        F.col("common.is_new").alias("is_new"))
+
+
+@query("log_split_counts")
+def q_log_split_counts(spark, sf):
+    parts = logs.split_log(_log(spark, sf))
+    out = None
+    for name, df in parts.items():
+        c = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stream"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@query("log_displays")
+def q_log_displays(spark, sf):
+    d = logs.split_log(_log(spark, sf))["display"]
+    return d.select("log_id", F.col("common.mid").alias("mid"),
+                    F.col("page.page_id").alias("page_id"),
+                    F.col("display")["item"].alias("item"),
+                    F.col("display")["pos_id"].alias("pos_id"), "ts")
+
+
+@query("log_actions")
+def q_log_actions(spark, sf):
+    a = logs.split_log(_log(spark, sf))["action"]
+    return a.select("log_id", F.col("common.mid").alias("mid"),
+                    F.col("page.page_id").alias("page_id"),
+                    F.col("action")["action_id"].alias("action_id"),
+                    F.col("action")["item"].alias("item"),
+                    F.col("action")["ts"].alias("action_ts"))
+
+
+# ------------------------------------------------------------------ facts
+@query("dwd_cart_add")
+def q_dwd_cart_add(spark, sf):
+    return facts.cart_add(drv.cart_changes(drv.table(spark, sf, "events")))
+
+
+@query("dwd_order_detail")
+def q_dwd_order_detail(spark, sf):
+    return _details(spark, sf)
+
+
+@query("dwd_order_cancel")
+def q_dwd_order_cancel(spark, sf):
+    ch = _changes(spark, sf)
+    return facts.order_cancel(ch, facts.order_detail(ch))
+
+
+@query("dwd_payment")
+def q_dwd_payment(spark, sf):
+    ch = _changes(spark, sf)
+    return facts.payment_success(ch, facts.order_detail(ch), dims.base_dic(spark))
+
+
+@query("dwd_refund")
+def q_dwd_refund(spark, sf):
+    return facts.refund(_changes(spark, sf), dims.base_dic(spark))
+
+
+@query("dwd_comment")
+def q_dwd_comment(spark, sf):
+    return facts.comment_fact(drv.comment_changes(drv.table(spark, sf, "documents")),
+                              dims.base_dic(spark))
+
+
+@query("lookup_join")
+def q_lookup_join(spark, sf):
+    d = _details(spark, sf)
+    d = lookup(d, dims.provinces(spark, sf), [("province_id", "id")], {"name": "province_name"})
+    d = lookup(d, dims.sku_dims(spark, sf)["sku"], [("sku_id", "id")],
+               {"sku_name": "dim_sku_name", "tm_id": "tm_id"}, default="N/A")
+    return d.select("id", "order_id", "province_id", "province_name", "sku_id", "dim_sku_name",
+                    "tm_id")
+
+
 # ------------------------------------------------------------------ DWS
 @query("dws_traffic_pv")
 def q_dws_traffic_pv(spark, sf):
     return dws.traffic_window(_log(spark, sf), "10 seconds")
+
+
+@query("dws_home_detail_uv")
+def q_dws_home_detail_uv(spark, sf):
+    return dws.home_detail_window(_log(spark, sf), "10 seconds")
+
+
+@query("dws_cart_add_uu")
+def q_dws_cart_add_uu(spark, sf):
+    carts = facts.cart_add(drv.cart_changes(drv.table(spark, sf, "events")))
+    return dws.cart_user_window(carts, "10 seconds")
+
+
+@query("dws_user_login")
+def q_dws_user_login(spark, sf):
+    logins = _pages(spark, sf).where(F.col("page_id") == "purchase")
+    return dws.login_window(logins, "1 second")
+
+
+DETAIL_ORDER = ["ts_ms", "sku_id", "sku_num", "split_total_amount", "split_activity_amount",
+                "split_coupon_amount", "activity_id", "coupon_id", "create_time"]
+
+
+def _retracted(spark, sf, amounts):
+    d = _details(spark, sf).dropDuplicates()
+    return sequence.retract_duplicates(d, "id", amounts, DETAIL_ORDER)
+
+
+@query("retract_dedup")
+def q_retract_dedup(spark, sf):
+    r = _retracted(spark, sf, dws.SKU_AMOUNTS)
+    return r.select("id", "sign", "sku_id", "ts_ms", *dws.SKU_AMOUNTS)
+
+
+@query("dws_sku_order")
+def q_dws_sku_order(spark, sf):
+    return dws.sku_order_window(_retracted(spark, sf, dws.SKU_AMOUNTS),
+                                dims.sku_dims(spark, sf), "10 seconds")
+
+
+@query("dws_province_order")
+def q_dws_province_order(spark, sf):
+    return dws.province_order_window(_retracted(spark, sf, ["split_total_amount"]),
+                                     dims.provinces(spark, sf), "1 second")
+
+
+@query("dws_keyword_count")
+def q_dws_keyword_count(spark, sf):
+    return dws.keyword_window(_pages(spark, sf), "1 second")

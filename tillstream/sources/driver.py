@@ -110,8 +110,25 @@ def _envelope(table_name: str, op: Column, before: Column, after: Column,
     ]
 
 
+def _cents(x: Column) -> Column:
+    """Whole cents of a 2-decimal money double (exact: the value is never near a half cent)."""
+    return F.round(x * 100).cast("bigint")
+
+
+def _idiv_half_up(a: Column, b: Column | int) -> Column:
+    """Integer ``a / b`` rounded half up, for non-negative ``a`` and positive ``b``."""
+    b = F.lit(b) if isinstance(b, int) else b
+    return F.floor((a + F.floor(b / 2)) / b).cast("bigint")
+
+
+def _money_text(cents: Column) -> Column:
+    """Cents → ``123.45`` text (integer arithmetic only)."""
+    return F.concat(F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
 def _dec_text(x: Column, scale: int = 2) -> Column:
-    return x.cast(f"decimal(16,{scale})").cast("string")
+    return _money_text(_cents(x))
 
 
 def _ms_text(ms: Column) -> Column:
@@ -128,7 +145,8 @@ def order_changes(orders: DataFrame) -> DataFrame:
     Every order is inserted with status 1001 at ``order date + (key mod 86400) s``.
     Status F orders are then paid (1001→1002, +10 min); status P orders are
     cancelled (1001→1003, +30 min); F orders of priority ``1-URGENT`` later ask
-    for a refund (1002→1005, +3 days).
+    for a refund (1002→1005, +3 days); cancelled ``5-LOW`` orders are deleted
+    a day later.
     """
     o = orders.select(
         F.col("o_orderkey").cast("string").alias("id"),
@@ -163,7 +181,10 @@ def order_changes(orders: DataFrame) -> DataFrame:
         "order_info", F.lit("u"), before("1001"), img("1003", _ms_text(t_cancel)), t_cancel))
     refund = o.where((F.col("st") == "F") & (F.col("prio") == "1-URGENT")).select(*_envelope(
         "order_info", F.lit("u"), before("1002"), img("1005", _ms_text(t_refund)), t_refund))
-    return ins.unionByName(pay).unionByName(cancel).unionByName(refund)
+    t_del = F.col("t0") + 86_400_000
+    delete = o.where((F.col("st") == "P") & (F.col("prio") == "5-LOW")).select(*_envelope(
+        "order_info", F.lit("d"), img("1003", _ms_text(t_cancel)), _null_map(), t_del))
+    return ins.unionByName(pay).unionByName(cancel).unionByName(refund).unionByName(delete)
 
 
 def payment_changes(orders: DataFrame) -> DataFrame:
@@ -207,18 +228,21 @@ def detail_changes(lineitem: DataFrame) -> DataFrame:
     The detail id is ``orderkey_linenumber``; the driver's table repeats some
     pairs, which the retraction and upsert operators must absorb.
     """
+    ep = _cents(F.col("l_extendedprice"))
+    disc = F.round(F.col("l_discount") * 100).cast("bigint")
+    tax = F.round(F.col("l_tax") * 100).cast("bigint")
+    qty = F.col("l_quantity").cast("bigint")
     li = lineitem.select(
         F.concat_ws("_", F.col("l_orderkey"), F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_partkey").cast("string").alias("sku_id"),
         F.concat(F.lit("sku_"), F.col("l_partkey")).alias("sku_name"),
-        F.col("l_quantity").cast("int").cast("string").alias("sku_num"),
-        _dec_text(F.col("l_extendedprice") / F.col("l_quantity")).alias("order_price"),
-        _dec_text(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("split_total_amount"),
-        _dec_text(F.col("l_extendedprice") * F.col("l_discount")).alias("split_activity_amount"),
-        _dec_text(F.col("l_extendedprice") * F.col("l_tax")).alias("split_coupon_amount"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("disc"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
+        qty.cast("string").alias("sku_num"),
+        _money_text(_idiv_half_up(ep, qty)).alias("order_price"),
+        _money_text(_idiv_half_up(ep * (100 - disc), 100)).alias("split_total_amount"),
+        _money_text(_idiv_half_up(ep * disc, 100)).alias("split_activity_amount"),
+        _money_text(_idiv_half_up(ep * tax, 100)).alias("split_coupon_amount"),
+        disc.cast("int").alias("disc"), tax.cast("int").alias("tax"),
         (ntz_millis("l_shipdate") + F.col("l_linenumber") * 1000).alias("t"))
     det = li.select(*_envelope("order_detail", F.lit("c"), _null_map(), F.create_map(
         F.lit("id"), F.col("id"), F.lit("order_id"), F.col("order_id"),
