@@ -25,16 +25,24 @@ SOURCE_TYPE_DEFAULT_OP = "u"
 def parse_envelope(text: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """SRC-3 / PRJ-1: JSON text → (good envelopes, bad text).
 
-    Malformed text parses to a struct of nulls; a record without ``op`` and
-    ``source`` is bad.  Bad rows are returned, not silently dropped."""
-    parsed = text.select(F.col(value_col).alias("_raw"),
-                         F.from_json(F.col(value_col), ENVELOPE, {"mode": "PERMISSIVE"}).alias("_e"))
-    ok = F.col("_e.op").isNotNull() & F.col("_e.source").isNotNull()
-    good = parsed.where(ok).select("_e.*")
-    bad = parsed.where(~ok | F.col("_e").isNull()).select(F.col("_raw").alias(value_col))
+    Each message is parsed once (``inline_outer`` materialises the struct, so
+    the optimizer cannot split it into one parse per field).  Malformed text
+    parses to nulls; a record without ``op`` and ``source`` is bad.  Bad rows
+    are returned, not silently dropped."""
+    parsed = parse_json_once(text, value_col, ENVELOPE)
+    ok = F.col("op").isNotNull() & F.col("source").isNotNull()
+    good = parsed.where(ok).drop("_raw")
+    bad = parsed.where(~ok).select(F.col("_raw").alias(value_col))
     return good, bad
 
 
+def parse_json_once(text: DataFrame, value_col: str, schema) -> DataFrame:
+    """``text`` columns (minus ``value_col``) + ``_raw`` + the schema's fields."""
+    keep = [c for c in text.columns if c != value_col]
+    return text.select(*keep, F.col(value_col).alias("_raw"), F.inline_outer(F.array(
+        F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"}))))
+
+
 def ods_filter(changes: DataFrame, keep_deletes: bool = False) -> DataFrame:
     """PRJ-2 / PRJ-3: keep records whose ``after`` image is present and non-empty
     (deletes too when ``keep_deletes``)."""

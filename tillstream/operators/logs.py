@@ -6,18 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.operators.cdc import parse_json_once
 from tillstream.operators.sequence import repair_is_new  # noqa: F401  (re-export)
 from tillstream.schemas import LOG
 
 
 def parse_log(text: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """PRJ-1: JSON text → (parsed logs, bad text).  A log needs ``common`` and ``ts``."""
+    """PRJ-1: JSON text → (parsed logs, bad text).  A log needs ``common`` and
+    ``ts``; each message is parsed exactly once."""
     keep = [c for c in text.columns if c != value_col]
-    parsed = text.select(*keep, F.col(value_col).alias("_raw"),
-                         F.from_json(F.col(value_col), LOG, {"mode": "PERMISSIVE"}).alias("_l"))
-    ok = F.col("_l.common").isNotNull() & F.col("_l.ts").isNotNull()
-    good = parsed.where(ok).select("_l.*", *keep)
-    bad = parsed.where(~ok | F.col("_l").isNull()).select(*keep, F.col("_raw").alias(value_col))
+    parsed = parse_json_once(text, value_col, LOG)
+    ok = F.col("common").isNotNull() & F.col("ts").isNotNull()
+    good = parsed.where(ok).select(*LOG.fieldNames(), *keep)
+    bad = parsed.where(~ok).select(*keep, F.col("_raw").alias(value_col))
     return good, bad
 
 

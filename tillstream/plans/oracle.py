@@ -32,8 +32,8 @@ pages AS (
     CASE k % 4 WHEN 1 THEN 'home' WHEN 2 THEN 'search' WHEN 3 THEN 'good_detail' END
       AS last_page_id,
     CASE WHEN k % 4 = 2 THEN 'keyword' ELSE 'sku_id' END AS item_type,
-    CASE WHEN k % 4 = 2 THEN ['小米手机','5G phone','苹果 手机壳','red widget','运动鞋 跑步',
-                              'blue bolt 2024','笔记本电脑','儿童玩具 积木'][k % 8 + 1]
+    CASE WHEN k % 4 = 2 THEN ['小米手机','5G phone','small size 1','red widget','运动鞋 跑步',
+                              'economy size 2','笔记本电脑','large size 3'][k % 8 + 1]
          ELSE CAST(k AS VARCHAR) END AS item,
     CAST(round(value * 1000) AS BIGINT) AS during_time
   FROM ev WHERE event_type <> 'signup')"""
@@ -76,7 +76,7 @@ o AS (
          CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
          CAST(o_custkey % 25 AS VARCHAR) AS province_id,
          """ + money("CAST(round(o_totalprice * 100) AS BIGINT)") + """ AS total_amount,
-         epoch_us(o_orderdate) // 1000 + (o_orderkey % 86400) * 1000 AS t0
+         1704067200000 + o_orderkey * 60000 AS t0
   FROM orders)"""
 
 LINES = """
@@ -93,7 +93,7 @@ dl AS (
          """ + money("(ep * (100 - disc) + 50) // 100") + """ AS split_total_amount,
          """ + money("(ep * disc + 50) // 100") + """ AS split_activity_amount,
          """ + money("(ep * tax + 50) // 100") + """ AS split_coupon_amount,
-         disc, tax, epoch_us(l_shipdate) // 1000 + l_linenumber * 1000 AS t
+         disc, tax, 1704067200000 + l_orderkey * 60000 + l_linenumber * 1000 AS t
   FROM dl0)"""
 
 
@@ -137,7 +137,7 @@ meta AS (
   UNION ALL SELECT 'order_detail_coupon', 'c', t FROM dl WHERE tax >= 6
   UNION ALL SELECT 'cart_info', 'c', ts FROM ev WHERE event_type = 'click'
   UNION ALL SELECT 'cart_info', 'u', ts FROM ev WHERE event_type IN ('purchase', 'error')
-  UNION ALL SELECT 'comment_info', 'c', 1704067200000 + doc_id * 37000 FROM documents
+  UNION ALL SELECT 'comment_info', 'c', 1704067200000 + doc_id * 900000 + 20000 + (doc_id % 50) * 1000 FROM documents
   UNION ALL SELECT 'user_info', 'c', 1704067200000 + c_custkey * 60000 FROM customer
   UNION ALL SELECT 'user_info_sup_msg', 'c',
                    1704067200000 + c_custkey * 60000 + (c_custkey % 61) * 60000 FROM customer)"""
@@ -192,7 +192,7 @@ routed AS (
                ('sku_id', 'doc_id % 2000'), ('spu_id', 'doc_id % 200'), ('order_id', 'doc_id * 15'),
                ('appraise', "'120' || (doc_id % 4 + 1)"), ('comment_txt', 'text'),
                ('create_time', fmt('t')), ('ts_ms', 't'))}
-  FROM (SELECT *, 1704067200000 + doc_id * 37000 AS t FROM documents))"""
+  FROM (SELECT *, 1704067200000 + doc_id * 900000 + 20000 + (doc_id % 50) * 1000 AS t FROM documents))"""
 
 ORACLE["config_latest"] = f"""
 WITH {ROUTED}
@@ -356,7 +356,7 @@ ORACLE["dwd_comment"] = f"""
 WITH {DIC}
 SELECT CAST(doc_id AS VARCHAR) AS id, CAST(doc_id % 1500 AS VARCHAR) AS user_id,
        CAST(doc_id % 2000 AS VARCHAR) AS sku_id, '120' || (doc_id % 4 + 1) AS appraise,
-       dic.dic_name AS appraise_name, text AS comment_txt, 1704067200000 + doc_id * 37000 AS ts
+       dic.dic_name AS appraise_name, text AS comment_txt, 1704067200000 + doc_id * 900000 + 20000 + (doc_id % 50) * 1000 AS ts
 FROM documents JOIN dic ON '120' || (doc_id % 4 + 1) = dic.dic_code
 """
 
@@ -450,7 +450,8 @@ SELECT {win('ws', 10000)}, agg.sku_id, original_amount, activity_reduce_amount,
        coupon_reduce_amount, order_amount,
        p.p_name AS sku_name, p.spu_id, p.tm_id AS trademark_id, p.c3 AS category3_id,
        CASE WHEN p.spu_id IS NOT NULL THEN 'spu_' || p.spu_id END AS spu_name,
-       p.p_brand AS trademark_name,
+       ['苹果','欧莱雅','香奈儿','Redmi','联想','长粒香','金沙河','小米','华为','耐克'][
+         CAST(p.tm_id AS INTEGER) % 10 + 1] AS trademark_name,
        lower(p.p_type) || ' size ' || (p.p_size % 4) AS category3_name,
        p.p_type AS category2_id, lower(p.p_type) AS category2_name,
        substr(p.p_type, 1, 1) AS category1_id, 'group ' || substr(p.p_type, 1, 1) AS category1_name
@@ -481,3 +482,376 @@ kw AS (SELECT ts, unnest({TOKENS}) AS keyword FROM pages
        WHERE last_page_id = 'search' AND item_type = 'keyword' AND item IS NOT NULL)
 SELECT {win('ts', 1000)}, keyword, count(*) AS keyword_count FROM kw GROUP BY ALL
 """
+
+# ------------------------------------------------------------------ label
+def bday(c: str) -> str:
+    return f"(DATE '1970-01-01' + CAST(3000 + ({c} * 37) % 15000 AS INTEGER))"
+
+
+def age(b: str, t: str) -> str:
+    return (f"(year({t}) - year({b}) - CASE WHEN month({t}) * 100 + day({t}) < "
+            f"month({b}) * 100 + day({b}) THEN 1 ELSE 0 END)")
+
+
+def zodiac(b: str) -> str:
+    md = f"(month({b}) * 100 + day({b}))"
+    cases = [(119, '摩羯座'), (218, '水瓶座'), (320, '双鱼座'), (419, '白羊座'), (520, '金牛座'),
+             (621, '双子座'), (722, '巨蟹座'), (822, '狮子座'), (922, '处女座'), (1023, '天秤座'),
+             (1122, '天蝎座'), (1221, '射手座')]
+    return "CASE " + " ".join(f"WHEN {md} <= {d} THEN '{n}'" for d, n in cases) + " ELSE '摩羯座' END"
+
+
+USERS = f"""
+users AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS uname,
+         CAST(c_custkey % 5 + 1 AS VARCHAR) AS user_level, 'login' || c_custkey AS login_name,
+         '1380000' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS phone_num,
+         'u' || c_custkey || '@example.com' AS email,
+         CASE c_custkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' ELSE 'home' END AS gender,
+         strftime({bday('c_custkey')}, '%Y-%m-%d') AS birthday,
+         substr(strftime({bday('c_custkey')}, '%Y-%m-%d'), 1, 3) || '0' AS decade,
+         {age(bday('c_custkey'), "DATE '2025-06-15'")} AS age,
+         {zodiac(bday('c_custkey'))} AS zodiac_sign,
+         1704067200000 + c_custkey * 60000 AS ts_ms
+  FROM customer)"""
+
+ORACLE["label_user_profile"] = f"WITH {USERS} SELECT * FROM users"
+
+PROJ = PAGES + """,
+proj AS (
+  SELECT DISTINCT uid, ts, ar, ba, ch, md, split_part(os, ' ', 1) AS os, vc,
+         CASE WHEN item_type = 'keyword' THEN item END AS search_item
+  FROM pages)"""
+
+ORACLE["label_log_projection"] = f"WITH {PROJ} SELECT * FROM proj"
+
+ORDER_RECS = ORD + """,
+orec AS (
+  SELECT 'c' AS op, id AS order_id, total_amount, user_id AS uid, t0, t0 AS ts_ms FROM o
+  UNION ALL SELECT 'u', id, total_amount, user_id, t0, t0 + 600000 FROM o WHERE st = 'F'
+  UNION ALL SELECT 'u', id, total_amount, user_id, t0, t0 + 1800000 FROM o WHERE st = 'P'
+  UNION ALL SELECT 'u', id, total_amount, user_id, t0, t0 + 259200000 FROM o
+            WHERE st = 'F' AND prio = '1-URGENT')"""
+
+ORACLE["label_order_projection"] = f"""
+WITH {ORDER_RECS}
+SELECT op, order_id, {fmt('t0')} AS create_time, total_amount, uid, ts_ms FROM orec
+"""
+
+ORACLE["label_user_orders"] = f"""
+WITH {ORDER_RECS}
+SELECT uid, count(*) AS pv, min({fmt('t0')}) AS first_create_time,
+       max({fmt('t0')}) AS last_create_time, count(DISTINCT order_id) AS n_orders,
+       sum(CAST(total_amount AS DECIMAL(20,2))) AS total_amount_sum,
+       min(ts_ms) AS first_ts_ms, max(ts_ms) AS last_ts_ms
+FROM orec GROUP BY uid
+"""
+
+
+def _set(c: str) -> str:
+    return (f"coalesce(array_to_string(list_sort(list_distinct(list(b.{c}) "
+            f"FILTER (WHERE b.{c} IS NOT NULL))), ','), '') AS {c}")
+
+
+PROFILE = PROJ + f""",
+b AS (SELECT *, ts // 60000 AS w FROM proj),
+wins AS (SELECT DISTINCT uid, w FROM b),
+profile AS (
+  SELECT wins.uid, wins.w * 60000 AS window_start_ms, count(*) AS pv,
+         {_set('os')}, {_set('ch')}, {_set('md')}, {_set('ba')}, {_set('search_item')},
+         CAST(min(b.ts) AS VARCHAR) AS ts,
+         arg_max(b.search_item, b.ts) FILTER (WHERE b.search_item IS NOT NULL) AS last_search
+  FROM wins JOIN b ON b.uid = wins.uid AND b.w <= wins.w
+  GROUP BY wins.uid, wins.w)"""
+
+ORACLE["label_user_activity"] = f"WITH {PROFILE} SELECT * FROM profile"
+
+ORACLE["last_per_window"] = f"""
+WITH {PAGES}
+SELECT uid, (ts // 60000) * 60000 AS window_start_ms,
+       arg_max(ts, (ts, log_id)) AS ts, arg_max(log_id, (ts, log_id)) AS log_id,
+       arg_max(page_id, (ts, log_id)) AS page_id, arg_max(during_time, (ts, log_id)) AS during_time
+FROM pages GROUP BY uid, ts // 60000
+"""
+
+HIER = """
+hier AS (
+  SELECT DISTINCT p_type || '_' || (p_size % 4) AS id,
+         lower(p_type) || ' size ' || (p_size % 4) AS b3name, lower(p_type) AS b2name,
+         'group ' || substr(p_type, 1, 1) AS b1name
+  FROM part),
+cmp(category_name, search_category) AS (VALUES ('group S', '时尚与潮流'), ('group P', '性价比'),
+  ('group M', '健康与养生'), ('group L', '家庭与育儿'), ('group E', '科技与数码'))"""
+
+ORACLE["category_hierarchy"] = f"WITH {HIER} SELECT id, b3name, b2name, b1name FROM hier"
+
+MAPPING = HIER + """,
+mapping AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, cmp.search_category AS bcname,
+         ['苹果','欧莱雅','香奈儿','Redmi','联想','长粒香','金沙河','小米','华为','耐克'][
+           CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) % 10 + 1] AS btname
+  FROM part LEFT JOIN cmp ON cmp.category_name = 'group ' || substr(p_type, 1, 1))"""
+
+ORACLE["sku_brand_category"] = f"WITH {MAPPING} SELECT * FROM mapping"
+
+
+def _w(model: str, rows: list[tuple], match: str, coef: float, default=None) -> str:
+    bands = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
+    vals = ", ".join("('" + r[0] + "', " + ", ".join(repr(x) for x in r[1:]) + ")" for r in rows)
+    cols = ", ".join(f"w{i}" for i in range(6))
+    sel = ", ".join(
+        f"CAST(coalesce(round({model}_w.w{i} * {coef}, 3), {default[i] * coef if default else 0}) "
+        f"AS DECIMAL(10,3)) AS {model}_{b}" for i, b in enumerate(bands))
+    return sel, f"(VALUES {vals}) AS {model}_w(m, {cols})", match
+
+
+DEVICE_ROWS = [("iOS", .7, .6, .5, .4, .3, .2), ("Android", .8, .7, .6, .5, .4, .3)]
+SEARCH_ROWS = [("时尚与潮流", .9, .7, .5, .3, .2, .1), ("性价比", .2, .4, .6, .7, .8, .8),
+               ("健康与养生", .1, .2, .4, .6, .8, .7), ("家庭与育儿", .1, .2, .4, .6, .8, .7),
+               ("科技与数码", .8, .6, .4, .3, .2, .1), ("学习与发展", .4, .5, .6, .7, .8, .7)]
+PRICE_ROWS = [("0-1000", .8, .6, .4, .3, .2, .1), ("1000-4000", .2, .4, .6, .7, .8, .7),
+              ("other", .1, .2, .3, .4, .5, .6)]
+BRAND_ROWS = [("苹果", .9, .7, .5, .3, .2, .1), ("欧莱雅", .2, .4, .6, .7, .8, .8),
+              ("香奈儿", .2, .4, .6, .7, .8, .8), ("Redmi", .1, .2, .4, .6, .8, .7),
+              ("联想", .1, .2, .4, .6, .8, .7), ("长粒香", .8, .6, .4, .3, .2, .1),
+              ("金沙河", .8, .6, .4, .3, .2, .1)]
+BRAND_DEFAULT = (.4, .5, .6, .7, .8, .7)
+
+_dev_sel, _dev_tab, _ = _w("device", DEVICE_ROWS, "judge_os", 0.1)
+_sea_sel, _sea_tab, _ = _w("search", SEARCH_ROWS, "search_category", 0.15)
+
+LOG_SCORES_TAIL = f"""
+ls0 AS (
+  SELECT p.*, string_split(p.os, ',')[1] AS judge_os, h.b1name AS b1_category,
+         cmp.search_category
+  FROM profile p
+  LEFT JOIN (SELECT DISTINCT b3name, b1name FROM hier) h ON p.last_search = h.b3name
+  LEFT JOIN cmp ON h.b1name = cmp.category_name),
+log_scores AS (
+  SELECT ls0.*, {_dev_sel}, {_sea_sel}
+  FROM ls0 LEFT JOIN {_dev_tab} ON ls0.judge_os = device_w.m
+  LEFT JOIN {_sea_tab} ON ls0.search_category = search_w.m)"""
+LOG_SCORES = PROFILE + "," + HIER + "," + LOG_SCORES_TAIL
+
+BANDS_ = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
+
+ORACLE["label_search_category"] = f"""
+WITH {LOG_SCORES}
+SELECT uid, window_start_ms, last_search, b1_category, search_category FROM log_scores
+"""
+
+ORACLE["label_device_score"] = f"""
+WITH {LOG_SCORES}
+SELECT uid, window_start_ms, judge_os, {', '.join('device_' + b for b in BANDS_)} FROM log_scores
+"""
+
+ORACLE["label_search_score"] = f"""
+WITH {LOG_SCORES}
+SELECT uid, window_start_ms, search_category, {', '.join('search_' + b for b in BANDS_)}
+FROM log_scores
+"""
+
+_pr_sel, _pr_tab, _ = _w("price", PRICE_ROWS, "price_bucket", 0.15)
+_br_sel, _br_tab, _ = _w("brand", BRAND_ROWS, "btname", 0.2, BRAND_DEFAULT)
+_ca_sel, _ca_tab, _ = _w("category", SEARCH_ROWS, "bcname", 0.3)
+
+ORDER_SKUS = ORDER_RECS + "," + LINES + """,
+oskus AS (
+  SELECT orec.order_id, orec.ts_ms, orec.uid, orec.total_amount, orec.op,
+         arg_min(dl.sku_id, (dl.t, dl.id, dl.sku_id)) AS sku_id,
+         arg_min(dl.id, (dl.t, dl.id, dl.sku_id)) AS detail_id
+  FROM orec JOIN dl ON dl.order_id = orec.order_id
+       AND dl.t BETWEEN orec.ts_ms - 1800000 AND orec.ts_ms + 1800000
+  GROUP BY ALL)"""
+
+ORDER_SCORES = ORDER_SKUS + "," + MAPPING + f""",
+os0 AS (
+  SELECT oskus.*, mapping.btname, mapping.bcname,
+         CASE WHEN CAST(total_amount AS DECIMAL(20,2)) BETWEEN 0 AND 1000 THEN '0-1000'
+              WHEN CAST(total_amount AS DECIMAL(20,2)) > 1000
+               AND CAST(total_amount AS DECIMAL(20,2)) <= 4000 THEN '1000-4000'
+              ELSE 'other' END AS price_bucket
+  FROM oskus LEFT JOIN mapping ON oskus.sku_id = mapping.id),
+os1 AS (
+  SELECT os0.*, {_pr_sel}, {_br_sel}, {_ca_sel}
+  FROM os0 LEFT JOIN {_pr_tab} ON os0.price_bucket = price_w.m
+  LEFT JOIN {_br_tab} ON os0.btname = brand_w.m
+  LEFT JOIN {_ca_tab} ON os0.bcname = category_w.m),
+order_scores AS (
+  SELECT order_id, uid, sku_id, ts_ms, btname, bcname, price_bucket,
+         {', '.join(f'CAST(brand_{b} + category_{b} + price_{b} AS DECIMAL(10,3)) AS sum_{b}'
+                    for b in BANDS_)}
+  FROM os1)"""
+
+ORACLE["label_order_score"] = f"WITH {ORDER_SCORES} SELECT * FROM order_scores"
+
+ORACLE["dedup_key"] = f"WITH {ORDER_SKUS} SELECT order_id, ts_ms, sku_id, detail_id FROM oskus"
+
+_tot = ", ".join(
+    f"CAST(coalesce(lo.sum_{b}, 0) + coalesce(ll.search_{b}, 0) + coalesce(ll.device_{b}, 0) "
+    f"AS DECIMAL(10,3)) AS total_{b}" for b in BANDS_)
+_labels = "['18-24','25-29','30-34','35-39','40-49','50以上']"
+_arr = "[" + ", ".join(f"total_{b}" for b in BANDS_) + "]"
+
+ORACLE["label_age_band"] = f"""
+WITH {USERS}, {ORDER_SCORES}, {PROFILE}, {LOG_SCORES_TAIL},
+lo AS (SELECT uid, {', '.join(f'arg_max(sum_{b}, (ts_ms, order_id)) AS sum_{b}' for b in BANDS_)}
+       FROM order_scores GROUP BY uid),
+ll AS (SELECT uid, {', '.join(f'arg_max(search_{b}, window_start_ms) AS search_{b}' for b in BANDS_)},
+              {', '.join(f'arg_max(device_{b}, window_start_ms) AS device_{b}' for b in BANDS_)}
+       FROM log_scores GROUP BY uid),
+t AS (
+  SELECT users.id, uname, gender, age, zodiac_sign, decade, {_tot}
+  FROM users LEFT JOIN lo ON users.id = lo.uid LEFT JOIN ll ON users.id = ll.uid)
+SELECT *, {_labels}[list_position({_arr}, list_max({_arr}))] AS max_age FROM t
+"""
+
+ORACLE["interval_join_30m"] = f"""
+WITH {USERS}
+SELECT users.*, CAST(150 + c_custkey % 40 AS VARCHAR) AS height, 'cm' AS unit_height,
+       CAST(45 + c_custkey % 50 AS VARCHAR) AS weight, 'kg' AS unit_weight,
+       users.ts_ms + (c_custkey % 61) * 60000 AS sup_ts_ms
+FROM users JOIN customer ON users.id = CAST(c_custkey AS VARCHAR)
+WHERE c_custkey % 61 <= 30
+"""
+
+ORACLE["interval_join_12h"] = f"""
+WITH {USERS}, {LOG_SCORES.replace('WITH', '')}
+SELECT users.id, users.ts_ms, CAST(l.ts AS BIGINT) AS log_ts, l.judge_os, l.search_category,
+       l.device_18_24, l.search_18_24
+FROM users JOIN log_scores l ON users.id = l.uid
+ AND CAST(l.ts AS BIGINT) BETWEEN users.ts_ms - 43200000 AND users.ts_ms + 43200000
+"""
+
+ORACLE["dedup_exact"] = """
+SELECT source, lang, md5(text) AS text_md5, length(text) AS n_chars
+FROM (SELECT DISTINCT source, lang, text FROM documents)
+"""
+
+# ------------------------------------------------------------- moderation
+COMMENTS = DIC + """,
+cm AS (
+  SELECT 1704067200000 + doc_id * 900000 + 20000 + (doc_id % 50) * 1000 AS ts_ms,
+         '120' || (doc_id % 4 + 1) AS appraise, text AS comment_txt, doc_id AS id,
+         doc_id % 1500 AS user_id, doc_id * 15 AS order_id, 'nick_' || (doc_id % 1500) AS nick_name
+  FROM documents),
+comments AS (
+  SELECT cm.*, coalesce(dic.dic_name, 'N/A') AS dic_name
+  FROM cm LEFT JOIN dic ON cm.appraise = dic.dic_code)"""
+
+ORACLE["comment_dic_enrich"] = f"""
+WITH {COMMENTS}
+SELECT id, appraise, dic_name, user_id, order_id, nick_name, ts_ms FROM comments
+"""
+
+CO = COMMENTS + "," + ORD + """,
+orecs AS (
+  SELECT o_orderkey AS id, 'c' AS op, t0 AS tm_ms, '1001' AS st, 'consignee_' || o_custkey AS consignee
+  FROM o
+  UNION ALL SELECT o_orderkey, 'u', t0 + 600000, '1002', 'consignee_' || o_custkey FROM o WHERE st = 'F'
+  UNION ALL SELECT o_orderkey, 'u', t0 + 1800000, '1003', 'consignee_' || o_custkey FROM o WHERE st = 'P'
+  UNION ALL SELECT o_orderkey, 'u', t0 + 259200000, '1005', 'consignee_' || o_custkey FROM o
+            WHERE st = 'F' AND prio = '1-URGENT'
+  UNION ALL SELECT o_orderkey, 'd', t0 + 86400000, '1003', 'consignee_' || o_custkey FROM o
+            WHERE st = 'P' AND prio = '5-LOW'),
+co AS (
+  SELECT comments.*, orecs.id AS info_id, orecs.op AS info_op, orecs.tm_ms AS info_tm_ms,
+         orecs.st AS info_order_status, orecs.consignee AS info_consignee,
+         strftime(epoch_ms(comments.ts_ms), '%Y%m%d') AS ds
+  FROM comments JOIN orecs ON comments.order_id = orecs.id
+   AND orecs.tm_ms BETWEEN comments.ts_ms - 60000 AND comments.ts_ms + 60000)"""
+
+ORACLE["comment_order_join"] = f"""
+WITH {CO}
+SELECT id, order_id, ts_ms, info_id, info_op, info_tm_ms, info_order_status, info_consignee, ds
+FROM co
+"""
+
+ORACLE["ds_partition"] = f"""
+WITH {COMMENTS}
+SELECT strftime(epoch_ms(ts_ms), '%Y%m%d') AS ds, count(*) AS n_rows FROM comments GROUP BY 1
+"""
+
+WORDS_SQL = "['idiot', 'stupid', 'hate', 'token', 'License']"
+
+
+def last_tok(text: str, sep: str) -> str:
+    return (f"coalesce(list_filter(string_split({text}, '{sep}'), lambda t: t <> '')[-1], '')")
+
+
+ORACLE["word_membership"] = f"""
+WITH {COMMENTS}
+SELECT id, {last_tok('comment_txt', ' ')} AS last_word,
+       list_contains({WORDS_SQL}, {last_tok('comment_txt', ' ')}) AS listed
+FROM comments
+"""
+
+P0 = CO + f""",
+p0 AS (
+  SELECT user_id, info_consignee AS consignee, ts_ms, ds, comment_txt AS msg,
+         {last_tok('comment_txt', ',')} AS lt
+  FROM co),
+p0f AS (
+  SELECT user_id, consignee, ts_ms, ds, msg,
+         CASE WHEN list_contains({WORDS_SQL}, lt) THEN 1 ELSE 0 END AS is_violation,
+         CASE WHEN list_contains({WORDS_SQL}, lt) THEN 'P0' ELSE '' END AS violation_grade,
+         CASE WHEN list_contains({WORDS_SQL}, lt) THEN lt ELSE '' END AS violation_msg
+  FROM p0)"""
+
+ORACLE["moderation_p0"] = f"WITH {P0} SELECT * FROM p0f"
+
+ORACLE["moderation_p1"] = f"""
+WITH {P0},
+f AS (SELECT *, list_sort(list_filter({WORDS_SQL}, lambda w: contains(coalesce(msg, ''), w))) AS found
+      FROM p0f)
+SELECT user_id, consignee, ts_ms, ds, msg, is_violation,
+       CASE WHEN is_violation = 0 AND len(found) > 0 THEN 'P1' ELSE violation_grade END AS violation_grade,
+       CASE WHEN is_violation = 0 AND len(found) > 0 THEN array_to_string(found, ', ')
+            ELSE violation_msg END AS violation_msg
+FROM f
+"""
+
+# -------------------------------------------------------------- functions
+ORACLE["fn_dates"] = f"""
+WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ts_ms FROM events)
+SELECT event_id, ts_ms, strftime(epoch_ms(ts_ms), '%Y-%m-%d') AS d, {fmt('ts_ms')} AS dt,
+       strftime(epoch_ms(ts_ms), '%Y%m%d') AS ds,
+       (ts_ms // 1000) * 1000 - 28800000 AS ms_from_text_utc8,
+       strftime(epoch_ms(ts_ms), '%Y-%m-%d') AS date_from_text,
+       strftime(epoch_ms(ts_ms), '%Y-%m-%d') AS date_from_ms_text,
+       (ts_ms - 1704067200000) // 86400000 AS days_since_base,
+       strftime(epoch_ms(ts_ms), '%Y-%m-%d') AS epoch_day_date,
+       {win('ts_ms', 3600000)}
+FROM e
+"""
+
+ORACLE["fn_age_zodiac"] = f"""
+SELECT c_custkey, strftime({bday('c_custkey')}, '%Y-%m-%d') AS birthday,
+       substr(strftime({bday('c_custkey')}, '%Y-%m-%d'), 1, 3) || '0' AS decade,
+       {age(bday('c_custkey'), "DATE '2024-02-29'")} AS age_leap,
+       {age(bday('c_custkey'), "DATE '2025-06-15'")} AS age_today,
+       {zodiac(bday('c_custkey'))} AS zodiac_sign
+FROM customer
+"""
+
+ORACLE["fn_text_json"] = f"""
+SELECT doc_id, md5(text) AS text_md5, length({last_tok('text', ',')}) AS last_comma_len,
+       string_split(text, ' ')[1] AS first_word, lang AS json_lang,
+       CASE WHEN coalesce(source, '') = '' THEN 1 ELSE 0 END AS source_empty,
+       len(list_concat(regexp_extract_all(text, '[A-Za-z0-9]+'),
+         flatten(list_transform(regexp_extract_all(text, '[\\x{{4E00}}-\\x{{9FFF}}]+'),
+           lambda r: CASE WHEN length(r) = 1 THEN [r]
+                          ELSE list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) END))))
+         AS n_tokens
+FROM documents
+"""
+
+ORACLE["run_summary"] = """
+WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, event_type <> 'error' AS ok,
+                  CAST(CAST(ts AS DATE) AS VARCHAR) AS run_day FROM events)
+SELECT run_day, sum(CAST(ok AS INTEGER)) AS n_success, sum(CAST(NOT ok AS INTEGER)) AS n_fail,
+       min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, (max(ts_ms) - min(ts_ms)) // 1000 AS duration_s,
+       coalesce(array_to_string(list_sort(list(event_id) FILTER (WHERE NOT ok))[1:100], ','), '')
+         AS failed_ids
+FROM e GROUP BY run_day
+"""

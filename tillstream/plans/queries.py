@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.operators import cdc, dws, facts, logs, sequence
+from tillstream import functions
+from tillstream.operators import cdc, dws, facts, label, logs, moderation, scoring, sequence, summary
 from tillstream.operators.joins import lookup
 from tillstream.sources import config as cfgsrc
 from tillstream.sources import dims
@@ -254,3 +255,245 @@ def q_dws_province_order(spark, sf):
 @query("dws_keyword_count")
 def q_dws_keyword_count(spark, sf):
     return dws.keyword_window(_pages(spark, sf), "1 second")
+
+
+# ------------------------------------------------------------------ label
+TODAY = "2025-06-15"
+
+
+def _users(spark, sf):
+    return label.user_profile(drv.user_changes(drv.table(spark, sf, "customer")), TODAY)
+
+
+def _sups(spark, sf):
+    return label.user_supplement(drv.user_sup_changes(drv.table(spark, sf, "customer")))
+
+
+def _log_proj(spark, sf):
+    return label.log_device_search(_log(spark, sf))
+
+
+def _profile(spark, sf):
+    return label.running_profile(label.dedup_rows(_log_proj(spark, sf)), 60_000)
+
+
+def _hier(spark, sf):
+    return label.category_hierarchy(dims.sku_dims(spark, sf))
+
+
+def _log_scores(spark, sf):
+    return label.score_logs(_profile(spark, sf), _hier(spark, sf), dims.category_compare(spark), spark)
+
+
+def _order_changes(spark, sf):
+    return drv.order_changes(drv.table(spark, sf, "orders")).unionByName(
+        drv.detail_changes(drv.table(spark, sf, "lineitem")))
+
+
+def _order_scores(spark, sf):
+    o, d = label.order_projection(_order_changes(spark, sf))
+    mapping = label.sku_brand_category(dims.sku_dims(spark, sf), dims.category_compare(spark))
+    return label.score_orders(label.order_skus(o, d), mapping, spark)
+
+
+@query("label_user_profile")
+def q_label_user_profile(spark, sf):
+    return _users(spark, sf)
+
+
+@query("label_log_projection")
+def q_label_log_projection(spark, sf):
+    return _log_proj(spark, sf)
+
+
+@query("label_order_projection")
+def q_label_order_projection(spark, sf):
+    return label.order_projection(_order_changes(spark, sf))[0]
+
+
+@query("label_user_activity")
+def q_label_user_activity(spark, sf):
+    return _profile(spark, sf)
+
+
+@query("label_user_orders")
+def q_label_user_orders(spark, sf):
+    return label.user_orders_profile(label.order_projection(_order_changes(spark, sf))[0])
+
+
+@query("last_per_window")
+def q_last_per_window(spark, sf):
+    pv = _pages(spark, sf).select("uid", "ts", "log_id", "page_id", "during_time")
+    return label.last_per_window(pv, "uid", "ts", 60_000, ["ts", "log_id"])
+
+
+@query("category_hierarchy")
+def q_category_hierarchy(spark, sf):
+    return _hier(spark, sf)
+
+
+@query("sku_brand_category")
+def q_sku_brand_category(spark, sf):
+    return label.sku_brand_category(dims.sku_dims(spark, sf), dims.category_compare(spark))
+
+
+@query("label_search_category")
+def q_label_search_category(spark, sf):
+    return _log_scores(spark, sf).select("uid", "window_start_ms", "last_search", "b1_category",
+                                         "search_category")
+
+
+@query("label_device_score")
+def q_label_device_score(spark, sf):
+    return _log_scores(spark, sf).select("uid", "window_start_ms", "judge_os",
+                                         *[f"device_{b}" for b in scoring.BANDS])
+
+
+@query("label_search_score")
+def q_label_search_score(spark, sf):
+    return _log_scores(spark, sf).select("uid", "window_start_ms", "search_category",
+                                         *[f"search_{b}" for b in scoring.BANDS])
+
+
+@query("label_order_score")
+def q_label_order_score(spark, sf):
+    return _order_scores(spark, sf)
+
+
+@query("label_age_band")
+def q_label_age_band(spark, sf):
+    return label.age_band(_users(spark, sf), _order_scores(spark, sf), _log_scores(spark, sf))
+
+
+@query("interval_join_30m")
+def q_interval_join_30m(spark, sf):
+    return label.enrich_user(_users(spark, sf), _sups(spark, sf))
+
+
+@query("interval_join_12h")
+def q_interval_join_12h(spark, sf):
+    logs_ = _log_scores(spark, sf).select(
+        F.col("uid").alias("l_uid"), F.col("ts").cast("bigint").alias("log_ts"), "judge_os",
+        "search_category", "device_18_24", "search_18_24")
+    users = _users(spark, sf).select("id", "ts_ms")
+    j = label.interval_join(users, logs_, [("id", "l_uid")], "ts_ms", "log_ts",
+                            -12 * 3_600_000, 12 * 3_600_000)
+    return j.drop("l_uid")
+
+
+@query("dedup_key")
+def q_dedup_key(spark, sf):
+    o, d = label.order_projection(_order_changes(spark, sf))
+    return label.order_skus(o, d).select("order_id", "ts_ms", "sku_id", "detail_id")
+
+
+@query("dedup_exact")
+def q_dedup_exact(spark, sf):
+    docs = drv.table(spark, sf, "documents").select("source", "lang", "text")
+    return label.dedup_rows(docs).select("source", "lang", F.md5("text").alias("text_md5"),
+                                         F.length("text").alias("n_chars"))
+
+
+# ------------------------------------------------------------- moderation
+def _comment_changes(spark, sf):
+    return drv.comment_changes(drv.table(spark, sf, "documents"))
+
+
+def _comments(spark, sf):
+    return moderation.comment_rows(_comment_changes(spark, sf), dims.base_dic(spark))
+
+
+def _comment_orders(spark, sf):
+    orders = moderation.order_rows(drv.order_changes(drv.table(spark, sf, "orders")))
+    return moderation.comment_with_order(_comments(spark, sf), orders)
+
+
+@query("comment_dic_enrich")
+def q_comment_dic_enrich(spark, sf):
+    return _comments(spark, sf).select("id", "appraise", "dic_name", "user_id", "order_id",
+                                       "nick_name", "ts_ms")
+
+
+@query("comment_order_join")
+def q_comment_order_join(spark, sf):
+    return _comment_orders(spark, sf).select(
+        "id", "order_id", "ts_ms", "info_id", "info_op", "info_tm_ms", "info_order_status",
+        "info_consignee", "ds")
+
+
+@query("ds_partition")
+def q_ds_partition(spark, sf):
+    c = _comments(spark, sf).withColumn("ds", functions.ms_to_compact_date(F.col("ts_ms")))
+    return c.groupBy("ds").agg(F.count("*").alias("n_rows"))
+
+
+@query("word_membership")
+def q_word_membership(spark, sf):
+    c = _comments(spark, sf).select(
+        "id", F.coalesce(functions.last_token(F.col("comment_txt"), " "), F.lit("")).alias("last_word"))
+    return moderation.in_words(c, "last_word", moderation.words_df(spark), "listed")
+
+
+@query("moderation_p0")
+def q_moderation_p0(spark, sf):
+    j = _comment_orders(spark, sf)
+    base = j.select("user_id", F.col("info_consignee").alias("consignee"), "ts_ms", "ds",
+                    F.col("comment_txt").alias("msg"))
+    return moderation.flag_last_token(base, moderation.words_df(spark))
+
+
+@query("moderation_p1")
+def q_moderation_p1(spark, sf):
+    return moderation.blacklist(_comment_orders(spark, sf), moderation.words_df(spark),
+                                moderation.WORDS)
+
+
+# -------------------------------------------------------------- functions
+@query("fn_dates")
+def q_fn_dates(spark, sf):
+    ev = drv.table(spark, sf, "events").select("event_id", functions.ntz_millis("ts").alias("ts_ms"))
+    dt = functions.ms_to_datetime("ts_ms")
+    return ev.select(
+        "event_id", "ts_ms", functions.ms_to_date("ts_ms").alias("d"), dt.alias("dt"),
+        functions.ms_to_compact_date("ts_ms").alias("ds"),
+        functions.text_to_ms(dt, 8).alias("ms_from_text_utc8"),
+        functions.text_to_date(dt).alias("date_from_text"),
+        functions.text_to_date(F.col("ts_ms").cast("string")).alias("date_from_ms_text"),
+        functions.whole_days_between("ts_ms", F.lit(drv.BASE_MS)).alias("days_since_base"),
+        F.date_format(functions.epoch_day_to_date(F.floor(F.col("ts_ms") / 86_400_000)),
+                      "yyyy-MM-dd").alias("epoch_day_date"),
+        *functions.window_bounds(F.window(F.timestamp_millis("ts_ms"), "1 hour")))
+
+
+@query("fn_age_zodiac")
+def q_fn_age_zodiac(spark, sf):
+    c = drv.table(spark, sf, "customer").select(
+        "c_custkey", functions.epoch_day_to_date(F.lit(3000) + (F.col("c_custkey") * 37) % 15000)
+        .alias("bd"))
+    return c.select(
+        "c_custkey", F.date_format("bd", "yyyy-MM-dd").alias("birthday"),
+        functions.decade("bd").alias("decade"),
+        functions.age_years("bd", F.lit("2024-02-29").cast("date")).alias("age_leap"),
+        functions.age_years("bd", F.lit(TODAY).cast("date")).alias("age_today"),
+        functions.zodiac_sign("bd").alias("zodiac_sign"))
+
+
+@query("fn_text_json")
+def q_fn_text_json(spark, sf):
+    d = drv.table(spark, sf, "documents")
+    return d.select(
+        "doc_id", F.md5("text").alias("text_md5"),
+        F.length(F.coalesce(functions.last_token(F.col("text"), ","), F.lit(""))).alias("last_comma_len"),
+        functions.first_token(F.col("text"), " ").alias("first_word"),
+        functions.json_get(F.to_json(F.struct("doc_id", "lang", "source")), "$.lang").alias("json_lang"),
+        functions.empty_or_null(F.col("source")).cast("int").alias("source_empty"),
+        F.size(functions.tokens(F.col("text"))).alias("n_tokens"))
+
+
+@query("run_summary")
+def q_run_summary(spark, sf):
+    ev = drv.table(spark, sf, "events").select(
+        "event_id", functions.ntz_millis("ts").alias("ts_ms"),
+        (F.col("event_type") != "error").alias("ok"),
+        F.to_date("ts").cast("string").alias("run_day"))
+    return summary.run_summary(ev, ["run_day"], "ok", "event_id", "ts_ms", 100)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants, whatever the cluster size.  They only switch on
 # Spark's own adaptive machinery; sizes (partitions, memory) stay with the
@@ -71,3 +71,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     and streaming checkpoints (never a machine-local temp dir on a cluster)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a *small* scan over all cores.
+
+    A scan whose total size fits in one split (``spark.sql.files.maxPartitionBytes``)
+    is read by a single task, so any heavy row-local work on it (JSON, maps)
+    would run on one core.  Such an input is repartitioned round-robin; its
+    size is bounded by the split size, so the extra exchange is cheap.  Any
+    larger table already has one task per split and is returned untouched —
+    this never adds a shuffle to a big scan.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    except Exception:  # pragma: no cover
+        return df
+    return df.repartition(target) if size <= split and target > 1 else df
+
+
+def _bytes(v: str) -> int:
+    v = str(v).strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)

@@ -30,6 +30,22 @@ BASE_DIC = [
 ]
 
 
+# Trademark names by brand number mod 10, and the search
+# category of each top-level category (category_compare_dic).
+TRADEMARK_NAMES = ["苹果", "欧莱雅", "香奈儿", "Redmi", "联想", "长粒香", "金沙河", "小米", "华为", "耐克"]
+CATEGORY_COMPARE = [
+    ("group S", "时尚与潮流"),
+    ("group P", "性价比"),
+    ("group M", "健康与养生"),
+    ("group L", "家庭与育儿"),
+    ("group E", "科技与数码"),
+]
+
+
+def category_compare(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(CATEGORY_COMPARE, "category_name string, search_category string")
+
+
 def base_dic(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(BASE_DIC, "dic_code string, dic_name string")
 
@@ -47,7 +63,9 @@ def sku_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "sku": p.select("id", "sku_name", "spu_id", "tm_id", "category3_id"),
         "spu": p.select(F.col("spu_id").alias("id"),
                         F.concat(F.lit("spu_"), F.col("spu_id")).alias("spu_name")).distinct(),
-        "trademark": p.select(F.col("tm_id").alias("id"), F.col("brand").alias("tm_name")).distinct(),
+        "trademark": p.select(F.col("tm_id").alias("id"), F.element_at(
+            F.array(*[F.lit(n) for n in TRADEMARK_NAMES]),
+            (F.col("tm_id").cast("int") % 10 + 1)).alias("tm_name")).distinct(),
         "category3": p.select(F.col("category3_id").alias("id"),
                               F.concat(F.lower("ptype"), F.lit(" size "), F.col("psize")).alias("name"),
                               F.col("ptype").alias("category2_id")).distinct(),

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.dates import ntz_millis
+from tillstream.session import ensure_parallelism
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -18,12 +19,19 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Fixed values for the synthetic click log built from `events`.
 CHANNELS = ["xiaomi", "oppo", "vivo", "huawei", "web"]
 BRANDS = ["Apple", "Xiaomi", "Huawei", "Oppo"]
-SEARCH_WORDS = ["小米手机", "5G phone", "苹果 手机壳", "red widget",
-                "运动鞋 跑步", "blue bolt 2024", "笔记本电脑", "儿童玩具 积木"]
+SEARCH_WORDS = ["小米手机", "5G phone", "small size 1", "red widget",
+                "运动鞋 跑步", "economy size 2", "笔记本电脑", "large size 3"]
+# Change-stream clock: order k is placed at BASE_MS + k minutes; its lines a few
+# seconds later and comments on it 20-69 s later, so interval joins see
+# realistic gaps.  Users and their supplements follow the same rule.
+BASE_MS = 1_704_067_200_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Scan one driver table.  ``spread`` guards scan parallelism (see
+    :func:`tillstream.session.ensure_parallelism`)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def _k() -> Column:
@@ -142,7 +150,7 @@ def _null_map() -> Column:
 def order_changes(orders: DataFrame) -> DataFrame:
     """`orders` → ``order_info`` change records.
 
-    Every order is inserted with status 1001 at ``order date + (key mod 86400) s``.
+    Every order is inserted with status 1001 at ``BASE_MS + key minutes``.
     Status F orders are then paid (1001→1002, +10 min); status P orders are
     cancelled (1001→1003, +30 min); F orders of priority ``1-URGENT`` later ask
     for a refund (1002→1005, +3 days); cancelled ``5-LOW`` orders are deleted
@@ -157,7 +165,7 @@ def order_changes(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("order "), F.col("o_orderkey"), F.lit(" "), F.col("o_orderpriority"))
          .alias("trade_body"),
         F.col("o_orderstatus").alias("st"), F.col("o_orderpriority").alias("prio"),
-        (ntz_millis("o_orderdate") + (F.col("o_orderkey") % 86400) * 1000).alias("t0"))
+        (F.lit(BASE_MS) + F.col("o_orderkey") * 60_000).alias("t0"))
 
     def img(status: str, operate: Column | None) -> Column:
         return F.create_map(
@@ -189,7 +197,7 @@ def order_changes(orders: DataFrame) -> DataFrame:
 
 def payment_changes(orders: DataFrame) -> DataFrame:
     """Status F orders → ``payment_info`` update 1601→1602 at +10 min."""
-    t0 = ntz_millis("o_orderdate") + (F.col("o_orderkey") % 86400) * 1000
+    t0 = F.lit(BASE_MS) + F.col("o_orderkey") * 60_000
     o = orders.where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
@@ -205,7 +213,7 @@ def payment_changes(orders: DataFrame) -> DataFrame:
 
 def refund_changes(orders: DataFrame) -> DataFrame:
     """Refund requests: one ``order_refund_info`` insert per F / 1-URGENT order."""
-    t0 = ntz_millis("o_orderdate") + (F.col("o_orderkey") % 86400) * 1000
+    t0 = F.lit(BASE_MS) + F.col("o_orderkey") * 60_000
     o = orders.where((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))
     t = t0 + 3 * 86_400_000
     after = F.create_map(
@@ -243,7 +251,7 @@ def detail_changes(lineitem: DataFrame) -> DataFrame:
         _money_text(_idiv_half_up(ep * disc, 100)).alias("split_activity_amount"),
         _money_text(_idiv_half_up(ep * tax, 100)).alias("split_coupon_amount"),
         disc.cast("int").alias("disc"), tax.cast("int").alias("tax"),
-        (ntz_millis("l_shipdate") + F.col("l_linenumber") * 1000).alias("t"))
+        (F.lit(BASE_MS) + F.col("l_orderkey") * 60_000 + F.col("l_linenumber") * 1000).alias("t"))
     det = li.select(*_envelope("order_detail", F.lit("c"), _null_map(), F.create_map(
         F.lit("id"), F.col("id"), F.lit("order_id"), F.col("order_id"),
         F.lit("sku_id"), F.col("sku_id"), F.lit("sku_name"), F.col("sku_name"),
@@ -291,7 +299,8 @@ def comment_changes(documents: DataFrame) -> DataFrame:
     """`documents` → ``comment_info`` inserts (one comment per document)."""
     d = documents.select(
         "doc_id", "text",
-        (F.lit(1_704_067_200_000) + F.col("doc_id") * 37_000).alias("t"))
+        (F.lit(BASE_MS) + F.col("doc_id") * 15 * 60_000 + 20_000 + (F.col("doc_id") % 50) * 1000)
+        .alias("t"))
     after = F.create_map(
         F.lit("id"), F.col("doc_id").cast("string"),
         F.lit("user_id"), (F.col("doc_id") % 1500).cast("string"),
