@@ -13,7 +13,7 @@ DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (file sizes scaled by the projection)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # pragma: no cover - Connect sessions expose no plan stats
         return None
 

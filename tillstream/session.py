@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job wants, whatever the cluster size.  They only switch on
 # Spark's own adaptive machinery; sizes (partitions, memory) stay with the
@@ -85,11 +86,19 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     except Exception:  # pragma: no cover
         return df
-    return df.repartition(target) if size <= split and target > 1 else df
+    if size > split or target <= 1:
+        return df
+    # Hash of the first (key) column: deterministic on retry (a lost executor
+    # re-computes the same split) without round-robin's local sort, and it
+    # references one column only, so column pruning still reaches the scan.
+    first = df.schema.fields[0]
+    if first.dataType.typeName() in ("map", "array", "struct", "binary"):
+        return df.repartition(target)
+    return df.repartition(target, F.xxhash64(first.name))
 
 
 def _bytes(v: str) -> int:
