@@ -16,6 +16,7 @@ from tillstream.functions.dates import ms_to_compact_date
 from tillstream.functions.text import last_token
 from tillstream.operators.cdc import row_image_flat, table_changes
 from tillstream.operators.joins import interval_join, lookup, maybe_broadcast
+from tillstream.session import fixed_table
 
 # The sensitive-word dictionary used by the registered queries
 # (a deployment loads its own list with ``load_words``).
@@ -23,7 +24,7 @@ WORDS = ["idiot", "stupid", "hate", "token", "License"]
 
 
 def words_df(spark: SparkSession, words: list[str] | None = None) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in (words or WORDS)], "word string")
+    return fixed_table(spark, [(w,) for w in (words or WORDS)], "word string")
 
 
 def comment_rows(changes: DataFrame, dic: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from decimal import ROUND_HALF_UP, Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.session import fixed_table
+
 BANDS = ["18_24", "25_29", "30_34", "35_39", "40_49", "50"]
 # The band labels in output order (ties go to the first).
 BAND_LABELS = ["18-24", "25-29", "30-34", "35-39", "40-49", "50以上"]
@@ -54,7 +56,7 @@ def weight_table(spark: SparkSession, model: str, compat: bool = False) -> DataF
     ``compat=True`` reproduces the reference's category rule, whose cases all
     fall through to zero."""
     rows = [r[1:] for r in WEIGHTS if r[0] == model]
-    df = spark.createDataFrame(rows, "match string, " + ", ".join(f"w_{b} double" for b in BANDS))
+    df = fixed_table(spark, rows, "match string, " + ", ".join(f"w_{b} double" for b in BANDS))
     coef = COEFFICIENTS[model]
     return F.broadcast(df.select("match", *[
         (F.lit(0) if compat and model == "category" else F.round(F.col(f"w_{b}") * coef, 3))

@@ -105,3 +105,29 @@ def _bytes(v: str) -> int:
     v = str(v).strip().lower().rstrip("b")
     mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
     return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def fixed_table(spark: SparkSession, rows, ddl: str) -> DataFrame:
+    """A small fixed table (configuration, dictionaries, rule weights) as an
+    inline ``VALUES`` relation: Catalyst knows its exact size, so size-checked
+    broadcasts apply to it, and it needs no driver-side RDD."""
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(ddl)
+    names = [f.name for f in schema.fields]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST(`c{i}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                     for i, f in enumerate(schema.fields))
+    aliases = ", ".join(f"c{i}" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({aliases})")

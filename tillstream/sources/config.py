@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.schemas import CONFIG
+from tillstream.session import fixed_table
 
 # Fixed values: (source_table, source_type, sink_table, sink_family, sink_columns,
 # sink_row_key, op, ts_ms).  Later rows update or delete earlier ones.
@@ -37,4 +38,4 @@ DIM_CONFIG_LOG = [
 
 
 def config_log(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame(rows, CONFIG)
+    return fixed_table(spark, rows, CONFIG.simpleString()[len('struct<'):-1].replace(':', ' '))

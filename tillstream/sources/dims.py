@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.session import fixed_table
 from tillstream.sources.driver import table
 
 # Dictionary codes used by the synthetic change stream.  Code
@@ -43,11 +44,11 @@ CATEGORY_COMPARE = [
 
 
 def category_compare(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATEGORY_COMPARE, "category_name string, search_category string")
+    return fixed_table(spark, CATEGORY_COMPARE, "category_name string, search_category string")
 
 
 def base_dic(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BASE_DIC, "dic_code string, dic_name string")
+    return fixed_table(spark, BASE_DIC, "dic_code string, dic_name string")
 
 
 def sku_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
