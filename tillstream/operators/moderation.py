@@ -109,10 +109,13 @@ def matched_words_join(texts: DataFrame, id_col: str, text_col: str, words: Data
     w = words.select("word").distinct()
     lengths = sorted(r[0] for r in w.select(F.length("word")).distinct().collect() if r[0])
     t = F.col(text_col)
+
+    def cut(n: int):  # substrings of length n (one-argument lambda for ``transform``)
+        return lambda i: F.substr(t, i, F.lit(n))
+
     subs = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - L + 1, F.lit(1))),
-                    lambda i, L=L: F.substring(t, i, L))
-        for L in lengths])) if lengths else F.array().cast("array<string>")
+        F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1))), cut(n))
+        for n in lengths])) if lengths else F.array().cast("array<string>")
     exploded = texts.select(id_col, F.explode(subs).alias("_s")).distinct()
     return exploded.join(w, exploded["_s"] == w["word"]).select(id_col, "word")
 
