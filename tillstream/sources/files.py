@@ -14,11 +14,11 @@ def load_region_codes(spark: SparkSession, path: str) -> DataFrame:
     province, city, area (missing parts are null)."""
     raw = spark.read.text(path)
     parts = F.split(F.trim("value"), r"\s+", 2)
-    origin = F.split(parts.getItem(1), ",", 3)
+    origin = F.split(F.get(parts, 1), ",", 3)
     return raw.where(F.trim("value") != "").select(
-        parts.getItem(0).cast("bigint").alias("code"),
-        origin.getItem(0).alias("province"), origin.getItem(1).alias("city"),
-        origin.getItem(2).alias("area"))
+        F.get(parts, 0).cast("bigint").alias("code"),
+        F.get(origin, 0).alias("province"), F.get(origin, 1).alias("city"),
+        F.get(origin, 2).alias("area"))
 
 
 def load_words(spark: SparkSession, path: str) -> DataFrame:
@@ -47,7 +47,7 @@ def flatten_weather(responses: DataFrame, payload_col: str = "payload") -> DataF
     city), area (falls back to the region's area), info, the first ``lives``
     element as JSON, and the report time."""
     p = responses.withColumn("_w", F.from_json(F.col(payload_col), WEATHER))
-    live = F.col("_w.lives").getItem(0)
+    live = F.get(F.col("_w.lives"), 0)
     return p.where(F.col("_w.status") == "1").select(
         "code", "province", F.coalesce(live["city"], F.col("city")).alias("city"),
         F.coalesce(F.col("area"), live["city"]).alias("area"), F.col("_w.info").alias("info"),
