@@ -29,13 +29,19 @@ def parse_envelope(text: DataFrame, value_col: str = "value") -> tuple[DataFrame
     the optimizer cannot split it into one parse per field).  Malformed text
     parses to nulls; a record without ``op`` and ``source`` is bad.  Bad rows
     are returned, not silently dropped."""
-    parsed = parse_json_once(text, value_col, ENVELOPE)
-    ok = F.col("op").isNotNull() & F.col("source").isNotNull()
-    good = parsed.where(ok).drop("_raw")
-    bad = parsed.where(~ok).select(F.col("_raw").alias(value_col))
+    parsed = parse_envelope_tagged(text, value_col)
+    good = parsed.where(F.col("_ok")).drop("_raw", "_ok")
+    bad = parsed.where(~F.col("_ok")).select(F.col("_raw").alias(value_col))
     return good, bad
 
 
+def parse_envelope_tagged(text: DataFrame, value_col: str = "value") -> DataFrame:
+    """One parse of every message with an ``_ok`` flag (for single-pass jobs
+    that route good and bad records from the same scan)."""
+    parsed = parse_json_once(text, value_col, ENVELOPE)
+    return parsed.withColumn("_ok", F.col("op").isNotNull() & F.col("source").isNotNull())
+
+
 def parse_json_once(text: DataFrame, value_col: str, schema) -> DataFrame:
     """``text`` columns (minus ``value_col``) + ``_raw`` + the schema's fields."""
     keep = [c for c in text.columns if c != value_col]
@@ -46,10 +52,14 @@ def parse_json_once(text: DataFrame, value_col: str, schema) -> DataFrame:
 def ods_filter(changes: DataFrame, keep_deletes: bool = False) -> DataFrame:
     """PRJ-2 / PRJ-3: keep records whose ``after`` image is present and non-empty
     (deletes too when ``keep_deletes``)."""
+    return changes.where(ods_filter_cond(keep_deletes))
+
+
+def ods_filter_cond(keep_deletes: bool = False):
     has_after = F.col("after").isNotNull() & (F.size("after") > 0)
     if keep_deletes:
         has_after = has_after | ((F.col("op") == "d") & F.col("before").isNotNull())
-    return changes.where(has_after)
+    return has_after
 
 
 def table_changes(changes: DataFrame, table: str | Sequence[str],

@@ -17,6 +17,7 @@ from tillstream.operators.joins import lookup
 from tillstream.sources import config as cfgsrc
 from tillstream.sources import dims
 from tillstream.sources import driver as drv
+from tillstream.session import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -54,11 +55,12 @@ def _image_text(m: str = "data"):
 # ------------------------------------------------------------------ CDC
 @query("cdc_parse")
 def q_cdc_parse(spark, sf):
-    good, bad = cdc.parse_envelope(drv.changes_as_text(_changes(spark, sf)))
-    g = cdc.ods_filter(good, keep_deletes=True).select(
-        F.col("source")["table"].alias("tbl"), "op")
-    b = bad.select(F.lit("__corrupt__").alias("tbl"), F.lit(None).cast("string").alias("op"))
-    return g.unionByName(b).groupBy("tbl", "op").agg(F.count("*").alias("n_records"))
+    # one pass: good and bad messages are counted from the same parse
+    t = cdc.parse_envelope_tagged(drv.changes_as_text(_changes(spark, sf)))
+    t = t.where(~F.col("_ok") | cdc.ods_filter_cond(keep_deletes=True))
+    return t.groupBy(
+        F.when(F.col("_ok"), F.col("source")["table"]).otherwise(F.lit("__corrupt__")).alias("tbl"),
+        F.when(F.col("_ok"), F.col("op")).alias("op")).agg(F.count("*").alias("n_records"))
 
 
 @query("cdc_table_filter")
@@ -230,7 +232,8 @@ DETAIL_ORDER = ["ts_ms", "sku_id", "sku_num", "split_total_amount", "split_activ
 
 
 def _retracted(spark, sf, amounts):
-    d = _details(spark, sf).dropDuplicates()
+    # the de-duplicated detail fact feeds three branches: materialise it once
+    d = materialize(_details(spark, sf).dropDuplicates())
     return sequence.retract_duplicates(d, "id", amounts, DETAIL_ORDER)
 
 

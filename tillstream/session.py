@@ -131,3 +131,12 @@ def fixed_table(spark: SparkSession, rows, ddl: str) -> DataFrame:
                      for i, f in enumerate(schema.fields))
     aliases = ", ".join(f"c{i}" for i in range(len(names)))
     return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({aliases})")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back
+    (reliable ``checkpoint``): a plan that feeds several branches is computed
+    once, and a lost executor re-reads the files instead of re-running the
+    lineage.  This is the batch counterpart of a DWD topic."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
