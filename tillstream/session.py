@@ -133,10 +133,14 @@ def fixed_table(spark: SparkSession, rows, ddl: str) -> DataFrame:
     return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({aliases})")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back
-    (reliable ``checkpoint``): a plan that feeds several branches is computed
-    once, and a lost executor re-reads the files instead of re-running the
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder
+    (``spark.checkpoint.dir``) and read it back.
+
+    A plan that feeds several branches is then computed once (an eager
+    ``Dataset.checkpoint`` would compute it twice: once to count, once to
+    save), and a lost executor re-reads files instead of re-running the
     lineage.  This is the batch counterpart of a DWD topic."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
