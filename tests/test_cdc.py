@@ -106,3 +106,14 @@ def test_upsert_table_is_idempotent(spark, tmp):
     upsert_table(spark, tmp, b2, ["id"], ["ts"], batch_id=1)   # replay of batch 1
     upsert_table(spark, tmp, b1, ["id"], ["ts"], batch_id=0)   # late replay of batch 0: skipped
     assert rows(current_table(spark, tmp), "id", "v") == [("1", "z"), ("2", "b")]
+
+
+def test_upsert_table_keeps_max_version_out_of_order(spark, tmp):
+    newer = spark.createDataFrame([("1", "new", 5, False), ("2", "gone", 9, True)],
+                                  "id string, v string, ts bigint, d boolean")
+    older = spark.createDataFrame([("1", "old", 1, False), ("2", "old", 2, False)],
+                                  "id string, v string, ts bigint, d boolean")
+    upsert_table(spark, tmp, newer, ["id"], ["ts"], batch_id=0, delete_col="d")
+    upsert_table(spark, tmp, older, ["id"], ["ts"], batch_id=1, delete_col="d")
+    # the late, older batch neither overwrites id 1 nor resurrects deleted id 2
+    assert rows(current_table(spark, tmp), "id", "v") == [("1", "new")]

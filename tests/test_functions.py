@@ -88,3 +88,13 @@ def test_pick_band_ties_and_zero(spark):
                                ", ".join(f"c{i} double" for i in range(6)))
     got = df.select(pick_band([F.col(f"c{i}") for i in range(6)])).collect()
     assert [r[0] for r in got] == ["25-29", "18-24"]
+
+
+def test_keyword_udtf_matches_builtin(spark):
+    from tillstream.functions.text import register_keyword_udtf
+    register_keyword_udtf(spark)
+    spark.createDataFrame([(1, "小米手机 5G Phone"), (2, "运动鞋 跑步"), (3, None)], "id int, item string") \
+        .createOrReplaceTempView("kw_items")
+    sql = spark.sql("SELECT id, k.word FROM kw_items, LATERAL keywords(kw_items.item) k")
+    builtin = spark.table("kw_items").select("id", F.explode(fn.tokens("item")).alias("word"))
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, builtin.collect()))

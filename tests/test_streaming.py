@@ -96,3 +96,38 @@ def test_dedup_within_watermark(spark, tmp):
     out = jobs.run_to_memory(jobs.dedup_stream(stream, ["order_id", "ts_ms"], "ts_ms", "10 seconds"),
                              "dedup_stream", os.path.join(tmp, "ckpt"))
     assert rows(out, "order_id", "ts_ms") == [("1", 1000), ("1", 2000), ("2", 1000)]
+
+
+def test_log_split_job_writes_all_outputs(spark, tmp):
+    from tests.test_io import LOGS
+    src = os.path.join(tmp, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(LOGS) + "\n")
+    text = spark.readStream.format("text").load(src)
+    q = jobs.log_split_job(text, os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"),
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    counts = {n: spark.read.json(os.path.join(tmp, "out", n)).count()
+              for n in ["err", "start", "page", "display", "action"]}
+    assert counts == {"err": 1, "start": 1, "page": 2, "display": 2, "action": 1}
+    assert spark.read.json(os.path.join(tmp, "out", "bad")).count() == 1
+
+
+def test_upsert_job_equals_batch_upsert(spark, tmp):
+    from tillstream.operators import cdc
+    from tillstream.sinks.writers import current_table
+    recs = [{"id": "1", "v": "a", "ts": 1, "d": False}, {"id": "2", "v": "b", "ts": 1, "d": False}]
+    recs2 = [{"id": "1", "v": "c", "ts": 2, "d": False}, {"id": "2", "v": "b", "ts": 3, "d": True}]
+    src = os.path.join(tmp, "in")
+    _write(src, "p0.json", recs)
+    _write(src, "p1.json", recs2)
+    stream = spark.readStream.schema("id string, v string, ts bigint, d boolean") \
+        .option("maxFilesPerTrigger", 1).json(src)
+    q = jobs.upsert_job(stream, os.path.join(tmp, "table"), ["id"], ["ts"],
+                        os.path.join(tmp, "ckpt"), delete_col="d", trigger={"availableNow": True})
+    q.awaitTermination()
+    batch = cdc.upsert(None, spark.createDataFrame(recs + recs2, "id string, v string, ts bigint, d boolean"),
+                       ["id"], ["ts"], delete_col="d")
+    assert rows(current_table(spark, os.path.join(tmp, "table")), "id", "v") == rows(batch, "id", "v") \
+        == [("1", "c")]

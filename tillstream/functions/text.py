@@ -60,3 +60,28 @@ def tokens(text) -> Column:
 def _regex_escape(sep: str) -> str:
     import re
     return re.escape(sep)
+
+
+def py_tokens(text: str | None) -> list[str]:
+    """The same tokenisation as :func:`tokens`, in Python (for the SQL UDTF)."""
+    import regex
+    if not text:
+        return []
+    out = [m.lower() for m in regex.findall(r"[A-Za-z0-9]+", text)]
+    for run in regex.findall("[\u4e00-\u9fff]+", text):
+        out.extend([run] if len(run) == 1 else [run[i:i + 2] for i in range(len(run) - 1)])
+    return out
+
+
+def register_keyword_udtf(spark, name: str = "keywords") -> None:
+    """UDX-1 for SQL users: ``SELECT k.word FROM pages, LATERAL keywords(pages.item) k``.
+    DataFrame code should prefer ``explode(tokens(col))``, which stays in the JVM."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="word: string")
+    class Keywords:
+        def eval(self, text):
+            for w in py_tokens(text):
+                yield (w,)
+
+    spark.udtf.register(name, Keywords)

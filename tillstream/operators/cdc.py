@@ -153,21 +153,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
-           order: Sequence[str], delete_col: str | None = None) -> DataFrame:
-    """SNK-4 / SNK-6 / SNK-7 upsert by primary key.
-
-    The batch is reduced to its latest row per key, rows of ``target`` with a
-    key in the batch are replaced (left-anti join), and batch rows flagged by
-    ``delete_col`` remove their key.  Returns the new table image; callers write
-    it to a new versioned folder (see ``tillstream.sinks``)."""
-    latest = latest_per_key(batch, keys, order)
-    keep = latest
-    if delete_col:
-        keep = latest.where(~F.coalesce(F.col(delete_col), F.lit(False))).drop(delete_col)
+           order: Sequence[str], delete_col: str | None = None,
+           keep_tombstones: bool = False) -> DataFrame:
+    """SNK-4 / SNK-6 / SNK-7 upsert by primary key, keeping the max version.
+
+    Target rows whose key appears in the batch compete with the batch rows;
+    the latest by ``order`` wins, whatever the arrival order, so a replayed or
+    late batch never overwrites newer data.  A winning row flagged by
+    ``delete_col`` removes the key (or stays as a tombstone with
+    ``keep_tombstones``, so an older row arriving later cannot resurrect it).
+    Untouched target rows pass through without a shuffle of their own."""
+    flag = delete_col or "__deleted"
+    b = batch if flag in batch.columns else batch.withColumn(flag, F.lit(False))
     if target is None:
-        return keep
-    rest = target.join(latest.select(*keys), list(keys), "left_anti")
-    return rest.unionByName(keep, allowMissingColumns=True)
+        combined, rest = b, None
+    else:
+        t = target if flag in target.columns else target.withColumn(flag, F.lit(False))
+        touched = b.select(*keys).distinct()
+        combined = t.join(touched, list(keys), "left_semi").unionByName(b, allowMissingColumns=True)
+        rest = t.join(touched, list(keys), "left_anti")
+    latest = latest_per_key(combined, keys, order)
+    out = latest if rest is None else rest.unionByName(latest, allowMissingColumns=True)
+    if keep_tombstones:
+        return out
+    out = out.where(~F.coalesce(F.col(flag), F.lit(False))).drop(flag)
+    return out
 
 
 def delete_keys(target: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

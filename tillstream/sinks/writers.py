@@ -79,9 +79,18 @@ def _read_pointer(spark: SparkSession, base: str) -> dict | None:
     return json.loads(rows[0][0]) if rows else None
 
 
-def current_table(spark: SparkSession, base: str) -> DataFrame | None:
+TOMBSTONE = "__deleted"
+
+
+def current_table(spark: SparkSession, base: str, tombstones: bool = False) -> DataFrame | None:
+    """The current image of a versioned keyed table (deleted keys hidden)."""
     ptr = _read_pointer(spark, base)
-    return spark.read.parquet(ptr["path"]) if ptr else None
+    if not ptr:
+        return None
+    df = spark.read.parquet(ptr["path"])
+    if tombstones or TOMBSTONE not in df.columns:
+        return df
+    return df.where(~F.coalesce(F.col(TOMBSTONE), F.lit(False))).drop(TOMBSTONE)
 
 
 def upsert_table(spark: SparkSession, base: str, batch: DataFrame, keys: Sequence[str],
@@ -89,14 +98,17 @@ def upsert_table(spark: SparkSession, base: str, batch: DataFrame, keys: Sequenc
     """SNK-4 / SNK-6 / SNK-7: apply a batch of changes to a keyed table stored
     as versioned Parquet folders under ``base``.
 
-    The new image (latest row per key; deletes remove the key) is written to
-    ``v=<batch_id>``, then the pointer is replaced.  A batch already applied
+    The new image (max version per key; deletes kept as tombstones, hidden by
+    ``current_table``) is written to ``v=<batch_id>``, then the pointer is
+    replaced.  A batch already applied
     (pointer at or past ``batch_id``) is skipped, so replays are idempotent."""
     ptr = _read_pointer(spark, base)
     if ptr and ptr["batch_id"] >= batch_id:
         return ptr["path"]
-    target = current_table(spark, base)
-    new = upsert(target, batch, keys, order, delete_col)
+    target = current_table(spark, base, tombstones=True)
+    b = batch.withColumnRenamed(delete_col, TOMBSTONE) if delete_col else batch
+    new = upsert(target, b, keys, order, TOMBSTONE if delete_col or (
+        target is not None and TOMBSTONE in target.columns) else None, keep_tombstones=True)
     path = os.path.join(base, f"v={batch_id}")
     new.write.mode("overwrite").parquet(path)
     spark.createDataFrame([(json.dumps({"batch_id": batch_id, "path": path}),)], "value string") \
