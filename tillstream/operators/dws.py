@@ -105,18 +105,7 @@ def sku_order_window(details: DataFrame, dims: dict[str, DataFrame] | None = Non
                              "coupon_reduce_amount", "order_amount"])]))
     out = agg.select(*window_bounds(), "sku_id", "original_amount", "activity_reduce_amount",
                      "coupon_reduce_amount", "order_amount")
-    if dims:
-        out = lookup(out, dims["sku"], [("sku_id", "id")],
-                     {"sku_name": "sku_name", "spu_id": "spu_id", "tm_id": "trademark_id",
-                      "category3_id": "category3_id"})
-        out = lookup(out, dims["spu"], [("spu_id", "id")], {"spu_name": "spu_name"})
-        out = lookup(out, dims["trademark"], [("trademark_id", "id")], {"tm_name": "trademark_name"})
-        out = lookup(out, dims["category3"], [("category3_id", "id")],
-                     {"name": "category3_name", "category2_id": "category2_id"})
-        out = lookup(out, dims["category2"], [("category2_id", "id")],
-                     {"name": "category2_name", "category1_id": "category1_id"})
-        out = lookup(out, dims["category1"], [("category1_id", "id")], {"name": "category1_name"})
-    return out
+    return _sku_dims(out, dims)
 
 
 def province_order_window(details: DataFrame, provinces: DataFrame | None = None,
@@ -146,3 +135,69 @@ def keyword_window(pages: DataFrame, size: str = "1 second") -> DataFrame:
     agg = (search_keywords(pages).groupBy(_win("ts", size).alias("window"), "keyword")
            .agg(F.count("*").alias("keyword_count")))
     return agg.select(*window_bounds(), "keyword", "keyword_count")
+
+
+# ------------------------------------------------------- batch fast paths
+def _latest_per_id(details: DataFrame, key: str, order: list[str], keep: list[str]) -> DataFrame:
+    """Each id's latest row (partial + final aggregate, skew-safe)."""
+    return (details.groupBy(key)
+            .agg(F.max_by(F.struct(*[F.col(c) for c in keep]),
+                          F.struct(*[F.col(c) for c in order])).alias("_l"))
+            .select(key, "_l.*"))
+
+
+def sku_order_window_batch(details: DataFrame, order: list[str],
+                           dims: dict[str, DataFrame] | None = None,
+                           size: str = "10 seconds") -> DataFrame:
+    """AGG-5 + SEQ-7 on a whole batch.
+
+    Summing the retraction stream over a window gives the sum of the ids
+    whose *latest* row falls in it; a window that only held superseded rows
+    still appears, with zeros.  So the batch form sums each id's latest row
+    and keeps the (window, sku) keys of all rows — no negated rows are built,
+    de-duplicated or anti-joined."""
+    names = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
+    last = _latest_per_id(details, "id", order, ["ts_ms", "sku_id", *SKU_AMOUNTS])
+    sums = last.groupBy(_win("ts_ms", size).alias("window"), "sku_id").agg(*[
+        F.sum(F.coalesce(F.col(a).cast("decimal(20,4)"), F.lit(0))).alias(o)
+        for a, o in zip(SKU_AMOUNTS, names)])
+    keys = details.select(_win("ts_ms", size).alias("window"), "sku_id").distinct()
+    j = keys.join(sums, ["window", "sku_id"], "left")
+    z = F.lit(0).cast("decimal(30,4)")
+    out = j.select(*window_bounds(), "sku_id", *[F.coalesce(F.col(o), z).alias(o) for o in names])
+    return _sku_dims(out, dims)
+
+
+def _sku_dims(out: DataFrame, dims: dict[str, DataFrame] | None) -> DataFrame:
+    if not dims:
+        return out
+    out = lookup(out, dims["sku"], [("sku_id", "id")],
+                 {"sku_name": "sku_name", "spu_id": "spu_id", "tm_id": "trademark_id",
+                  "category3_id": "category3_id"})
+    out = lookup(out, dims["spu"], [("spu_id", "id")], {"spu_name": "spu_name"})
+    out = lookup(out, dims["trademark"], [("trademark_id", "id")], {"tm_name": "trademark_name"})
+    out = lookup(out, dims["category3"], [("category3_id", "id")],
+                 {"name": "category3_name", "category2_id": "category2_id"})
+    out = lookup(out, dims["category2"], [("category2_id", "id")],
+                 {"name": "category2_name", "category1_id": "category1_id"})
+    return lookup(out, dims["category1"], [("category1_id", "id")], {"name": "category1_name"})
+
+
+def province_order_window_batch(details: DataFrame, order: list[str],
+                                provinces: DataFrame | None = None,
+                                size: str = "1 second") -> DataFrame:
+    """AGG-6 + SEQ-7 on a whole batch: amounts from each id's latest row; the
+    distinct order count over every row (the reference's order-id set also
+    collects superseded and retracted rows)."""
+    last = _latest_per_id(details, "id", order, ["ts_ms", "province_id", "split_total_amount"])
+    sums = last.groupBy(_win("ts_ms", size).alias("window"), "province_id").agg(
+        F.sum(F.coalesce(F.col("split_total_amount").cast("decimal(20,4)"), F.lit(0)))
+         .alias("order_amount"))
+    counts = details.groupBy(_win("ts_ms", size).alias("window"), "province_id").agg(
+        F.countDistinct("order_id").alias("order_count"))
+    j = counts.join(sums, ["window", "province_id"], "left")
+    out = j.select(*window_bounds(), "province_id", "order_count",
+                   F.coalesce(F.col("order_amount"), F.lit(0).cast("decimal(30,4)")).alias("order_amount"))
+    if provinces is not None:
+        out = lookup(out, provinces, [("province_id", "id")], {"name": "province_name"})
+    return out

@@ -245,14 +245,14 @@ def q_retract_dedup(spark, sf):
 
 @query("dws_sku_order")
 def q_dws_sku_order(spark, sf):
-    return dws.sku_order_window(_retracted(spark, sf, dws.SKU_AMOUNTS),
-                                dims.sku_dims(spark, sf), "10 seconds")
+    d = materialize(_details(spark, sf))
+    return dws.sku_order_window_batch(d, DETAIL_ORDER, dims.sku_dims(spark, sf), "10 seconds")
 
 
 @query("dws_province_order")
 def q_dws_province_order(spark, sf):
-    return dws.province_order_window(_retracted(spark, sf, ["split_total_amount"]),
-                                     dims.provinces(spark, sf), "1 second")
+    d = materialize(_details(spark, sf))
+    return dws.province_order_window_batch(d, DETAIL_ORDER, dims.provinces(spark, sf), "1 second")
 
 
 @query("dws_keyword_count")
