@@ -2,7 +2,10 @@
 
 Prints one JSON line: {"metric", "value", "unit", "queries": {...}, "sf", ...}.
 Each query is forced with a ``noop`` write (full computation, nothing collected
-to the driver).  ``value`` is the sum of per-query wall times.
+to the driver).  An untimed warm-up pass runs every query once on the smallest
+data set ($BENCH_WARMUP_DIR, default sf0.001) so generated code is compiled
+before timing; each query is then timed $BENCH_RUNS times (default 1) and the
+median is reported.  ``value`` is the sum of the per-query medians.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -35,18 +39,24 @@ def main() -> None:
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
-    # warm the JVM (class loading, codegen caches) on a tiny query
-    QUERIES["fn_age_zodiac"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    runs = max(1, int(os.environ.get("BENCH_RUNS", "1")))
+    if warm_dir and os.path.isdir(warm_dir):
+        for n in names:
+            QUERIES[n](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for n in names:
-        t0 = time.time()
-        QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[n] = round(time.time() - t0, 3)
+        ts = []
+        for _ in range(runs):
+            t0 = time.time()
+            QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            ts.append(time.time() - t0)
+        times[n] = round(statistics.median(ts), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus,
-        "spark": spark.version,
+        "spark": spark.version, "runs": runs, "warmup": warm_dir,
     }))
     spark.stop()
 
