@@ -57,3 +57,14 @@ def test_dedup_first_and_rows(spark):
     got = rows(label.dedup_first(df, ["order_id", "ts_ms"], ["d_ts"]), "order_id", "ts_ms", "sku_id")
     assert got == [("o", 1, "a"), ("o", 2, "c")]
     assert label.dedup_rows(df.unionByName(df)).count() == 3
+
+
+def test_user_order_pairs_bounds_and_event_time(spark):
+    T = 1_704_067_200_000
+    users = spark.createDataFrame([("u1", T)], "id string, ts_ms bigint")
+    scores = spark.createDataFrame(
+        [("u1", T + 1_800_000, "inside"), ("u1", T + 1_800_001, "outside"), ("u1", T - 60_000, "before")],
+        "uid string, ts_ms bigint, order_id string").select(
+        "*", *[F.lit(Decimal("0.100")).cast("decimal(10,3)").alias(f"sum_{b}") for b in scoring.BANDS])
+    got = rows(label.user_order_pairs(users, scores), "order_id", "event_ts_ms")
+    assert got == [("before", T), ("inside", T + 1_800_000)]

@@ -153,3 +153,19 @@ def test_order_detail_stream_equals_batch(spark, tmp):
     got = rows(out.where(F.col("id") != "zz"))
     expected = rows(facts.order_detail(ch))
     assert got == expected and len(got) > 0
+
+
+def test_window_agg_stream_event_and_processing_time(spark, tmp):
+    recs = [{"k": "a", "ts": 1000}, {"k": "a", "ts": 2000}, {"k": "b", "ts": 12000}]
+    _write(os.path.join(tmp, "in"), "p0.json", recs)
+    _write(os.path.join(tmp, "in"), "p1.json", [{"k": "z", "ts": FAR}])
+    _write(os.path.join(tmp, "in"), "p2.json", [{"k": "z", "ts": FAR + 86_400_000}])
+    src = spark.readStream.schema("k string, ts bigint").option("maxFilesPerTrigger", 1) \
+        .json(os.path.join(tmp, "in"))
+    ev = jobs.run_to_memory(jobs.window_agg_stream(src, ["k"], [F.count("*").alias("n")], "10 seconds"),
+                            "win_ev", os.path.join(tmp, "c1"))
+    assert rows(ev.where(F.col("k") != "z"), "stt", "k", "n") == [
+        ("1970-01-01 00:00:00", "a", 2), ("1970-01-01 00:00:10", "b", 1)]
+    src2 = spark.readStream.schema("k string, ts bigint").json(os.path.join(tmp, "in"))
+    pt = jobs.window_agg_stream(src2, ["k"], [F.count("*").alias("n")], "1 hour", time="processing")
+    assert pt.isStreaming and "stt" in pt.columns

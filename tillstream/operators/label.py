@@ -237,3 +237,14 @@ def user_orders_profile(orders: DataFrame) -> DataFrame:
         F.countDistinct("order_id").alias("n_orders"),
         F.sum(F.col("total_amount").cast("decimal(20,2)")).alias("total_amount_sum"),
         F.min("ts_ms").alias("first_ts_ms"), F.max("ts_ms").alias("last_ts_ms"))
+
+
+def user_order_pairs(users: DataFrame, order_scores: DataFrame, lower_ms: int = -1_800_000,
+                     upper_ms: int = 1_800_000) -> DataFrame:
+    """JN-13: users ⨝ scored orders within ±30 min (time-bucketed); the joined
+    row's event time is the later of the two, so a chained windowed or
+    interval step sees one time column."""
+    o = order_scores.select(F.col("uid").alias("o_uid"), F.col("ts_ms").alias("o_ts_ms"),
+                            "order_id", *[f"sum_{b}" for b in BANDS])
+    j = interval_join(users, o, [("id", "o_uid")], "ts_ms", "o_ts_ms", lower_ms, upper_ms)
+    return j.withColumn("event_ts_ms", F.greatest("ts_ms", "o_ts_ms")).drop("o_uid")

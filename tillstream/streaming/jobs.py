@@ -233,3 +233,18 @@ def order_detail_stream(changes: DataFrame, retention: str = "10 seconds",
         "activity_rule_id", "coupon_id", text_to_date(F.col("create_time")).alias("date_id"),
         "create_time", "sku_num", "split_original_amount", "split_activity_amount",
         "split_coupon_amount", "split_total_amount", "ts_ms")
+
+
+def window_agg_stream(df: DataFrame, keys: Sequence[str], aggs: Sequence, size: str,
+                      time: str = "event", ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
+    """STR-3 / STR-4 / STR-6: a tumbling-window aggregate on event time (default,
+    repeatable) or on processing time (``time='processing'``: the window is
+    taken from ``current_timestamp()`` at the micro-batch, as the reference's
+    processing-time windows; results depend on arrival speed)."""
+    if time == "processing":
+        d = df.withColumn("_pt", F.current_timestamp()).withWatermark("_pt", "0 seconds")
+        col = "_pt"
+    else:
+        d, col = with_event_time(df, ts, delay), "et"
+    agg = d.groupBy(F.window(col, size).alias("window"), *keys).agg(*aggs)
+    return agg.select(*window_bounds(), *keys, *[c for c in agg.columns if c not in ("window", *keys)])
