@@ -169,3 +169,47 @@ def test_window_agg_stream_event_and_processing_time(spark, tmp):
     src2 = spark.readStream.schema("k string, ts bigint").json(os.path.join(tmp, "in"))
     pt = jobs.window_agg_stream(src2, ["k"], [F.count("*").alias("n")], "1 hour", time="processing")
     assert pt.isStreaming and "stt" in pt.columns
+
+
+def test_home_detail_and_login_windows_stream_equal_batch(spark, tmp):
+    pages = _pages(spark)
+    sent = [_sentinel_page(FAR, -1), _sentinel_page(FAR + 86_400_000, -2)]
+    stream = _replay(spark, pages, os.path.join(tmp, "in"), sent, ["ts", "log_id"])
+    out = jobs.run_to_memory(jobs.home_detail_window_stream(stream), "hd_stream", os.path.join(tmp, "c1"))
+    expected = dws.home_detail_window(drv.events_log(drv.table(spark, SF, "events")), "10 seconds")
+    assert rows(out.where(F.col("stt") < "2099")) == rows(expected)
+
+    logins = dws.login_filter(pages.where(F.col("page_id") == "purchase")).select("uid", "ts", "log_id")
+    ls = _replay(spark, logins, os.path.join(tmp, "in2"),
+                 [{"uid": "zz", "ts": FAR, "log_id": -1}, {"uid": "zz", "ts": FAR + 86_400_000, "log_id": -2}],
+                 ["ts", "log_id"])
+    lo = jobs.run_to_memory(jobs.login_window_stream(ls), "login_win_stream", os.path.join(tmp, "c2"))
+    assert rows(lo.where(F.col("stt") < "2099")) == rows(dws.login_window(
+        pages.where(F.col("page_id") == "purchase"), "1 second"))
+
+
+def test_cart_user_window_stream_equals_batch(spark, tmp):
+    from tillstream.operators import facts
+    carts = facts.cart_add(drv.cart_changes(drv.table(spark, SF, "events")))
+    sent = [{"id": "zz", "user_id": "zz", "sku_id": "0", "sku_num": "1", "ts_ms": FAR},
+            {"id": "zy", "user_id": "zz", "sku_id": "0", "sku_num": "1", "ts_ms": FAR + 86_400_000}]
+    stream = _replay(spark, carts, os.path.join(tmp, "in"), sent, ["ts_ms", "id"])
+    out = jobs.run_to_memory(jobs.cart_user_window_stream(stream), "cart_stream", os.path.join(tmp, "c"))
+    assert rows(out.where(F.col("stt") < "2099")) == rows(dws.cart_user_window(carts, "10 seconds"))
+
+
+def test_sku_window_stream_equals_batch(spark, tmp):
+    from tillstream.operators import facts
+    from tillstream.plans.queries import DETAIL_ORDER
+    ch = drv.order_changes(drv.table(spark, SF, "orders")).unionByName(
+        drv.detail_changes(drv.table(spark, SF, "lineitem")))
+    details = facts.order_detail(ch).dropDuplicates()
+    base = {c: None for c in details.columns}
+    sent = [dict(base, id="zz", sku_id="zz", ts_ms=FAR), dict(base, id="zy", sku_id="zz", ts_ms=FAR + 86_400_000)]
+    stream = _replay(spark, details, os.path.join(tmp, "in"), sent, ["ts_ms", "id"])
+    out = jobs.run_to_memory(jobs.sku_order_window_stream(stream, DETAIL_ORDER), "sku_stream",
+                             os.path.join(tmp, "c"))
+    got = rows(out.where(F.col("sku_id") != "zz"))
+    expected = rows(dws.sku_order_window_batch(details, DETAIL_ORDER, None, "10 seconds"))
+    norm = lambda rs: [tuple(float(x) if hasattr(x, "as_tuple") else x for x in r) for r in rs]
+    assert norm(got) == norm(expected) and len(got) > 0

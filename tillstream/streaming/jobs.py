@@ -248,3 +248,58 @@ def window_agg_stream(df: DataFrame, keys: Sequence[str], aggs: Sequence, size:
         d, col = with_event_time(df, ts, delay), "et"
     agg = d.groupBy(F.window(col, size).alias("window"), *keys).agg(*aggs)
     return agg.select(*window_bounds(), *keys, *[c for c in agg.columns if c not in ("window", *keys)])
+
+
+def home_detail_window_stream(pages: DataFrame, size: str = "10 seconds",
+                              delay: str = "0 seconds", zone: str = "UTC",
+                              ttl_ms: int | None = None) -> DataFrame:
+    """AGG-2 + SEQ-3 on a stream: separate daily states per (device, page);
+    only first visits are emitted, then summed per window."""
+    p = pages.where(F.col("page_id").isin("home", "good_detail")) \
+        .withColumn("mid_page", F.concat_ws("\u0001", "mid", "page_id"))
+    firsts = p.groupBy("mid_page").transformWithStateInPandas(
+        DailyFirst(["page_id", "ts", "log_id"], "ts", "log_id", "uv", zone, ttl_ms, only_flagged=True),
+        "page_id string, ts bigint, log_id bigint, uv bigint", "Append",
+        "ProcessingTime" if ttl_ms else "None")
+    agg = with_event_time(firsts, "ts", delay).groupBy(F.window("et", size).alias("window")).agg(
+        F.sum(F.when(F.col("page_id") == "home", 1).otherwise(0)).alias("home_uv_ct"),
+        F.sum(F.when(F.col("page_id") == "good_detail", 1).otherwise(0)).alias("good_detail_uv_ct"))
+    return agg.select(*window_bounds(), "home_uv_ct", "good_detail_uv_ct")
+
+
+def cart_user_window_stream(cart_adds: DataFrame, size: str = "10 seconds",
+                            delay: str = "0 seconds", zone: str = "UTC",
+                            ttl_ms: int | None = None) -> DataFrame:
+    """AGG-3 + SEQ-4 on a stream: daily first cart add per user, counted per window."""
+    firsts = cart_adds.groupBy("user_id").transformWithStateInPandas(
+        DailyFirst(["ts_ms", "id"], "ts_ms", "id", "uv", zone, ttl_ms, only_flagged=True),
+        "ts_ms bigint, id string, uv bigint", "Append", "ProcessingTime" if ttl_ms else "None")
+    agg = with_event_time(firsts, "ts_ms", delay).groupBy(F.window("et", size).alias("window")) \
+        .agg(F.count("*").alias("cart_add_uu_ct"))
+    return agg.select(*window_bounds(), "cart_add_uu_ct")
+
+
+def login_window_stream(logins: DataFrame, size: str = "1 second", delay: str = "0 seconds",
+                        min_days: int = 8, zone: str = "UTC") -> DataFrame:
+    """AGG-4 + SEQ-5 on a stream: unique and returning users per window."""
+    firsts = login_firsts_stream(logins, min_days, zone)
+    agg = with_event_time(firsts, "ts", delay).groupBy(F.window("et", size).alias("window")).agg(
+        F.sum("back_ct").alias("back_ct"), F.sum("uu_ct").alias("uu_ct"))
+    return agg.select(*window_bounds(), "back_ct", "uu_ct")
+
+
+def sku_order_window_stream(details: DataFrame, order: Sequence[str], size: str = "10 seconds",
+                            delay: str = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
+    """AGG-5 + SEQ-7 on a stream: the retraction processor re-emits a repeated
+    id's previous row negated (at its own time), then the window sums the
+    stream.  Window sums equal the batch form's latest-row sums."""
+    from tillstream.operators.dws import SKU_AMOUNTS
+    cols = ["id", "sku_id", "ts_ms", *SKU_AMOUNTS, *[c for c in order if c not in
+                                                     ("id", "sku_id", "ts_ms", *SKU_AMOUNTS)]]
+    r = retraction_stream(details.select(*[F.col(c).cast("bigint" if c == "ts_ms" else "string")
+                                           for c in cols]), "id", cols, SKU_AMOUNTS, order, ttl_ms)
+    names = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
+    agg = with_event_time(r, "ts_ms", delay).groupBy(F.window("et", size).alias("window"), "sku_id").agg(
+        *[F.sum(F.coalesce(F.col(a).cast("decimal(20,4)"), F.lit(0))).alias(o)
+          for a, o in zip(SKU_AMOUNTS, names)])
+    return agg.select(*window_bounds(), "sku_id", *names)
