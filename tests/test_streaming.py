@@ -213,3 +213,31 @@ def test_sku_window_stream_equals_batch(spark, tmp):
     expected = rows(dws.sku_order_window_batch(details, DETAIL_ORDER, None, "10 seconds"))
     norm = lambda rs: [tuple(float(x) if hasattr(x, "as_tuple") else x for x in r) for r in rs]
     assert norm(got) == norm(expected) and len(got) > 0
+
+
+def test_province_window_stream_equals_batch(spark, tmp):
+    from tillstream.operators import facts
+    from tillstream.plans.queries import DETAIL_ORDER
+    ch = drv.order_changes(drv.table(spark, SF, "orders")).unionByName(
+        drv.detail_changes(drv.table(spark, SF, "lineitem")))
+    details = facts.order_detail(ch).dropDuplicates()
+    base = {c: None for c in details.columns}
+    sent = [dict(base, id="zz", province_id="zz", ts_ms=FAR),
+            dict(base, id="zy", province_id="zz", ts_ms=FAR + 86_400_000)]
+    stream = _replay(spark, details, os.path.join(tmp, "in"), sent, ["ts_ms", "id"])
+    out = jobs.run_to_memory(jobs.province_order_window_stream(stream, DETAIL_ORDER), "prov_stream",
+                             os.path.join(tmp, "c"))
+    got = rows(out.where(F.col("province_id") != "zz"))
+    expected = rows(dws.province_order_window_batch(details, DETAIL_ORDER, None, "1 second"))
+    norm = lambda rs: [tuple(float(x) if hasattr(x, "as_tuple") else x for x in r) for r in rs]
+    assert norm(got) == norm(expected) and len(got) > 0
+
+
+def test_repair_stream_equals_batch(spark, tmp):
+    pages = _pages(spark)
+    cols = ["mid", "is_new", "ts", "log_id"]
+    stream = _replay(spark, pages.select(*cols), os.path.join(tmp, "in"), [], ["ts", "log_id"])
+    out = jobs.run_to_memory(jobs.repair_stream(stream, cols), "repair_stream", os.path.join(tmp, "c"))
+    log = pages.select(F.struct("mid", "is_new").alias("common"), "ts", "log_id")
+    expected = sequence.repair_is_new(log).select("common.mid", "common.is_new", "ts", "log_id")
+    assert rows(out, "mid", "is_new", "ts", "log_id") == rows(expected)

@@ -303,3 +303,22 @@ def sku_order_window_stream(details: DataFrame, order: Sequence[str], size: str
         *[F.sum(F.coalesce(F.col(a).cast("decimal(20,4)"), F.lit(0))).alias(o)
           for a, o in zip(SKU_AMOUNTS, names)])
     return agg.select(*window_bounds(), "sku_id", *names)
+
+
+def province_order_window_stream(details: DataFrame, order: Sequence[str], size: str = "1 second",
+                                 delay: str = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
+    """AGG-6 + SEQ-7 on a stream: retraction on the amount, then per window and
+    province the amount sum and the number of distinct orders (exact distinct
+    is not supported by streaming aggregation, so the window keeps the set of
+    order ids: bounded by the orders of one province in one window)."""
+    cols = ["id", "order_id", "province_id", "ts_ms", "split_total_amount",
+            *[c for c in order if c not in ("id", "order_id", "province_id", "ts_ms",
+                                            "split_total_amount")]]
+    r = retraction_stream(details.select(*[F.col(c).cast("bigint" if c == "ts_ms" else "string")
+                                           for c in cols]), "id", cols, ["split_total_amount"], order,
+                          ttl_ms)
+    agg = with_event_time(r, "ts_ms", delay).groupBy(F.window("et", size).alias("window"),
+                                                     "province_id").agg(
+        F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"),
+        F.sum(F.coalesce(F.col("split_total_amount").cast("decimal(20,4)"), F.lit(0))).alias("order_amount"))
+    return agg.select(*window_bounds(), "province_id", "order_count", "order_amount")
