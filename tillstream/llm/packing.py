@@ -205,7 +205,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
                           + [T.StructField("sequence_id", T.LongType()),
                              T.StructField("offset", T.LongType())])
 
-    def place(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         number, offset = pack_group(rows["length"].to_numpy(), capacity)
         rows = rows.drop(columns=["__slot", "__group"])
         return rows.assign(sequence_id=(int(key[0]) << 32) + number, offset=offset)

@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, license_scan, packing, token_counts, url_reputation
-from .common import table
+from . import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    license_scan,
+    lm_score,
+    near_dup,
+    packing,
+    quality,
+    token_counts,
+    url_reputation,
+)
+from .common import same, table
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +36,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -30,6 +49,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-word shingles, as this query's contract says."""
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id",
+                        same(F.col("doc_id"), F.col("component_id")).alias("kept"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled outcome of a page is the quality label of the same id."""
     outcomes = table(spark, sf_dir, "labels").select(
@@ -39,6 +69,6 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op3_best_fit_packing, op4_license_scan, op6_exact_dedup, op7_language_id,
-    op10_url_reputation)}
+    op1_benchmark_decontamination, op2_token_counts, op3_best_fit_packing, op4_license_scan, op5_lm_scores,
+    op6_exact_dedup, op7_language_id, op8_minhash_near_dup, op9_quality_classifier, op10_url_reputation)}
 ORACLE: dict[str, str] = {}
