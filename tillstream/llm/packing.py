@@ -31,7 +31,8 @@ from .tokens import DEFAULT_VOCABULARY, encoder, without_cycles
 
 CAPACITY = 2048
 CLOSING_ID = 0
-GROUP = 8192
+GROUP = 8192             # pieces packed together
+TRIES = 500              # exchanges attempted in a group
 
 
 # -- pieces -----------------------------------------------------------------
@@ -99,89 +100,104 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(victim: list[int], bins: list[list[int]], others: list[int], sizes: np.ndarray,
-              room: list[int]) -> bool:
-    """One improving step that takes tokens out of ``victim`` and into one of
-    ``others`` (all at least as full): a move, a one-for-one, a two-for-one or a
-    one-for-two exchange.  Tokens leave the emptier bin, so the sum of squared
-    fills rises.  False when there is none."""
-    order = sorted(victim, key=lambda i: -sizes[i])
-    for i in order:  # move: the tightest bin that holds it
-        fits = [b for b in others if room[b] >= sizes[i]]
-        if fits:
-            b = min(fits, key=lambda x: room[x])
-            victim.remove(i)
-            bins[b].append(i)
-            room[b] -= int(sizes[i])
-            return True
-    owner = np.array([b for b in others for _ in bins[b]], dtype=np.int64)
-    item = np.array([j for b in others for j in bins[b]], dtype=np.int64)
-    if not len(item):
-        return False
-    have, spare = sizes[item], np.array([room[b] for b in others for _ in bins[b]], dtype=np.int64)
-
-    def swap(out: list[int], at: list[int]) -> bool:
-        b, back = int(owner[at[0]]), [int(item[k]) for k in at]
-        for i in out:
-            victim.remove(i)
-        for j in back:
-            bins[b].remove(j)
-        victim.extend(back)
-        bins[b].extend(out)
-        room[b] -= int(sum(sizes[i] for i in out) - sum(sizes[j] for j in back))
+class LocalSearch:
+    """Underfull bins exchanging documents.
+
+    A step takes tokens out of one bin into a bin at least as full, so the sum
+    of squared fills rises with every step and the search ends."""
+
+    def __init__(self, bins: list[list[int]], sizes: np.ndarray, capacity: int):
+        self.bins = [np.array(b, dtype=np.int64) for b in bins]
+        self.sizes = sizes
+        self.room = np.array([capacity - int(sizes[b].sum()) for b in self.bins])
+        self.pairs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _pairs(self, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(sums, positions) of the pairs of documents in a bin."""
+        if b not in self.pairs:
+            x, y = np.triu_indices(len(self.bins[b]), 1)
+            mine = self.sizes[self.bins[b]]
+            self.pairs[b] = (mine[x] + mine[y], np.stack([x, y], axis=1))
+        return self.pairs[b]
+
+    def _swap(self, a: int, out: list[int], b: int, back: list[int]) -> bool:
+        """Documents at positions ``out`` of bin a and ``back`` of bin b change places."""
+        going, coming = self.bins[a][out], self.bins[b][back]
+        gain = int(self.sizes[going].sum() - self.sizes[coming].sum())
+        self.bins[a] = np.r_[np.delete(self.bins[a], out), coming]
+        self.bins[b] = np.r_[np.delete(self.bins[b], back), going]
+        self.room[a] += gain
+        self.room[b] -= gain
+        self.pairs.pop(a, None)
+        self.pairs.pop(b, None)
         return True
 
-    def best(total: int) -> int:
-        gain = total - have
-        gain = np.where((gain > 0) & (gain <= spare), gain, 0)
-        k = int(gain.argmax())
-        return k if gain[k] > 0 else -1
-
-    for i in order:  # one for one
-        k = best(int(sizes[i]))
-        if k >= 0:
-            return swap([i], [k])
-    for x in range(len(order)):  # two for one
-        for y in range(x + 1, len(order)):
-            k = best(int(sizes[order[x]] + sizes[order[y]]))
-            if k >= 0:
-                return swap([order[x], order[y]], [k])
-    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    for lo, hi in zip(starts, np.r_[starts[1:], len(owner)]):  # one for two
-        pair = have[lo:hi, None] + have[None, lo:hi]
-        np.fill_diagonal(pair, 1 << 40)
-        for i in order:
-            gain = int(sizes[i]) - pair
-            ok = (gain > 0) & (gain <= spare[lo])
-            if ok.any():
-                x, y = np.unravel_index(int(np.where(ok, gain, 0).argmax()), gain.shape)
-                return swap([i], [lo + int(x), lo + int(y)])
-    return False
-
-
-def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int) -> list[list[int]]:
-    """Empty the least-filled bins one after another into the other underfull
-    bins.  Ends at the lower bound on the number of bins, or when the bin being
-    emptied admits no improving exchange; every step raises the sum of squared
-    fills, so it ends."""
+    @staticmethod
+    def _best(sums: np.ndarray, have: np.ndarray, spare: np.ndarray) -> tuple[int, int] | None:
+        """(place in ``sums``, place in ``have``) of the exchange with the
+        largest gain, sums - have, within ``spare``."""
+        if not len(sums) or not len(have):
+            return None
+        order = np.argsort(sums, kind="stable")
+        k = np.searchsorted(sums[order], have + spare, "right") - 1
+        gain = np.where(k >= 0, sums[order[k]] - have, 0)
+        at = int(gain.argmax())
+        return (int(order[k[at]]), at) if gain[at] > 0 else None
+
+    def step(self, victim: int, others: list[int]) -> bool:
+        """A move out of ``victim``, else a one-for-one, two-for-one or
+        one-for-two exchange; False when none improves."""
+        own, rooms = self.sizes[self.bins[victim]], self.room[others]
+        for i in np.argsort(-own, kind="stable"):
+            fits = np.flatnonzero(rooms >= own[i])
+            if len(fits):                                       # the tightest bin that holds it
+                return self._swap(victim, [int(i)], others[fits[rooms[fits].argmin()]], [])
+        count = [len(self.bins[b]) for b in others]
+        ends = np.cumsum(count)
+        owner = np.repeat(np.arange(len(others)), count)
+        have = self.sizes[np.concatenate([self.bins[b] for b in others])]
+        spot = lambda k: (others[owner[k]], int(k - (ends[owner[k]] - count[owner[k]])))
+        hit = self._best(own, have, rooms[owner])
+        if hit:
+            b, j = spot(hit[1])
+            return self._swap(victim, [hit[0]], b, [j])
+        sums, where = self._pairs(victim)
+        hit = self._best(sums, have, rooms[owner])
+        if hit:
+            b, j = spot(hit[1])
+            return self._swap(victim, where[hit[0]].tolist(), b, [j])
+        doubles = [self._pairs(b)[0] for b in others]
+        count = [len(d) for d in doubles]
+        owner = np.repeat(np.arange(len(others)), count)
+        hit = self._best(own, np.concatenate(doubles), rooms[owner])
+        if hit:
+            at = owner[hit[1]]
+            k = hit[1] - sum(count[:at])
+            return self._swap(victim, [hit[0]], others[at], self._pairs(others[at])[1][k].tolist())
+        return False
+
+
+def local_search(bins: list[list[int]], sizes: np.ndarray, capacity: int, tries: int = TRIES) -> list[list[int]]:
+    """Empty underfull bins: the least-filled one that admits an improving
+    exchange gives first.  Ends at the lower bound on the number of bins, when
+    no exchange improves, or after ``tries`` attempts."""
     bound = -(-int(sizes.sum()) // capacity)
-    fill = [int(sizes[b].sum()) for b in bins]
-    room = [capacity - f for f in fill]
-    open_bins = sorted((k for k in range(len(bins)) if room[k]), key=lambda k: fill[k])
+    search = LocalSearch(bins, sizes, capacity)
     count = len(bins)
-    while count > bound and len(open_bins) > 1:
-        victim, others = open_bins[0], open_bins[1:]
-        if not any(room[b] for b in others):
-            break
-        if not _exchange(bins[victim], bins, others, sizes, room):
+    while count > bound and tries > 0:
+        underfull = np.flatnonzero(search.room > 0)
+        underfull = [int(k) for k in underfull[np.argsort(-search.room[underfull], kind="stable")]
+                     if len(search.bins[k])]
+        for at, victim in enumerate(underfull[:-1]):
+            tries -= 1
+            if search.step(victim, underfull[at + 1:]):
+                count -= not len(search.bins[victim])
+                break
+            if tries <= 0:
+                break
+        else:
             break
-        room[victim] = capacity - int(sizes[bins[victim]].sum())
-        if not bins[victim]:
-            count -= 1
-            open_bins = open_bins[1:]
-        open_bins = [k for k in open_bins if room[k] or k == victim]
-        open_bins.sort(key=lambda k: -room[k])
-    return [b for b in bins if b]
+    return [b.tolist() for b in search.bins if len(b)]
 
 
 def pack_group(sizes: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
