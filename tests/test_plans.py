@@ -1,15 +1,14 @@
 """Plan-shape checks: what Catalyst plans, not just what it returns."""
 
+import re
+from collections import Counter
+
 import pytest
 
 from tillstream.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
-# queries that materialise an intermediate table while being built
-EAGER = {"retract_dedup", "dws_sku_order", "dws_province_order"}
-
-
 def _plan(spark, name):
     return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
@@ -28,6 +27,13 @@ def test_change_stream_prunes_to_read_tables(spark):
         assert other not in plan
 
 
+@pytest.mark.parametrize("name", ["cdc_parse", "dim_route", "dwd_route", "config_latest", "dws_sku_order",
+                                  "dws_province_order", "log_split_counts", "log_etl"])
+def test_every_table_is_scanned_once(spark, name):
+    scans = Counter(re.findall(r"FileScan parquet.*?/(\w+)\.parquet", _plan(spark, name)))
+    assert scans and max(scans.values()) == 1
+
+
 def test_scan_reads_only_needed_columns(spark):
     plan = _plan(spark, "dwd_comment")
     assert "documents.parquet" in plan

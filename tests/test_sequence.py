@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from tillstream.operators import dws, sequence
 
@@ -11,8 +13,9 @@ def test_daily_unique_same_day_next_day_backwards(spark):
         ("m1", T0 + DAY, 3),                                 # next day
         ("m2", T0 + DAY, 4), ("m2", T0 + 5, 5),              # second device, out of order
     ], "mid string, ts bigint, log_id bigint")
-    got = rows(sequence.daily_unique(df, "mid", "ts", "log_id"), "log_id", "uv")
-    assert got == [(1, 1), (2, 0), (3, 1), (4, 1), (5, 1)]
+    got = rows(sequence.daily_firsts(df, "mid", "ts", "log_id", []), "mid", "ts")
+    assert got == [("m1", T0 + 1000), ("m1", T0 + DAY), ("m2", T0 + 5), ("m2", T0 + DAY)]
+    assert rows(sequence.daily_firsts(df, "mid", "ts", "log_id", ["log_id"]), "log_id") == [(1,), (3,), (4,), (5,)]
 
 
 def test_returning_user_gaps(spark):
@@ -59,6 +62,38 @@ def test_retraction_once_twice_thrice(spark):
     assert float(sums["y"]) == 6.0 and float(sums["z"]) == 3.0 and float(sums["x"]) == 10.0
 
 
+def test_retraction_of_exact_repeats_ties_and_null_ids(spark):
+    df = spark.createDataFrame([
+        ("a", "1.0", 1), ("a", "1.0", 1), ("a", "1.0", 1),      # exact repeats: two are taken back
+        (None, "2.0", 1), (None, "3.0", 2), ("b", "bad", 1)], "id string, amt string, ts bigint")
+    out = sequence.retract_duplicates(df, "id", ["amt"], ["ts", "amt"])
+    sums = {r.id: (r.n, r.s) for r in out.groupBy("id").agg(
+        F.count("*").alias("n"), F.sum("amt").alias("s")).collect()}
+    assert (sums["a"][0], float(sums["a"][1])) == (5, 1.0)
+    assert (sums[None][0], float(sums[None][1])) == (3, 3.0)
+    assert sums["b"] == (1, None)
+
+
+def _details(spark, recs):
+    return spark.createDataFrame(
+        [(i, o, sku, p, ts, amt, amt, amt, amt) for i, o, sku, p, ts, amt in recs],
+        "id string, order_id string, sku_id string, province_id string, ts_ms bigint, "
+        "split_original_amount string, split_activity_amount string, split_coupon_amount string, "
+        "split_total_amount string")
+
+
+def test_money_windows_keep_null_keys(spark):
+    d = _details(spark, [("1", "o1", None, None, T0, "5"), ("2", "o2", "s", "p", T0, "7"),
+                         ("2", "o2", "s", "p", T0 + 1, "8"), (None, "o3", "s", "p", T0, "1"),
+                         ("4", "o4", "s", "p", T0, "not money")])
+    order = ["ts_ms", "sku_id"]
+    sku = {r.sku_id: float(r.order_amount) for r in dws.sku_order_window_batch(d, order).collect()}
+    assert sku == {None: 5.0, "s": 9.0}
+    prov = {r.province_id: (float(r.order_amount), r.order_count)
+            for r in dws.province_order_window_batch(d, order).collect()}
+    assert prov == {None: (5.0, 1), "p": (9.0, 3)}
+
+
 def test_sku_window_null_discount_counts_zero(spark):
     df = spark.createDataFrame([("s1", T0 + 1, "10.0", None, "1.0", "9.0")],
                                "sku_id string, ts_ms bigint, split_original_amount string, "

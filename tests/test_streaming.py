@@ -63,7 +63,7 @@ def test_traffic_window_stream_equals_batch(spark, tmp):
 
 
 def test_login_stream_equals_batch(spark, tmp):
-    pages = _pages(spark).where(F.col("page_id") == "purchase")
+    pages = _pages(spark)
     logins = dws.login_filter(pages).select("uid", "ts", "log_id")
     stream = _replay(spark, logins, os.path.join(tmp, "in"), [], ["ts", "log_id"])
     out = jobs.run_to_memory(jobs.login_firsts_stream(stream), "login_stream", os.path.join(tmp, "ckpt"))
@@ -179,13 +179,13 @@ def test_home_detail_and_login_windows_stream_equal_batch(spark, tmp):
     expected = dws.home_detail_window(drv.events_log(drv.table(spark, SF, "events")), "10 seconds")
     assert rows(out.where(F.col("stt") < "2099")) == rows(expected)
 
-    logins = dws.login_filter(pages.where(F.col("page_id") == "purchase")).select("uid", "ts", "log_id")
+    logins = dws.login_filter(pages).select("uid", "ts", "log_id")
     ls = _replay(spark, logins, os.path.join(tmp, "in2"),
                  [{"uid": "zz", "ts": FAR, "log_id": -1}, {"uid": "zz", "ts": FAR + 86_400_000, "log_id": -2}],
                  ["ts", "log_id"])
     lo = jobs.run_to_memory(jobs.login_window_stream(ls), "login_win_stream", os.path.join(tmp, "c2"))
     assert rows(lo.where(F.col("stt") < "2099")) == rows(dws.login_window(
-        pages.where(F.col("page_id") == "purchase"), "1 second"))
+        pages, "1 second"))
 
 
 def test_cart_user_window_stream_equals_batch(spark, tmp):

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.text import map_keep_keys
-from tillstream.operators.joins import maybe_broadcast
 from tillstream.schemas import ENVELOPE
 
 # Fixed value: how a configured source_type maps to a change op.
@@ -116,7 +115,7 @@ def route_dims(changes: DataFrame, config: DataFrame) -> DataFrame:
     ``(sink_table, row_key, op, data)`` with the image pruned to the configured
     columns; the row key is the *value* of the configured key column.  Deletes
     carry their ``before`` image so the sink can remove the key (SNK-7)."""
-    cfg = maybe_broadcast(latest_config(config, ["source_table"]).select(
+    cfg = (latest_config(config, ["source_table"]).select(
         "source_table", "sink_table", "sink_columns", "sink_row_key"))
     img = row_image(ods_filter(changes, keep_deletes=True))
     j = img.join(cfg, img["source"]["table"] == cfg["source_table"], "inner")
@@ -134,7 +133,7 @@ def route_facts(changes: DataFrame, config: DataFrame,
     cfg = latest_config(config.withColumn("source_type", source_type_op("source_type")))
     if tables is not None:
         cfg = cfg.where(F.col("source_table").isin(*tables))
-    cfg = maybe_broadcast(cfg.select("source_table", "source_type", "sink_table", "sink_columns"))
+    cfg = (cfg.select("source_table", "source_type", "sink_table", "sink_columns"))
     c = ods_filter(changes)
     j = c.join(cfg, (c["source"]["table"] == cfg["source_table"]) & (c["op"] == cfg["source_type"]))
     j = j.withColumn("data", F.col("after"))

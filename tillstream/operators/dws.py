@@ -13,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstream.functions.dates import window_bounds
+from tillstream.functions.dates import ms_to_date, window_bounds
 from tillstream.functions.text import empty_or_null, tokens
 from tillstream.operators.joins import lookup
-from tillstream.operators.sequence import daily_firsts, returning_users, session_start
+from tillstream.operators.sequence import daily_firsts, is_latest, returning_users, session_start
 
 
 def _win(ts_ms: str, size: str):
@@ -54,9 +54,8 @@ def traffic_window(log: DataFrame, size: str = "10 seconds") -> DataFrame:
 
 def home_detail_window(log: DataFrame, size: str = "10 seconds") -> DataFrame:
     """AGG-2 with SEQ-3: daily unique visitors of the home and detail pages."""
-    pv = (page_views(log).where(F.col("page_id").isin("home", "good_detail"))
-          .withColumn("_mp", F.struct("mid", "page_id")))
-    firsts = daily_firsts(pv, "_mp", "ts", "log_id", ["page_id"])
+    pv = page_views(log).where(F.col("page_id").isin("home", "good_detail"))
+    firsts = pv.groupBy("mid", "page_id", ms_to_date("ts").alias("day")).agg(F.min("ts").alias("ts"))
     agg = (firsts.groupBy(_win("ts", size).alias("window"))
            .agg(F.sum(F.when(F.col("page_id") == "home", 1).otherwise(0)).alias("home_uv_ct"),
                 F.sum(F.when(F.col("page_id") == "good_detail", 1).otherwise(0))
@@ -138,33 +137,32 @@ def keyword_window(pages: DataFrame, size: str = "1 second") -> DataFrame:
 
 
 # ------------------------------------------------------- batch fast paths
-def _latest_per_id(details: DataFrame, key: str, order: list[str], keep: list[str]) -> DataFrame:
-    """Each id's latest row (partial + final aggregate, skew-safe)."""
-    return (details.groupBy(key)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in keep]),
-                          F.struct(*[F.col(c) for c in order])).alias("_l"))
-            .select(key, "_l.*"))
+SKU_OUT = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
+
+
+def _latest_sum(col: str, out: str):
+    """Sum of a money column over the rows that are their id's latest; a bad or
+    null amount counts as zero."""
+    amount = F.coalesce(F.col(col).try_cast("decimal(20,4)"), F.lit(0))
+    return F.sum(F.when(F.col("_last"), amount).otherwise(F.lit(0)).cast("decimal(20,4)")).alias(out)
 
 
 def sku_order_window_batch(details: DataFrame, order: list[str],
-                           dims: dict[str, DataFrame] | None = None,
+                           dims: dict[str, DataFrame] | DataFrame | None = None,
                            size: str = "10 seconds") -> DataFrame:
     """AGG-5 + SEQ-7 on a whole batch.
 
-    Summing the retraction stream over a window gives the sum of the ids
-    whose *latest* row falls in it; a window that only held superseded rows
-    still appears, with zeros.  So the batch form sums each id's latest row
-    and keeps the (window, sku) keys of all rows — no negated rows are built,
-    de-duplicated or anti-joined."""
-    names = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
-    last = _latest_per_id(details, "id", order, ["ts_ms", "sku_id", *SKU_AMOUNTS])
-    sums = last.groupBy(_win("ts_ms", size).alias("window"), "sku_id").agg(*[
-        F.sum(F.coalesce(F.col(a).cast("decimal(20,4)"), F.lit(0))).alias(o)
-        for a, o in zip(SKU_AMOUNTS, names)])
-    keys = details.select(_win("ts_ms", size).alias("window"), "sku_id").distinct()
-    j = keys.join(sums, ["window", "sku_id"], "left")
-    z = F.lit(0).cast("decimal(30,4)")
-    out = j.select(*window_bounds(), "sku_id", *[F.coalesce(F.col(o), z).alias(o) for o in names])
+    Summing the retraction stream over a window gives the sum of the ids whose
+    *latest* row falls in it; a window that only held superseded rows still
+    appears, with zeros.  One window flags the latest rows and one aggregate
+    sums them, null keys included.  ``dims`` is the flat sku dimension (one
+    lookup), or the dimension tables of the chain."""
+    agg = (details.withColumn("_last", is_latest("id", order))
+           .groupBy(_win("ts_ms", size).alias("window"), "sku_id")
+           .agg(*[_latest_sum(a, o) for a, o in zip(SKU_AMOUNTS, SKU_OUT)]))
+    out = agg.select(*window_bounds(), "sku_id", *SKU_OUT)
+    if isinstance(dims, DataFrame):
+        return lookup(out, dims, [("sku_id", "id")], [c for c in dims.columns if c != "id"])
     return _sku_dims(out, dims)
 
 
@@ -189,15 +187,11 @@ def province_order_window_batch(details: DataFrame, order: list[str],
     """AGG-6 + SEQ-7 on a whole batch: amounts from each id's latest row; the
     distinct order count over every row (the reference's order-id set also
     collects superseded and retracted rows)."""
-    last = _latest_per_id(details, "id", order, ["ts_ms", "province_id", "split_total_amount"])
-    sums = last.groupBy(_win("ts_ms", size).alias("window"), "province_id").agg(
-        F.sum(F.coalesce(F.col("split_total_amount").cast("decimal(20,4)"), F.lit(0)))
-         .alias("order_amount"))
-    counts = details.groupBy(_win("ts_ms", size).alias("window"), "province_id").agg(
-        F.countDistinct("order_id").alias("order_count"))
-    j = counts.join(sums, ["window", "province_id"], "left")
-    out = j.select(*window_bounds(), "province_id", "order_count",
-                   F.coalesce(F.col("order_amount"), F.lit(0).cast("decimal(30,4)")).alias("order_amount"))
+    agg = (details.withColumn("_last", is_latest("id", order))
+           .groupBy(_win("ts_ms", size).alias("window"), "province_id")
+           .agg(F.countDistinct("order_id").alias("order_count"),
+                _latest_sum("split_total_amount", "order_amount")))
+    out = agg.select(*window_bounds(), "province_id", "order_count", "order_amount")
     if provinces is not None:
         out = lookup(out, provinces, [("province_id", "id")], {"name": "province_name"})
     return out

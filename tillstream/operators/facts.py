@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.dates import text_to_date
-from tillstream.operators.cdc import table_changes
+from tillstream.operators.cdc import latest_per_key, table_changes
 from tillstream.operators.joins import lookup
 
 
@@ -30,7 +30,7 @@ B = _Image("before")
 
 
 def _src_ts():
-    return F.col("source")["ts_ms"].cast("bigint").alias("ts_ms")
+    return F.col("source")["ts_ms"].try_cast("bigint").alias("ts_ms")
 
 
 def cart_add(changes: DataFrame) -> DataFrame:
@@ -38,22 +38,27 @@ def cart_add(changes: DataFrame) -> DataFrame:
     update carries the increase."""
     c = table_changes(changes, "cart_info")
     up = (F.col("op") == "u") & B["sku_num"].isNotNull() & \
-        (A["sku_num"].cast("int") >= B["sku_num"].cast("int"))
+        (A["sku_num"].try_cast("int") >= B["sku_num"].try_cast("int"))
     c = c.where((F.col("op") == "c") | up)
     return c.select(
         A["id"].alias("id"), A["user_id"].alias("user_id"), A["sku_id"].alias("sku_id"),
         F.when(F.col("op") == "c", A["sku_num"]).otherwise(
-            (A["sku_num"].cast("int") - B["sku_num"].cast("int")).cast("string")).alias("sku_num"),
+            (A["sku_num"].try_cast("int") - B["sku_num"].try_cast("int")).cast("string")).alias("sku_num"),
         _src_ts())
 
 
-def order_detail(changes: DataFrame) -> DataFrame:
-    """PRJ-9/PRJ-10 + JN-1/JN-2: order lines ⨝ orders, ⟕ activity, ⟕ coupon."""
+def order_detail(changes: DataFrame, links: bool = True) -> DataFrame:
+    """PRJ-9/PRJ-10 + JN-1/JN-2: order lines ⨝ orders, ⟕ activity, ⟕ coupon.
+
+    A line meets every activity and coupon row of its detail id, as a stream of
+    joins does; the keyed sink keeps one row per id (``latest_details``).
+    ``links=False`` leaves those two joins out, for aggregates that keep each
+    id's latest row and read neither."""
     od = table_changes(changes, "order_detail", ["c"]).select(
         A["id"].alias("id"), A["order_id"].alias("order_id"), A["sku_id"].alias("sku_id"),
         A["sku_name"].alias("sku_name"), A["create_time"].alias("create_time"),
         A["sku_num"].alias("sku_num"),
-        (A["sku_num"].cast("decimal(16,2)") * A["order_price"].cast("decimal(16,2)"))
+        (A["sku_num"].try_cast("decimal(16,2)") * A["order_price"].try_cast("decimal(16,2)"))
          .cast("string").alias("split_original_amount"),
         A["split_total_amount"].alias("split_total_amount"),
         A["split_activity_amount"].alias("split_activity_amount"),
@@ -65,9 +70,13 @@ def order_detail(changes: DataFrame) -> DataFrame:
         A["activity_rule_id"].alias("activity_rule_id"))
     cou = table_changes(changes, "order_detail_coupon", ["c"]).select(
         A["order_detail_id"].alias("cou_id"), A["coupon_id"].alias("coupon_id"))
-    j = (od.join(oi, od["order_id"] == oi["oi_id"], "inner")
-           .join(act, od["id"] == act["act_id"], "left")
-           .join(cou, od["id"] == cou["cou_id"], "left"))
+    j = od.join(oi, od["order_id"] == oi["oi_id"], "inner")
+    if links:
+        j = (j.join(act, od["id"] == act["act_id"], "left")
+              .join(cou, od["id"] == cou["cou_id"], "left"))
+    else:
+        none = F.lit(None).cast("string")
+        j = j.select("*", none.alias("activity_id"), none.alias("activity_rule_id"), none.alias("coupon_id"))
     return j.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
         "activity_rule_id", "coupon_id", text_to_date(F.col("create_time")).alias("date_id"),
@@ -75,6 +84,11 @@ def order_detail(changes: DataFrame) -> DataFrame:
         "split_coupon_amount", "split_total_amount", "ts_ms")
 
 
+def latest_details(details: DataFrame, order: list[str]) -> DataFrame:
+    """SNK-4 on ``id``: the one row per detail id that the keyed sink ends with."""
+    return latest_per_key(details, ["id"], order)
+
+
 def order_cancel(changes: DataFrame, details: DataFrame) -> DataFrame:
     """PRJ-6 + JN-3: order lines of orders moved from 1001 to 1003."""
     oc = table_changes(changes, "order_info", ["u"]).where(

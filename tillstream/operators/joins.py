@@ -4,51 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes scaled by the projection)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - Connect sessions expose no plan stats
-        return None
-
-
-def maybe_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its estimated size is within ``max_bytes``
-    (default: the session's auto-broadcast threshold).  Beyond it the join
-    stays a shuffle join, so a dimension that grows with the data never
-    exhausts executor memory."""
-    if max_bytes is None:
-        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        try:
-            max_bytes = int(str(conf).lower().rstrip("b"))
-        except ValueError:
-            max_bytes = DEFAULT_BROADCAST_BYTES
-    size = estimated_bytes(df)
-    if size is not None and 0 <= size <= max_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]] | str,
-           cols: Sequence[str] | dict[str, str], default=None, how: str = "left",
-           max_broadcast_bytes: int | None = None) -> DataFrame:
+           cols: Sequence[str] | dict[str, str], default=None, how: str = "left") -> DataFrame:
     """Enrich ``df`` with ``cols`` of ``dim`` matched on ``on`` (``[(df_col, dim_col)]``
     or one shared name).  ``cols`` may map dim column → output name.  Misses keep
     ``default`` (``how='left'``) or are dropped (``how='inner'``).  The dimension
-    is de-duplicated on its key first so a lookup never multiplies rows."""
+    is de-duplicated on its key first so a lookup never multiplies rows.  Whether
+    the dimension is broadcast is Spark's decision, by its measured size."""
     pairs = [(on, on)] if isinstance(on, str) else list(on)
     names = dict(cols) if isinstance(cols, dict) else {c: c for c in cols}
     dkeys = [f"_lk_{i}" for i in range(len(pairs))]
     d = dim.select(*[F.col(dc).alias(k) for (_, dc), k in zip(pairs, dkeys)],
                    *[F.col(c).alias(f"_lv_{o}") for c, o in names.items()])
     d = d.dropDuplicates(dkeys)
-    d = maybe_broadcast(d, max_broadcast_bytes)
     cond = [df[lc] == d[k] for (lc, _), k in zip(pairs, dkeys)]
     j = df.join(d, cond, how)
     out = [df[c] for c in df.columns]
@@ -82,15 +53,3 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     cond += [r[rp + right_ts] >= lft[left_ts] + lower_ms, r[rp + right_ts] <= lft[left_ts] + upper_ms]
     j = lft.join(r, cond, how)
     return j.select(*[lft[c] for c in left.columns], *[r[rp + c] for c in right.columns])
-
-
-def interval_join_stream(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                         left_et: str, right_et: str, lower: str, upper: str,
-                         how: str = "inner") -> DataFrame:
-    """Streaming form: native stream-stream join with an event-time range, so the
-    state store evicts rows once the watermarks pass (both sides need
-    ``withWatermark``).  ``lower`` / ``upper`` are interval strings."""
-    cond = [left[lc] == right[rc] for lc, rc in on]
-    cond.append(right[right_et] >= left[left_et] + F.expr(f"INTERVAL {lower}"))
-    cond.append(right[right_et] <= left[left_et] + F.expr(f"INTERVAL {upper}"))
-    return left.join(right, cond, how)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillstream.functions.dates import ms_to_compact_date
 from tillstream.functions.text import last_token
 from tillstream.operators.cdc import row_image_flat, table_changes
-from tillstream.operators.joins import interval_join, lookup, maybe_broadcast
+from tillstream.operators.joins import interval_join, lookup
 from tillstream.session import fixed_table
 
 # The sensitive-word dictionary used by the registered queries
@@ -64,7 +64,7 @@ def comment_with_order(comments: DataFrame, orders: DataFrame,
 def in_words(df: DataFrame, col: str, words: DataFrame, flag: str = "in_words") -> DataFrame:
     """JN-23: boolean set membership of ``col`` (left join on a de-duplicated,
     size-checked dictionary)."""
-    w = maybe_broadcast(words.select(F.col("word").alias("_w")).distinct()
+    w = (words.select(F.col("word").alias("_w")).distinct()
                         .withColumn("_hit", F.lit(True)))
     j = df.join(w, df[col] == w["_w"], "left")
     return j.select(*[df[c] for c in df.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias(flag))

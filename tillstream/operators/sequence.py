@@ -6,8 +6,10 @@ follow from per-key *aggregates* instead of per-key sorts:
 
 * "date differs from the last stored date" ⇔ the row is the first of its
   ``(key, date)`` group;
-* the anchor of the new-visitor repair is a property of the key's first row;
-* a retraction is emitted for every row that has a successor with the same id.
+* the anchor of the new-visitor repair is a property of the key's first row.
+
+Retractions (SEQ-7) need a row's successor: one window over the few versions
+of an id.
 
 Aggregates get a map-side partial step, so a key that holds a third of all
 rows never lands whole in one task; joins back to the rows are equi-joins that
@@ -30,35 +32,19 @@ from tillstream.functions.text import _c, empty_or_null
 def first_rows(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str],
                keep: Sequence[str]) -> DataFrame:
     """One row per key: the ``keep`` columns of the row that is smallest by
-    ``order``.  A partial + final hash aggregate, never a per-key sort."""
+    ``order``: a partial and a final aggregate.  Structs and strings make Spark
+    sort within each task; a single ``min(ts)`` (see ``daily_firsts``) hashes."""
     key_cols = [_c(k) for k in keys]
     pick = F.min_by(F.struct(*[F.col(c) for c in keep]), F.struct(*[F.col(c) for c in order]))
     return df.groupBy(*key_cols).agg(pick.alias("_first")).select(*key_cols, "_first.*")
 
 
-def flag_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               flag: str) -> DataFrame:
-    """Add ``flag`` = 1 on the first row of every key group, else 0."""
-    firsts = (df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_o"))
-              .select(*keys, *[F.col("_o")[c].alias(f"_f_{c}") for c in order],
-                      F.lit(1).alias(flag)))
-    cond = [df[k].eqNullSafe(firsts[k]) for k in keys] + \
-        [df[c].eqNullSafe(firsts[f"_f_{c}"]) for c in order]
-    return (df.join(firsts, cond, "left")
-            .select(df["*"], F.coalesce(firsts[flag], F.lit(0)).alias(flag)))
-
-
-def daily_unique(df: DataFrame, key: str, ts: str = "ts", tiebreak: str = "log_id",
-                 flag: str = "uv") -> DataFrame:
-    """SEQ-1 / SEQ-3 / SEQ-4: 1 on a key's first row of each calendar day."""
-    d = df.withColumn("_day", ms_to_date(ts))
-    return flag_first(d, [key, "_day"], [ts, tiebreak], flag).drop("_day")
-
-
 def daily_firsts(df: DataFrame, key: str, ts: str, tiebreak: str,
                  keep: Sequence[str]) -> DataFrame:
     """First row of each (key, day) — the rows that carry a daily-unique 1."""
     d = df.withColumn("_day", ms_to_date(ts))
+    if not keep:
+        return d.groupBy(key, F.col("_day").alias("day")).agg(F.min(ts).alias(ts))
     return first_rows(d, [key, "_day"], [ts, tiebreak], [ts, *keep]).withColumnRenamed("_day", "day")
 
 
@@ -96,24 +82,29 @@ def repair_is_new(log: DataFrame, tiebreak: str = "log_id") -> DataFrame:
              .drop("_mid", "_anchor"))
 
 
+def is_latest(key: str, order: Sequence[str]) -> Column:
+    """Whether a row is the last of its ``key`` by ``order`` (a null key is a key
+    like any other; of rows equal in ``order`` one is the last).  An id has few
+    versions, so its window is short."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
+    return F.lead(F.lit(1)).over(w).isNull()
+
+
 def retract_duplicates(df: DataFrame, key: str, amounts: Sequence[str],
                        order: Sequence[str]) -> DataFrame:
     """SEQ-7 retraction stream.
 
     Every row is emitted once with ``sign`` = 1; every row that is followed by
-    another row of the same ``key`` (in ``order``) is emitted again with its
-    amounts negated and ``sign`` = -1, keeping its own event time.  Summing any
-    amount over the output therefore gives the latest row per key.
+    another row of the same ``key`` (in ``order``, exact repeats included) is
+    emitted again with its amounts negated and ``sign`` = -1, keeping its own
+    event time.  Summing any amount over the output therefore gives the latest
+    row per key.
     """
-    last = df.groupBy(key).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_last"))
-    cond = [df[key] == last[key]] + [df[c].eqNullSafe(last["_last"][c]) for c in order]
-    superseded = df.join(last, cond, "left_anti")
-    neg = superseded.select(*[
-        (-F.col(c).cast("decimal(20,4)")).alias(c) if c in amounts else F.col(c)
-        for c in df.columns], F.lit(-1).alias("sign"))
-    pos = df.select(*[F.col(c).cast("decimal(20,4)").alias(c) if c in amounts else F.col(c)
-                      for c in df.columns], F.lit(1).alias("sign"))
-    return pos.unionByName(neg)
+    signed = df.withColumn("_last", is_latest(key, order)).withColumn(
+        "sign", F.explode(F.when(F.col("_last"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(-1)))))
+    return signed.select(*[
+        (F.col("sign") * F.col(c).try_cast("decimal(20,4)")).cast("decimal(20,4)").alias(c)
+        if c in amounts else F.col(c) for c in df.columns], "sign")
 
 
 def session_start(last_page_id) -> Column:

@@ -1,4 +1,4 @@
-"""Run summary with a bounded top-k (AGG-11, TOP-3)."""
+"""Run summary and failed ids (AGG-11, TOP-3)."""
 
 from __future__ import annotations
 
@@ -21,17 +21,23 @@ def smallest_k(df: DataFrame, group: list[str], value: str, k: int, salt: int =
     return top.groupBy(*group).agg(F.array_sort(F.collect_list(value)).alias(f"first_{k}"))
 
 
-def run_summary(df: DataFrame, group: list[str], ok: str, id_col: str, ts_ms: str,
-                k: int = 100) -> DataFrame:
-    """AGG-11: successes, failures, first start, last end, duration in seconds
-    and the first ``k`` failed ids per group."""
+def failed_ids(df: DataFrame, group: list[str], ok: str, id_col: str) -> DataFrame:
+    """AGG-11: every failed id, one row each."""
+    return df.where(~F.col(ok)).select(*group, F.col(id_col).alias("failed_id"))
+
+
+def run_summary(df: DataFrame, group: list[str], ok: str, ts_ms: str, id_col: str | None = None,
+                show: int | None = None) -> DataFrame:
+    """AGG-11: successes, failures, first start, last end and duration in
+    seconds per group.  ``show`` adds the first ids that failed as a text of at
+    most that many, for a message; the full list is :func:`failed_ids`."""
     agg = df.groupBy(*group).agg(
         F.sum(F.col(ok).cast("int")).alias("n_success"),
         F.sum((~F.col(ok)).cast("int")).alias("n_fail"),
         F.min(ts_ms).alias("start_ms"), F.max(ts_ms).alias("end_ms"))
-    agg = agg.withColumn("duration_s", F.floor((F.col("end_ms") - F.col("start_ms")) / 1000))
-    firsts = smallest_k(df.where(~F.col(ok)), group, id_col, k)
-    j = agg.join(firsts, group, "left")
-    return j.select(*group, "n_success", "n_fail", "start_ms", "end_ms", "duration_s",
-                    F.coalesce(F.array_join(F.col(f"first_{k}").cast("array<string>"), ","),
-                               F.lit("")).alias("failed_ids"))
+    agg = agg.withColumn("duration_s", F.expr("(end_ms - start_ms) div 1000"))
+    if show is None:
+        return agg
+    firsts = smallest_k(df.where(~F.col(ok)), group, id_col, show)
+    return agg.join(firsts, group, "left").select(*agg.columns, F.coalesce(
+        F.array_join(F.col(f"first_{show}").cast("array<string>"), ","), F.lit("")).alias("failed_ids"))

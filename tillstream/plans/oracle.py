@@ -29,7 +29,8 @@ pages AS (
     ['Apple','Xiaomi','Huawei','Oppo'][user_id % 4 + 1] AS ba,
     CASE event_type WHEN 'view' THEN 'home' WHEN 'click' THEN 'good_detail'
          ELSE event_type END AS page_id,
-    CASE k % 4 WHEN 1 THEN 'home' WHEN 2 THEN 'search' WHEN 3 THEN 'good_detail' END
+    CASE WHEN k % 8 = 5 THEN 'login' WHEN k % 4 = 1 THEN 'home' WHEN k % 4 = 2 THEN 'search'
+         WHEN k % 4 = 3 THEN 'good_detail' END
       AS last_page_id,
     CASE WHEN k % 4 = 2 THEN 'keyword' ELSE 'sku_id' END AS item_type,
     CASE WHEN k % 4 = 2 THEN ['小米手机','5G phone','small size 1','red widget','运动鞋 跑步',
@@ -244,15 +245,17 @@ SELECT last.* FROM last JOIN o USING (id) WHERE NOT (o.st = 'P' AND o.prio = '5-
 # ------------------------------------------------------------------- logs
 ORACLE["log_etl"] = f"""
 WITH {EV}
-SELECT log_id, 'mid_' || user_id AS mid,
+SELECT log_id, 'ok' AS status, 'mid_' || user_id AS mid,
        CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'view' THEN 'home'
             WHEN event_type = 'click' THEN 'good_detail' ELSE event_type END AS page_id,
        ts, CAST(k % 2 AS VARCHAR) AS is_new,
        CASE WHEN event_type = 'view' THEN k % 4 ELSE 0 END AS n_displays,
        CASE WHEN event_type = 'click' THEN k % 3 ELSE 0 END AS n_actions,
        CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS has_err,
-       CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS has_start
+       CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS has_start, NULL AS bad_length
 FROM ev WHERE log_id % 50 <> 49
+UNION ALL
+SELECT log_id, 'bad', NULL, NULL, NULL, NULL, 0, 0, 0, 0, 20 FROM ev WHERE log_id % 50 = 49
 """
 
 ORACLE["is_new_repair"] = f"""
@@ -392,7 +395,8 @@ SELECT {win('ts', 10000)}, count(*) AS cart_add_uu_ct FROM f GROUP BY ALL
 ORACLE["dws_user_login"] = f"""
 WITH {PAGES},
 f AS (SELECT uid, CAST(epoch_ms(ts) AS DATE) AS d, min(ts) AS ts FROM pages
-      WHERE page_id = 'purchase' AND coalesce(last_page_id, '') = '' GROUP BY uid, d),
+      WHERE uid IS NOT NULL AND uid <> '' AND coalesce(last_page_id, '') IN ('', 'login')
+      GROUP BY uid, d),
 g AS (SELECT ts, lag(d) OVER (PARTITION BY uid ORDER BY d) AS pd FROM f)
 SELECT {win('ts', 1000)},
        sum(CASE WHEN pd IS NOT NULL
@@ -403,12 +407,12 @@ FROM g GROUP BY ALL
 """
 
 RETRACTED = DETAIL_FACT + """,
-dd AS (SELECT DISTINCT * FROM od),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts_ms DESC, sku_id DESC, sku_num DESC,
-      split_total_amount DESC, split_activity_amount DESC, split_coupon_amount DESC,
-      activity_id DESC NULLS LAST, coupon_id DESC NULLS LAST, create_time DESC) AS rn
-  FROM dd)"""
+      split_original_amount DESC, split_total_amount DESC, split_activity_amount DESC,
+      split_coupon_amount DESC, activity_id DESC NULLS LAST, coupon_id DESC NULLS LAST,
+      create_time DESC) AS rn
+  FROM od)"""
 
 
 def _d4(c: str) -> str:
@@ -429,6 +433,14 @@ FROM ranked WHERE rn > 1
 """
 
 
+ORACLE["dwd_order_detail_latest"] = f"""
+WITH {RETRACTED}
+SELECT id, order_id, user_id, sku_id, province_id, activity_id, coupon_id, sku_num,
+       split_original_amount, split_activity_amount, split_coupon_amount, split_total_amount, ts_ms
+FROM ranked WHERE rn = 1
+"""
+
+
 def _lastsum(c: str, alias: str) -> str:
     return f"sum(CASE WHEN rn = 1 THEN coalesce({_d4(c)}, 0) ELSE 0 END) AS {alias}"
 
@@ -538,6 +550,11 @@ WITH {ORDER_RECS}
 SELECT op, order_id, {fmt('t0')} AS create_time, total_amount, uid, ts_ms FROM orec
 """
 
+ORACLE["label_detail_projection"] = f"""
+WITH {LINES}
+SELECT 'c' AS op, order_id, t AS ts_ms, sku_id, id AS detail_id FROM dl
+"""
+
 ORACLE["label_user_orders"] = f"""
 WITH {ORDER_RECS}
 SELECT uid, count(*) AS pv, min({fmt('t0')}) AS first_create_time,
@@ -718,7 +735,7 @@ WHERE c_custkey % 61 <= 30
 ORACLE["interval_join_12h"] = f"""
 WITH {USERS}, {LOG_SCORES.replace('WITH', '')}
 SELECT users.id, users.ts_ms, CAST(l.ts AS BIGINT) AS log_ts, l.judge_os, l.search_category,
-       l.device_18_24, l.search_18_24
+       {', '.join('l.device_' + b for b in BANDS_)}, {', '.join('l.search_' + b for b in BANDS_)}
 FROM users JOIN log_scores l ON users.id = l.uid
  AND CAST(l.ts AS BIGINT) BETWEEN users.ts_ms - 43200000 AND users.ts_ms + 43200000
 """
@@ -847,11 +864,14 @@ FROM documents
 """
 
 ORACLE["run_summary"] = """
-WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, event_type <> 'error' AS ok,
+WITH e AS (SELECT epoch_us(ts) // 1000 AS ts_ms, event_type <> 'error' AS ok,
                   CAST(CAST(ts AS DATE) AS VARCHAR) AS run_day FROM events)
 SELECT run_day, sum(CAST(ok AS INTEGER)) AS n_success, sum(CAST(NOT ok AS INTEGER)) AS n_fail,
-       min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, (max(ts_ms) - min(ts_ms)) // 1000 AS duration_s,
-       coalesce(array_to_string(list_sort(list(event_id) FILTER (WHERE NOT ok))[1:100], ','), '')
-         AS failed_ids
+       min(ts_ms) AS start_ms, max(ts_ms) AS end_ms, (max(ts_ms) - min(ts_ms)) // 1000 AS duration_s
 FROM e GROUP BY run_day
 """
+
+ORACLE["run_failed_ids"] = """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_day, event_id AS failed_id
+FROM events WHERE event_type = 'error'
+"""

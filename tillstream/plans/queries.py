@@ -17,7 +17,6 @@ from tillstream.operators.joins import lookup
 from tillstream.sources import config as cfgsrc
 from tillstream.sources import dims
 from tillstream.sources import driver as drv
-from tillstream.session import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -38,12 +37,18 @@ def _pages(spark, sf):
     return dws.page_views(_log(spark, sf))
 
 
-def _changes(spark, sf):
+def _stream(spark, sf):
+    """The whole change stream, one scan per table."""
     return drv.all_changes(spark, sf)
 
 
-def _details(spark, sf):
-    return facts.order_detail(_changes(spark, sf))
+def _changes(spark, sf):
+    """The change stream for jobs on a few tables of it."""
+    return drv.table_branches(spark, sf)
+
+
+def _details(spark, sf, links=True):
+    return facts.order_detail(_changes(spark, sf), links)
 
 
 def _image_text(m: str = "data"):
@@ -56,7 +61,7 @@ def _image_text(m: str = "data"):
 @query("cdc_parse")
 def q_cdc_parse(spark, sf):
     # one pass: good and bad messages are counted from the same parse
-    t = cdc.parse_envelope_tagged(drv.changes_as_text(_changes(spark, sf)))
+    t = cdc.parse_envelope_tagged(drv.changes_as_text(_stream(spark, sf)))
     t = t.where(~F.col("_ok") | cdc.ods_filter_cond(keep_deletes=True))
     return t.groupBy(
         F.when(F.col("_ok"), F.col("source")["table"]).otherwise(F.lit("__corrupt__")).alias("tbl"),
@@ -80,7 +85,7 @@ def q_cdc_row_image(spark, sf):
 
 @query("config_latest")
 def q_config_latest(spark, sf):
-    routed = cdc.route_facts(_changes(spark, sf), cfgsrc.config_log(spark, cfgsrc.DWD_CONFIG_LOG))
+    routed = cdc.route_facts(_stream(spark, sf), cfgsrc.config_log(spark, cfgsrc.DWD_CONFIG_LOG))
     return routed.groupBy("sink_table").agg(
         F.count("*").alias("n_rows"),
         F.max(F.size("data")).alias("max_cols"))
@@ -88,13 +93,13 @@ def q_config_latest(spark, sf):
 
 @query("dwd_route")
 def q_dwd_route(spark, sf):
-    routed = cdc.route_facts(_changes(spark, sf), cfgsrc.config_log(spark, cfgsrc.DWD_CONFIG_LOG))
+    routed = cdc.route_facts(_stream(spark, sf), cfgsrc.config_log(spark, cfgsrc.DWD_CONFIG_LOG))
     return routed.select("sink_table", _image_text().alias("image"), "ts_ms")
 
 
 @query("dim_route")
 def q_dim_route(spark, sf):
-    routed = cdc.route_dims(_changes(spark, sf), cfgsrc.config_log(spark, cfgsrc.DIM_CONFIG_LOG))
+    routed = cdc.route_dims(_stream(spark, sf), cfgsrc.config_log(spark, cfgsrc.DIM_CONFIG_LOG))
     return routed.select("sink_table", "row_key", "op", _image_text().alias("image"), "ts_ms")
 
 
@@ -114,14 +119,17 @@ def q_upsert_latest(spark, sf):
 # ------------------------------------------------------------------ logs
 @query("log_etl")
 def q_log_etl(spark, sf):
-    good, _bad = logs.parse_log(drv.events_log_text(drv.table(spark, sf, "events")))
-    return good.select(
-        "log_id", F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts",
+    # parsed logs and quarantined messages, from one parse
+    parsed = logs.parse_log_tagged(drv.events_log_text(drv.table(spark, sf, "events")))
+    return parsed.select(
+        "log_id", F.when(F.col("_ok"), F.lit("ok")).otherwise(F.lit("bad")).alias("status"),
+        F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts",
         F.col("common.is_new").alias("is_new"),
         F.coalesce(F.size("displays"), F.lit(0)).alias("n_displays"),
         F.coalesce(F.size("actions"), F.lit(0)).alias("n_actions"),
         F.col("err").isNotNull().cast("int").alias("has_err"),
-        F.col("start").isNotNull().cast("int").alias("has_start"))
+        F.col("start").isNotNull().cast("int").alias("has_start"),
+        F.when(~F.col("_ok"), F.length("_raw")).alias("bad_length"))
 
 
 @query("is_new_repair")
@@ -133,12 +141,7 @@ def q_is_new_repair(spark, sf):
 
 @query("log_split_counts")
 def q_log_split_counts(spark, sf):
-    parts = logs.split_log(_log(spark, sf))
-    out = None
-    for name, df in parts.items():
-        c = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stream"), "n_rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    return logs.split_counts(_log(spark, sf))
 
 
 @query("log_displays")
@@ -223,36 +226,37 @@ def q_dws_cart_add_uu(spark, sf):
 
 @query("dws_user_login")
 def q_dws_user_login(spark, sf):
-    logins = _pages(spark, sf).where(F.col("page_id") == "purchase")
-    return dws.login_window(logins, "1 second")
+    return dws.login_window(_pages(spark, sf), "1 second")
 
 
-DETAIL_ORDER = ["ts_ms", "sku_id", "sku_num", "split_total_amount", "split_activity_amount",
-                "split_coupon_amount", "activity_id", "coupon_id", "create_time"]
-
-
-def _retracted(spark, sf, amounts):
-    # the de-duplicated detail fact feeds three branches: materialise it once
-    d = materialize(_details(spark, sf).dropDuplicates())
-    return sequence.retract_duplicates(d, "id", amounts, DETAIL_ORDER)
+# A total order of a detail's versions, as far as any output can tell.
+DETAIL_ORDER = ["ts_ms", "sku_id", "sku_num", "split_original_amount", "split_total_amount",
+                "split_activity_amount", "split_coupon_amount", "activity_id", "coupon_id", "create_time"]
 
 
 @query("retract_dedup")
 def q_retract_dedup(spark, sf):
-    r = _retracted(spark, sf, dws.SKU_AMOUNTS)
+    r = sequence.retract_duplicates(_details(spark, sf), "id", dws.SKU_AMOUNTS, DETAIL_ORDER)
     return r.select("id", "sign", "sku_id", "ts_ms", *dws.SKU_AMOUNTS)
 
 
 @query("dws_sku_order")
 def q_dws_sku_order(spark, sf):
-    d = materialize(_details(spark, sf))
-    return dws.sku_order_window_batch(d, DETAIL_ORDER, dims.sku_dims(spark, sf), "10 seconds")
+    return dws.sku_order_window_batch(_details(spark, sf, links=False), DETAIL_ORDER,
+                                      dims.sku_flat(spark, sf), "10 seconds")
 
 
 @query("dws_province_order")
 def q_dws_province_order(spark, sf):
-    d = materialize(_details(spark, sf))
-    return dws.province_order_window_batch(d, DETAIL_ORDER, dims.provinces(spark, sf), "1 second")
+    return dws.province_order_window_batch(_details(spark, sf, links=False), DETAIL_ORDER,
+                                           dims.provinces(spark, sf), "1 second")
+
+
+@query("dwd_order_detail_latest")
+def q_dwd_order_detail_latest(spark, sf):
+    d = facts.latest_details(_details(spark, sf), [*DETAIL_ORDER, "activity_rule_id"])
+    return d.select("id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "coupon_id",
+                    "sku_num", *dws.SKU_AMOUNTS, "ts_ms")
 
 
 @query("dws_keyword_count")
@@ -314,6 +318,11 @@ def q_label_order_projection(spark, sf):
     return label.order_projection(_order_changes(spark, sf))[0]
 
 
+@query("label_detail_projection")
+def q_label_detail_projection(spark, sf):
+    return label.order_projection(_order_changes(spark, sf))[1]
+
+
 @query("label_user_activity")
 def q_label_user_activity(spark, sf):
     return _profile(spark, sf)
@@ -377,7 +386,7 @@ def q_interval_join_30m(spark, sf):
 def q_interval_join_12h(spark, sf):
     logs_ = _log_scores(spark, sf).select(
         F.col("uid").alias("l_uid"), F.col("ts").cast("bigint").alias("log_ts"), "judge_os",
-        "search_category", "device_18_24", "search_18_24")
+        "search_category", *[f"{k}_{b}" for k in ("device", "search") for b in scoring.BANDS])
     users = _users(spark, sf).select("id", "ts_ms")
     j = label.interval_join(users, logs_, [("id", "l_uid")], "ts_ms", "log_ts",
                             -12 * 3_600_000, 12 * 3_600_000)
@@ -499,4 +508,12 @@ def q_run_summary(spark, sf):
         "event_id", functions.ntz_millis("ts").alias("ts_ms"),
         (F.col("event_type") != "error").alias("ok"),
         F.to_date("ts").cast("string").alias("run_day"))
-    return summary.run_summary(ev, ["run_day"], "ok", "event_id", "ts_ms", 100)
+    return summary.run_summary(ev, ["run_day"], "ok", "ts_ms")
+
+
+@query("run_failed_ids")
+def q_run_failed_ids(spark, sf):
+    ev = drv.table(spark, sf, "events").select(
+        "event_id", (F.col("event_type") != "error").alias("ok"),
+        F.to_date("ts").cast("string").alias("run_day"))
+    return summary.failed_ids(ev, ["run_day"], "ok", "event_id")

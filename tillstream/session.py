@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -24,6 +25,12 @@ SCALE_DEFAULTS = {
 }
 
 
+# Deployment setting: tables are stored as few large row groups, so a scan must
+# be dealt anew before row-local work (off unless set; the local session sets it
+# because its tables are single files).  Spark decides on the partitions.
+SPREAD_SCANS = "spark.tillstream.spreadScans"
+
+
 def build_session(master: str = "local[8]", app: str = "tillstream",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local / test session.  On a cluster use the submitted session and only
@@ -33,7 +40,7 @@ def build_session(master: str = "local[8]", app: str = "tillstream",
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.session.timeZone", "UTC"))
-    for k, v in {**SCALE_DEFAULTS, **(extra or {})}.items():
+    for k, v in {**SCALE_DEFAULTS, SPREAD_SCANS: "true", **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -78,8 +85,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the deployment sets it to a shared file system; only when it
-    is unset (local tests) do we pick a private scratch folder.
+    On a cluster the deployment must set it to a shared file system: a folder
+    of one machine would lose the rows other machines write, so an unset folder
+    is an error there.  Only a local master gets a private scratch folder.
     """
     sc = spark.sparkContext
     cur = sc._jsc.sc().getCheckpointDir()
@@ -87,6 +95,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tillstream-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
@@ -99,39 +109,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a *small* scan over all cores.
-
-    A scan whose total size fits in one split (``spark.sql.files.maxPartitionBytes``)
-    is read by a single task, so any heavy row-local work on it (JSON, maps)
-    would run on one core.  Such an input is repartitioned round-robin; its
-    size is bounded by the split size, so the extra exchange is cheap.  Any
-    larger table already has one task per split and is returned untouched —
-    this never adds a shuffle to a big scan.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        split = _bytes(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    except Exception:  # pragma: no cover
-        return df
-    if size > split or target <= 1:
-        return df
-    # Hash of the first (key) column: deterministic on retry (a lost executor
-    # re-computes the same split) without round-robin's local sort, and it
-    # references one column only, so column pruning still reaches the scan.
-    first = df.schema.fields[0]
-    if first.dataType.typeName() in ("map", "array", "struct", "binary"):
-        return df.repartition(target)
-    return df.repartition(target, F.xxhash64(first.name))
-
-
-def _bytes(v: str) -> int:
-    v = str(v).strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    return int(float(v[:-1]) * mult[v[-1]]) if v and v[-1] in mult else int(v)
-
-
 def _sql_literal(v) -> str:
     if v is None:
         return "NULL"

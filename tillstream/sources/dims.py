@@ -51,22 +51,40 @@ def base_dic(spark: SparkSession) -> DataFrame:
     return fixed_table(spark, BASE_DIC, "dic_code string, dic_name string")
 
 
-def sku_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """sku → spu → trademark → category3 → category2 → category1, from ``part``."""
-    p = table(spark, sf_dir, "part").select(
+def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("sku_name"),
         (F.col("p_partkey") % 200).cast("string").alias("spu_id"),
         F.regexp_extract("p_brand", r"#(\d+)", 1).alias("tm_id"),
         F.concat_ws("_", F.col("p_type"), F.col("p_size") % 4).alias("category3_id"),
-        F.col("p_brand").alias("brand"), F.col("p_type").alias("ptype"),
-        (F.col("p_size") % 4).alias("psize"))
+        F.col("p_type").alias("ptype"), (F.col("p_size") % 4).alias("psize"))
+
+
+def _trademark(tm_id: str):
+    return F.element_at(F.array(*[F.lit(n) for n in TRADEMARK_NAMES]), (F.col(tm_id).cast("int") % 10 + 1))
+
+
+def sku_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole sku chain resolved per sku in one projection of ``part``: every
+    level's id and name."""
+    return _part(spark, sf_dir).select(
+        "id", "sku_name", "spu_id", F.col("tm_id").alias("trademark_id"), "category3_id",
+        F.concat(F.lit("spu_"), F.col("spu_id")).alias("spu_name"),
+        _trademark("tm_id").alias("trademark_name"),
+        F.concat(F.lower("ptype"), F.lit(" size "), F.col("psize")).alias("category3_name"),
+        F.col("ptype").alias("category2_id"), F.lower("ptype").alias("category2_name"),
+        F.substring("ptype", 1, 1).alias("category1_id"),
+        F.concat(F.lit("group "), F.substring("ptype", 1, 1)).alias("category1_name"))
+
+
+def sku_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """sku → spu → trademark → category3 → category2 → category1, from ``part``."""
+    p = _part(spark, sf_dir)
     return {
         "sku": p.select("id", "sku_name", "spu_id", "tm_id", "category3_id"),
         "spu": p.select(F.col("spu_id").alias("id"),
                         F.concat(F.lit("spu_"), F.col("spu_id")).alias("spu_name")).distinct(),
-        "trademark": p.select(F.col("tm_id").alias("id"), F.element_at(
-            F.array(*[F.lit(n) for n in TRADEMARK_NAMES]),
-            (F.col("tm_id").cast("int") % 10 + 1)).alias("tm_name")).distinct(),
+        "trademark": p.select(F.col("tm_id").alias("id"), _trademark("tm_id").alias("tm_name")).distinct(),
         "category3": p.select(F.col("category3_id").alias("id"),
                               F.concat(F.lower("ptype"), F.lit(" size "), F.col("psize")).alias("name"),
                               F.col("ptype").alias("category2_id")).distinct(),
