@@ -1,11 +1,12 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillstream.operators import cdc
 from tillstream.schemas import CONFIG
-from tillstream.sinks.writers import current_table, upsert_table
+from tillstream.sinks.writers import current_table, drop_old_versions, upsert_table
 
 ENVELOPES = [
     '{"before":null,"after":{"id":1,"order_status":"1001"},"source":{"db":"shop","table":"order_info",'
@@ -98,22 +99,69 @@ def test_upsert_latest_and_delete(spark):
     assert rows(out, "id", "v") == [("1", "a3"), ("3", "c")]
 
 
+def _kv(spark, *recs):
+    return spark.createDataFrame(list(recs), "id string, v string, ts bigint, d boolean")
+
+
 def test_upsert_table_is_idempotent(spark, tmp):
-    b1 = spark.createDataFrame([("1", "a", 1), ("2", "b", 1)], "id string, v string, ts bigint")
-    b2 = spark.createDataFrame([("1", "z", 2)], "id string, v string, ts bigint")
-    upsert_table(spark, tmp, b1, ["id"], ["ts"], batch_id=0)
-    upsert_table(spark, tmp, b2, ["id"], ["ts"], batch_id=1)
-    upsert_table(spark, tmp, b2, ["id"], ["ts"], batch_id=1)   # replay of batch 1
-    upsert_table(spark, tmp, b1, ["id"], ["ts"], batch_id=0)   # late replay of batch 0: skipped
+    b1 = _kv(spark, ("1", "a", 1, False), ("2", "b", 1, False))
+    b2 = _kv(spark, ("1", "z", 2, False))
+    for batch, k in ((b1, 0), (b2, 1), (b2, 1), (b1, 0)):            # with replays
+        upsert_table(spark, tmp, batch, ["id"], ["ts"], k, "d", query="q")
     assert rows(current_table(spark, tmp), "id", "v") == [("1", "z"), ("2", "b")]
+    # a job with a new checkpoint begins at batch 0 again: it is applied
+    upsert_table(spark, tmp, _kv(spark, ("3", "c", 5, False)), ["id"], ["ts"], 0, "d", query="other")
+    assert rows(current_table(spark, tmp), "id", "v") == [("1", "z"), ("2", "b"), ("3", "c")]
 
 
 def test_upsert_table_keeps_max_version_out_of_order(spark, tmp):
-    newer = spark.createDataFrame([("1", "new", 5, False), ("2", "gone", 9, True)],
-                                  "id string, v string, ts bigint, d boolean")
-    older = spark.createDataFrame([("1", "old", 1, False), ("2", "old", 2, False)],
-                                  "id string, v string, ts bigint, d boolean")
-    upsert_table(spark, tmp, newer, ["id"], ["ts"], batch_id=0, delete_col="d")
-    upsert_table(spark, tmp, older, ["id"], ["ts"], batch_id=1, delete_col="d")
-    # the late, older batch neither overwrites id 1 nor resurrects deleted id 2
+    upsert_table(spark, tmp, _kv(spark, ("1", "new", 9, False), ("2", "x", 9, True)), ["id"], ["ts"], 0, "d")
+    upsert_table(spark, tmp, _kv(spark, ("1", "old", 3, False), ("2", "y", 4, False)), ["id"], ["ts"], 1, "d")
     assert rows(current_table(spark, tmp), "id", "v") == [("1", "new")]
+
+
+def test_upsert_table_rewrites_touched_buckets_only(spark, tmp):
+    import os
+    many = _kv(spark, *[(str(k), "a", 1, False) for k in range(60)])
+    upsert_table(spark, tmp, many, ["id"], ["ts"], 0, "d", buckets=8)
+    upsert_table(spark, tmp, _kv(spark, ("7", "b", 2, False)), ["id"], ["ts"], 1, "d", buckets=8)
+    new = [b for b in os.listdir(f"{tmp}/data") if os.path.isdir(f"{tmp}/data/{b}/version=2")]
+    assert len(new) == 1
+    got = dict(rows(current_table(spark, tmp), "id", "v"))
+    assert len(got) == 60 and got["7"] == "b" and got["8"] == "a"
+    drop_old_versions(spark, tmp, keep=1)
+    assert dict(rows(current_table(spark, tmp), "id", "v")) == got
+
+
+def test_upsert_table_is_never_taken_for_empty(spark, tmp):
+    import os
+    import shutil
+    upsert_table(spark, tmp, _kv(spark, ("1", "a", 1, False)), ["id"], ["ts"], 0, "d")
+    # files of a batch that died before its log row are not read
+    bucket = os.listdir(f"{tmp}/data")[0]
+    shutil.copytree(f"{tmp}/data/{bucket}/version=1", f"{tmp}/data/{bucket}/version=9")
+    assert rows(current_table(spark, tmp), "id", "v") == [("1", "a")]
+    # a lost data folder is an error, not an empty table
+    shutil.move(f"{tmp}/data", f"{tmp}/moved")
+    with pytest.raises(Exception):
+        current_table(spark, tmp).count()
+    with pytest.raises(Exception):
+        upsert_table(spark, tmp, _kv(spark, ("1", "b", 2, False)), ["id"], ["ts"], 1, "d")
+
+
+def test_delete_keys(spark):
+    t = _kv(spark, ("1", "a", 1, False), ("2", "b", 1, False))
+    assert rows(cdc.delete_keys(t, t.where("id = '1'"), ["id"]), "id") == [("2",)]
+
+
+def test_images_with_clashing_keys(spark):
+    src = {"table": "t", "ts_ms": "7"}
+    c = spark.createDataFrame([({"op": "x", "tm_ms": "y", "ts_ms": "z", "id": "1"}, None, src, "c", 7)],
+                              "after map<string,string>, before map<string,string>, "
+                              "source map<string,string>, op string, ts_ms bigint")
+    d = cdc.row_image_flat(c).first().data
+    assert (d["op"], d["tm_ms"], d["id"]) == ("c", "7", "1")
+    cfg = spark.createDataFrame([("t", "insert", "sink", "id,ts_ms", "id", "r", 1)],
+                                "source_table string, source_type string, sink_table string, "
+                                "sink_columns string, sink_row_key string, op string, ts_ms bigint")
+    assert cdc.route_facts(c, cfg).first().data == {"id": "1", "ts_ms": "7"}

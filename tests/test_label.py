@@ -14,9 +14,11 @@ def test_running_profile_sets_and_last_search(spark):
         ("u", T + 61_000, "iOS", "vivo", "m2", "Apple", None),
     ], "uid string, ts bigint, os string, ch string, md string, ba string, search_item string")
     got = label.running_profile(proj).orderBy("window_start_ms").collect()
-    assert [(r.pv, r.os, r.ch, r.ts, r.last_search) for r in got] == [
-        (2, "Android,iOS", "oppo", str(T + 1000), "small size 1"),
-        (3, "Android,iOS", "oppo,vivo", str(T + 1000), "small size 1")]
+    assert [(r.pv, r.os, r.ts, r.last_search) for r in got] == [
+        (2, "Android", str(T + 1000), "small size 1"), (3, "Android", str(T + 1000), "small size 1")]
+    values = rows(label.profile_values(proj).where("field in ('ch', 'os')"), "field", "value", "first_window_ms")
+    w = T - T % 60_000
+    assert values == [("ch", "oppo", w), ("ch", "vivo", w + 60_000), ("os", "Android", w), ("os", "iOS", w)]
 
 
 def test_scores_defaults_and_compat(spark):
@@ -40,15 +42,23 @@ def test_weight_table_rounding(spark):
     assert t["iOS"].device_18_24 == Decimal("0.070") and t["Android"].device_50 == Decimal("0.030")
 
 
-def test_age_band_all_zero_is_first_band(spark):
-    users = spark.createDataFrame([("1", "n", "F", 30, "z", "1990")],
-                                  "id string, uname string, gender string, age int, zodiac_sign string, decade string")
-    empty_o = spark.createDataFrame([], "uid string, ts_ms bigint, order_id string, " +
-                                    ", ".join(f"sum_{b} decimal(10,3)" for b in scoring.BANDS))
-    empty_l = spark.createDataFrame([], "uid string, window_start_ms bigint, " +
-                                    ", ".join(f"search_{b} decimal(10,3)" for b in scoring.BANDS) + ", " +
-                                    ", ".join(f"device_{b} decimal(10,3)" for b in scoring.BANDS))
-    assert label.age_band(users, empty_o, empty_l).first().max_age == "18-24"
+def _scored(spark, cols, recs):
+    bands = ", ".join(f"{k}_{b} decimal(10,3)" for k in cols[1] for b in scoring.BANDS)
+    n = len(cols[1]) * len(scoring.BANDS)
+    return spark.createDataFrame([(*r, *([Decimal("0.1")] * n)) for r in recs], f"{cols[0]}, {bands}")
+
+
+def test_age_band_needs_a_pair_in_time(spark):
+    H = 3_600_000
+    users = spark.createDataFrame(
+        [(i, "n", "F", 30, "z", "1990", 100 * H) for i in ("1", "2", "3")],
+        "id string, uname string, gender string, age int, zodiac_sign string, decade string, ts_ms bigint")
+    orders = _scored(spark, ("uid string, ts_ms bigint, order_id string", ["sum"]),
+                     [("1", 100 * H + 1_800_000, "a"), ("1", 100 * H + 1_800_001, "b"), ("2", 100 * H, "c")])
+    logs = _scored(spark, ("uid string, ts string, window_start_ms bigint", ["search", "device"]),
+                   [("1", str(112 * H + 1_800_000), 1), ("1", str(113 * H), 2), ("3", str(100 * H), 3)])
+    got = rows(label.age_band(users, orders, logs), "id", "order_id", "window_start_ms", "total_50", "max_age")
+    assert got == [("1", "a", 1, Decimal("0.300"), "18-24")]      # equal totals: the first band
 
 
 def test_dedup_first_and_rows(spark):

@@ -16,6 +16,14 @@ SF = "/root/testdata/sf0.001"
 FAR = 4_102_444_800_000  # 2100-01-01
 
 
+def run_to_memory(stream, name, checkpoint):
+    """Run a stream over everything available into a memory table."""
+    q = (stream.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return stream.sparkSession.table(name)
+
+
 def _write(path, name, records):
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, name), "w") as f:
@@ -45,7 +53,7 @@ def test_keyword_window_stream_equals_batch(spark, tmp):
     pages = _pages(spark)
     stream = _replay(spark, pages, os.path.join(tmp, "in"),
                      [_sentinel_page(FAR, -1), _sentinel_page(FAR + 86_400_000, -2)], ["ts", "log_id"])
-    out = jobs.run_to_memory(jobs.keyword_window_stream(stream, "1 second", "3 seconds"),
+    out = run_to_memory(jobs.keyword_window_stream(stream, "1 second", "3 seconds"),
                              "kw_stream", os.path.join(tmp, "ckpt"))
     got = rows(out.where(F.col("keyword") != "sentinel"))
     assert got == rows(dws.keyword_window(pages, "1 second")) and len(got) > 0
@@ -55,7 +63,7 @@ def test_traffic_window_stream_equals_batch(spark, tmp):
     pages = _pages(spark)
     stream = _replay(spark, pages, os.path.join(tmp, "in"),
                      [_sentinel_page(FAR, -1), _sentinel_page(FAR + 86_400_000, -2)], ["ts", "log_id"])
-    out = jobs.run_to_memory(jobs.traffic_window_stream(stream, "10 seconds", "0 seconds"),
+    out = run_to_memory(jobs.traffic_window_stream(stream, "10 seconds", "0 seconds"),
                              "traffic_stream", os.path.join(tmp, "ckpt"))
     got = rows(out.where(F.col("stt") < "2099"))
     expected = rows(dws.traffic_window(drv.events_log(drv.table(spark, SF, "events")), "10 seconds"))
@@ -66,7 +74,7 @@ def test_login_stream_equals_batch(spark, tmp):
     pages = _pages(spark)
     logins = dws.login_filter(pages).select("uid", "ts", "log_id")
     stream = _replay(spark, logins, os.path.join(tmp, "in"), [], ["ts", "log_id"])
-    out = jobs.run_to_memory(jobs.login_firsts_stream(stream), "login_stream", os.path.join(tmp, "ckpt"))
+    out = run_to_memory(jobs.login_firsts_stream(stream), "login_stream", os.path.join(tmp, "ckpt"))
     expected = sequence.returning_users(logins, "uid", "ts", "log_id", 8).select(
         "uid", "ts", "uu_ct", "back_ct")
     assert rows(out) == rows(expected)
@@ -81,7 +89,7 @@ def test_interval_join_stream_equals_batch(spark, tmp):
     rs = _replay(spark, sups, os.path.join(tmp, "s"), [], ["sup_ts_ms"])
     j = jobs.interval_join_stream(ls, rs, [("id", "uid")], "ts_ms", "sup_ts_ms",
                                   "-30 minutes", "30 minutes", "1 hour")
-    out = jobs.run_to_memory(j.select("id", "sup_ts_ms", "height"), "ij_stream", os.path.join(tmp, "ckpt"))
+    out = run_to_memory(j.select("id", "sup_ts_ms", "height"), "ij_stream", os.path.join(tmp, "ckpt"))
     batch = label.enrich_user(label.user_profile(drv.user_changes(drv.table(spark, SF, "customer")),
                                                  "2025-06-15"),
                               label.user_supplement(drv.user_sup_changes(drv.table(spark, SF, "customer"))))
@@ -93,7 +101,7 @@ def test_dedup_within_watermark(spark, tmp):
             {"order_id": "1", "ts_ms": 2000, "v": "c"}, {"order_id": "2", "ts_ms": 1000, "v": "d"}]
     _write(os.path.join(tmp, "in"), "p0.json", recs)
     stream = spark.readStream.schema("order_id string, ts_ms bigint, v string").json(os.path.join(tmp, "in"))
-    out = jobs.run_to_memory(jobs.dedup_stream(stream, ["order_id", "ts_ms"], "ts_ms", "10 seconds"),
+    out = run_to_memory(jobs.dedup_stream(stream, ["order_id", "ts_ms"], "ts_ms", "10 seconds"),
                              "dedup_stream", os.path.join(tmp, "ckpt"))
     assert rows(out, "order_id", "ts_ms") == [("1", 1000), ("1", 2000), ("2", 1000)]
 
@@ -108,7 +116,7 @@ def test_log_split_job_writes_all_outputs(spark, tmp):
     q = jobs.log_split_job(text, os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"),
                            trigger={"availableNow": True})
     q.awaitTermination()
-    counts = {n: spark.read.json(os.path.join(tmp, "out", n)).count()
+    counts = {n: spark.read.json(os.path.join(tmp, "out", n)).count()  # one query folder, one batch
               for n in ["err", "start", "page", "display", "action"]}
     assert counts == {"err": 1, "start": 1, "page": 2, "display": 2, "action": 1}
     assert spark.read.json(os.path.join(tmp, "out", "bad")).count() == 1
@@ -148,7 +156,7 @@ def test_order_detail_stream_equals_batch(spark, tmp):
                                                         "order_detail_id": "zz"},
                               "source": {"table": table, "ts_ms": str(t_ms)}, "op": "c", "ts_ms": t_ms})
     stream = _replay(spark, ch, os.path.join(tmp, "in"), sentinels, ["ts_ms"])
-    out = jobs.run_to_memory(jobs.order_detail_stream(stream, "10 seconds", "0 seconds"),
+    out = run_to_memory(jobs.order_detail_stream(stream, "10 seconds", "0 seconds"),
                              "od_stream", os.path.join(tmp, "ckpt"))
     got = rows(out.where(F.col("id") != "zz"))
     expected = rows(facts.order_detail(ch))
@@ -162,7 +170,7 @@ def test_window_agg_stream_event_and_processing_time(spark, tmp):
     _write(os.path.join(tmp, "in"), "p2.json", [{"k": "z", "ts": FAR + 86_400_000}])
     src = spark.readStream.schema("k string, ts bigint").option("maxFilesPerTrigger", 1) \
         .json(os.path.join(tmp, "in"))
-    ev = jobs.run_to_memory(jobs.window_agg_stream(src, ["k"], [F.count("*").alias("n")], "10 seconds"),
+    ev = run_to_memory(jobs.window_agg_stream(src, ["k"], [F.count("*").alias("n")], "10 seconds"),
                             "win_ev", os.path.join(tmp, "c1"))
     assert rows(ev.where(F.col("k") != "z"), "stt", "k", "n") == [
         ("1970-01-01 00:00:00", "a", 2), ("1970-01-01 00:00:10", "b", 1)]
@@ -175,7 +183,7 @@ def test_home_detail_and_login_windows_stream_equal_batch(spark, tmp):
     pages = _pages(spark)
     sent = [_sentinel_page(FAR, -1), _sentinel_page(FAR + 86_400_000, -2)]
     stream = _replay(spark, pages, os.path.join(tmp, "in"), sent, ["ts", "log_id"])
-    out = jobs.run_to_memory(jobs.home_detail_window_stream(stream), "hd_stream", os.path.join(tmp, "c1"))
+    out = run_to_memory(jobs.home_detail_window_stream(stream), "hd_stream", os.path.join(tmp, "c1"))
     expected = dws.home_detail_window(drv.events_log(drv.table(spark, SF, "events")), "10 seconds")
     assert rows(out.where(F.col("stt") < "2099")) == rows(expected)
 
@@ -183,7 +191,7 @@ def test_home_detail_and_login_windows_stream_equal_batch(spark, tmp):
     ls = _replay(spark, logins, os.path.join(tmp, "in2"),
                  [{"uid": "zz", "ts": FAR, "log_id": -1}, {"uid": "zz", "ts": FAR + 86_400_000, "log_id": -2}],
                  ["ts", "log_id"])
-    lo = jobs.run_to_memory(jobs.login_window_stream(ls), "login_win_stream", os.path.join(tmp, "c2"))
+    lo = run_to_memory(jobs.login_window_stream(ls), "login_win_stream", os.path.join(tmp, "c2"))
     assert rows(lo.where(F.col("stt") < "2099")) == rows(dws.login_window(
         pages, "1 second"))
 
@@ -194,7 +202,7 @@ def test_cart_user_window_stream_equals_batch(spark, tmp):
     sent = [{"id": "zz", "user_id": "zz", "sku_id": "0", "sku_num": "1", "ts_ms": FAR},
             {"id": "zy", "user_id": "zz", "sku_id": "0", "sku_num": "1", "ts_ms": FAR + 86_400_000}]
     stream = _replay(spark, carts, os.path.join(tmp, "in"), sent, ["ts_ms", "id"])
-    out = jobs.run_to_memory(jobs.cart_user_window_stream(stream), "cart_stream", os.path.join(tmp, "c"))
+    out = run_to_memory(jobs.cart_user_window_stream(stream), "cart_stream", os.path.join(tmp, "c"))
     assert rows(out.where(F.col("stt") < "2099")) == rows(dws.cart_user_window(carts, "10 seconds"))
 
 
@@ -207,7 +215,7 @@ def test_sku_window_stream_equals_batch(spark, tmp):
     base = {c: None for c in details.columns}
     sent = [dict(base, id="zz", sku_id="zz", ts_ms=FAR), dict(base, id="zy", sku_id="zz", ts_ms=FAR + 86_400_000)]
     stream = _replay(spark, details, os.path.join(tmp, "in"), sent, ["ts_ms", "id"])
-    out = jobs.run_to_memory(jobs.sku_order_window_stream(stream, DETAIL_ORDER), "sku_stream",
+    out = run_to_memory(jobs.sku_order_window_stream(stream, DETAIL_ORDER), "sku_stream",
                              os.path.join(tmp, "c"))
     got = rows(out.where(F.col("sku_id") != "zz"))
     expected = rows(dws.sku_order_window_batch(details, DETAIL_ORDER, None, "10 seconds"))
@@ -225,7 +233,7 @@ def test_province_window_stream_equals_batch(spark, tmp):
     sent = [dict(base, id="zz", province_id="zz", ts_ms=FAR),
             dict(base, id="zy", province_id="zz", ts_ms=FAR + 86_400_000)]
     stream = _replay(spark, details, os.path.join(tmp, "in"), sent, ["ts_ms", "id"])
-    out = jobs.run_to_memory(jobs.province_order_window_stream(stream, DETAIL_ORDER), "prov_stream",
+    out = run_to_memory(jobs.province_order_window_stream(stream, DETAIL_ORDER), "prov_stream",
                              os.path.join(tmp, "c"))
     got = rows(out.where(F.col("province_id") != "zz"))
     expected = rows(dws.province_order_window_batch(details, DETAIL_ORDER, None, "1 second"))
@@ -237,7 +245,120 @@ def test_repair_stream_equals_batch(spark, tmp):
     pages = _pages(spark)
     cols = ["mid", "is_new", "ts", "log_id"]
     stream = _replay(spark, pages.select(*cols), os.path.join(tmp, "in"), [], ["ts", "log_id"])
-    out = jobs.run_to_memory(jobs.repair_stream(stream, cols), "repair_stream", os.path.join(tmp, "c"))
+    out = run_to_memory(jobs.repair_stream(stream, cols), "repair_stream", os.path.join(tmp, "c"))
     log = pages.select(F.struct("mid", "is_new").alias("common"), "ts", "log_id")
     expected = sequence.repair_is_new(log).select("common.mid", "common.is_new", "ts", "log_id")
     assert rows(out, "mid", "is_new", "ts", "log_id") == rows(expected)
+
+
+def _fact_inputs(spark, tmp, tables, key):
+    """The change stream of some tables, replayed with far-future records."""
+    ch = drv.order_table_changes(spark, SF).where(F.col("source")["table"].isin(*tables))
+    sentinels = []
+    for t in (FAR, FAR + 10 * 86_400_000):
+        for table in tables:
+            img = {"id": "zz", "order_id": "zz", "order_status": key, "payment_status": "1602"}
+            sentinels.append({"before": {"id": "zz", "order_status": "1001", "payment_status": "1601"},
+                              "after": img, "source": {"table": table, "ts_ms": str(t)},
+                              "op": "c" if table == "order_refund_info" else "u", "ts_ms": t})
+    return ch, _replay(spark, ch, os.path.join(tmp, "changes"), sentinels, ["ts_ms"])
+
+
+def _detail_input(spark, tmp):
+    from tillstream.operators import facts
+    ch = drv.order_changes(drv.table(spark, SF, "orders")).unionByName(
+        drv.detail_changes(drv.table(spark, SF, "lineitem")))
+    d = facts.order_detail(ch)
+    far = [{**{c: None for c in d.columns}, "id": "zz", "order_id": "zz", "ts_ms": t}
+           for t in (FAR, FAR + 10 * 86_400_000)]
+    return d, _replay(spark, d, os.path.join(tmp, "details"), far, ["ts_ms", "id"])
+
+
+def test_cancel_and_payment_streams_equal_batch(spark, tmp):
+    from tillstream.operators import facts
+    from tillstream.sources import dims
+    details, detail_stream = _detail_input(spark, tmp)
+    ch, stream = _fact_inputs(spark, tmp, ["order_info", "payment_info"], "1003")
+    out = run_to_memory(jobs.order_cancel_stream(stream, detail_stream), "cancel_s", os.path.join(tmp, "c1"))
+    want = rows(facts.order_cancel(ch, details))
+    assert rows(out.where("id != 'zz'")) == want and want
+    out = run_to_memory(jobs.payment_stream(stream, detail_stream, dims.base_dic(spark)), "pay_s",
+                        os.path.join(tmp, "c2"))
+    want = rows(facts.payment_success(ch, details, dims.base_dic(spark)))
+    assert rows(out.where("order_id != 'zz'")) == want and want
+
+
+def test_refund_and_comment_streams_equal_batch(spark, tmp):
+    from tillstream.operators import facts
+    from tillstream.sources import dims
+    ch, stream = _fact_inputs(spark, tmp, ["order_info", "order_refund_info"], "1005")
+    out = run_to_memory(jobs.refund_stream(stream, dims.base_dic(spark)), "refund_s", os.path.join(tmp, "c1"))
+    want = rows(facts.refund(ch, dims.base_dic(spark)))
+    assert rows(out.where("order_id != 'zz'")) == want and want
+    # stateless facts run unchanged on a stream
+    c = drv.comment_changes(drv.table(spark, SF, "documents"))
+    s = _replay(spark, c, os.path.join(tmp, "comments"), [], ["ts_ms"])
+    out = run_to_memory(facts.comment_fact(s, dims.base_dic(spark)), "comment_s", os.path.join(tmp, "c2"))
+    assert rows(out) == rows(facts.comment_fact(c, dims.base_dic(spark)))
+    k = drv.cart_changes(drv.table(spark, SF, "events"))
+    s = _replay(spark, k, os.path.join(tmp, "carts"), [], ["ts_ms"])
+    out = run_to_memory(facts.cart_add(s), "cart_s2", os.path.join(tmp, "c3"))
+    assert rows(out) == rows(facts.cart_add(k))
+
+
+def test_routing_reads_the_configuration_per_batch(spark, tmp):
+    from tillstream.operators import cdc
+    from tillstream.sources import config as cfg
+    ch = drv.user_changes(drv.table(spark, SF, "customer"))
+    stream = _replay(spark, ch, os.path.join(tmp, "in"), [], ["ts_ms"])
+    full = cfg.config_log(spark, cfg.DIM_CONFIG_LOG)
+    calls = []
+    q = jobs.dim_route_job(stream, lambda: calls.append(1) or full, os.path.join(tmp, "dim"),
+                           os.path.join(tmp, "c1"), {"availableNow": True})
+    q.awaitTermination()
+    got = spark.read.json(os.path.join(tmp, "dim"))
+    want = cdc.route_dims(ch, full)
+    assert calls and sorted(r.row_key for r in got.collect()) == sorted(r.row_key for r in want.collect())
+    cart = drv.cart_changes(drv.table(spark, SF, "events"))
+    stream = _replay(spark, cart, os.path.join(tmp, "in2"), [], ["ts_ms"])
+    facts_cfg = cfg.config_log(spark, cfg.DWD_CONFIG_LOG)
+    q = jobs.fact_route_job(stream, lambda: facts_cfg, os.path.join(tmp, "fact"), os.path.join(tmp, "c2"),
+                            {"availableNow": True})
+    q.awaitTermination()
+    assert spark.read.json(os.path.join(tmp, "fact")).count() == cdc.route_facts(cart, facts_cfg).count() > 0
+
+
+def test_processors_with_a_ttl(spark, tmp):
+    """State that expires: every processor starts and gives the same rows."""
+    from tillstream.plans.queries import DETAIL_ORDER
+    hour = 3_600_000
+    pages = _pages(spark)
+    cols = ["mid", "is_new", "ts", "log_id"]
+    s = _replay(spark, pages.select(*cols), os.path.join(tmp, "r"), [], ["ts", "log_id"])
+    a = run_to_memory(jobs.repair_stream(s, cols), "ttl_a", os.path.join(tmp, "a"))
+    b = run_to_memory(jobs.repair_stream(s, cols, ttl_ms=hour), "ttl_b", os.path.join(tmp, "b"))
+    assert rows(a) == rows(b) and a.count() == pages.count()
+    details, stream = _detail_input(spark, tmp)
+    names = ["id", "sku_id", "ts_ms", *dws.SKU_AMOUNTS, *[c for c in DETAIL_ORDER if c not in
+                                                       ("sku_id", "ts_ms", *dws.SKU_AMOUNTS)]]
+    r = jobs.retraction_stream(stream.select(*names), "id", names, dws.SKU_AMOUNTS, DETAIL_ORDER, hour)
+    out = run_to_memory(r, "ttl_c", os.path.join(tmp, "c")).where("id != 'zz'")
+    batch = sequence.retract_duplicates(details, "id", dws.SKU_AMOUNTS, DETAIL_ORDER)
+    assert out.count() == batch.count()
+    total = F.sum(F.col("split_total_amount").cast("decimal(30,4)")).alias("s")
+    assert out.agg(total).first().s == batch.agg(total).first().s
+
+
+def test_running_profile_stream_equals_batch(spark, tmp):
+    from tillstream.streaming.processors import RunningProfile
+    proj = label.dedup_rows(label.log_device_search(drv.events_log(drv.table(spark, SF, "events"))))
+    # anonymous logs share one uid
+    proj = proj.withColumn("uid", F.when(F.col("ts") % 3 == 0, "-1").otherwise(F.col("uid")))
+    s = _replay(spark, proj, os.path.join(tmp, "in"), [], ["ts", "os", "search_item"])
+    out = run_to_memory(s.groupBy("uid").transformWithStateInPandas(
+        RunningProfile(ttl_ms=3_600_000), "uid string, event_ts bigint, pv bigint, os string, ts bigint, "
+        "last_search string", "Append", "ProcessingTime"), "profile_s", os.path.join(tmp, "c"))
+    last = label.last_per_window(out, "uid", "event_ts", 60_000, ["event_ts", "pv"])
+    want = label.running_profile(proj)
+    cols = ["uid", "window_start_ms", "pv", "os", F.col("ts").cast("string"), "last_search"]
+    assert rows(last.select(*cols)) == rows(want.select(*cols))

@@ -36,8 +36,9 @@ def ntz_millis(ts_ntz) -> Column:
 
 
 def text_to_ms(text, offset_hours: int = 8) -> Column:
-    """FN-2 ``yyyy-MM-dd[ HH:mm:ss]`` text → epoch ms at a fixed UTC offset."""
-    return ntz_millis(F.to_timestamp_ntz(_c(text))) - F.lit(offset_hours * 3_600_000)
+    """FN-2 ``yyyy-MM-dd[ HH:mm:ss]`` text → epoch ms at a fixed UTC offset;
+    null when the text is no time."""
+    return ntz_millis(_c(text).try_cast("timestamp_ntz")) - F.lit(offset_hours * 3_600_000)
 
 
 def text_to_date(text) -> Column:
@@ -52,7 +53,7 @@ def text_to_date(text) -> Column:
 
 def epoch_day_to_date(days) -> Column:
     """FN-6 days since 1970-01-01 → ``date``."""
-    return F.date_from_unix_date(_c(days).cast("int"))
+    return F.date_from_unix_date(_c(days).try_cast("int"))
 
 
 def decade(date_col) -> Column:
@@ -98,7 +99,8 @@ def zodiac_sign(date_col) -> Column:
 
 def whole_days_between(later_ms, earlier_ms) -> Column:
     """FN-10 whole days between two epoch-ms values (integer division)."""
-    return F.floor((_c(later_ms) - _c(earlier_ms)) / F.lit(86_400_000)).cast("bigint")
+    d = _c(later_ms) - _c(earlier_ms)
+    return ((d - F.pmod(d, F.lit(86_400_000))) / F.lit(86_400_000)).cast("bigint")
 
 
 def window_bounds(window_col="window") -> list[Column]:

@@ -83,8 +83,13 @@ def row_image_flat(changes: DataFrame, data_col: str = "data") -> DataFrame:
     img = F.when(F.col("after").isNotNull() & (F.size("after") > 0), F.col("after")) \
            .otherwise(F.col("before"))
     extra = F.create_map(F.lit("op"), F.col("op"), F.lit("tm_ms"), F.col("ts_ms").cast("string"))
-    return changes.withColumn(data_col, F.map_concat(F.coalesce(img, F.create_map().cast(
-        "map<string,string>")), extra))
+    return changes.withColumn(data_col, map_put(img, extra))
+
+
+def map_put(image: Column, extra: Column) -> Column:
+    """A map with the entries of ``extra``, which replace its own."""
+    own = F.coalesce(image, F.create_map().cast("map<string,string>"))
+    return F.map_concat(F.map_filter(own, lambda k, _: ~F.map_contains_key(extra, k)), extra)
 
 
 def source_type_op(source_type) -> Column:
@@ -100,7 +105,7 @@ def latest_config(config: DataFrame, keys: Sequence[str] = ("source_table", "sou
     """JN-10: latest config row per key by ``ts_ms``; a latest ``op='d'`` removes it."""
     cols = [c for c in config.columns if c not in keys]
     last = (config.groupBy(*keys)
-            .agg(F.max_by(F.struct(*cols), F.col("ts_ms")).alias("_l"))
+            .agg(F.max_by(F.struct(*cols), F.struct("ts_ms", *cols)).alias("_l"))
             .select(*keys, "_l.*"))
     return last.where(F.coalesce(F.col("op"), F.lit("r")) != "d").drop("op")
 
@@ -138,9 +143,8 @@ def route_facts(changes: DataFrame, config: DataFrame,
     j = c.join(cfg, (c["source"]["table"] == cfg["source_table"]) & (c["op"] == cfg["source_type"]))
     j = j.withColumn("data", F.col("after"))
     j = prune(j)
-    return j.select("sink_table", F.map_concat(
-        "data", F.create_map(F.lit("ts_ms"), F.col("ts_ms").cast("string"))).alias("data"),
-        "ts_ms")
+    return j.select("sink_table", map_put(
+        F.col("data"), F.create_map(F.lit("ts_ms"), F.col("ts_ms").cast("string"))).alias("data"), "ts_ms")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -89,37 +89,41 @@ def latest_details(details: DataFrame, order: list[str]) -> DataFrame:
     return latest_per_key(details, ["id"], order)
 
 
-def order_cancel(changes: DataFrame, details: DataFrame) -> DataFrame:
-    """PRJ-6 + JN-3: order lines of orders moved from 1001 to 1003."""
-    oc = table_changes(changes, "order_info", ["u"]).where(
+def cancelled_orders(changes: DataFrame) -> DataFrame:
+    """Orders moved from 1001 to 1003."""
+    return table_changes(changes, "order_info", ["u"]).where(
         (B["order_status"] == "1001") & (A["order_status"] == "1003")).select(
         A["id"].alias("oc_id"), A["operate_time"].alias("operate_time"),
         _src_ts().alias("oc_ts_ms"))
-    j = details.join(oc, details["order_id"] == oc["oc_id"], "inner")
-    return j.select(
-        "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
-        "activity_rule_id", "coupon_id",
-        text_to_date(F.col("operate_time")).alias("order_cancel_date_id"), "operate_time",
-        "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount",
-        "split_total_amount", F.col("oc_ts_ms").alias("ts_ms"))
 
 
-def payment_success(changes: DataFrame, details: DataFrame, dic: DataFrame,
-                    interval: tuple[int, int] | None = None) -> DataFrame:
-    """PRJ-7 + JN-4 + JN-6: successful payments ⨝ order lines ⨝ payment-type
-    names.  ``interval=(lo_ms, hi_ms)`` optionally bounds line time against the
-    payment time (the reference's commented-out −30 min … +5 s)."""
-    pi = table_changes(changes, "payment_info", ["u"]).where(
+def cancel_columns() -> list:
+    """The cancellation fact's columns, over order lines ⨝ cancelled orders."""
+    return ["id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
+            "activity_rule_id", "coupon_id",
+            text_to_date(F.col("operate_time")).alias("order_cancel_date_id"), "operate_time",
+            "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount",
+            "split_total_amount", F.col("oc_ts_ms").alias("ts_ms")]
+
+
+def order_cancel(changes: DataFrame, details: DataFrame) -> DataFrame:
+    """PRJ-6 + JN-3: order lines of cancelled orders."""
+    oc = cancelled_orders(changes)
+    return details.join(oc, details["order_id"] == oc["oc_id"], "inner").select(*cancel_columns())
+
+
+def paid_orders(changes: DataFrame) -> DataFrame:
+    """Payments that became successful."""
+    return table_changes(changes, "payment_info", ["u"]).where(
         B["payment_status"].isNotNull() & (A["payment_status"] == "1602")).select(
         A["user_id"].alias("pi_user_id"), A["order_id"].alias("pi_order_id"),
         A["payment_type"].alias("payment_type_code"), A["callback_time"].alias("callback_time"),
         _src_ts().alias("pi_ts_ms"))
-    cond = [pi["pi_order_id"] == details["order_id"]]
-    if interval is not None:
-        cond += [details["ts_ms"] >= pi["pi_ts_ms"] + interval[0],
-                 details["ts_ms"] <= pi["pi_ts_ms"] + interval[1]]
-    j = pi.join(details, cond, "inner")
-    j = lookup(j, dic, [("payment_type_code", "dic_code")], {"dic_name": "payment_type_name"},
+
+
+def payment_names(joined: DataFrame, dic: DataFrame) -> DataFrame:
+    """The payment fact's columns, over payments ⨝ order lines."""
+    j = lookup(joined, dic, [("payment_type_code", "dic_code")], {"dic_name": "payment_type_name"},
                how="inner")
     return j.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name",
@@ -129,18 +133,36 @@ def payment_success(changes: DataFrame, details: DataFrame, dic: DataFrame,
         F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts_ms").alias("ts_ms"))
 
 
-def refund(changes: DataFrame, dic: DataFrame) -> DataFrame:
-    """PRJ-8 + JN-5 + JN-6 (twice): refund requests ⨝ orders in status 1005,
-    with refund type and reason names."""
-    ri = table_changes(changes, "order_refund_info", ["c"]).select(
+def payment_success(changes: DataFrame, details: DataFrame, dic: DataFrame,
+                    interval: tuple[int, int] | None = None) -> DataFrame:
+    """PRJ-7 + JN-4 + JN-6: successful payments ⨝ order lines ⨝ payment-type
+    names.  ``interval=(lo_ms, hi_ms)`` optionally bounds line time against the
+    payment time (the reference's commented-out −30 min … +5 s)."""
+    pi = paid_orders(changes)
+    cond = [pi["pi_order_id"] == details["order_id"]]
+    if interval is not None:
+        cond += [details["ts_ms"] >= pi["pi_ts_ms"] + interval[0],
+                 details["ts_ms"] <= pi["pi_ts_ms"] + interval[1]]
+    return payment_names(pi.join(details, cond, "inner"), dic)
+
+
+def refund_requests(changes: DataFrame) -> DataFrame:
+    return table_changes(changes, "order_refund_info", ["c"]).select(
         *[A[c].alias(c) for c in ["id", "user_id", "order_id", "sku_id", "refund_type",
                                   "refund_num", "refund_amount", "refund_reason_type",
                                   "refund_reason_txt", "create_time"]], _src_ts())
-    oi = table_changes(changes, "order_info", ["u"]).where(
+
+
+def refunding_orders(changes: DataFrame) -> DataFrame:
+    """Orders that entered status 1005."""
+    return table_changes(changes, "order_info", ["u"]).where(
         B["order_status"].isNotNull() & (A["order_status"] == "1005")).select(
-        A["id"].alias("oi_id"), A["province_id"].alias("province_id"))
-    j = ri.join(oi, ri["order_id"] == oi["oi_id"], "inner")
-    j = lookup(j, dic, [("refund_type", "dic_code")], {"dic_name": "refund_type_name"}, how="inner")
+        A["id"].alias("oi_id"), A["province_id"].alias("province_id"), _src_ts().alias("oi_ts_ms"))
+
+
+def refund_names(joined: DataFrame, dic: DataFrame) -> DataFrame:
+    """The refund fact's columns, over requests ⨝ orders."""
+    j = lookup(joined, dic, [("refund_type", "dic_code")], {"dic_name": "refund_type_name"}, how="inner")
     j = lookup(j, dic, [("refund_reason_type", "dic_code")], {"dic_name": "refund_reason_type_name"},
                how="inner")
     return j.select(
@@ -151,6 +173,13 @@ def refund(changes: DataFrame, dic: DataFrame) -> DataFrame:
         "refund_reason_txt", "refund_num", "refund_amount", "ts_ms")
 
 
+def refund(changes: DataFrame, dic: DataFrame) -> DataFrame:
+    """PRJ-8 + JN-5 + JN-6 (twice): refund requests ⨝ orders in status 1005,
+    with refund type and reason names."""
+    ri, oi = refund_requests(changes), refunding_orders(changes)
+    return refund_names(ri.join(oi, ri["order_id"] == oi["oi_id"], "inner"), dic)
+
+
 def comment_fact(changes: DataFrame, dic: DataFrame) -> DataFrame:
     """PRJ-11 + JN-6: comments with the appraisal name (inner lookup); the
     source time lands in column ``ts`` as in the published topic."""

@@ -4,9 +4,8 @@ AGG-8 … AGG-10, SCO-*, STR-9/10).
 Batch design: every per-user step is an aggregate (partial + final) or an
 interval join bucketed by time, so a user holding a large share of the log is
 spread over tasks.  The running profile (AGG-9) is computed per one-minute
-window — the reference keeps only the last profile of each minute (AGG-8) —
-from first-seen values, so its per-user work grows with the user's active
-minutes and distinct values, never with the raw row count.
+window — the reference keeps only the last profile of each minute (AGG-8) — so
+its ordered step sees one row per user and active minute, never the raw rows.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.dates import age_years, decade, epoch_day_to_date, zodiac_sign
-from tillstream.functions.text import first_token
 from tillstream.operators.cdc import table_changes
 from tillstream.operators.joins import interval_join, lookup
 from tillstream.operators.scoring import BANDS, pick_band, price_bucket, weight_score, weight_table
@@ -48,7 +46,7 @@ def user_supplement(changes: DataFrame) -> DataFrame:
     return s.select(_a("uid").alias("uid"), _a("height").alias("height"),
                     _a("unit_height").alias("unit_height"), _a("weight").alias("weight"),
                     _a("unit_weight").alias("unit_weight"),
-                    _a("create_ts").cast("bigint").alias("create_ts"), "ts_ms")
+                    _a("create_ts").try_cast("bigint").alias("create_ts"), "ts_ms")
 
 
 def enrich_user(users: DataFrame, sups: DataFrame, lower_ms: int = -1_800_000,
@@ -102,37 +100,32 @@ SET_FIELDS = ["os", "ch", "md", "ba", "search_item"]
 
 
 def running_profile(proj: DataFrame, size_ms: int = 60_000) -> DataFrame:
-    """AGG-9 then AGG-8: per (uid, window) the running page count, the sorted
-    distinct os/ch/md/ba/search sets so far (comma-joined), the first ``ts`` so
-    far (first token of the sorted ts set) and the latest search item.
-
-    Values enter once, at the window they are first seen, so the ordered step
-    per user handles (active windows + distinct values) rows."""
-    base = proj.withColumn("_w", F.floor(F.col("ts") / size_ms))
-    per_win = base.groupBy("uid", "_w").agg(
-        F.count("*").alias("_n"), F.min("ts").alias("_first_ts"),
-        F.max_by("search_item", F.when(F.col("search_item").isNotNull(), F.col("ts")))
-         .alias("_last_search"))
-    vals = base.select("uid", "_w", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("f"), F.col(f).alias("v")) for f in SET_FIELDS])).alias("_fv"))
-    first_seen = (vals.where(F.col("_fv.v").isNotNull())
-                  .groupBy("uid", F.col("_fv.f").alias("_f"), F.col("_fv.v").alias("_v"))
-                  .agg(F.min("_w").alias("_w")))
-    rows = per_win.select("uid", "_w", "_n", "_first_ts", "_last_search",
-                          F.lit(None).cast("string").alias("_f"), F.lit(None).cast("string").alias("_v"))
-    rows = rows.unionByName(first_seen.select(
-        "uid", "_w", F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast("bigint").alias("_first_ts"),
-        F.lit(None).cast("string").alias("_last_search"), "_f", "_v"))
-    w = Window.partitionBy("uid").orderBy("_w").rangeBetween(Window.unboundedPreceding, 0)
-    sets = [F.concat_ws(",", F.array_sort(F.collect_set(
-        F.when(F.col("_f") == f, F.col("_v"))).over(w))).alias(f) for f in SET_FIELDS]
-    out = rows.select(
-        "uid", "_w", "_f", F.sum("_n").over(w).alias("pv"), *sets,
-        F.min("_first_ts").over(w).cast("string").alias("ts"),
-        F.last("_last_search", ignorenulls=True).over(w).alias("last_search"))
-    return out.where(F.col("_f").isNull()).select(
-        "uid", (F.col("_w") * size_ms).alias("window_start_ms"), "pv", *SET_FIELDS, "ts",
-        "last_search")
+    """AGG-9 then AGG-8: per (uid, window) what scoring reads of the profile so
+    far: the page count, the first element of the sorted os set and of the
+    sorted ts set, and the latest search item.
+
+    Rows are reduced to one per (uid, minute) by hash-partial aggregates first;
+    only those, bounded by the calendar whatever a uid's share of the log, meet
+    in the running window.  The elements of the sets are
+    :func:`profile_values`."""
+    found = F.col("search_item").isNotNull()
+    per_win = proj.groupBy("uid", F.floor(F.col("ts") / size_ms).alias("_w")).agg(
+        F.count("*").alias("_n"), F.min("ts").alias("_ts"), F.min("os").alias("_os"),
+        F.max(F.when(found, F.struct("ts", "search_item"))).alias("_search"))
+    w = Window.partitionBy("uid").orderBy("_w").rowsBetween(Window.unboundedPreceding, 0)
+    return per_win.select(
+        "uid", (F.col("_w") * size_ms).alias("window_start_ms"), F.sum("_n").over(w).alias("pv"),
+        F.min("_os").over(w).alias("os"), F.min("_ts").over(w).cast("string").alias("ts"),
+        F.last(F.col("_search.search_item"), ignorenulls=True).over(w).alias("last_search"))
+
+
+def profile_values(proj: DataFrame, size_ms: int = 60_000) -> DataFrame:
+    """AGG-9's sets as rows: (uid, field, value, first_window_ms).  A profile's
+    set at some minute is the values whose first window is not later."""
+    vals = proj.select("uid", "ts", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in SET_FIELDS])).alias("v"))
+    return (vals.where(F.col("v.value").isNotNull()).groupBy("uid", "v.field", "v.value")
+            .agg(F.min(F.floor(F.col("ts") / size_ms) * size_ms).alias("first_window_ms")))
 
 
 def category_hierarchy(dims: dict[str, DataFrame]) -> DataFrame:
@@ -159,7 +152,7 @@ def score_logs(profile: DataFrame, hier: DataFrame, compare: DataFrame,
                spark: SparkSession) -> DataFrame:
     """SCO-1 + SCO-2 with JN-20: device scores from the first os, search scores
     from the latest search item's top category's search category."""
-    p = profile.withColumn("judge_os", first_token(F.col("os"), ","))
+    p = profile.withColumn("judge_os", F.col("os"))
     p = lookup(p, hier, [("last_search", "b3name")], {"b1name": "b1_category"})
     p = lookup(p, compare, [("b1_category", "category_name")], {"search_category": "search_category"})
     p = weight_score(p, weight_table(spark, "device"), "judge_os", "device")
@@ -208,34 +201,41 @@ def score_orders(order_skus_df: DataFrame, mapping: DataFrame, spark: SparkSessi
 
 
 def age_band(users: DataFrame, order_scores: DataFrame, log_scores: DataFrame) -> DataFrame:
-    """SCO-7 + TOP-2 (batch form): each user's latest order score and latest
-    log score, added per band; the label is the band with the largest total."""
-    lo = (order_scores.groupBy("uid")
-          .agg(F.max_by(F.struct(*[f"sum_{b}" for b in BANDS]), F.struct("ts_ms", "order_id"))
-               .alias("_o")).select("uid", "_o.*"))
-    ll = (log_scores.groupBy("uid")
-          .agg(F.max_by(F.struct(*[f"search_{b}" for b in BANDS], *[f"device_{b}" for b in BANDS]),
-                        F.col("window_start_ms")).alias("_l")).select("uid", "_l.*"))
-    u = users.join(lo, users["id"] == lo["uid"], "left").drop("uid")
-    u = u.join(ll, u["id"] == ll["uid"], "left").drop("uid")
-    z = F.lit(0).cast("decimal(10,3)")
-    totals = [(F.coalesce(F.col(f"sum_{b}"), z) + F.coalesce(F.col(f"search_{b}"), z) +
-               F.coalesce(F.col(f"device_{b}"), z)).cast("decimal(10,3)").alias(f"total_{b}")
-              for b in BANDS]
-    out = u.select("id", "uname", "gender", "age", "zodiac_sign", "decade", *totals)
+    """SCO-7 + TOP-2: users ⨝ their scored orders within ±30 min (JN-13), ⨝
+    their scored logs within ±12 h of that pair's time (JN-14); the scores are
+    added per band and the label is the band with the largest total.  A user
+    without such a pair has no row."""
+    logs = log_scores.select(
+        F.col("uid").alias("l_uid"), F.col("ts").try_cast("bigint").alias("log_ts"), "window_start_ms",
+        *[f"{k}_{b}" for k in ("search", "device") for b in BANDS])
+    j = interval_join(user_order_pairs(users, order_scores), logs, [("id", "l_uid")], "event_ts_ms",
+                      "log_ts", -12 * 3_600_000, 12 * 3_600_000)
+    totals = [(F.col(f"sum_{b}") + F.col(f"search_{b}") + F.col(f"device_{b}"))
+              .cast("decimal(10,3)").alias(f"total_{b}") for b in BANDS]
+    out = j.select("id", "uname", "gender", "age", "zodiac_sign", "decade", "order_id", "event_ts_ms",
+                   "window_start_ms", *totals)
     return out.withColumn("max_age", pick_band([F.col(f"total_{b}") for b in BANDS]))
 
 
+def user_order_values(orders: DataFrame) -> DataFrame:
+    """AGG-10's sets as rows: (uid, field, value) of the order ids and create
+    times seen for a user."""
+    return orders.select("uid", F.explode(F.array(
+        F.struct(F.lit("order_id").alias("field"), F.col("order_id").alias("value")),
+        F.struct(F.lit("create_time").alias("field"), F.col("create_time").alias("value")))).alias("v")) \
+        .where(F.col("v.value").isNotNull()).select("uid", "v.field", "v.value").distinct()
+
+
 def user_orders_profile(orders: DataFrame) -> DataFrame:
     """AGG-10 (batch form): per user the order count, the first and last
     create time and order id, the amount total and distinct orders.  The
-    reference's comma-joined sets of ids and times grow without bound, so they
-    are summarised rather than materialised."""
+    reference's comma-joined sets of ids and times grow without bound: their
+    elements are rows of :func:`user_order_values`."""
     return orders.groupBy("uid").agg(
         F.count("*").alias("pv"), F.min("create_time").alias("first_create_time"),
         F.max("create_time").alias("last_create_time"),
         F.countDistinct("order_id").alias("n_orders"),
-        F.sum(F.col("total_amount").cast("decimal(20,2)")).alias("total_amount_sum"),
+        F.sum(F.col("total_amount").try_cast("decimal(20,2)")).alias("total_amount_sum"),
         F.min("ts_ms").alias("first_ts_ms"), F.max("ts_ms").alias("last_ts_ms"))
 
 

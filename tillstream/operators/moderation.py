@@ -1,21 +1,21 @@
 """Comment moderation (JN-7, JN-15, JN-23, PRJ-13, PRJ-22 … PRJ-24, MOD-1, MOD-2).
 
-The word list is a bounded dictionary: below ``max_inline`` words it is
-inlined as an array literal (a JVM-side ``filter`` over every text, no join);
-above that, texts are matched by a join between the text's substrings of the
-dictionary's word lengths and the dictionary (equi-join, exact, shuffled by
-word), so the dictionary never has to fit on the driver.
+The word list is a table.  Texts meet it in one way whatever its size: a
+text's distinct character n-grams, as long as the shortest word, are equi-joined
+with the words' beginnings, and the few (text, word) pairs that meet are checked
+for the whole word.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.functions.dates import ms_to_compact_date
 from tillstream.functions.text import last_token
 from tillstream.operators.cdc import row_image_flat, table_changes
 from tillstream.operators.joins import interval_join, lookup
+from tillstream.operators.label import dedup_first
 from tillstream.session import fixed_table
 
 # The sensitive-word dictionary used by the registered queries
@@ -36,9 +36,9 @@ def comment_rows(changes: DataFrame, dic: DataFrame) -> DataFrame:
         "ts_ms", F.col("source")["db"].alias("db"), F.col("source")["table"].alias("table"),
         F.col("source")["server_id"].alias("server_id"), a["appraise"].alias("appraise"),
         a["comment_txt"].alias("comment_txt"), "op", a["nick_name"].alias("nick_name"),
-        a["create_time"].alias("create_time"), a["user_id"].cast("bigint").alias("user_id"),
-        a["sku_id"].cast("bigint").alias("sku_id"), a["id"].cast("bigint").alias("id"),
-        a["spu_id"].cast("bigint").alias("spu_id"), a["order_id"].cast("bigint").alias("order_id"))
+        a["create_time"].alias("create_time"), a["user_id"].try_cast("bigint").alias("user_id"),
+        a["sku_id"].try_cast("bigint").alias("sku_id"), a["id"].try_cast("bigint").alias("id"),
+        a["spu_id"].try_cast("bigint").alias("spu_id"), a["order_id"].try_cast("bigint").alias("order_id"))
     return lookup(c, dic, [("appraise", "dic_code")], {"dic_name": "dic_name"}, default="N/A")
 
 
@@ -46,10 +46,10 @@ def order_rows(changes: DataFrame) -> DataFrame:
     """PRJ-13: order_info images flattened with ``op`` and ``tm_ms``."""
     o = row_image_flat(table_changes(changes, "order_info"))
     d = F.col("data")
-    return o.select(d["id"].cast("bigint").alias("id"), d["user_id"].alias("user_id"),
+    return o.select(d["id"].try_cast("bigint").alias("id"), d["user_id"].alias("user_id"),
                     d["consignee"].alias("consignee"), d["trade_body"].alias("trade_body"),
                     d["order_status"].alias("order_status"), d["op"].alias("op"),
-                    d["tm_ms"].cast("bigint").alias("tm_ms"))
+                    d["tm_ms"].try_cast("bigint").alias("tm_ms"))
 
 
 def comment_with_order(comments: DataFrame, orders: DataFrame,
@@ -62,10 +62,8 @@ def comment_with_order(comments: DataFrame, orders: DataFrame,
 
 
 def in_words(df: DataFrame, col: str, words: DataFrame, flag: str = "in_words") -> DataFrame:
-    """JN-23: boolean set membership of ``col`` (left join on a de-duplicated,
-    size-checked dictionary)."""
-    w = (words.select(F.col("word").alias("_w")).distinct()
-                        .withColumn("_hit", F.lit(True)))
+    """JN-23: boolean set membership of ``col`` (left join on the distinct words)."""
+    w = words.select(F.col("word").alias("_w")).distinct().withColumn("_hit", F.lit(True))
     j = df.join(w, df[col] == w["_w"], "left")
     return j.select(*[df[c] for c in df.columns], F.coalesce(F.col("_hit"), F.lit(False)).alias(flag))
 
@@ -81,64 +79,56 @@ def flag_last_token(df: DataFrame, words: DataFrame, text_col: str = "msg") -> D
         F.when(F.col("_p0"), F.col("_last")).otherwise(F.lit("")).alias("violation_msg"))
 
 
-def words_in_text(text: Column, words: list[str]) -> Column:
-    """FN-21: sorted distinct dictionary words occurring in ``text`` (substring
-    match), for a bounded, inlined dictionary."""
-    arr = F.array(*[F.lit(w) for w in sorted(set(words))])
-    return F.filter(arr, lambda w: F.contains(text, w))
-
-
-def flag_any_word(df: DataFrame, words: list[str], text_col: str = "msg") -> DataFrame:
+def matched_words(texts: DataFrame, key_col: str, text_col: str, words: DataFrame) -> DataFrame:
+    """FN-21: ``(key, word)`` for every dictionary word that occurs in a text
+    (substring match).  ``key_col`` names a text; empty words match nothing."""
+    w = words.select("word").where(F.length("word") > 0).distinct()
+    n = w.agg(F.min(F.length("word"))).first()[0]
+    if n is None:
+        return texts.select(key_col, F.lit("").alias("word")).limit(0)
+    t = F.col(text_col)
+    places = F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1)))
+    grams = texts.where(F.length(t) >= n).select(key_col, F.explode(F.array_distinct(
+        F.transform(places, lambda i: F.substr(t, i, F.lit(n))))).alias("_gram"))
+    begun = w.withColumn("_gram", F.substring("word", 1, n))
+    pairs = grams.join(begun, "_gram").select(key_col, "word")
+    return (pairs.join(texts.select(key_col, text_col), key_col).where(F.contains(t, F.col("word")))
+            .select(key_col, "word").distinct())
+
+
+def find_words(texts: DataFrame, text_col: str, words: DataFrame) -> DataFrame:
+    """``texts`` + ``found``: the sorted distinct dictionary words in each text.
+    Equal texts are matched once."""
+    keyed = texts.withColumn("_text_key", F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    each = keyed.groupBy("_text_key").agg(F.any_value(text_col).alias("_t"))
+    hits = (matched_words(each, "_text_key", "_t", words)
+            .groupBy("_text_key").agg(F.array_sort(F.collect_set("word")).alias("found")))
+    return keyed.join(hits, "_text_key", "left").select(
+        *texts.columns, F.coalesce("found", F.array().cast("array<string>")).alias("found"))
+
+
+def flag_any_word(df: DataFrame, words: DataFrame, text_col: str = "msg") -> DataFrame:
     """MOD-2: when the first check found nothing, any dictionary word inside the
     text gives grade P1 and the words joined by ``", "``; ``is_violation`` stays
     0 as in the reference output."""
-    found = words_in_text(F.coalesce(F.col(text_col), F.lit("")), words)
-    p1 = (F.col("is_violation") == 0) & (F.size(found) > 0)
-    return df.select(
+    p1 = (F.col("is_violation") == 0) & (F.size("found") > 0)
+    return find_words(df, text_col, words).select(
         *[c for c in df.columns if c not in ("violation_grade", "violation_msg")],
         F.when(p1, F.lit("P1")).otherwise(F.col("violation_grade")).alias("violation_grade"),
-        F.when(p1, F.array_join(found, ", ")).otherwise(F.col("violation_msg")).alias("violation_msg"))
-
-
-def matched_words_join(texts: DataFrame, id_col: str, text_col: str, words: DataFrame) -> DataFrame:
-    """FN-21 for a dictionary of any size: ``(id, word)`` for every dictionary
-    word occurring in the text.  Each text is cut into its substrings of the
-    dictionary's word lengths (a handful of distinct values, read once), which
-    are equi-joined to the dictionary — exact, and shuffled by word rather than
-    shipped whole to every task."""
-    w = words.select("word").distinct()
-    lengths = sorted(r[0] for r in w.select(F.length("word")).distinct().collect() if r[0])
-    t = F.col(text_col)
-
-    def cut(n: int):  # substrings of length n (one-argument lambda for ``transform``)
-        return lambda i: F.substr(t, i, F.lit(n))
+        F.when(p1, F.array_join("found", ", ")).otherwise(F.col("violation_msg")).alias("violation_msg"))
 
-    subs = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1))), cut(n))
-        for n in lengths])) if lengths else F.array().cast("array<string>")
-    exploded = texts.select(id_col, F.explode(subs).alias("_s")).distinct()
-    return exploded.join(w, exploded["_s"] == w["word"]).select(id_col, "word")
 
+# Which of several rows of one (order, time) is checked: the first by these.
+FIRST_BY = ["info_tm_ms", "info_op", "info_order_status", "id"]
 
-def find_words(texts: DataFrame, id_col: str, text_col: str, words: DataFrame,
-               max_inline: int = 10_000) -> DataFrame:
-    """``texts`` + ``found`` (sorted distinct dictionary words in the text).
 
-    The dictionary's size is checked first: up to ``max_inline`` words it is
-    inlined into the expression; beyond, the substring join is used and the
-    matches are grouped back per text."""
-    n = words.select("word").distinct().limit(max_inline + 1).count()
-    if n <= max_inline:
-        listed = [r[0] for r in words.select("word").distinct().collect()]
-        return texts.withColumn("found", words_in_text(F.coalesce(F.col(text_col), F.lit("")), listed))
-    hits = (matched_words_join(texts, id_col, text_col, words)
-            .groupBy(id_col).agg(F.array_sort(F.collect_set("word")).alias("found")))
-    j = texts.join(hits, id_col, "left")
-    return j.withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
+def messages(joined: DataFrame) -> DataFrame:
+    """The rows to check: one per (order, time) of the comment ⨝ order rows."""
+    once = dedup_first(joined, ["order_id", "ts_ms"], FIRST_BY)
+    return once.select("user_id", F.col("info_consignee").alias("consignee"), "ts_ms", "ds",
+                       F.col("comment_txt").alias("msg"))
 
 
-def blacklist(joined: DataFrame, words_df_: DataFrame, words: list[str]) -> DataFrame:
+def blacklist(joined: DataFrame, words: DataFrame) -> DataFrame:
     """MOD-1 then MOD-2 on the comment ⨝ order rows → blacklist table rows."""
-    base = joined.select(F.col("user_id"), F.col("info_consignee").alias("consignee"),
-                         "ts_ms", "ds", F.col("comment_txt").alias("msg"))
-    return flag_any_word(flag_last_token(base, words_df_), words)
+    return flag_any_word(flag_last_token(messages(joined), words), words)

@@ -86,7 +86,7 @@ def weight_score(df: DataFrame, weights: DataFrame, match_col: str, model: str,
 
 def price_bucket(amount) -> Column:
     """SCO-3: [0, 1000] → ``0-1000``; (1000, 4000] → ``1000-4000``; else ``other``."""
-    a = F.col(amount).cast("decimal(20,2)") if isinstance(amount, str) else amount
+    a = F.col(amount).try_cast("decimal(20,2)") if isinstance(amount, str) else amount
     return (F.when((a >= 0) & (a <= 1000), F.lit("0-1000"))
              .when((a > 1000) & (a <= 4000), F.lit("1000-4000")).otherwise(F.lit("other")))
 

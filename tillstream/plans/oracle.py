@@ -565,22 +565,31 @@ FROM orec GROUP BY uid
 """
 
 
-def _set(c: str) -> str:
-    return (f"coalesce(array_to_string(list_sort(list_distinct(list(b.{c}) "
-            f"FILTER (WHERE b.{c} IS NOT NULL))), ','), '') AS {c}")
-
-
-PROFILE = PROJ + f""",
+PROFILE = PROJ + """,
 b AS (SELECT *, ts // 60000 AS w FROM proj),
 wins AS (SELECT DISTINCT uid, w FROM b),
 profile AS (
-  SELECT wins.uid, wins.w * 60000 AS window_start_ms, count(*) AS pv,
-         {_set('os')}, {_set('ch')}, {_set('md')}, {_set('ba')}, {_set('search_item')},
+  SELECT wins.uid, wins.w * 60000 AS window_start_ms, count(*) AS pv, min(b.os) AS os,
          CAST(min(b.ts) AS VARCHAR) AS ts,
-         arg_max(b.search_item, b.ts) FILTER (WHERE b.search_item IS NOT NULL) AS last_search
+         arg_max(b.search_item, (b.ts, b.search_item)) FILTER (WHERE b.search_item IS NOT NULL) AS last_search
   FROM wins JOIN b ON b.uid = wins.uid AND b.w <= wins.w
   GROUP BY wins.uid, wins.w)"""
 
+ORACLE["label_profile_values"] = f"""
+WITH {PROJ},
+v AS (
+  SELECT uid, ts, unnest(['os', 'ch', 'md', 'ba', 'search_item']) AS field,
+         unnest([os, ch, md, ba, search_item]) AS value FROM proj)
+SELECT uid, field, value, min(ts // 60000) * 60000 AS first_window_ms
+FROM v WHERE value IS NOT NULL GROUP BY uid, field, value
+"""
+
+ORACLE["label_order_values"] = f"""
+WITH {ORDER_RECS}
+SELECT DISTINCT uid, 'order_id' AS field, order_id AS value FROM orec
+UNION ALL SELECT DISTINCT uid, 'create_time', {fmt('t0')} FROM orec
+"""
+
 ORACLE["label_user_activity"] = f"WITH {PROFILE} SELECT * FROM profile"
 
 ORACLE["last_per_window"] = f"""
@@ -639,7 +648,7 @@ _sea_sel, _sea_tab, _ = _w("search", SEARCH_ROWS, "search_category", 0.15)
 
 LOG_SCORES_TAIL = f"""
 ls0 AS (
-  SELECT p.*, string_split(p.os, ',')[1] AS judge_os, h.b1name AS b1_category,
+  SELECT p.*, p.os AS judge_os, h.b1name AS b1_category,
          cmp.search_category
   FROM profile p
   LEFT JOIN (SELECT DISTINCT b3name, b1name FROM hier) h ON p.last_search = h.b3name
@@ -704,22 +713,22 @@ ORACLE["label_order_score"] = f"WITH {ORDER_SCORES} SELECT * FROM order_scores"
 
 ORACLE["dedup_key"] = f"WITH {ORDER_SKUS} SELECT order_id, ts_ms, sku_id, detail_id FROM oskus"
 
-_tot = ", ".join(
-    f"CAST(coalesce(lo.sum_{b}, 0) + coalesce(ll.search_{b}, 0) + coalesce(ll.device_{b}, 0) "
-    f"AS DECIMAL(10,3)) AS total_{b}" for b in BANDS_)
+_tot = ", ".join(f"CAST(os.sum_{b} + ll.search_{b} + ll.device_{b} AS DECIMAL(10,3)) AS total_{b}"
+                 for b in BANDS_)
 _labels = "['18-24','25-29','30-34','35-39','40-49','50以上']"
 _arr = "[" + ", ".join(f"total_{b}" for b in BANDS_) + "]"
 
 ORACLE["label_age_band"] = f"""
 WITH {USERS}, {ORDER_SCORES}, {PROFILE}, {LOG_SCORES_TAIL},
-lo AS (SELECT uid, {', '.join(f'arg_max(sum_{b}, (ts_ms, order_id)) AS sum_{b}' for b in BANDS_)}
-       FROM order_scores GROUP BY uid),
-ll AS (SELECT uid, {', '.join(f'arg_max(search_{b}, window_start_ms) AS search_{b}' for b in BANDS_)},
-              {', '.join(f'arg_max(device_{b}, window_start_ms) AS device_{b}' for b in BANDS_)}
-       FROM log_scores GROUP BY uid),
+pairs AS (
+  SELECT users.*, order_id, greatest(users.ts_ms, s.ts_ms) AS event_ts_ms,
+         {', '.join('s.sum_' + b for b in BANDS_)}
+  FROM users JOIN order_scores s ON users.id = s.uid
+   AND s.ts_ms BETWEEN users.ts_ms - 1800000 AND users.ts_ms + 1800000),
 t AS (
-  SELECT users.id, uname, gender, age, zodiac_sign, decade, {_tot}
-  FROM users LEFT JOIN lo ON users.id = lo.uid LEFT JOIN ll ON users.id = ll.uid)
+  SELECT os.id, uname, gender, age, zodiac_sign, decade, order_id, event_ts_ms, ll.window_start_ms, {_tot}
+  FROM pairs os JOIN log_scores ll ON os.id = ll.uid
+   AND CAST(ll.ts AS BIGINT) BETWEEN event_ts_ms - 43200000 AND event_ts_ms + 43200000)
 SELECT *, {_labels}[list_position({_arr}, list_max({_arr}))] AS max_age FROM t
 """
 
@@ -807,7 +816,9 @@ P0 = CO + f""",
 p0 AS (
   SELECT user_id, info_consignee AS consignee, ts_ms, ds, comment_txt AS msg,
          {last_tok('comment_txt', ',')} AS lt
-  FROM co),
+  FROM co
+  QUALIFY row_number() OVER (PARTITION BY order_id, ts_ms
+                             ORDER BY info_tm_ms, info_op, info_order_status, id) = 1),
 p0f AS (
   SELECT user_id, consignee, ts_ms, ds, msg,
          CASE WHEN list_contains({WORDS_SQL}, lt) THEN 1 ELSE 0 END AS is_violation,

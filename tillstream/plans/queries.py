@@ -328,6 +328,16 @@ def q_label_user_activity(spark, sf):
     return _profile(spark, sf)
 
 
+@query("label_profile_values")
+def q_label_profile_values(spark, sf):
+    return label.profile_values(label.dedup_rows(_log_proj(spark, sf)), 60_000)
+
+
+@query("label_order_values")
+def q_label_order_values(spark, sf):
+    return label.user_order_values(label.order_projection(_order_changes(spark, sf))[0])
+
+
 @query("label_user_orders")
 def q_label_user_orders(spark, sf):
     return label.user_orders_profile(label.order_projection(_order_changes(spark, sf))[0])
@@ -448,16 +458,13 @@ def q_word_membership(spark, sf):
 
 @query("moderation_p0")
 def q_moderation_p0(spark, sf):
-    j = _comment_orders(spark, sf)
-    base = j.select("user_id", F.col("info_consignee").alias("consignee"), "ts_ms", "ds",
-                    F.col("comment_txt").alias("msg"))
-    return moderation.flag_last_token(base, moderation.words_df(spark))
+    return moderation.flag_last_token(moderation.messages(_comment_orders(spark, sf)),
+                                      moderation.words_df(spark))
 
 
 @query("moderation_p1")
 def q_moderation_p1(spark, sf):
-    return moderation.blacklist(_comment_orders(spark, sf), moderation.words_df(spark),
-                                moderation.WORDS)
+    return moderation.blacklist(_comment_orders(spark, sf), moderation.words_df(spark))
 
 
 # -------------------------------------------------------------- functions

@@ -1,23 +1,21 @@
 """Writers (SNK-1 … SNK-8, SNK-11).
 
-Every streaming sink is idempotent per micro-batch: appends go to a folder
-named by the batch id (rewritten whole on replay), and upserts write a new
-table version before moving the ``_CURRENT`` pointer, so a batch re-run after
-an executor or driver failure never duplicates or loses rows.
+Every streaming sink may be replayed: appends go to a folder named by the
+query and the batch id (rewritten whole on replay), and a keyed table keeps the
+greatest version of a key, records the (query, batch) pairs it has applied and
+only ever adds files, so a batch that runs twice, or half, changes nothing.
 """
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.operators.cdc import upsert
-
-POINTER = "_CURRENT"
+from tillstream.operators.cdc import latest_per_key
+from tillstream.session import materialize
 
 
 def to_json_value(df: DataFrame, cols: Sequence[str] | None = None,
@@ -62,72 +60,119 @@ def write_routed(df: DataFrame, topic_col: str, path: str | None = None,
         df.write.mode(mode).partitionBy(topic_col).json(path)
 
 
-def write_batch_append(df: DataFrame, base: str, batch_id: int, fmt: str = "parquet") -> str:
-    """SNK-5: one micro-batch appended under ``batch=<id>`` (replay overwrites
-    the same folder, so the write is idempotent)."""
-    target = os.path.join(base, f"batch={batch_id}")
+def query_id(df: DataFrame) -> str:
+    """Id of the streaming query whose micro-batch ``df`` is (it lives in the
+    query's checkpoint, so a restarted query keeps it and a new one has its
+    own); ``batch`` outside of a stream."""
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def write_batch_append(df: DataFrame, base: str, batch_id: int, fmt: str = "parquet",
+                       query: str | None = None) -> str:
+    """SNK-5: one micro-batch appended under ``query=<id>/batch=<id>``: a replay
+    rewrites its own folder, and a job with a new checkpoint, whose batch ids
+    begin at 0 again, never touches what an earlier one wrote."""
+    target = os.path.join(base, f"query={query or query_id(df)}", f"batch={batch_id}")
     df.write.mode("overwrite").format(fmt).save(target)
     return target
 
 
-def _read_pointer(spark: SparkSession, base: str) -> dict | None:
-    p = os.path.join(base, POINTER)
-    try:
-        rows = spark.read.text(p).collect()
-    except Exception:  # no pointer yet
-        return None
-    return json.loads(rows[0][0]) if rows else None
+TOMBSTONE = "__deleted"
+BUCKETS = 16
+_APPLIED = "version BIGINT, query STRING, batch_id BIGINT, bucket INT"
 
 
-TOMBSTONE = "__deleted"
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there; a store that cannot be read raises."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def current_table(spark: SparkSession, base: str, tombstones: bool = False) -> DataFrame | None:
-    """The current image of a versioned keyed table (deleted keys hidden)."""
-    ptr = _read_pointer(spark, base)
-    if not ptr:
+def _applied(spark: SparkSession, base: str) -> DataFrame | None:
+    """The table's log: one row per version and bucket it rewrote."""
+    path = os.path.join(base, "applied")
+    return spark.read.schema(_APPLIED).parquet(path) if _exists(spark, path) else None
+
+
+def _newest(spark: SparkSession, base: str, only: Sequence[int] | None = None) -> DataFrame | None:
+    """The newest recorded image of every bucket (or of ``only`` these).  Files
+    of a version that was not recorded are never read."""
+    log = _applied(spark, base)
+    if log is None:
         return None
-    df = spark.read.parquet(ptr["path"])
-    if tombstones or TOMBSTONE not in df.columns:
+    heads = {r["bucket"]: r["v"] for r in log.groupBy("bucket").agg(F.max("version").alias("v")).collect()}
+    paths = [os.path.join(base, "data", f"bucket={b}", f"version={v}") for b, v in sorted(heads.items())
+             if only is None or b in only]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def current_table(spark: SparkSession, base: str, tombstones: bool = False) -> DataFrame | None:
+    """The current image of a keyed table (deleted keys hidden); None before the
+    first batch.  A table that exists but cannot be read raises."""
+    df = _newest(spark, base)
+    if df is None or tombstones:
         return df
     return df.where(~F.coalesce(F.col(TOMBSTONE), F.lit(False))).drop(TOMBSTONE)
 
 
 def upsert_table(spark: SparkSession, base: str, batch: DataFrame, keys: Sequence[str],
-                 order: Sequence[str], batch_id: int, delete_col: str | None = None) -> str:
-    """SNK-4 / SNK-6 / SNK-7: apply a batch of changes to a keyed table stored
-    as versioned Parquet folders under ``base``.
-
-    The new image (max version per key; deletes kept as tombstones, hidden by
-    ``current_table``) is written to ``v=<batch_id>``, then the pointer is
-    replaced.  A batch already applied
-    (pointer at or past ``batch_id``) is skipped, so replays are idempotent."""
-    ptr = _read_pointer(spark, base)
-    if ptr and ptr["batch_id"] >= batch_id:
-        return ptr["path"]
-    target = current_table(spark, base, tombstones=True)
-    b = batch.withColumnRenamed(delete_col, TOMBSTONE) if delete_col else batch
-    new = upsert(target, b, keys, order, TOMBSTONE if delete_col or (
-        target is not None and TOMBSTONE in target.columns) else None, keep_tombstones=True)
-    path = os.path.join(base, f"v={batch_id}")
-    new.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(json.dumps({"batch_id": batch_id, "path": path}),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(os.path.join(base, POINTER))
-    return path
+                 order: Sequence[str], batch_id: int, delete_col: str | None = None,
+                 query: str | None = None, buckets: int = BUCKETS) -> None:
+    """SNK-4 / SNK-6 / SNK-7: merge a batch of changes into a keyed table.
+
+    Keys are spread over hash buckets (their number is fixed for the table's
+    life).  Only the buckets that the batch touches are merged — greatest
+    version per key; deletes stay as tombstones, hidden by ``current_table`` —
+    and written as new files; then one log row per bucket names the version.
+    A (query, batch) pair in the log is skipped, whatever its number."""
+    query = query or query_id(batch)
+    log = _applied(spark, base)
+    if log is not None and log.where((F.col("query") == query) & (F.col("batch_id") == batch_id)).limit(1).count():
+        return
+    version = 1 if log is None else log.agg(F.max("version")).first()[0] + 1
+    b = batch.withColumnRenamed(delete_col, TOMBSTONE) if delete_col else batch.withColumn(TOMBSTONE, F.lit(False))
+    rows = materialize(b.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")),
+                       "upsert-batch")
+    touched = sorted(r[0] for r in rows.select("__bucket").distinct().collect())
+    if not touched:
+        return
+    known = _newest(spark, base, touched)
+    if known is not None:
+        rows = rows.unionByName(known.withColumn(
+            "__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), allowMissingColumns=True)
+    merged = materialize(latest_per_key(rows, [*keys, "__bucket"], order), "upsert-merged")
+    for k in touched:
+        merged.where(F.col("__bucket") == k).drop("__bucket").write.mode("overwrite").parquet(
+            os.path.join(base, "data", f"bucket={k}", f"version={version}"))
+    spark.createDataFrame([(version, query, batch_id, k) for k in touched], _APPLIED).coalesce(1).write.mode(
+        "append").parquet(os.path.join(base, "applied"))
+
+
+def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
+    """Remove all but the ``keep`` newest versions of every bucket."""
+    log = _applied(spark, base)
+    for r in [] if log is None else log.groupBy("bucket").agg(F.sort_array(F.collect_set("version")).alias("v")).collect():
+        for v in r["v"][:-keep]:
+            p = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(base, "data", f"bucket={r['bucket']}", f"version={v}"))
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def foreach_batch_writer(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Wrap a ``(df, batch_id)`` writer for ``writeStream.foreachBatch``; the
-    batch is persisted once when it feeds several outputs (SPL-1)."""
+    """Wrap a ``(df, batch_id)`` writer for ``writeStream.foreachBatch``."""
     def run(df: DataFrame, batch_id: int) -> None:
-        df.persist()
-        try:
-            fn(df, batch_id)
-        finally:
-            df.unpersist()
+        fn(df, batch_id)
     return run
 
 
+def kept_once(df: DataFrame, fn: Callable[[DataFrame], None]) -> None:
+    """Run ``fn`` on rows that several outputs read: computed once (SPL-1)."""
+    df.persist()
+    try:
+        fn(df)
+    finally:
+        df.unpersist()
+
+
 def console(df: DataFrame, checkpoint: str):
     """SNK-11: print a stream (debugging)."""
     return (df.writeStream.format("console").option("truncate", "false")

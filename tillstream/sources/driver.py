@@ -254,6 +254,12 @@ def _refund_info() -> list[_Change]:
                     (F.col("st") == "F") & (F.col("prio") == "1-URGENT"))]
 
 
+def order_table_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_info``, ``payment_info`` and ``order_refund_info`` records from
+    one scan of `orders`."""
+    return _emit(_order_rows(table(spark, sf_dir, "orders")), *_order_info(), *_payment_info(), *_refund_info())
+
+
 def _line_changes(lineitem: DataFrame, emit) -> DataFrame:
     """`lineitem` → ``order_detail`` inserts plus activity / coupon links.
 
@@ -396,7 +402,7 @@ def all_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole ``topic_db`` stream derived from the driver tables, for jobs
     that read (nearly) all of it: every table is scanned once."""
     return _union([
-        _emit(_order_rows(table(spark, sf_dir, "orders")), *_order_info(), *_payment_info(), *_refund_info()),
+        order_table_changes(spark, sf_dir),
         _line_changes(table(spark, sf_dir, "lineitem"), _emit),
         _cart_changes(table(spark, sf_dir, "events"), _emit),
         comment_changes(table(spark, sf_dir, "documents")),

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions.dates import window_bounds
-from tillstream.sinks.writers import (foreach_batch_writer, to_json_value, upsert_table,
-                                      write_batch_append)
+from tillstream.sinks.writers import (foreach_batch_writer, kept_once, query_id, to_json_value,
+                                      upsert_table, write_batch_append)
 from tillstream.functions.text import empty_or_null, tokens
 from tillstream.streaming.processors import DailyFirst, NewVisitorRepair, Retraction, ReturningUser
 
@@ -39,6 +39,11 @@ def _schema(fields) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields))
 
 
+def _mode(ttl_ms: int | None) -> str:
+    """Time mode of a processor: state that expires needs the clock."""
+    return "ProcessingTime" if ttl_ms else "None"
+
+
 def traffic_window_stream(pages: DataFrame, size: str = "10 seconds",
                           delay: str = "0 seconds", zone: str = "UTC",
                           ttl_ms: int | None = None) -> DataFrame:
@@ -49,7 +54,7 @@ def traffic_window_stream(pages: DataFrame, size: str = "10 seconds",
     # state TTL is measured in processing time, so it needs that time mode
     flagged = pages.groupBy("mid").transformWithStateInPandas(
         DailyFirst(cols, "ts", "log_id", "uv", zone, ttl_ms), out_schema, "Append",
-        "ProcessingTime" if ttl_ms else "None")
+        _mode(ttl_ms))
     ev = with_event_time(flagged, "ts", delay)
     agg = (ev.groupBy(F.window("et", size).alias("window"), "vc", "ch", "ar", "is_new")
            .agg(F.sum("uv").alias("uv_ct"),
@@ -82,7 +87,7 @@ def repair_stream(pages: DataFrame, cols: Sequence[str], zone: str = "UTC",
     """SEQ-6 on a stream."""
     schema = _schema([f for f in PAGE_FIELDS if f[0] in cols])
     return pages.groupBy("mid").transformWithStateInPandas(
-        NewVisitorRepair(list(cols), "ts", "log_id", zone, ttl_ms), schema, "Append", "None")
+        NewVisitorRepair(list(cols), "ts", "log_id", zone, ttl_ms), schema, "Append", _mode(ttl_ms))
 
 
 def retraction_stream(details: DataFrame, key: str, cols: Sequence[str], amounts: Sequence[str],
@@ -91,7 +96,7 @@ def retraction_stream(details: DataFrame, key: str, cols: Sequence[str], amounts
     schema = T.StructType([T.StructField(c, T.LongType() if c == "ts_ms" else T.StringType())
                            for c in cols] + [T.StructField("sign", T.LongType())])
     return details.groupBy(key).transformWithStateInPandas(
-        Retraction(list(cols), list(amounts), list(order), ttl_ms), schema, "Append", "None")
+        Retraction(list(cols), list(amounts), list(order), ttl_ms), schema, "Append", _mode(ttl_ms))
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str = "ts_ms",
@@ -114,28 +119,6 @@ def interval_join_stream(left: DataFrame, right: DataFrame, on: Sequence[tuple[s
     return lft.join(rgt, cond, how).drop("_let", "_ret")
 
 
-# ------------------------------------------------------------------ replay
-def replay_dir(spark: SparkSession, df: DataFrame, path: str, files: int = 1,
-               order: Sequence[str] | None = None) -> str:
-    """Write a batch DataFrame as JSON files (``files`` of them, each sorted by
-    ``order``) so a file stream can replay it."""
-    d = df.repartition(files) if files > 1 else df.coalesce(1)
-    if order:
-        d = d.sortWithinPartitions(*order)
-    d.write.mode("overwrite").json(path)
-    return path
-
-
-def run_to_memory(stream: DataFrame, name: str, checkpoint: str,
-                  output_mode: str = "append") -> DataFrame:
-    """Run a stream over everything available (``availableNow``) into a memory
-    table and return it as a batch DataFrame."""
-    q = (stream.writeStream.format("memory").queryName(name).outputMode(output_mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return stream.sparkSession.table(name)
-
-
 # -------------------------------------------------------------- job wiring
 def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, output_mode: str = "append"):
     w = (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
@@ -144,17 +127,22 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, output_mode
 
 
 def log_split_job(text: DataFrame, base: str, checkpoint: str, trigger: dict | None = None):
-    """SPL-1 … SPL-3 as one streaming query: each micro-batch is parsed once
-    and written to five outputs (err / start / page / display / action) plus
-    the bad messages, each under ``<base>/<output>/batch=<id>`` (idempotent on
-    replay).  ``trigger`` defaults to a 5 s checkpoint cadence (STR-13)."""
-    from tillstream.operators.logs import parse_log, split_log
+    """SPL-1 … SPL-3 as one streaming query: each micro-batch is parsed once;
+    the parsed rows are kept for the five outputs (err / start / page / display
+    / action) and the bad messages.  Feed it repaired logs (``repair_stream``
+    over the parsed pages) to repair before the split, as the reference does.
+    ``trigger`` defaults to a 5 s checkpoint cadence (STR-13)."""
+    from tillstream.operators.logs import parse_log_tagged, split_log
+    from tillstream.schemas import LOG
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = parse_log(batch)
-        write_batch_append(bad, f"{base}/bad", batch_id, "json")
-        for name, part in split_log(good).items():
-            write_batch_append(part, f"{base}/{name}", batch_id, "json")
+        def outputs(parsed: DataFrame) -> None:
+            write_batch_append(parsed.where("not _ok").select(F.col("_raw").alias("value")),
+                               f"{base}/bad", batch_id, "json")
+            good = parsed.where("_ok").select(*LOG.fieldNames())
+            for name, part in split_log(good).items():
+                write_batch_append(part, f"{base}/{name}", batch_id, "json")
+        kept_once(parse_log_tagged(batch), outputs)
 
     return _start(text, write, checkpoint, trigger)
 
@@ -162,13 +150,37 @@ def log_split_job(text: DataFrame, base: str, checkpoint: str, trigger: dict | N
 def upsert_job(changes: DataFrame, base: str, keys: Sequence[str], order: Sequence[str],
                checkpoint: str, delete_col: str | None = None, trigger: dict | None = None):
     """SNK-4 / SNK-6 / SNK-7 on a stream: every micro-batch is merged into a
-    versioned keyed table (``upsert_table``); replays are skipped by batch id."""
+    keyed table (``upsert_table``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_table(batch.sparkSession, base, batch, keys, order, batch_id, delete_col)
 
     return _start(changes, write, checkpoint, trigger)
 
 
+def _routed(changes: DataFrame, config, route, base: str, checkpoint: str, trigger: dict | None):
+    """One folder per sink table and batch; the configuration is read anew by
+    ``config()`` for every micro-batch, so a change of it takes effect at the
+    next one."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = route(batch, config())
+        target = f"{base}/query={query_id(batch)}/batch={batch_id}"
+        rows.write.mode("overwrite").partitionBy("sink_table").json(target)
+
+    return _start(changes, write, checkpoint, trigger)
+
+
+def dim_route_job(changes: DataFrame, config, base: str, checkpoint: str, trigger: dict | None = None):
+    """JN-8 on a stream with live configuration (SRC-13)."""
+    from tillstream.operators.cdc import route_dims
+    return _routed(changes, config, route_dims, base, checkpoint, trigger)
+
+
+def fact_route_job(changes: DataFrame, config, base: str, checkpoint: str, trigger: dict | None = None):
+    """JN-9 / SNK-2 on a stream with live configuration."""
+    from tillstream.operators.cdc import route_facts
+    return _routed(changes, config, route_facts, base, checkpoint, trigger)
+
+
 def append_job(rows_: DataFrame, base: str, checkpoint: str, fmt: str = "parquet",
                trigger: dict | None = None):
     """SNK-5: windowed results (append mode: each window once, after the
@@ -208,7 +220,7 @@ def order_detail_stream(changes: DataFrame, retention: str = "10 seconds",
     od = part("order_detail", [a["id"].alias("id"), a["order_id"].alias("order_id"),
                                a["sku_id"].alias("sku_id"), a["sku_name"].alias("sku_name"),
                                a["create_time"].alias("create_time"), a["sku_num"].alias("sku_num"),
-                               (a["sku_num"].cast("decimal(16,2)") * a["order_price"].cast("decimal(16,2)"))
+                               (a["sku_num"].try_cast("decimal(16,2)") * a["order_price"].try_cast("decimal(16,2)"))
                                .cast("string").alias("split_original_amount"),
                                a["split_total_amount"].alias("split_total_amount"),
                                a["split_activity_amount"].alias("split_activity_amount"),
@@ -235,6 +247,39 @@ def order_detail_stream(changes: DataFrame, retention: str = "10 seconds",
         "split_coupon_amount", "split_total_amount", "ts_ms")
 
 
+def _joined(left: DataFrame, right: DataFrame, on: tuple[str, str], left_ts: str, right_ts: str,
+            retention: str, delay: str) -> DataFrame:
+    """Inner stream-stream join on one key within ``retention`` either way."""
+    return interval_join_stream(left, right, [on], left_ts, right_ts, f"-{retention}", retention, delay)
+
+
+def order_cancel_stream(changes: DataFrame, details: DataFrame, retention: str = "1 day",
+                        delay: str = "0 seconds") -> DataFrame:
+    """PRJ-6 + JN-3 on a stream: ``details`` is the order-detail fact stream;
+    state is kept for ``retention`` around the cancellation."""
+    from tillstream.operators import facts
+    c, shape = facts.cancelled_orders(changes), facts.cancel_columns()
+    return _joined(details, c, ("order_id", "oc_id"), "ts_ms", "oc_ts_ms", retention, delay).select(*shape)
+
+
+def payment_stream(changes: DataFrame, details: DataFrame, dic: DataFrame, retention: str = "1 day",
+                   delay: str = "0 seconds") -> DataFrame:
+    """PRJ-7 + JN-4 + JN-6 on a stream; the dictionary is a static table."""
+    from tillstream.operators import facts
+    j = _joined(facts.paid_orders(changes), details, ("pi_order_id", "order_id"), "pi_ts_ms", "ts_ms",
+                retention, delay)
+    return facts.payment_names(j, dic)
+
+
+def refund_stream(changes: DataFrame, dic: DataFrame, retention: str = "1 day",
+                  delay: str = "0 seconds") -> DataFrame:
+    """PRJ-8 + JN-5 + JN-6 on a stream."""
+    from tillstream.operators import facts
+    j = _joined(facts.refund_requests(changes), facts.refunding_orders(changes), ("order_id", "oi_id"),
+                "ts_ms", "oi_ts_ms", retention, delay)
+    return facts.refund_names(j, dic)
+
+
 def window_agg_stream(df: DataFrame, keys: Sequence[str], aggs: Sequence, size: str,
                       time: str = "event", ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
     """STR-3 / STR-4 / STR-6: a tumbling-window aggregate on event time (default,
@@ -260,7 +305,7 @@ def home_detail_window_stream(pages: DataFrame, size: str = "10 seconds",
     firsts = p.groupBy("mid_page").transformWithStateInPandas(
         DailyFirst(["page_id", "ts", "log_id"], "ts", "log_id", "uv", zone, ttl_ms, only_flagged=True),
         "page_id string, ts bigint, log_id bigint, uv bigint", "Append",
-        "ProcessingTime" if ttl_ms else "None")
+        _mode(ttl_ms))
     agg = with_event_time(firsts, "ts", delay).groupBy(F.window("et", size).alias("window")).agg(
         F.sum(F.when(F.col("page_id") == "home", 1).otherwise(0)).alias("home_uv_ct"),
         F.sum(F.when(F.col("page_id") == "good_detail", 1).otherwise(0)).alias("good_detail_uv_ct"))
@@ -273,7 +318,7 @@ def cart_user_window_stream(cart_adds: DataFrame, size: str = "10 seconds",
     """AGG-3 + SEQ-4 on a stream: daily first cart add per user, counted per window."""
     firsts = cart_adds.groupBy("user_id").transformWithStateInPandas(
         DailyFirst(["ts_ms", "id"], "ts_ms", "id", "uv", zone, ttl_ms, only_flagged=True),
-        "ts_ms bigint, id string, uv bigint", "Append", "ProcessingTime" if ttl_ms else "None")
+        "ts_ms bigint, id string, uv bigint", "Append", _mode(ttl_ms))
     agg = with_event_time(firsts, "ts_ms", delay).groupBy(F.window("et", size).alias("window")) \
         .agg(F.count("*").alias("cart_add_uu_ct"))
     return agg.select(*window_bounds(), "cart_add_uu_ct")

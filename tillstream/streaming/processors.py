@@ -23,8 +23,11 @@ def _days(ts: pd.Series, zone: str) -> pd.Series:
     return t.dt.tz_convert(zone).dt.strftime("%Y-%m-%d")
 
 
-def _midnight_ms(day: str, zone: str) -> int:
-    return int(pd.Timestamp(day, tz=zone).value // 1_000_000)
+def _midnights_ms(days: pd.Series, zone: str) -> pd.Series:
+    """Epoch milliseconds of the days' midnights (0 for a missing day)."""
+    t = pd.to_datetime(days).dt.tz_localize(zone).dt.tz_convert("UTC").dt.tz_localize(None)
+    ms = (t - pd.Timestamp(0)) // pd.Timedelta(milliseconds=1)
+    return ms.fillna(0).astype("int64")
 
 
 def _sorted(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
@@ -52,15 +55,9 @@ class DailyFirst(StatefulProcessor):
         if pdf.empty:
             return
         last = self.last.get()[0] if self.last.exists() else None
-        flags = []
-        for d in _days(pdf[self.ts], self.zone):
-            if last is None or d != last:
-                flags.append(1)
-                last = d
-            else:
-                flags.append(0)
-        self.last.update((last,))
-        pdf[self.flag] = flags
+        day = _days(pdf[self.ts], self.zone)
+        pdf[self.flag] = day.ne(day.shift(fill_value=last)).astype("int64")
+        self.last.update((day.iloc[-1],))
         if self.only_flagged:
             pdf = pdf[pdf[self.flag] == 1]
         yield pdf[self.out_cols + [self.flag]]
@@ -86,18 +83,15 @@ class ReturningUser(StatefulProcessor):
         if pdf.empty:
             return
         last = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for ts, d in zip(pdf[self.ts], _days(pdf[self.ts], self.zone)):
-            if last == d:
-                continue
-            back = 0
-            if last is not None and (int(ts) - _midnight_ms(last, self.zone)) // DAY_MS >= self.min_days:
-                back = 1
-            out.append((key[0], int(ts), 1, back))
-            last = d
-        self.last.update((last,))
-        if out:
-            yield pd.DataFrame(out, columns=[self.key, self.ts, "uu_ct", "back_ct"])
+        day = _days(pdf[self.ts], self.zone)
+        before = day.shift(fill_value=last)
+        first = day.ne(before)
+        self.last.update((day.iloc[-1],))
+        ts, before = pdf.loc[first, self.ts].astype("int64"), before[first]
+        if len(ts):
+            gap = (ts - _midnights_ms(before, self.zone)) // DAY_MS
+            yield pd.DataFrame({self.key: key[0], self.ts: ts, "uu_ct": 1,
+                                "back_ct": (before.notna() & (gap >= self.min_days)).astype("int64")})
 
     def close(self) -> None:
         pass
@@ -121,33 +115,22 @@ class NewVisitorRepair(StatefulProcessor):
         if pdf.empty:
             return
         anchor = self.anchor.get()[0] if self.anchor.exists() else None
-        days = list(_days(pdf[self.ts], self.zone))
-        prev_days = list(_days(pdf[self.ts] - DAY_MS, self.zone))
-        fixed = []
-        for flag, d, pd_ in zip(pdf["is_new"], days, prev_days):
-            if flag == "1":
-                if anchor is None:
-                    anchor = d
-                elif anchor != d:
-                    flag = "0"
-            elif anchor is None:
-                anchor = pd_
-            fixed.append(flag)
-        self.anchor.update((anchor,))
-        pdf["is_new"] = fixed
+        day, new = _days(pdf[self.ts], self.zone), pdf["is_new"].eq("1")
+        if anchor is None:      # decided by the first row
+            anchor = day.iloc[0] if new.iloc[0] else _days(pdf[self.ts].iloc[:1] - DAY_MS, self.zone).iloc[0]
+            self.anchor.update((anchor,))
+        pdf["is_new"] = pdf["is_new"].mask(new & day.ne(anchor), "0")
         yield pdf[self.out_cols]
 
     def close(self) -> None:
         pass
 
 
-def _negate_text(v):
-    """Negate a decimal held as text (the reference prefixes ``-``; a value
-    that is already negative loses its sign instead of gaining a second one)."""
-    if v is None:
-        return None
-    s = str(v)
-    return s[1:] if s.startswith("-") else "-" + s
+def _negated(v: pd.Series) -> pd.Series:
+    """Negated decimals held as text (the reference prefixes ``-``; a value that
+    is already negative loses its sign instead of gaining a second one)."""
+    t = v.astype("string")
+    return t.str[1:].where(t.str.startswith("-"), "-" + t).where(t.notna(), None).astype(object)
 
 
 class Retraction(StatefulProcessor):
@@ -166,63 +149,61 @@ class Retraction(StatefulProcessor):
         pdf = _sorted(rows, self.order)
         if pdf.empty:
             return
-        last = json.loads(self.last.get()[0]) if self.last.exists() else None
-        out = []
-        for rec in pdf[self.out_cols].to_dict("records"):
-            if last is not None:
-                neg = dict(last)
-                for a in self.amounts:
-                    neg[a] = _negate_text(neg[a])
-                neg["sign"] = -1
-                out.append(neg)
-            rec = {k: (None if pd.isna(v) else v) for k, v in rec.items()}
-            out.append({**rec, "sign": 1})
-            last = rec
-        self.last.update((json.dumps(last, default=str),))
-        yield pd.DataFrame(out, columns=self.out_cols + ["sign"])
+        new = pdf[self.out_cols].astype(object).where(pdf[self.out_cols].notna(), None).reset_index(drop=True)
+        stored = pd.DataFrame([json.loads(self.last.get()[0])]) if self.last.exists() else new.iloc[:0]
+        # The row before each new row is taken back just ahead of it.
+        taken = pd.concat([stored, new.iloc[:-1]], ignore_index=True)[self.out_cols]
+        for a in self.amounts:
+            taken[a] = _negated(taken[a])
+        taken.index = range(len(new) - len(taken), len(new))
+        out = pd.concat([taken.assign(sign=-1), new.assign(sign=1)]).sort_index(kind="stable")
+        self.last.update((json.dumps(new.iloc[-1].to_dict(), default=int),))
+        yield out[[*self.out_cols, "sign"]].reset_index(drop=True)
 
     def close(self) -> None:
         pass
 
 
 class RunningProfile(StatefulProcessor):
-    """AGG-9: per user a running page count, sorted distinct sets of bounded
-    fields (os, ch, md, ba, search items), the first ``ts`` and the latest
-    search item; one output row per input row."""
+    """AGG-9: per user the running page count, the first ``os``, the first
+    ``ts`` and the latest search item; one output row per input row.  The sets
+    of all values seen, which nothing downstream reads beyond their first or
+    last element, are not state: their elements are rows of
+    ``operators.label.profile_values``."""
 
-    FIELDS = ("os", "ch", "md", "ba", "search_item")
-
-    def __init__(self, key: str = "uid", ts: str = "ts"):
-        self.key, self.ts = key, ts
+    def __init__(self, key: str = "uid", ts: str = "ts", ttl_ms: int | None = None):
+        self.key, self.ts, self.ttl_ms = key, ts, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState(
-            "profile", "pv long, sets string, first_ts long, last_search string")
+            "profile", "pv long, os string, first_ts long, last_search string", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _sorted(rows, [self.ts])
+        pdf = _sorted(rows, [self.ts, "os", "search_item"])
         if pdf.empty:
             return
-        if self.state.exists():
-            pv, sets_js, first_ts, last_search = self.state.get()
-            sets = {k: set(v) for k, v in json.loads(sets_js).items()}
-        else:
-            pv, sets, first_ts, last_search = 0, {f: set() for f in self.FIELDS}, None, None
-        out = []
-        for rec in pdf.to_dict("records"):
-            pv += 1
-            for f in self.FIELDS:
-                v = rec.get(f)
-                if v is not None and not (isinstance(v, float) and pd.isna(v)):
-                    sets[f].add(v)
-            if rec.get("search_item") is not None and not pd.isna(rec.get("search_item")):
-                last_search = rec["search_item"]
-            first_ts = int(rec[self.ts]) if first_ts is None else min(first_ts, int(rec[self.ts]))
-            out.append((key[0], int(rec[self.ts]), pv,
-                        *[",".join(sorted(sets[f])) for f in self.FIELDS], str(first_ts), last_search))
-        self.state.update((pv, json.dumps({k: sorted(v) for k, v in sets.items()}), first_ts,
-                           last_search))
-        yield pd.DataFrame(out, columns=[self.key, "event_ts", "pv", *self.FIELDS, "ts", "last_search"])
+        pv, os, first_ts, search = self.state.get() if self.state.exists() else (0, None, None, None)
+        ts = pdf[self.ts].astype("int64")
+        oses = pd.concat([pd.Series([os], dtype=object), pdf["os"].astype(object)], ignore_index=True)
+        found = pd.concat([pd.Series([search], dtype=object), pdf["search_item"].astype(object)],
+                          ignore_index=True).ffill().iloc[1:].to_numpy()
+        least = oses.dropna()
+        out = pd.DataFrame({
+            self.key: key[0], "event_ts": ts.to_numpy(), "pv": pv + pd.RangeIndex(1, len(pdf) + 1),
+            "os": _running_min(oses).iloc[1:].to_numpy(),
+            "ts": (ts.cummin() if first_ts is None else ts.cummin().clip(upper=first_ts)).to_numpy(),
+            "last_search": found})
+        self.state.update((int(out["pv"].iloc[-1]), None if least.empty else least.min(),
+                           int(out["ts"].iloc[-1]), None if pd.isna(found[-1]) else found[-1]))
+        yield out.astype({"os": object, "last_search": object}).where(out.notna(), None)
 
     def close(self) -> None:
         pass
+
+
+def _running_min(v: pd.Series) -> pd.Series:
+    """Smallest text so far (missing values skipped)."""
+    known = v.dropna()
+    codes, names = pd.factorize(known, sort=True)
+    low = pd.Series(codes, index=known.index).cummin()
+    return low.map(dict(enumerate(names))).reindex(v.index).ffill()
