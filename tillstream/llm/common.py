@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillstream.session import materialize, scratch_path, ship_package
 
 __all__ = ["table", "saved", "scratch_path", "ship_package", "blank", "raw", "without_space",
-           "crc_remainder", "same"]
+           "crc_remainder", "same", "slices"]
 
 # The ASCII white space that the contracts name: [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -48,6 +48,13 @@ def crc_remainder(doc_id: str | Column, n: int) -> Column:
     return F.crc32(F.encode(c.cast("string"), "UTF-8")) % n
 
 
+def slices(batch, rows: int = 256):
+    """A record batch in small parts: a worker then holds the Python objects of
+    few texts at a time, whatever size Spark gives its batches."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
 def same(a: Column, b: Column) -> Column:
     """Null-safe equality (an equi-join key for Spark as well)."""
     return a.eqNullSafe(b)

@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw
+from .common import raw, slices
 
 ERRORS = 0.2
 PIECE = 4
 BLOCK = 20_000
-MEMO = 300_000
+MEMO = 150_000
 _SEPARATOR = re.compile(r"[\W_]+")
 
 
@@ -196,7 +196,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFr
     for key, items in _blocks(benchmark, block):
         def find(batches: Iterator[pa.RecordBatch], key=key, items=items) -> Iterator[pa.RecordBatch]:
             m = _matcher(key, items)
-            for b in batches:
+            for b in (part for batch in batches for part in slices(batch)):
                 row, hit = [], []
                 for r, t in enumerate(b.column("raw").to_pylist()):
                     for h in m.find(t.decode("utf-8", "replace")):

@@ -25,10 +25,10 @@ from .common import blank, same, saved, scratch_path, without_space
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, n_points): SHA-256 of the text without ASCII white
-    space, and the length of the original text in code points."""
+    """(doc_id, digest, n_points, text_hash): SHA-256 of the text without ASCII
+    white space, the length of the original text in code points and its hash."""
     return docs.select(
-        "doc_id",
+        "doc_id", F.xxhash64(blank("text")).alias("text_hash"),
         F.unhex(F.sha2(F.encode(without_space(blank("text")), "UTF-8"), 256)).alias("digest"),
         F.char_length(blank("text")).cast("long").alias("n_points"))
 
@@ -94,7 +94,7 @@ def add_batch(docs: DataFrame, index: DigestIndex) -> DataFrame:
                    F.lit(False).alias("is_new"))), "digest-resolved")
     index.append(resolved.filter("is_new"))
     return keyed.join(resolved, "digest").select(
-        "doc_id", "keep_id", "group_size",
+        "doc_id", "text_hash", "keep_id", "group_size",
         (F.col("is_new") & same(F.col("doc_id"), F.col("keep_id"))
          & (F.col("n_points") == F.col("keep_points"))).alias("kept"),
         "digest")
@@ -109,17 +109,26 @@ def exact_dedup(docs: DataFrame, index_path: str | None = None, buckets: int = 3
 
 
 def exact_keep(docs: DataFrame, index_path: str | None = None, buckets: int = 32) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.  One of several
-    rows that repeat both id and text stays."""
-    keys = (exact_dedup(docs, index_path, buckets).filter("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct())
-    own = docs.withColumn("__own", F.unhex(F.sha2(
-        F.encode(without_space(blank("text")), "UTF-8"), 256)))
-    points = F.char_length(blank("text"))
-    kept = own.join(keys, same(own["doc_id"], keys["__id"]) & (own["__own"] == keys["__digest"]))
-    # Rows of one id and digest differ at most in white space: the longest,
-    # then the smallest text stays.
-    best = kept.groupBy("__id", "__digest").agg(F.max_by(
-        F.struct(*[kept[c] for c in docs.columns]),
-        F.struct(points, F.xxhash64("text"))).alias("__row"))
-    return best.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    """The rows of ``docs`` that stay, with all their columns.  Of kept rows
+    that differ in white space only, the one with the smallest text hash stays;
+    of rows that repeat both id and text, any one.
+
+    Only the names (id, text hash) of the rows that go are joined with the
+    texts, so texts are not moved when these are few enough to broadcast."""
+    rows = saved(exact_dedup(docs, index_path, buckets), "dedup-rows")
+    first = rows.filter("kept").groupBy("digest").agg(F.min("text_hash").alias("first_hash"))
+    stays = F.col("kept") & (F.col("text_hash") == F.col("first_hash"))
+    judged = rows.join(first, "digest", "left").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
+        F.coalesce(stays, F.lit(False)).alias("__stays"))
+    names = judged.groupBy("__id", "__hash").agg(F.max("__stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+    names = saved(names, "dedup-names")
+    own = docs.withColumn("__own", F.xxhash64(blank("text")))
+    by_name = lambda t: same(own["doc_id"], t["__id"]) & (own["__own"] == t["__hash"])
+    gone = names.filter("not stays").select("__id", "__hash")
+    repeated = names.filter("stays and n > 1").select("__id", "__hash")
+    if not repeated.limit(1).count():
+        return own.join(gone, by_name(gone), "left_anti").select(*docs.columns)
+    away = gone.unionByName(repeated)
+    once = own.join(repeated, by_name(repeated), "left_semi").dropDuplicates(["doc_id", "__own"])
+    return own.join(away, by_name(away), "left_anti").unionByName(once).select(*docs.columns)

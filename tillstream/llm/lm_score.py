@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_remainder, raw, saved
+from .common import crc_remainder, raw, saved, slices
 
 WORDS = 2048             # words with a class of their own
 OTHER = 64               # groups of all other words
@@ -52,7 +52,7 @@ SALTS = 512              # first-level groups of tasks when averaging
 SMOOTH = 0.1
 SEED = 11
 END = b"\n"              # never a word
-FLUSH = 400_000          # distinct words a task holds while counting
+FLUSH = 200_000          # distinct words a task holds while counting
 
 CLASSES = WORDS + OTHER + 1          # words, groups, end
 END_CLASS = WORDS + OTHER
@@ -82,8 +82,9 @@ def count_tokens(docs: DataFrame) -> DataFrame:
                 [pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())],
                 ["token", "c"])
         for b in batches:
-            for t in b.column("raw").to_pylist():
-                counts.update(tokens(t))
+            for part in slices(b):
+                for t in part.column("raw").to_pylist():
+                    counts.update(tokens(t))
                 if len(counts) > FLUSH:
                     yield out()
                     counts.clear()
@@ -164,7 +165,7 @@ def encode(docs: DataFrame, vocab, folds: int, held_out: int) -> DataFrame:
         # Place -1, the last of each: a word beyond the head, filled in below.
         kind = np.r_[v.head_class, 0].astype(np.uint16)
         log, grouped = np.r_[v.head_log, 0.0], np.r_[v.head_grouped, False]
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             out: list[list] = [[] for _ in range(7)]
             for t in b.column("raw").to_pylist():
                 words = tokens(t)

@@ -37,12 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blank, raw, same, saved
+from .common import blank, raw, same, saved, slices
 
 UNIVERSE = 1 << 22
 BANDS, ROWS = 32, 4          # a pair at Jaccard 0.8 misses every band once in 2e7
 SEED = 20240611
-MEMO = 300_000
+MEMO = 150_000
 BLOCK = 100_000              # shingles of a block of a bucket
 BIG = np.uint64(0x9E3779B97F4A7C15)
 
@@ -122,7 +122,7 @@ def describe(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
         T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             n, ids, keys = [], [], []
             for t in b.column("raw").to_pylist():
                 s = shingles(t, size)
@@ -155,7 +155,7 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             keep = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold)
                     for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -267,7 +267,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, bands:
     texts = own.join(wanted, same(own["__id"], wanted["any_id"]) & (own["__hash"] == wanted["any_hash"]))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             s = [shingles(t, size).tobytes() for t in b.column("raw").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(s, pa.binary())],
                                              ["node", "shingles"])

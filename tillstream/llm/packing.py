@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw, saved
+from .common import raw, saved, slices
 from .tokens import DEFAULT_VOCABULARY, encoder, without_cycles
 
 CAPACITY = 2048
@@ -48,7 +48,7 @@ def cut(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, capacity: int = C
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, closing, step = encoder(vocabulary), CLOSING_ID.to_bytes(4, "little"), 4 * capacity
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             with without_cycles():
                 encoded = [enc.ids(t) for t in b.column("raw").to_pylist()]

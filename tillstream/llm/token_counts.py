@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blank, same, saved, scratch_path
+from .common import blank, same, saved, scratch_path, slices
 from .tokens import DEFAULT_VOCABULARY, encoder, tokenizer_version, without_cycles
 
 OVER = 2048
@@ -68,7 +68,7 @@ class TokenCountCache:
 def _counter(vocabulary: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch)):
             with without_cycles():
                 n = [len(enc.ids(t)) // 4 for t in b.column("raw").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(n, pa.int64())],

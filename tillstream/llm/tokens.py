@@ -41,7 +41,7 @@ class _Memo(dict):
 class ChunkEncoder(_Memo):
     """chunk bytes -> little-endian uint32 ids; a miss asks the library."""
 
-    def __init__(self, path: str, memo: int = 500_000):
+    def __init__(self, path: str, memo: int = 150_000):
         super().__init__(memo)
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
