@@ -18,6 +18,7 @@ from . import (
     url_reputation,
 )
 from .common import same, table
+from .oracles import ORACLE  # noqa: F401
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,4 +72,3 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_token_counts, op3_best_fit_packing, op4_license_scan, op5_lm_scores,
     op6_exact_dedup, op7_language_id, op8_minhash_near_dup, op9_quality_classifier, op10_url_reputation)}
-ORACLE: dict[str, str] = {}

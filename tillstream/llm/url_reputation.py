@@ -94,8 +94,8 @@ def _strength(level: DataFrame, parent: str) -> DataFrame:
     """Prior strength of a level: the beta precision that explains the spread
     of its members' rates around their parents' means,
     s = sum w m(1-m) / sum w (rate-m)^2 - 1 with w = labelled pages, within bounds."""
-    m, rate = F.col(parent), F.col("good") / F.col("n")
-    raw = F.sum(F.col("n") * m * (1 - m)) / F.sum(F.col("n") * (rate - m) * (rate - m)) - 1
+    m, rate = F.col(parent), F.try_divide(F.col("good"), F.col("n"))
+    raw = F.try_divide(F.sum(F.col("n") * m * (1 - m)), F.sum(F.col("n") * (rate - m) * (rate - m))) - 1
     return level.filter("n > 0").agg(F.least(F.greatest(F.coalesce(raw, F.lit(MAX_STRENGTH)),
                                                         F.lit(MIN_STRENGTH)),
                                              F.lit(MAX_STRENGTH)).alias("s"))
