@@ -87,9 +87,9 @@ def matched_words(texts: DataFrame, key_col: str, text_col: str, words: DataFram
     if n is None:
         return texts.select(key_col, F.lit("").alias("word")).limit(0)
     t = F.col(text_col)
-    places = F.sequence(F.lit(1), F.greatest(F.length(t) - n + 1, F.lit(1)))
+    # A look-ahead takes the n characters at every place in one pass of the text.
     grams = texts.where(F.length(t) >= n).select(key_col, F.explode(F.array_distinct(
-        F.transform(places, lambda i: F.substr(t, i, F.lit(n))))).alias("_gram"))
+        F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))"), 1))).alias("_gram"))
     begun = w.withColumn("_gram", F.substring("word", 1, n))
     pairs = grams.join(begun, "_gram").select(key_col, "word")
     return (pairs.join(texts.select(key_col, text_col), key_col).where(F.contains(t, F.col("word")))
