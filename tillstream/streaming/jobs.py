@@ -40,7 +40,9 @@ def _schema(fields) -> T.StructType:
 
 
 def _mode(ttl_ms: int | None) -> str:
-    """Time mode of a processor: state that expires needs the clock."""
+    """Time mode of a processor: state that expires needs the clock.  Spark then
+    runs empty batches without end: an ``availableNow`` run of such a job needs
+    ``spark.sql.streaming.noDataMicroBatches.enabled=false``."""
     return "ProcessingTime" if ttl_ms else "None"
 
 
