@@ -109,3 +109,61 @@ def test_local_search_empties_bins():
         assert len(after) <= len(before)
         assert sorted(i for b in after for i in b) == list(range(60))
         assert all(s[b].sum() <= 100 for b in after)
+
+
+def improving(bins, sizes, capacity):
+    """Whether an exchange of the search's kinds still raises the sum of squares."""
+    fill = [int(sizes[b].sum()) for b in bins]
+    options = [[()] + [(i,) for i in b] + [(i, j) for k, i in enumerate(b) for j in b[k + 1:]] for b in bins]
+    for a, b in ((a, b) for a in range(len(bins)) for b in range(len(bins)) if a != b and fill[a] <= fill[b]):
+        for out in options[a]:
+            for back in options[b]:
+                if len(out) and len(out) + len(back) < 4 and (len(out) == 1 or len(back) == 1):
+                    gain = sum(sizes[i] for i in out) - sum(sizes[i] for i in back)
+                    if 0 < gain <= capacity - fill[b]:
+                        return True
+    return False
+
+
+def test_lower_bound():
+    assert packing.lower_bound(np.array([6, 6, 6]), 10) == 3            # by volume 2
+    assert packing.lower_bound(np.array([6, 6, 5, 5, 5]), 10) == 4
+    assert packing.lower_bound(np.array([10, 10, 1]), 10) == 3
+    assert packing.lower_bound(np.array([], np.int64), 10) == 0
+
+
+def test_local_search_ends_when_no_exchange_improves():
+    rng = np.random.default_rng(3)
+    stopped = 0
+    for _ in range(40):
+        s = rng.integers(26, 48, 20)
+        out = packing.local_search(packing.best_fit_decreasing(s, 100), s, 100)
+        assert sorted(i for b in out for i in b) == list(range(20)) and all(s[b].sum() <= 100 for b in out)
+        if len(out) > packing.lower_bound(s, 100):
+            stopped += 1
+            assert not improving(out, s, 100)
+    assert stopped > 5
+
+
+def test_local_search_of_a_hot_group():
+    # A third of the pieces have 1,025-1,400 tokens: after 500 attempts 3,245 bins were left.
+    rng = np.random.default_rng(1)
+    s = np.r_[rng.integers(1025, 1401, 2730), rng.integers(300, 900, 5462)]
+    out = packing.local_search(packing.best_fit_decreasing(s, 2048), s, 2048)
+    assert sorted(i for b in out for i in b) == list(range(8192)) and all(s[b].sum() <= 2048 for b in out)
+    assert packing.lower_bound(s, 2048) <= len(out) < 3245
+
+
+def test_underfull_bins_are_packed_again(spark):
+    # Nearly each of the 40 groups leaves an underfull bin; the second round deals their
+    # pieces, at most 360, into groups that leave one each.
+    sizes = [(k, 10) for k in range(2000)]
+    rows = packing.pack(spark.createDataFrame(sizes, "doc_id BIGINT, length BIGINT"), 100, 50).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted((r.doc_id, r.length) for r in rows) == sizes
+    for b in bins.values():
+        ends = np.cumsum([n for _, n in sorted(b)])
+        assert [o for o, _ in sorted(b)] == [0, *ends[:-1]] and ends[-1] <= 100
+    assert len(bins) <= 200 + 8
