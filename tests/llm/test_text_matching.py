@@ -82,6 +82,33 @@ def test_kept_documents(spark, make):
         (i for i, _ in rows + awkward() if i not in bad), key=str)
 
 
+def test_short_items_and_scripts_without_blanks(spark, make):
+    han, thai = "水在标准大气压下的沸点是一百摄氏度", "กรงเทพมหานครเปนเมองหลวงของไทย"
+    items = [(1, "Photosynthesis converts sunlight"), (2, "one two"), (3, han), (4, thai), (5, "人工智能"),
+             (6, "東京は日本の首都です"), (7, "alpha bravo charlie delta echo foxtrot golf hotel india juliet")]
+    bench = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    rows = [(1, "It says: photosynthesis converts SUNLIGHT, and more."), (2, "one two three"), (3, "One, two!"),
+            (4, f"问题：{han}。答案是对的"), (5, f"问题：{han.replace('标', '檩')}，对吗"), (6, f"ก่อน{thai}นั้น"),
+            (7, "他研究人工智能技术"), (8, "人工智能。"), (9, "質問:東京は日本の首都ですか?"),
+            (10, "so alpha bravo x charlie delta echo foxtrot y golf hotel india juliet so"),
+            (11, "so alpha bravo x charlie delta z echo foxtrot y golf hotel india juliet so"),
+            (12, "photosynthesis slowly converts sunlight"), (13, "水在标准中")]
+    want = [(1, 1, 0), (3, 2, 0), (4, 3, 0), (5, 3, 1), (6, 4, 0), (8, 5, 0), (9, 6, 0), (10, 7, 2)]
+    assert found(decontaminate.matches(make(rows), bench)) == sorted(want, key=str)
+    assert sorted(r.doc_id for r in decontaminate.keep_uncontaminated(make(rows), bench).collect()) == [2, 7, 11, 12, 13]
+
+
+def test_error_rate_holds_for_short_items():
+    # m words with m // 5 edits spread evenly: each is found.
+    for m in range(4, 40):
+        item = [f"w{k}" for k in range(m)]
+        passage, e = list(item), m // 5
+        for k in range(e):
+            passage[(2 * k + 1) * m // (2 * e)] = "changed"
+        got = decontaminate.Matcher([(1, " ".join(item))]).find("before it " + " ".join(passage) + " after")
+        assert [x[:2] for x in got] == [(1, e)], m
+
+
 def test_awkward_benchmark(spark, make):
     bench = spark.createDataFrame([], "item_id BIGINT, text STRING")
     docs = make(awkward())

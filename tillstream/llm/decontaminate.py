@@ -1,19 +1,19 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts and benchmark items are compared as sequences of words: lower-cased, with
-everything but letters and digits taken as a separator.  An item of m words
-may differ from a passage by e word edits, e at most ``ERRORS`` of m and small
-enough that e+1 pieces have ``PIECE`` words each.  A passage within e edits
-must contain one of e+1 pieces unchanged, so exact piece hits (Aho-Corasick,
-one pass over the text) name all candidates, and each is verified by Myers'
-bit-parallel edit distance over the words around the hit.
+everything but letters and digits taken as a separator and every letter of a
+script written without blanks as a word.  An item of m words may differ from a
+passage by e word edits, e the whole part of ``ERRORS`` of m.  A passage within
+e edits must contain one of e+1 pieces unchanged, so exact piece hits
+(Aho-Corasick, one pass over the text) name all candidates, and each is
+verified by Myers' bit-parallel edit distance over the words around the hit.
 
 The benchmark is a stated query set: it is taken in blocks of at most ``BLOCK``
 items, each broadcast and held against every row.
 
 Defined cases: null and empty texts match nothing; items that are null or have
-no word are skipped; an item of fewer than ``PIECE`` words matches only a text
-that has exactly its words; an item that occurs several times in a text is
+no word are skipped; an item too short to be telling (``telling``) matches only
+a text that has exactly its words; an item that occurs several times in a text is
 returned once with its closest (then first) place; several items with one text
 are each returned; repeated rows are each returned; an empty benchmark or
 table gives no matches; other columns are passed through by
@@ -38,14 +38,24 @@ ERRORS = 0.2
 PIECE = 4
 BLOCK = 20_000
 MEMO = 150_000
+LETTERS = 20             # letters that are telling in fewer than PIECE words: those of PIECE usual ones
 _SEPARATOR = re.compile(r"[\W_]+")
+_HAN = "\u3005-\u3007\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+# Thai, Lao, Myanmar, Khmer, Tai, Balinese, kana, Bopomofo, Yi, Javanese
+_OTHERS = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u3040-\u312f"
+           "\u31a0-\u31bf\u31f0-\u31ff\ua000-\ua48f\ua980-\ua9df\uff66-\uff9f\U0001b000-\U0001b16f")
+_UNSPACED = re.compile(f"([{_HAN}{_OTHERS}])")
+_IS_HAN, _IS_OTHER = re.compile(f"[{_HAN}]"), re.compile(f"[{_OTHERS}]")
 
 
 class Words(dict):
     """Chunk -> its normal words joined by blanks, memoised per process."""
 
     def __missing__(self, chunk: str) -> str:
-        got = _SEPARATOR.sub(" ", chunk.lower()).strip()
+        low = chunk.lower()
+        if not low.isascii():
+            low = _UNSPACED.sub(r" \1 ", low)
+        got = _SEPARATOR.sub(" ", low).strip()
         if len(self) >= MEMO:
             self.clear()
         if len(chunk) <= 64:
@@ -58,10 +68,23 @@ class Words(dict):
 
 def budget(m: int) -> int:
     """Largest number of edits allowed for an item of ``m`` words."""
-    e = int(m * ERRORS)
-    while e and m // (e + 1) < PIECE:
-        e -= 1
-    return e
+    return int(m * ERRORS)
+
+
+def telling(words: list[str]) -> bool:
+    """Whether an item is found inside longer texts: it has ``PIECE`` words, two
+    Han letters or four of another script without blanks counting as one, or
+    ``LETTERS`` letters and digits in fewer words with blanks."""
+    quarters, letters = 0, 0
+    for w in words:
+        if _IS_HAN.match(w):
+            quarters += 2
+        elif _IS_OTHER.match(w):
+            quarters += 1
+        else:
+            quarters += 4
+            letters += len(w)
+    return quarters >= 4 * PIECE or letters >= LETTERS
 
 
 def pieces(m: int, e: int) -> list[tuple[int, int]]:
@@ -112,7 +135,7 @@ class Matcher:
                 continue
             k = len(self.items)
             self.items.append((item_id, w, budget(len(w))))
-            if len(w) < PIECE:
+            if not telling(w):
                 self.whole.setdefault(" ".join(w), []).append(k)
                 continue
             for begin, end in pieces(len(w), self.items[k][2]):
