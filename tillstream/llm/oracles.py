@@ -113,3 +113,41 @@ fit AS (
 SELECT p.page_id, host, path, rule, coalesce(rverdict, reputation) AS verdict
 FROM p LEFT JOIN fit USING (page_id) JOIN v USING (host)
 """
+
+# Lines as the contract's pattern cuts them; the restored text is taken from the
+# output again, between the markers.
+ORACLE["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+k AS (
+  SELECT *, len(lines) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS k1,
+         CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS k2,
+         text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 100 AS plain,
+         CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS spm
+  FROM d),
+c AS (
+  SELECT doc_id, text, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(lines[1:least(k1, k2)], '') AS p,
+         array_to_string(lines[least(k1, k2) + 1:greatest(k1, k2)], '') AS m,
+         array_to_string(lines[greatest(k1, k2) + 1:], '') AS s
+  FROM k),
+o AS (
+  SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS output
+  FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(output) AS output_sha256,
+       sha256(CASE form
+         WHEN 'plain' THEN output
+         WHEN 'psm' THEN split_part(split_part(output, '<P>', 2), '<S>', 1) || split_part(output, '<M>', 2)
+                         || split_part(split_part(output, '<S>', 2), '<M>', 1)
+         ELSE split_part(split_part(output, '<P>', 2), '<M>', 1) || split_part(output, '<M>', 2)
+              || split_part(split_part(output, '<S>', 2), '<P>', 1) END) AS restored_sha256
+FROM o
+"""

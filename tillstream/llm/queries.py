@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
     exact_dedup,
+    fill_in_middle,
     language_id,
     license_scan,
     lm_score,
     near_dup,
     packing,
     quality,
+    simhash,
+    token_align,
     token_counts,
     url_reputation,
 )
@@ -69,6 +72,34 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def _sha256(text) -> Column:
+    """Lowercase hex over the UTF-8 bytes."""
+    return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups are digested where they are made; their texts are not stored."""
+    rows = token_align.aligned(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, _sha256("groups")).otherwise("").alias("groups_sha256")
+    kept = ["doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times"]
+    return token_align.link_scores(token_align.numbered(rows.select(*kept))).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       _sha256("output").alias("output_sha256"), _sha256(again).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination, op2_token_counts, op3_best_fit_packing, op4_license_scan, op5_lm_scores,
-    op6_exact_dedup, op7_language_id, op8_minhash_near_dup, op9_quality_classifier, op10_url_reputation)}
+    op6_exact_dedup, op7_language_id, op8_minhash_near_dup, op9_quality_classifier, op10_url_reputation,
+    op11_token_alignment, op12_simhash_near_dup, op13_fill_in_middle)}
