@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ SIZE, DISTANCE = 4, 4
 HASH_SEED = 42
 REFERENCES, PARTS = 16, 6
 SEED = 20240917
-SALTS = 16                   # a hot bucket is joined in so many parts
+HOT_KEYS = 512               # a bucket with over 1/512 of all rows is joined by broadcast
 BLOCK = 4096                 # classes of one bucket that are compared at a time
 SMALL = 64                   # buckets up to this size are compared side by side
 
@@ -138,12 +139,16 @@ def near(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
 
 # -- links ------------------------------------------------------------------
 
-def _on_bucket(rows: DataFrame, by_key: DataFrame, node: str) -> DataFrame:
-    """``rows`` (many of one hot key) joined with one row per key: the rows of a
-    key are dealt over ``SALTS`` tasks, the other side is copied to each."""
-    salted = by_key.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
-    own = rows.withColumn("salt", F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int"))
-    return own.join(salted, ["key", "salt"]).drop("salt")
+def _on_bucket(rows: DataFrame, buckets: DataFrame, total: int) -> DataFrame:
+    """``rows`` (key, ...; ``total`` of them) joined with one row per key of
+    ``buckets``, which has the ``members`` of each.  Of the keys with more than
+    a ``HOT_KEYS``-th of all rows there are fewer than ``HOT_KEYS``: these are
+    broadcast, so that a hot key's rows stay where they are; the rest meet by a
+    shuffle."""
+    many = F.col("members") > total / HOT_KEYS
+    hot = F.broadcast(buckets.filter(many))
+    other = rows.join(F.broadcast(buckets.filter(many).select("key")), "key", "left_anti")
+    return rows.join(hot, "key").unionByName(other.join(buckets.filter(~many), "key"))
 
 
 def _head_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
@@ -244,9 +249,10 @@ def _rest(shared: DataFrame, comps: DataFrame, distance: int) -> DataFrame:
     component; the pairs with the least class are decided."""
     known = saved(shared.filter("members > 2").join(comps, "node", "left").select(
         "key", "node", "members", F.coalesce("comp", "node").alias("comp")), "simhash-known")
-    torn = known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")) \
-        .filter("x <> y").select("key")
-    open_ = _on_bucket(known, torn, "node").withColumn(
+    torn = saved(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                          F.first("members").alias("members"))
+                 .filter("x <> y").select("key", "members"), "simhash-torn")
+    open_ = _on_bucket(known.drop("members"), torn, known.count()).withColumn(
         "blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     # A class meets every block: its own once, and each other as one side.
@@ -277,9 +283,9 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, distance: int = DISTANCE)
                 [pa.array(keys.reshape(-1)), pa.array(np.repeat(f, keys.shape[1]))], ["key", "node"])
 
     placed = classes.select("fingerprint").mapInArrow(spread, "key BIGINT, node BIGINT")
-    heads = placed.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members")) \
-        .filter("members > 1")
-    shared = saved(_on_bucket(placed, heads, "node"), "simhash-buckets")
+    heads = saved(placed.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))
+                  .filter("members > 1"), "simhash-heads")
+    shared = saved(_on_bucket(placed, heads, comb(PARTS, distance) * classes.count()), "simhash-buckets")
     pairs = shared.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = saved(pairs.mapInArrow(lambda b: _head_links(b, distance), "a BIGINT, b BIGINT"), "simhash-links")
     rest = saved(_rest(shared, components(links, "simhash-first"), distance), "simhash-rest")
