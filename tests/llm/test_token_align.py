@@ -93,6 +93,16 @@ def test_tokens_of_both_sides_cover_the_text():
     assert b"".join(s.b.bytes[k] for k in s.b.encode([text])[0]) == b" " + text.encode()
 
 
+def test_ids_are_the_library_s_at_every_code_point():
+    path = ta._path(ta.A_FILE)
+    fast, slow = ta.ByteSide(path).encode, ta.ByteSide.library(path)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3400 or c % 7 == 0)]
+    texts = [f"a{c}b {c}{c} 1{c}2  {c}. {c}'s\n{c} \t{c}!{c}  " for c in points]
+    assert fast(texts) == slow(texts)
+    runs = [x * 20_000 for x in ("a", " ", "\n", "é", "1", "!?", "\u3000", "ab ", "<|endoftext|>")]
+    assert fast(runs) == slow(runs)
+
+
 def test_portions_hold_few_or_one_text(monkeypatch):
     monkeypatch.setattr(ta, "CHARS", 10)
     b = pa.RecordBatch.from_pydict({"chars": [3, 4, 5, 40, 1, 1, 8, 2]})
