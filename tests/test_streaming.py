@@ -2,6 +2,7 @@
 form give the batch form's result.  A sentinel row far in the future closes
 every window; its own output is filtered out."""
 
+import itertools
 import json
 import os
 
@@ -26,11 +27,17 @@ def run_to_memory(stream, name, checkpoint, expiring=False):
     return stream.sparkSession.table(name)
 
 
+WRITTEN = itertools.count(1_700_000_000)
+
+
 def _write(path, name, records):
+    """One file; files are a second apart, as a stream takes them by age."""
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, name), "w") as f:
         for r in records:
             f.write(json.dumps(r) + "\n")
+    at = next(WRITTEN)
+    os.utime(os.path.join(path, name), (at, at))
 
 
 def _replay(spark, df, path, sentinels, order):
@@ -352,7 +359,7 @@ def test_processors_with_a_ttl(spark, tmp):
 
 
 def test_running_profile_stream_equals_batch(spark, tmp):
-    from tillstream.streaming.processors import RunningProfile
+    from tillstream.streaming.processors import PROFILE_ROW, RunningProfile
     items = [None, "small size 1", "red widget"]
     recs = [("-1" if k % 3 == 0 else f"u{k % 4}", 1_704_067_200_000 + k * 17_000, ["iOS", "Android"][k % 2],
              "oppo", "m1", "Apple", items[k % 3]) for k in range(60)]
@@ -360,8 +367,8 @@ def test_running_profile_stream_equals_batch(spark, tmp):
                                        "search_item string")
     s = _replay(spark, proj, os.path.join(tmp, "in"), [], ["ts", "os", "search_item"])
     out = run_to_memory(s.groupBy("uid").transformWithStateInPandas(
-        RunningProfile(ttl_ms=3_600_000), "uid string, event_ts bigint, pv bigint, os string, ts bigint, "
-        "last_search string", "Append", "ProcessingTime"), "profile_s", os.path.join(tmp, "c"), True)
+        RunningProfile(ttl_ms=3_600_000), PROFILE_ROW, "Append", "ProcessingTime"), "profile_s",
+        os.path.join(tmp, "c"), True)
     last = label.last_per_window(out, "uid", "event_ts", 60_000, ["event_ts", "pv"])
     want = label.running_profile(proj)
     cols = ["uid", "window_start_ms", "pv", "os", F.col("ts").cast("string"), "last_search"]

@@ -160,27 +160,21 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            keep_tombstones: bool = False) -> DataFrame:
     """SNK-4 / SNK-6 / SNK-7 upsert by primary key, keeping the max version.
 
-    Target rows whose key appears in the batch compete with the batch rows;
-    the latest by ``order`` wins, whatever the arrival order, so a replayed or
-    late batch never overwrites newer data.  A winning row flagged by
-    ``delete_col`` removes the key (or stays as a tombstone with
-    ``keep_tombstones``, so an older row arriving later cannot resurrect it).
-    Untouched target rows pass through without a shuffle of their own."""
+    Target and batch rows compete in one aggregate; the latest by ``order``
+    wins, whatever the arrival order, so a replayed or late batch never
+    overwrites newer data.  A winning row flagged by ``delete_col`` removes the
+    key (or stays as a tombstone with ``keep_tombstones``, so an older row
+    arriving later cannot resurrect it).  Each side is read once, and the
+    aggregate's map-side half already leaves one row per key and task."""
     flag = delete_col or "__deleted"
-    b = batch if flag in batch.columns else batch.withColumn(flag, F.lit(False))
-    if target is None:
-        combined, rest = b, None
-    else:
+    rows = batch if flag in batch.columns else batch.withColumn(flag, F.lit(False))
+    if target is not None:
         t = target if flag in target.columns else target.withColumn(flag, F.lit(False))
-        touched = b.select(*keys).distinct()
-        combined = t.join(touched, list(keys), "left_semi").unionByName(b, allowMissingColumns=True)
-        rest = t.join(touched, list(keys), "left_anti")
-    latest = latest_per_key(combined, keys, order)
-    out = latest if rest is None else rest.unionByName(latest, allowMissingColumns=True)
+        rows = t.unionByName(rows, allowMissingColumns=True)
+    latest = latest_per_key(rows, keys, order)
     if keep_tombstones:
-        return out
-    out = out.where(~F.coalesce(F.col(flag), F.lit(False))).drop(flag)
-    return out
+        return latest
+    return latest.where(~F.coalesce(F.col(flag), F.lit(False))).drop(flag)
 
 
 def delete_keys(target: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -180,12 +180,21 @@ def refund(changes: DataFrame, dic: DataFrame) -> DataFrame:
     return refund_names(ri.join(oi, ri["order_id"] == oi["oi_id"], "inner"), dic)
 
 
-def comment_fact(changes: DataFrame, dic: DataFrame) -> DataFrame:
-    """PRJ-11 + JN-6: comments with the appraisal name (inner lookup); the
-    source time lands in column ``ts`` as in the published topic."""
-    c = table_changes(changes, "comment_info").select(
+def posted_comments(changes: DataFrame) -> DataFrame:
+    """Comment rows; the source time lands in column ``ts`` as in the published
+    topic."""
+    return table_changes(changes, "comment_info").select(
         A["id"].alias("id"), A["user_id"].alias("user_id"), A["sku_id"].alias("sku_id"),
         A["appraise"].alias("appraise"), A["comment_txt"].alias("comment_txt"),
         _src_ts().alias("ts"))
-    j = lookup(c, dic, [("appraise", "dic_code")], {"dic_name": "appraise_name"}, how="inner")
+
+
+def comment_names(comments: DataFrame, dic: DataFrame) -> DataFrame:
+    """The comment fact's columns, with the appraisal name (inner lookup)."""
+    j = lookup(comments, dic, [("appraise", "dic_code")], {"dic_name": "appraise_name"}, how="inner")
     return j.select("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts")
+
+
+def comment_fact(changes: DataFrame, dic: DataFrame) -> DataFrame:
+    """PRJ-11 + JN-6: comments with the appraisal name."""
+    return comment_names(posted_comments(changes), dic)

@@ -10,6 +10,8 @@ its ordered step sees one row per user and active minute, never the raw rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -148,6 +150,17 @@ def sku_brand_category(dims: dict[str, DataFrame], compare: DataFrame) -> DataFr
     return s.select("id", "bcname", "btname")
 
 
+def flat_hierarchy(flat: DataFrame) -> DataFrame:
+    """JN-18 from the flat sku dimension: (b3name, b1name), one scan."""
+    return flat.select(F.col("category3_name").alias("b3name"), F.col("category1_name").alias("b1name")).distinct()
+
+
+def flat_brand_category(flat: DataFrame, compare: DataFrame) -> DataFrame:
+    """JN-19 from the flat sku dimension: one scan and one lookup."""
+    s = lookup(flat, compare, [("category1_name", "category_name")], {"search_category": "bcname"})
+    return s.select("id", "bcname", F.col("trademark_name").alias("btname"))
+
+
 def score_logs(profile: DataFrame, hier: DataFrame, compare: DataFrame,
                spark: SparkSession) -> DataFrame:
     """SCO-1 + SCO-2 with JN-20: device scores from the first os, search scores
@@ -182,9 +195,9 @@ def order_skus(orders: DataFrame, details: DataFrame, lower_ms: int = -1_800_000
 
 
 def score_orders(order_skus_df: DataFrame, mapping: DataFrame, spark: SparkSession,
-                 compat: bool = False) -> DataFrame:
+                 compat: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """SCO-3 … SCO-6 with JN-21: price, brand and category scores and their
-    per-band sum.  ``compat=True`` reproduces two reference slips (category
+    per-band sum (and the columns ``keep``).  ``compat=True`` reproduces two reference slips (category
     scores always zero; five bands add the 25-29 price score)."""
     o = lookup(order_skus_df, mapping, [("sku_id", "id")], {"btname": "btname", "bcname": "bcname"})
     o = o.withColumn("price_bucket", price_bucket("total_amount"))
@@ -197,7 +210,7 @@ def score_orders(order_skus_df: DataFrame, mapping: DataFrame, spark: SparkSessi
         price_b = "25_29" if compat and b != "50" else b
         sums.append((F.col(f"brand_{b}") + F.col(f"category_{b}") + F.col(f"price_{price_b}"))
                     .cast("decimal(10,3)").alias(f"sum_{b}"))
-    return o.select("order_id", "uid", "sku_id", "ts_ms", "btname", "bcname", "price_bucket", *sums)
+    return o.select("order_id", "uid", "sku_id", "ts_ms", "btname", "bcname", "price_bucket", *sums, *keep)
 
 
 def age_band(users: DataFrame, order_scores: DataFrame, log_scores: DataFrame) -> DataFrame:
@@ -210,6 +223,11 @@ def age_band(users: DataFrame, order_scores: DataFrame, log_scores: DataFrame) -
         *[f"{k}_{b}" for k in ("search", "device") for b in BANDS])
     j = interval_join(user_order_pairs(users, order_scores), logs, [("id", "l_uid")], "event_ts_ms",
                       "log_ts", -12 * 3_600_000, 12 * 3_600_000)
+    return band_rows(j)
+
+
+def band_rows(j: DataFrame) -> DataFrame:
+    """SCO-7 + TOP-2 over user ⨝ order scores ⨝ log scores rows."""
     totals = [(F.col(f"sum_{b}") + F.col(f"search_{b}") + F.col(f"device_{b}"))
               .cast("decimal(10,3)").alias(f"total_{b}") for b in BANDS]
     out = j.select("id", "uname", "gender", "age", "zodiac_sign", "decade", "order_id", "event_ts_ms",

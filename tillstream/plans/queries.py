@@ -105,7 +105,7 @@ def q_dim_route(spark, sf):
 
 @query("upsert_latest")
 def q_upsert_latest(spark, sf):
-    c = cdc.row_image(cdc.table_changes(_changes(spark, sf), "order_info"))
+    c = cdc.row_image(drv.order_info_changes(drv.table(spark, sf, "orders")))
     rows = c.select(F.col("data")["id"].alias("id"),
                     F.col("data")["order_status"].alias("order_status"), "ts_ms",
                     (F.col("op") == "d").alias("deleted"))
@@ -289,17 +289,18 @@ def _hier(spark, sf):
 
 
 def _log_scores(spark, sf):
-    return label.score_logs(_profile(spark, sf), _hier(spark, sf), dims.category_compare(spark), spark)
+    hier = label.flat_hierarchy(dims.sku_flat(spark, sf))
+    return label.score_logs(_profile(spark, sf), hier, dims.category_compare(spark), spark)
 
 
 def _order_changes(spark, sf):
-    return drv.order_changes(drv.table(spark, sf, "orders")).unionByName(
+    return drv.order_info_changes(drv.table(spark, sf, "orders")).unionByName(
         drv.detail_changes(drv.table(spark, sf, "lineitem")))
 
 
 def _order_scores(spark, sf):
     o, d = label.order_projection(_order_changes(spark, sf))
-    mapping = label.sku_brand_category(dims.sku_dims(spark, sf), dims.category_compare(spark))
+    mapping = label.flat_brand_category(dims.sku_flat(spark, sf), dims.category_compare(spark))
     return label.score_orders(label.order_skus(o, d), mapping, spark)
 
 
@@ -426,7 +427,7 @@ def _comments(spark, sf):
 
 
 def _comment_orders(spark, sf):
-    orders = moderation.order_rows(drv.order_changes(drv.table(spark, sf, "orders")))
+    orders = moderation.order_rows(drv.order_info_changes(drv.table(spark, sf, "orders")))
     return moderation.comment_with_order(_comments(spark, sf), orders)
 
 

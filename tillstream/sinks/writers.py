@@ -68,12 +68,13 @@ def query_id(df: DataFrame) -> str:
 
 
 def write_batch_append(df: DataFrame, base: str, batch_id: int, fmt: str = "parquet",
-                       query: str | None = None) -> str:
+                       query: str | None = None, partition_by: Sequence[str] = ()) -> str:
     """SNK-5: one micro-batch appended under ``query=<id>/batch=<id>``: a replay
     rewrites its own folder, and a job with a new checkpoint, whose batch ids
-    begin at 0 again, never touches what an earlier one wrote."""
+    begin at 0 again, never touches what an earlier one wrote.  ``partition_by``
+    adds folders of column values below (``ds``)."""
     target = os.path.join(base, f"query={query or query_id(df)}", f"batch={batch_id}")
-    df.write.mode("overwrite").format(fmt).save(target)
+    df.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(target)
     return target
 
 

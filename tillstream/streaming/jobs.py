@@ -18,15 +18,42 @@ from tillstream.functions.dates import window_bounds
 from tillstream.sinks.writers import (foreach_batch_writer, kept_once, query_id, to_json_value,
                                       upsert_table, write_batch_append)
 from tillstream.functions.text import empty_or_null, tokens
-from tillstream.streaming.processors import DailyFirst, NewVisitorRepair, Retraction, ReturningUser
-
-
-def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "0 seconds",
-                    col: str = "et") -> DataFrame:
-    """STR-1 / STR-2: event time from epoch ms plus a watermark; rows without a
-    time cannot be placed and are filtered (the reference assigns time 0)."""
-    return (df.withColumn(col, F.timestamp_millis(F.col(ts))).where(F.col(col).isNotNull())
-            .withWatermark(col, delay))
+from tillstream.streaming.processors import (DailyFirst, LogRepair, NewVisitorRepair, Retraction,
+                                             ReturningUser)
+
+
+def with_event_time(df: DataFrame, ts: str = "ts", delay: str = "0 seconds", col: str = "et",
+                    counted: str | None = None) -> DataFrame:
+    """STR-1 / STR-2: event time from epoch ms plus a watermark.  Rows without a
+    time cannot be placed in any window (the reference assigns time 0): they
+    leave the stream here, :func:`untimed` is the side output that keeps them.
+    With ``counted`` the query's progress reports under that name how many rows
+    came and how many had no time (see :func:`event_time_account`)."""
+    d = df.withColumn(col, F.timestamp_millis(F.col(ts)))
+    if counted:
+        d = d.observe(counted, F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.col(col).isNull()).alias("untimed"))
+    return d.where(F.col(col).isNotNull()).withWatermark(col, delay)
+
+
+def untimed(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """STR-2's side output: the rows :func:`with_event_time` cannot place."""
+    return df.where(F.timestamp_millis(F.col(ts)).isNull())
+
+
+def event_time_account(query) -> dict[str, int]:
+    """STR-2 / STR-11: what a query's event-time steps did not use, over its
+    recent progress (``spark.sql.streaming.numRecentProgressUpdates`` says how
+    far back): ``rows`` and ``untimed`` of all counted steps, and ``late``, the
+    rows that stateful operators dropped behind the watermark."""
+    total = {"rows": 0, "untimed": 0, "late": 0}
+    for p in query.recentProgress:
+        for row in p.observedMetrics.values():
+            seen = row.asDict()
+            total["rows"] += seen.get("rows", 0)
+            total["untimed"] += seen.get("untimed", 0)
+        total["late"] += sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+    return total
 
 
 PAGE_FIELDS = [("mid", "string"), ("uid", "string"), ("vc", "string"), ("ch", "string"),
@@ -108,6 +135,38 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str = "ts_ms",
     return with_event_time(df, ts, delay).dropDuplicatesWithinWatermark(list(keys)).drop("et")
 
 
+def dedup_first_stream(df: DataFrame, keys: Sequence[str], et: str, order: Sequence[str]) -> DataFrame:
+    """STR-10 with a choice: of the rows of one key and event time the first by
+    ``order``, once the watermark passes that time (``et`` carries it)."""
+    cols = [c for c in df.columns if c not in (*keys, et)]
+    return (df.groupBy(et, *keys)
+            .agg(F.min_by(F.struct(*cols), F.struct(*[F.col(c) for c in order])).alias("_f"))
+            .select(et, *keys, "_f.*"))
+
+
+def last_per_window_stream(ev: DataFrame, key: str, et: str, size: str, order: Sequence[str]) -> DataFrame:
+    """AGG-8 on a stream: the last row by ``order`` of every (key, tumbling
+    window), once the watermark passes the window.  ``et`` carries the
+    watermark; the result has ``window_start_ms`` and ``et``, the window's own
+    event time for the operators after it."""
+    cols = [c for c in ev.columns if c not in (key, et)]
+    last = ev.groupBy(F.window(et, size).alias("window"), key).agg(
+        F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in order])).alias("_l"))
+    return last.select(key, F.unix_millis("window.start").alias("window_start_ms"), "_l.*",
+                       F.window_time("window").alias(et))
+
+
+def timed_join_stream(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_et: str,
+                      right_et: str, lower: str, upper: str, *more, how: str = "inner") -> DataFrame:
+    """A stream-stream join of sides that already carry watermarks on their
+    event times: ``right_et`` within [lower, upper] of ``left_et``, and the
+    conditions ``more``.  ``left_et`` stays, for stateful operators after it."""
+    cond = [left[a] == right[b] for a, b in on]
+    cond += [right[right_et] >= left[left_et] + F.expr(f"INTERVAL {lower}"),
+             right[right_et] <= left[left_et] + F.expr(f"INTERVAL {upper}"), *more]
+    return left.join(right, cond, how).drop(right_et)
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
                          left_ts: str, right_ts: str, lower: str, upper: str,
                          delay: str = "0 seconds", how: str = "inner") -> DataFrame:
@@ -128,11 +187,35 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None, output_mode
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-def log_split_job(text: DataFrame, base: str, checkpoint: str, trigger: dict | None = None):
-    """SPL-1 … SPL-3 as one streaming query: each micro-batch is parsed once;
-    the parsed rows are kept for the five outputs (err / start / page / display
-    / action) and the bad messages.  Feed it repaired logs (``repair_stream``
-    over the parsed pages) to repair before the split, as the reference does.
+def repaired_logs(text: DataFrame, zone: str = "UTC", ttl_ms: int | None = None,
+                  tiebreak: str | None = None) -> DataFrame:
+    """SEQ-6 over whole logs on a stream of JSON text: (``raw``, ``is_new``)
+    of every message, good or bad, where ``is_new`` is the repaired
+    flag.  The message itself travels as text beside the few fields the repair
+    reads.  A device's logs of one instant are ordered by ``tiebreak`` (a column
+    of ``text``; default: the message).  Bad messages and logs without a device
+    are spread over keys of their own."""
+    from tillstream.operators.logs import parse_log_tagged
+    tagged = parse_log_tagged(text)
+    mid = F.col("common.mid")
+    other = F.concat(F.lit("x:"), F.pmod(F.xxhash64("_raw"), F.lit(1024)).cast("string"))
+    tie = F.col(tiebreak) if tiebreak else F.col("_raw")
+    rows = tagged.select(
+        F.when(F.col("_ok") & mid.isNotNull(), F.concat(F.lit(LogRepair.DEVICE), mid)).otherwise(other)
+        .alias("device"), F.col("_raw").alias("raw"), "ts", F.col("common.is_new").alias("is_new"),
+        tie.alias("tie"))
+    return rows.groupBy("device").transformWithStateInPandas(
+        LogRepair(["raw", "is_new"], "ts", "tie", zone, ttl_ms), "raw string, is_new string", "Append",
+        _mode(ttl_ms))
+
+
+def log_split_job(text: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
+                  repair: bool = True, zone: str = "UTC", ttl_ms: int | None = None,
+                  tiebreak: str | None = None):
+    """SEQ-6 then SPL-1 … SPL-3 as one streaming query: the new-visitor flag is
+    repaired by a stateful step over whole logs, and each micro-batch is parsed
+    once for the five outputs (err / start / page / display / action) and the
+    bad messages.  ``repair=False`` leaves the flags as they are (stateless).
     ``trigger`` defaults to a 5 s checkpoint cadence (STR-13)."""
     from tillstream.operators.logs import parse_log_tagged, split_log
     from tillstream.schemas import LOG
@@ -141,12 +224,25 @@ def log_split_job(text: DataFrame, base: str, checkpoint: str, trigger: dict | N
         def outputs(parsed: DataFrame) -> None:
             write_batch_append(parsed.where("not _ok").select(F.col("_raw").alias("value")),
                                f"{base}/bad", batch_id, "json")
-            good = parsed.where("_ok").select(*LOG.fieldNames())
-            for name, part in split_log(good).items():
+            good = parsed.where("_ok")
+            if repair:
+                good = good.withColumn("common", F.col("common").withField("is_new", F.col("_is_new")))
+            for name, part in split_log(good.select(*LOG.fieldNames())).items():
                 write_batch_append(part, f"{base}/{name}", batch_id, "json")
-        kept_once(parse_log_tagged(batch), outputs)
+        rows = batch
+        if repair:
+            rows = batch.select(F.col("raw").alias("value"), F.col("is_new").alias("_is_new"))
+        kept_once(parse_log_tagged(rows), outputs)
+
+    stream = repaired_logs(text, zone, ttl_ms, tiebreak) if repair else text
+    return _start(stream, write, checkpoint, trigger)
+
 
-    return _start(text, write, checkpoint, trigger)
+def quarantine_job(df: DataFrame, ts: str, base: str, checkpoint: str, fmt: str = "json",
+                   trigger: dict | None = None):
+    """STR-2: the rows without an event time, kept per micro-batch beside the
+    job that could not place them."""
+    return append_job(untimed(df, ts), base, checkpoint, fmt, trigger)
 
 
 def upsert_job(changes: DataFrame, base: str, keys: Sequence[str], order: Sequence[str],
@@ -216,7 +312,7 @@ def order_detail_stream(changes: DataFrame, retention: str = "10 seconds",
 
     def part(table, cols, ts_name):
         t = table_changes(changes, table, ["c"])
-        return with_event_time(t.select(*cols, F.col("source")["ts_ms"].cast("bigint").alias(ts_name)),
+        return with_event_time(t.select(*cols, F.col("source")["ts_ms"].try_cast("bigint").alias(ts_name)),
                                ts_name, delay, ts_name + "_et")
 
     od = part("order_detail", [a["id"].alias("id"), a["order_id"].alias("order_id"),
@@ -264,22 +360,66 @@ def order_cancel_stream(changes: DataFrame, details: DataFrame, retention: str =
     return _joined(details, c, ("order_id", "oc_id"), "ts_ms", "oc_ts_ms", retention, delay).select(*shape)
 
 
+def _payments(changes: DataFrame, details: DataFrame, retention: str, delay: str) -> DataFrame:
+    from tillstream.operators import facts
+    return _joined(facts.paid_orders(changes), details, ("pi_order_id", "order_id"), "pi_ts_ms", "ts_ms",
+                   retention, delay)
+
+
+def _refunds(changes: DataFrame, retention: str, delay: str) -> DataFrame:
+    from tillstream.operators import facts
+    return _joined(facts.refund_requests(changes), facts.refunding_orders(changes), ("order_id", "oi_id"),
+                   "ts_ms", "oi_ts_ms", retention, delay)
+
+
 def payment_stream(changes: DataFrame, details: DataFrame, dic: DataFrame, retention: str = "1 day",
                    delay: str = "0 seconds") -> DataFrame:
-    """PRJ-7 + JN-4 + JN-6 on a stream; the dictionary is a static table."""
+    """PRJ-7 + JN-4 + JN-6 on a stream; the dictionary is a static table (see
+    :func:`payment_job` for one that changes)."""
     from tillstream.operators import facts
-    j = _joined(facts.paid_orders(changes), details, ("pi_order_id", "order_id"), "pi_ts_ms", "ts_ms",
-                retention, delay)
-    return facts.payment_names(j, dic)
+    return facts.payment_names(_payments(changes, details, retention, delay), dic)
 
 
 def refund_stream(changes: DataFrame, dic: DataFrame, retention: str = "1 day",
                   delay: str = "0 seconds") -> DataFrame:
-    """PRJ-8 + JN-5 + JN-6 on a stream."""
+    """PRJ-8 + JN-5 + JN-6 on a stream; the dictionary is a static table."""
+    from tillstream.operators import facts
+    return facts.refund_names(_refunds(changes, retention, delay), dic)
+
+
+def lookup_job(rows_: DataFrame, names, dic, base: str, checkpoint: str, fmt: str = "parquet",
+               trigger: dict | None = None):
+    """SRC-13 / JN-6 / JN-7 on a stream: ``names(batch, dic())`` looks every
+    micro-batch up in the dictionary as it is then.  ``dic`` is called once per
+    micro-batch; ``sources.refresh.Refreshed`` gives it an age (the reference
+    keeps looked-up rows for an hour)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch_append(names(batch, dic()), base, batch_id, fmt)
+
+    return _start(rows_, write, checkpoint, trigger)
+
+
+def payment_job(changes: DataFrame, details: DataFrame, dic, base: str, checkpoint: str,
+                retention: str = "1 day", delay: str = "0 seconds", trigger: dict | None = None):
+    """PRJ-7 + JN-4 + JN-6 with a dictionary that may change."""
+    from tillstream.operators import facts
+    return lookup_job(_payments(changes, details, retention, delay), facts.payment_names, dic, base,
+                      checkpoint, trigger=trigger)
+
+
+def refund_job(changes: DataFrame, dic, base: str, checkpoint: str, retention: str = "1 day",
+               delay: str = "0 seconds", trigger: dict | None = None):
+    """PRJ-8 + JN-5 + JN-6 with a dictionary that may change."""
+    from tillstream.operators import facts
+    return lookup_job(_refunds(changes, retention, delay), facts.refund_names, dic, base, checkpoint,
+                      trigger=trigger)
+
+
+def comment_job(changes: DataFrame, dic, base: str, checkpoint: str, trigger: dict | None = None):
+    """PRJ-11 + JN-6 with a dictionary that may change."""
     from tillstream.operators import facts
-    j = _joined(facts.refund_requests(changes), facts.refunding_orders(changes), ("order_id", "oi_id"),
-                "ts_ms", "oi_ts_ms", retention, delay)
-    return facts.refund_names(j, dic)
+    return lookup_job(facts.posted_comments(changes), facts.comment_names, dic, base, checkpoint,
+                      trigger=trigger)
 
 
 def window_agg_stream(df: DataFrame, keys: Sequence[str], aggs: Sequence, size: str,
@@ -347,7 +487,7 @@ def sku_order_window_stream(details: DataFrame, order: Sequence[str], size: str
                                            for c in cols]), "id", cols, SKU_AMOUNTS, order, ttl_ms)
     names = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
     agg = with_event_time(r, "ts_ms", delay).groupBy(F.window("et", size).alias("window"), "sku_id").agg(
-        *[F.sum(F.coalesce(F.col(a).cast("decimal(20,4)"), F.lit(0))).alias(o)
+        *[F.sum(F.coalesce(F.col(a).try_cast("decimal(20,4)"), F.lit(0))).alias(o)
           for a, o in zip(SKU_AMOUNTS, names)])
     return agg.select(*window_bounds(), "sku_id", *names)
 
@@ -355,17 +495,19 @@ def sku_order_window_stream(details: DataFrame, order: Sequence[str], size: str
 def province_order_window_stream(details: DataFrame, order: Sequence[str], size: str = "1 second",
                                  delay: str = "0 seconds", ttl_ms: int | None = None) -> DataFrame:
     """AGG-6 + SEQ-7 on a stream: retraction on the amount, then per window and
-    province the amount sum and the number of distinct orders (exact distinct
-    is not supported by streaming aggregation, so the window keeps the set of
-    order ids: bounded by the orders of one province in one window)."""
+    province the amount sum and the exact number of distinct orders.  Two
+    chained aggregates: the first keeps one state row per (window, province,
+    order), the second counts them once the watermark has closed the window, so
+    no state value grows with the orders of a hot province."""
     cols = ["id", "order_id", "province_id", "ts_ms", "split_total_amount",
             *[c for c in order if c not in ("id", "order_id", "province_id", "ts_ms",
                                             "split_total_amount")]]
     r = retraction_stream(details.select(*[F.col(c).cast("bigint" if c == "ts_ms" else "string")
                                            for c in cols]), "id", cols, ["split_total_amount"], order,
                           ttl_ms)
-    agg = with_event_time(r, "ts_ms", delay).groupBy(F.window("et", size).alias("window"),
-                                                     "province_id").agg(
-        F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"),
-        F.sum(F.coalesce(F.col("split_total_amount").cast("decimal(20,4)"), F.lit(0))).alias("order_amount"))
+    each = with_event_time(r, "ts_ms", delay).groupBy(
+        F.window("et", size).alias("window"), "province_id", "order_id").agg(
+        F.sum(F.coalesce(F.col("split_total_amount").try_cast("decimal(20,4)"), F.lit(0))).alias("amount"))
+    agg = each.groupBy(F.window(F.window_time("window"), size).alias("window"), "province_id").agg(
+        F.count("order_id").alias("order_count"), F.sum("amount").alias("order_amount"))
     return agg.select(*window_bounds(), "province_id", "order_count", "order_amount")

@@ -166,9 +166,10 @@ class Retraction(StatefulProcessor):
 
 class RunningProfile(StatefulProcessor):
     """AGG-9: per user the running page count, the first ``os``, the first
-    ``ts`` and the latest search item; one output row per input row.  The sets
-    of all values seen, which nothing downstream reads beyond their first or
-    last element, are not state: their elements are rows of
+    ``ts`` and the latest search item (the greatest of one instant); one output
+    row per input row, with its event time ``et`` for the operators after it.
+    The sets of all values seen, which nothing downstream reads beyond their
+    first or last element, are not state: their elements are rows of
     ``operators.label.profile_values``."""
 
     def __init__(self, key: str = "uid", ts: str = "ts", ttl_ms: int | None = None):
@@ -179,7 +180,7 @@ class RunningProfile(StatefulProcessor):
             "profile", "pv long, os string, first_ts long, last_search string", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = _sorted(rows, [self.ts, "os", "search_item"])
+        pdf = _sorted(rows, [self.ts, "search_item", "os"])
         if pdf.empty:
             return
         pv, os, first_ts, search = self.state.get() if self.state.exists() else (0, None, None, None)
@@ -192,15 +193,36 @@ class RunningProfile(StatefulProcessor):
             self.key: key[0], "event_ts": ts.to_numpy(), "pv": pv + pd.RangeIndex(1, len(pdf) + 1),
             "os": _running_min(oses).iloc[1:].to_numpy(),
             "ts": (ts.cummin() if first_ts is None else ts.cummin().clip(upper=first_ts)).to_numpy(),
-            "last_search": found})
+            "last_search": found, "et": pd.to_datetime(ts.to_numpy(), unit="ms")})
         self.state.update((int(out["pv"].iloc[-1]), None if least.empty else least.min(),
                            int(out["ts"].iloc[-1]), None if pd.isna(found[-1]) else found[-1]))
-        yield out.astype({"os": object, "last_search": object}).where(out.notna(), None)
+        text = ["os", "last_search"]
+        out[text] = out[text].astype(object).where(out[text].notna(), None)
+        yield out
 
     def close(self) -> None:
         pass
 
 
+PROFILE_ROW = ("uid string, event_ts bigint, pv bigint, os string, ts bigint, last_search string, "
+               "et timestamp")
+
+
+class LogRepair(NewVisitorRepair):
+    """SEQ-6 inside the log job: rows of a device are repaired in event-time
+    order; rows under a key that is no device (bad messages, logs without one)
+    pass unchanged and leave no state."""
+
+    DEVICE = "m:"
+
+    def handleInputRows(self, key, rows, timerValues):
+        if key[0].startswith(self.DEVICE):
+            yield from super().handleInputRows(key, rows, timerValues)
+        else:
+            for pdf in rows:
+                yield pdf[self.out_cols]
+
+
 def _running_min(v: pd.Series) -> pd.Series:
     """Smallest text so far (missing values skipped)."""
     known = v.dropna()
