@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tillstream.operators import cdc
 from tillstream.schemas import CONFIG
-from tillstream.sinks.writers import current_table, drop_old_versions, upsert_table
+from tillstream.sinks.writers import current_table, rebucket, upsert_table
 
 ENVELOPES = [
     '{"before":null,"after":{"id":1,"order_status":"1001"},"source":{"db":"shop","table":"order_info",'
@@ -106,47 +106,66 @@ def _kv(spark, *recs):
 def test_upsert_table_is_idempotent(spark, tmp):
     b1 = _kv(spark, ("1", "a", 1, False), ("2", "b", 1, False))
     b2 = _kv(spark, ("1", "z", 2, False))
-    for batch, k in ((b1, 0), (b2, 1), (b2, 1), (b1, 0)):            # with replays
-        upsert_table(spark, tmp, batch, ["id"], ["ts"], k, "d", query="q")
+    for batch in (b1, b2, b2, b1):                                   # with replays
+        upsert_table(spark, tmp, batch, ["id"], ["ts"], "d")
     assert rows(current_table(spark, tmp), "id", "v") == [("1", "z"), ("2", "b")]
-    # a job with a new checkpoint begins at batch 0 again: it is applied
-    upsert_table(spark, tmp, _kv(spark, ("3", "c", 5, False)), ["id"], ["ts"], 0, "d", query="other")
+    upsert_table(spark, tmp, _kv(spark, ("3", "c", 5, False)), ["id"], ["ts"], "d")
     assert rows(current_table(spark, tmp), "id", "v") == [("1", "z"), ("2", "b"), ("3", "c")]
+    upsert_table(spark, tmp, _kv(spark).limit(0), ["id"], ["ts"], "d")
+    assert current_table(spark, tmp).count() == 3
 
 
 def test_upsert_table_keeps_max_version_out_of_order(spark, tmp):
-    upsert_table(spark, tmp, _kv(spark, ("1", "new", 9, False), ("2", "x", 9, True)), ["id"], ["ts"], 0, "d")
-    upsert_table(spark, tmp, _kv(spark, ("1", "old", 3, False), ("2", "y", 4, False)), ["id"], ["ts"], 1, "d")
+    upsert_table(spark, tmp, _kv(spark, ("1", "new", 9, False), ("2", "x", 9, True)), ["id"], ["ts"], "d")
+    upsert_table(spark, tmp, _kv(spark, ("1", "old", 3, False), ("2", "y", 4, False)), ["id"], ["ts"], "d")
     assert rows(current_table(spark, tmp), "id", "v") == [("1", "new")]
+    assert rows(current_table(spark, tmp, tombstones=True), "id") == [("1",), ("2",)]
 
 
 def test_upsert_table_rewrites_touched_buckets_only(spark, tmp):
-    import os
+    import glob
     many = _kv(spark, *[(str(k), "a", 1, False) for k in range(60)])
-    upsert_table(spark, tmp, many, ["id"], ["ts"], 0, "d", buckets=8)
-    upsert_table(spark, tmp, _kv(spark, ("7", "b", 2, False)), ["id"], ["ts"], 1, "d", buckets=8)
-    new = [b for b in os.listdir(f"{tmp}/data") if os.path.isdir(f"{tmp}/data/{b}/version=2")]
-    assert len(new) == 1
+    upsert_table(spark, tmp, many, ["id"], ["ts"], "d", buckets=8)
+    before = set(glob.glob(f"{tmp}/data/bucket=*/*.parquet"))
+    upsert_table(spark, tmp, _kv(spark, ("7", "b", 2, False)), ["id"], ["ts"], "d")
+    after = set(glob.glob(f"{tmp}/data/bucket=*/*.parquet"))
+    assert len(before) == 8 and len(after) == 8 and len(before - after) == 1
     got = dict(rows(current_table(spark, tmp), "id", "v"))
     assert len(got) == 60 and got["7"] == "b" and got["8"] == "a"
-    drop_old_versions(spark, tmp, keep=1)
-    assert dict(rows(current_table(spark, tmp), "id", "v")) == got
+    rebucket(spark, tmp, f"{tmp}/wide", ["id"], 20)
+    upsert_table(spark, f"{tmp}/wide", _kv(spark, ("8", "c", 2, False)), ["id"], ["ts"], "d")
+    wide = dict(rows(current_table(spark, f"{tmp}/wide"), "id", "v"))
+    assert wide == {**got, "8": "c"} and len(glob.glob(f"{tmp}/wide/data/bucket=*")) > 8
+
+
+def test_upsert_table_survives_a_half_done_write(spark, tmp):
+    import glob
+    import shutil
+    many = _kv(spark, *[(str(k), "a", 1, False) for k in range(40)])
+    upsert_table(spark, tmp, many, ["id"], ["ts"], "d", buckets=4)
+    whole = rows(current_table(spark, tmp), "id", "v")
+    # The writer died after it had written `pending` and removed a bucket.
+    spark.read.parquet(f"{tmp}/data").write.parquet(f"{tmp}/pending")
+    lost = glob.glob(f"{tmp}/data/bucket=*")[0]
+    shutil.move(lost, f"{tmp}/moved")
+    upsert_table(spark, tmp, _kv(spark, ("100", "n", 1, False)), ["id"], ["ts"], "d")
+    assert rows(current_table(spark, tmp), "id", "v") == sorted([*whole, ("100", "n")])
+    # A `pending` that was not finished is not read.
+    _kv(spark, ("5", "half", 9, False)).withColumnRenamed("d", "__deleted").write.parquet(f"{tmp}/pending")
+    shutil.move(f"{tmp}/pending/_SUCCESS", f"{tmp}/not_done")
+    upsert_table(spark, tmp, _kv(spark, ("101", "n", 1, False)), ["id"], ["ts"], "d")
+    assert dict(rows(current_table(spark, tmp), "id", "v"))["5"] == "a"
 
 
 def test_upsert_table_is_never_taken_for_empty(spark, tmp):
-    import os
     import shutil
-    upsert_table(spark, tmp, _kv(spark, ("1", "a", 1, False)), ["id"], ["ts"], 0, "d")
-    # files of a batch that died before its log row are not read
-    bucket = os.listdir(f"{tmp}/data")[0]
-    shutil.copytree(f"{tmp}/data/{bucket}/version=1", f"{tmp}/data/{bucket}/version=9")
-    assert rows(current_table(spark, tmp), "id", "v") == [("1", "a")]
-    # a lost data folder is an error, not an empty table
+    assert current_table(spark, tmp) is None
+    upsert_table(spark, tmp, _kv(spark, ("1", "a", 1, False)), ["id"], ["ts"], "d")
     shutil.move(f"{tmp}/data", f"{tmp}/moved")
     with pytest.raises(Exception):
         current_table(spark, tmp).count()
     with pytest.raises(Exception):
-        upsert_table(spark, tmp, _kv(spark, ("1", "b", 2, False)), ["id"], ["ts"], 1, "d")
+        upsert_table(spark, tmp, _kv(spark, ("1", "b", 2, False)), ["id"], ["ts"], "d")
 
 
 def test_delete_keys(spark):

@@ -90,11 +90,13 @@ def test_pick_band_ties_and_zero(spark):
     assert [r[0] for r in got] == ["25-29", "18-24"]
 
 
-def test_keyword_udtf_matches_builtin(spark):
-    from tillstream.functions.text import register_keyword_udtf
-    register_keyword_udtf(spark)
+def test_keyword_table_function_matches_builtin(spark):
+    from tillstream.functions.text import register_keywords
+    register_keywords(spark)
     spark.createDataFrame([(1, "小米手机 5G Phone"), (2, "运动鞋 跑步"), (3, None)], "id int, item string") \
         .createOrReplaceTempView("kw_items")
     sql = spark.sql("SELECT id, k.word FROM kw_items, LATERAL keywords(kw_items.item) k")
     builtin = spark.table("kw_items").select("id", F.explode(fn.tokens("item")).alias("word"))
     assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, builtin.collect()))
+    plan = sql._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "Python" not in plan and "Join" not in plan

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,7 +50,7 @@ def tokens(text) -> Column:
     digit runs, plus overlapping bigrams of each CJK run."""
     t = _c(text)
     latin = F.transform(F.regexp_extract_all(t, F.lit(_LATIN), 0), lambda s: F.lower(s))
-    runs = F.regexp_extract_all(t, F.lit(r"[\x{4E00}-\x{9FFF}]+"), 0)
+    runs = F.regexp_extract_all(t, F.lit(_CJK), 0)
     bigrams = F.flatten(F.transform(runs, lambda r: F.when(
         F.length(r) == 1, F.array(r)).otherwise(
         F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, 2)))))
@@ -62,26 +62,16 @@ def _regex_escape(sep: str) -> str:
     return re.escape(sep)
 
 
-def py_tokens(text: str | None) -> list[str]:
-    """The same tokenisation as :func:`tokens`, in Python (for the SQL UDTF)."""
-    import regex
-    if not text:
-        return []
-    out = [m.lower() for m in regex.findall(r"[A-Za-z0-9]+", text)]
-    for run in regex.findall("[\u4e00-\u9fff]+", text):
-        out.extend([run] if len(run) == 1 else [run[i:i + 2] for i in range(len(run) - 1)])
-    return out
-
-
-def register_keyword_udtf(spark, name: str = "keywords") -> None:
-    """UDX-1 for SQL users: ``SELECT k.word FROM pages, LATERAL keywords(pages.item) k``.
-    DataFrame code should prefer ``explode(tokens(col))``, which stays in the JVM."""
-    from pyspark.sql.functions import udtf
-
-    @udtf(returnType="word: string")
-    class Keywords:
-        def eval(self, text):
-            for w in py_tokens(text):
-                yield (w,)
-
-    spark.udtf.register(name, Keywords)
+def register_keywords(spark: SparkSession, name: str = "keywords") -> None:
+    """UDX-1 for SQL users, a SQL table function over the expression of
+    :func:`tokens`: ``SELECT k.word FROM pages, LATERAL keywords(pages.item) k``
+    plans as one ``Generate``, without Python."""
+    cjk = _CJK.replace("\\", "\\\\")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE(word STRING)
+        RETURN SELECT k.word FROM (SELECT explode(concat(
+          transform(regexp_extract_all(text, '{_LATIN}', 0), s -> lower(s)),
+          coalesce(flatten(transform(regexp_extract_all(text, '{cjk}', 0), r ->
+            CASE WHEN length(r) = 1 THEN array(r)
+                 ELSE transform(sequence(1, length(r) - 1), i -> substring(r, i, 2)) END)),
+            CAST(array() AS ARRAY<STRING>)))) AS word) k""")

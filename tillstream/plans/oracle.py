@@ -886,3 +886,8 @@ ORACLE["run_failed_ids"] = """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS run_day, event_id AS failed_id
 FROM events WHERE event_type = 'error'
 """
+
+# The SQL forms of these jobs give the same rows.
+for _name, _same in (("dwd_cart_add_sql", "dwd_cart_add"), ("dwd_comment_sql", "dwd_comment"),
+                     ("dwd_refund_sql", "dwd_refund"), ("dws_keyword_sql", "dws_keyword_count")):
+    ORACLE[_name] = ORACLE[_same]

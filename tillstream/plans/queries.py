@@ -17,6 +17,7 @@ from tillstream.operators.joins import lookup
 from tillstream.sources import config as cfgsrc
 from tillstream.sources import dims
 from tillstream.sources import driver as drv
+from tillstream.sources import sql as sqlsrc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -197,6 +198,31 @@ def q_dwd_comment(spark, sf):
                               dims.base_dic(spark))
 
 
+# The SQL forms of three fact jobs and the keyword job, over the declared tables.
+@query("dwd_cart_add_sql")
+def q_dwd_cart_add_sql(spark, sf):
+    sqlsrc.register_tables(spark, drv.cart_changes(drv.table(spark, sf, "events")))
+    return sqlsrc.cart_add(spark)
+
+
+@query("dwd_comment_sql")
+def q_dwd_comment_sql(spark, sf):
+    sqlsrc.register_tables(spark, drv.comment_changes(drv.table(spark, sf, "documents")), dims.base_dic(spark))
+    return sqlsrc.comment_fact(spark)
+
+
+@query("dwd_refund_sql")
+def q_dwd_refund_sql(spark, sf):
+    sqlsrc.register_tables(spark, _changes(spark, sf), dims.base_dic(spark))
+    return sqlsrc.refund(spark)
+
+
+@query("dws_keyword_sql")
+def q_dws_keyword_sql(spark, sf):
+    sqlsrc.register_tables(spark, log=_log(spark, sf))
+    return sqlsrc.keyword_count(spark)
+
+
 @query("lookup_join")
 def q_lookup_join(spark, sf):
     d = _details(spark, sf)

@@ -2,8 +2,7 @@
 
 Every streaming sink may be replayed: appends go to a folder named by the
 query and the batch id (rewritten whole on replay), and a keyed table keeps the
-greatest version of a key, records the (query, batch) pairs it has applied and
-only ever adds files, so a batch that runs twice, or half, changes nothing.
+greatest version of a key, so a batch that runs twice, or half, changes nothing.
 """
 
 from __future__ import annotations
@@ -79,83 +78,95 @@ def write_batch_append(df: DataFrame, base: str, batch_id: int, fmt: str = "parq
 
 
 TOMBSTONE = "__deleted"
-BUCKETS = 16
-_APPLIED = "version BIGINT, query STRING, batch_id BIGINT, bucket INT"
+BUCKET_ROWS = 4_000_000      # rows a bucket of a new keyed table is meant for
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there; a store that cannot be read raises."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
-def _applied(spark: SparkSession, base: str) -> DataFrame | None:
-    """The table's log: one row per version and bucket it rewrote."""
-    path = os.path.join(base, "applied")
-    return spark.read.schema(_APPLIED).parquet(path) if _exists(spark, path) else None
+def _done(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was finished."""
+    return _exists(spark, os.path.join(path, "_SUCCESS"))
 
 
-def _newest(spark: SparkSession, base: str, only: Sequence[int] | None = None) -> DataFrame | None:
-    """The newest recorded image of every bucket (or of ``only`` these).  Files
-    of a version that was not recorded are never read."""
-    log = _applied(spark, base)
-    if log is None:
+def _rows(spark: SparkSession, base: str) -> DataFrame | None:
+    """All rows of a keyed table with their ``bucket``; None before its first
+    batch.  A table that exists but cannot be read raises."""
+    if not _done(spark, os.path.join(base, "properties")):
         return None
-    heads = {r["bucket"]: r["v"] for r in log.groupBy("bucket").agg(F.max("version").alias("v")).collect()}
-    paths = [os.path.join(base, "data", f"bucket={b}", f"version={v}") for b, v in sorted(heads.items())
-             if only is None or b in only]
-    return spark.read.parquet(*paths) if paths else None
+    return spark.read.parquet(os.path.join(base, "data"))
+
+
+def _buckets(spark: SparkSession, base: str) -> int:
+    return spark.read.schema("buckets INT").json(os.path.join(base, "properties")).first()[0]
 
 
 def current_table(spark: SparkSession, base: str, tombstones: bool = False) -> DataFrame | None:
-    """The current image of a keyed table (deleted keys hidden); None before the
-    first batch.  A table that exists but cannot be read raises."""
-    df = _newest(spark, base)
-    if df is None or tombstones:
-        return df
-    return df.where(~F.coalesce(F.col(TOMBSTONE), F.lit(False))).drop(TOMBSTONE)
+    """The image of a keyed table (deleted keys hidden); None before the first
+    batch."""
+    df = _rows(spark, base)
+    if df is None:
+        return None
+    df = df.drop("bucket")
+    return df if tombstones else df.where(~F.coalesce(F.col(TOMBSTONE), F.lit(False))).drop(TOMBSTONE)
 
 
 def upsert_table(spark: SparkSession, base: str, batch: DataFrame, keys: Sequence[str],
-                 order: Sequence[str], batch_id: int, delete_col: str | None = None,
-                 query: str | None = None, buckets: int = BUCKETS) -> None:
-    """SNK-4 / SNK-6 / SNK-7: merge a batch of changes into a keyed table.
-
-    Keys are spread over hash buckets (their number is fixed for the table's
-    life).  Only the buckets that the batch touches are merged — greatest
-    version per key; deletes stay as tombstones, hidden by ``current_table`` —
-    and written as new files; then one log row per bucket names the version.
-    A (query, batch) pair in the log is skipped, whatever its number."""
-    query = query or query_id(batch)
-    log = _applied(spark, base)
-    if log is not None and log.where((F.col("query") == query) & (F.col("batch_id") == batch_id)).limit(1).count():
-        return
-    version = 1 if log is None else log.agg(F.max("version")).first()[0] + 1
-    b = batch.withColumnRenamed(delete_col, TOMBSTONE) if delete_col else batch.withColumn(TOMBSTONE, F.lit(False))
-    rows = materialize(b.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")),
-                       "upsert-batch")
-    touched = sorted(r[0] for r in rows.select("__bucket").distinct().collect())
-    if not touched:
-        return
-    known = _newest(spark, base, touched)
+                 order: Sequence[str], delete_col: str | None = None, buckets: int | None = None) -> None:
+    """SNK-4 / SNK-6 / SNK-7: merge a batch of changes into a keyed table of
+    Parquet files in ``buckets`` folders (fixed when the table is made; by
+    default sized to the first batch, ``BUCKET_ROWS`` each; :func:`rebucket`
+    changes it).
+
+    The batch and the rows of the buckets it touches compete in one aggregate,
+    the greatest version of a key wins, deletes stay as tombstones: merging a
+    batch twice, or an older one later, changes nothing, so no record of batches
+    is needed.  The merged buckets are written to ``pending`` and then, in one
+    job, over the old ones; a write that died between is found in ``pending``
+    and merged again by the next call.  A table has one writer at a time (a
+    streaming query); where several write, use a table format's ``MERGE``."""
+    pending = os.path.join(base, "pending")
+    rows = batch.withColumnRenamed(delete_col, TOMBSTONE) if delete_col else batch.withColumn(TOMBSTONE, F.lit(False))
+    if _done(spark, pending):
+        rows = materialize(rows.unionByName(spark.read.parquet(pending).drop("bucket"), allowMissingColumns=True),
+                           "upsert-again")
+    known = _rows(spark, base)
+    if known is None:
+        n = buckets or max(1, -(-rows.count() // BUCKET_ROWS))
+    else:
+        n = _buckets(spark, base)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int"))
     if known is not None:
-        rows = rows.unionByName(known.withColumn(
-            "__bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), allowMissingColumns=True)
-    merged = materialize(latest_per_key(rows, [*keys, "__bucket"], order), "upsert-merged")
-    for k in touched:
-        merged.where(F.col("__bucket") == k).drop("__bucket").write.mode("overwrite").parquet(
-            os.path.join(base, "data", f"bucket={k}", f"version={version}"))
-    spark.createDataFrame([(version, query, batch_id, k) for k in touched], _APPLIED).coalesce(1).write.mode(
-        "append").parquet(os.path.join(base, "applied"))
-
-
-def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
-    """Remove all but the ``keep`` newest versions of every bucket."""
-    log = _applied(spark, base)
-    for r in [] if log is None else log.groupBy("bucket").agg(F.sort_array(F.collect_set("version")).alias("v")).collect():
-        for v in r["v"][:-keep]:
-            p = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(base, "data", f"bucket={r['bucket']}", f"version={v}"))
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        touched = [r[0] for r in rows.select("bucket").distinct().collect()]    # at most n
+        if not touched:
+            return
+        rows = rows.unionByName(known.where(F.col("bucket").isin(touched)), allowMissingColumns=True)
+    merged = latest_per_key(rows, [*keys, "bucket"], order)
+    merged.repartition("bucket").write.mode("overwrite").parquet(pending)
+    (spark.read.parquet(pending).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(os.path.join(base, "data")))
+    if known is None:
+        spark.createDataFrame([(n,)], "buckets INT").coalesce(1).write.mode("overwrite").json(
+            os.path.join(base, "properties"))
+    fs, p = _fs(spark, pending)
+    fs.delete(p, True)
+
+
+def rebucket(spark: SparkSession, base: str, target: str, keys: Sequence[str], buckets: int) -> None:
+    """A copy of a keyed table in another number of buckets, under ``target``."""
+    rows = current_table(spark, base, tombstones=True)
+    (rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).repartition("bucket")
+     .write.mode("overwrite").partitionBy("bucket").parquet(os.path.join(target, "data")))
+    spark.createDataFrame([(buckets,)], "buckets INT").coalesce(1).write.mode("overwrite").json(
+        os.path.join(target, "properties"))
 
 
 def foreach_batch_writer(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:

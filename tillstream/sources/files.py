@@ -54,14 +54,29 @@ def flatten_weather(responses: DataFrame, payload_col: str = "payload") -> DataF
         F.to_json(live).alias("lives"), F.to_timestamp(live["reporttime"]).alias("report_time"))
 
 
+def write_dimension(df: DataFrame, path: str, key_col: str, row_group_bytes: int = 8 << 20,
+                    files: int | None = None) -> None:
+    """A dimension laid out for point reads (SRC-10): ranges of the key, sorted
+    within each file, with a Bloom filter of the key per row group.  A read of
+    one key opens the one file, and decodes the one row group, whose key range
+    and filter admit it.  ``files`` defaults to Spark's own number."""
+    ranged = df.repartitionByRange(files, key_col) if files else df.repartitionByRange(key_col)
+    (ranged.sortWithinPartitions(key_col).write.mode("overwrite")
+     .option("parquet.block.size", row_group_bytes)
+     .option(f"parquet.bloom.filter.enabled#{key_col}", "true").parquet(path))
+
+
 def point_lookup(dim: DataFrame, key_col: str, key) -> DataFrame:
-    """SRC-10: the row of one key (empty when absent); pushed down to the scan."""
+    """SRC-10: the row of one key (empty when absent); the comparison is pushed
+    down to the scan."""
     return dim.where(F.col(key_col) == F.lit(key))
 
 
-def scan_limit(dim: DataFrame, n: int, key_col: str = "row_key") -> DataFrame:
-    """SRC-11 / TOP-1: the first ``n`` rows of a dimension, with its row key."""
-    return dim.limit(n)
+def scan_limit(dim: DataFrame, n: int, key_col: str) -> DataFrame:
+    """SRC-11 / TOP-1: the first ``n`` rows of a dimension in the order of its
+    row key, as a table scan gives them; the key is also the column
+    ``row_key``.  Planned as a top-n, so no task returns more than ``n`` rows."""
+    return dim.withColumn("row_key", F.col(key_col).cast("string")).orderBy("row_key").limit(n)
 
 
 def row_count(dim: DataFrame) -> int:

@@ -250,7 +250,7 @@ def upsert_job(changes: DataFrame, base: str, keys: Sequence[str], order: Sequen
     """SNK-4 / SNK-6 / SNK-7 on a stream: every micro-batch is merged into a
     keyed table (``upsert_table``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch.sparkSession, base, batch, keys, order, batch_id, delete_col)
+        upsert_table(batch.sparkSession, base, batch, keys, order, delete_col)
 
     return _start(changes, write, checkpoint, trigger)
 
@@ -289,13 +289,17 @@ def append_job(rows_: DataFrame, base: str, checkpoint: str, fmt: str = "parquet
     return _start(rows_, write, checkpoint, trigger)
 
 
-def json_topic_job(df: DataFrame, topic: str, bootstrap_servers: str, checkpoint: str,
+def json_topic_job(df: DataFrame, topic: str, checkpoint: str, bootstrap_servers: str | None = None,
                    drop: Sequence[str] = (), trigger: dict | None = None):
-    """SNK-1 on a stream: rows as JSON messages to a Kafka topic (exactly-once
-    with the checkpoint; the connector jar must be on the classpath)."""
-    w = (to_json_value(df, drop=drop).writeStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
-         .option("checkpointLocation", checkpoint))
+    """SNK-1 on a stream: rows as JSON messages, one per row, exactly once with
+    the checkpoint: to a Kafka topic (the connector jar must be on the
+    classpath), or without ``bootstrap_servers`` to text files in the folder
+    ``topic``."""
+    w = to_json_value(df, drop=drop).writeStream.option("checkpointLocation", checkpoint)
+    if bootstrap_servers:
+        w = w.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
+    else:
+        w = w.format("text").option("path", topic)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
