@@ -4,7 +4,7 @@ Prints one JSON line: {"metric", "value", "unit", "queries": {...}, "sf", ...}.
 Each query is forced with a ``noop`` write (full computation, nothing collected
 to the driver).  An untimed warm-up pass runs every query once on the smallest
 data set ($BENCH_WARMUP_DIR, default sf0.001) so generated code is compiled
-before timing; each query is then timed $BENCH_RUNS times (default 1) and the
+before timing; each query is then timed $BENCH_RUNS times (default 3) and the
 median is reported.  ``value`` is the sum of the per-query medians.
 """
 
@@ -40,7 +40,7 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
-    runs = max(1, int(os.environ.get("BENCH_RUNS", "1")))
+    runs = max(1, int(os.environ.get("BENCH_RUNS", "3")))
     if warm_dir and os.path.isdir(warm_dir):
         for n in names:
             QUERIES[n](spark, warm_dir).write.format("noop").mode("overwrite").save()

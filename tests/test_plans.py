@@ -28,7 +28,8 @@ def test_change_stream_prunes_to_read_tables(spark):
 
 
 @pytest.mark.parametrize("name", ["cdc_parse", "dim_route", "dwd_route", "config_latest", "dws_sku_order",
-                                  "dws_province_order", "log_split_counts", "log_etl"])
+                                  "dws_province_order", "log_split_counts", "log_etl", "dws_traffic_pv",
+                                  "moderation_p1", "moderation_p0", "comment_order_join"])
 def test_every_table_is_scanned_once(spark, name):
     scans = Counter(re.findall(r"FileScan parquet.*?/(\w+)\.parquet", _plan(spark, name)))
     assert scans and max(scans.values()) == 1
@@ -50,3 +51,24 @@ def test_interval_join_is_an_equi_join(spark):
 def test_fixed_tables_are_broadcast(spark):
     plan = _plan(spark, "dwd_comment")
     assert "BroadcastHashJoin" in plan
+
+
+def test_upsert_reads_target_and_batch_once(spark):
+    assert _plan(spark, "upsert_latest").count("orders.parquet") == 2
+    assert _plan(spark, "label_age_band").count("part.parquet") == 2     # one per lookup
+
+
+@pytest.mark.parametrize("name", ["dws_sku_order", "dws_province_order"])
+def test_latest_rows_need_no_window_per_id(spark, name):
+    assert not re.search(r"^[ +:*()0-9-]*Window ", _plan(spark, name), re.M)
+
+
+def test_versions_are_ranked_in_time_buckets(spark):
+    parts = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", _plan(spark, "retract_dedup"))
+    ranked = [p for p in parts if "_bucket" in p or "_part" in p]
+    assert len(ranked) == 2
+
+
+def test_traffic_window_hashes(spark):
+    plan = _plan(spark, "dws_traffic_pv")
+    assert "SortAggregate" not in plan and plan.count("events.parquet") == 1

@@ -112,3 +112,83 @@ def test_window_edge_and_empty(spark):
     got = rows(dws.keyword_window(pages, "1 second"), "stt", "keyword", "keyword_count")
     assert got == [("2024-01-01 00:00:00", "5g", 1), ("2024-01-01 00:00:00", "phone", 1),
                    ("2024-01-01 00:00:01", "5g", 1), ("2024-01-01 00:00:01", "phone", 1)]
+
+
+def _versions(spark):
+    """A hot id and the null id hold a third of all rows each."""
+    recs = []
+    for k in range(3000):
+        i = ["hot", None, f"d{k % 400}"][k % 3]
+        recs.append((i, f"s{k % 7}", f"p{k % 5}", f"o{k % 11}", 1_704_067_200_000 + (k * 7919) % 3000 * 1000,
+                     str(k % 50), None if k % 13 == 0 else "1.5", None, "bad" if k % 17 == 0 else str(k)))
+    recs += recs[:60]                                    # exact repeats
+    return spark.createDataFrame(recs, "id string, sku_id string, province_id string, order_id string, ts_ms bigint, "
+                                       "split_original_amount string, split_activity_amount string, "
+                                       "split_coupon_amount string, split_total_amount string")
+
+
+ORDER = ["ts_ms", "sku_id", "split_total_amount", "split_original_amount", "order_id"]
+
+
+def _last_rows(recs):
+    key = lambda r: tuple((r[c] is not None, r[c]) for c in ORDER)
+    last = {}
+    for r in recs:
+        if r.id not in last or key(r) >= key(last[r.id]):
+            last[r.id] = r
+    return last
+
+
+def test_latest_flags_with_a_hot_and_a_null_id(spark):
+    from collections import Counter
+    df = _versions(spark)
+    last = _last_rows(df.collect())
+    flagged = sequence.with_latest(df, "id", ORDER).collect()
+    got = [r for r in flagged if r._last]
+    assert Counter(r.id for r in got) == Counter(last.keys())   # one each, the null id too
+    for r in got:
+        assert all(r[c] == last[r.id][c] for c in ORDER)
+    assert len(flagged) == df.count()
+    sums = {r.id: r.n for r in sequence.retract_duplicates(df, "id", ["split_original_amount"], ORDER)
+            .groupBy("id").agg(F.sum("split_original_amount").alias("n")).collect()}
+    assert {i: float(n) for i, n in sums.items()} == {i: float(r.split_original_amount) for i, r in last.items()}
+
+
+def test_a_hot_id_is_spread_over_tasks(spark):
+    """No partition of either ranking step holds more than a small share."""
+    df = _versions(spark)
+    plan = sequence.with_latest(df, "id", ORDER)
+    sizes = [r.n for r in plan.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+        F.count("*").alias("n")).collect()]
+    assert max(sizes) < 0.4 * df.count()
+
+
+def test_money_windows_with_a_hot_and_a_null_id(spark):
+    from collections import defaultdict
+    df = _versions(spark)
+    recs = df.collect()
+    last = _last_rows(recs).values()
+
+    def number(x):
+        try:
+            return float(x)
+        except (TypeError, ValueError):
+            return 0.0
+
+    want, orders = defaultdict(float), defaultdict(set)
+    for r in recs:
+        orders[(r.ts_ms // 1000, r.province_id)].add(r.order_id)
+        want[(r.ts_ms // 1000, r.province_id)] += 0.0
+    for r in last:
+        want[(r.ts_ms // 1000, r.province_id)] += number(r.split_total_amount)
+    got = dws.province_order_window_batch(df, ORDER, None, "1 second").withColumn(
+        "s", F.unix_timestamp("stt")).collect()
+    assert {(r.s, r.province_id): float(r.order_amount) for r in got} == dict(want)
+    assert {(r.s, r.province_id): r.order_count for r in got} == {k: len(v) for k, v in orders.items()}
+    skus = defaultdict(float)
+    for r in recs:
+        skus[(r.ts_ms // 10_000, r.sku_id)] += 0.0
+    for r in last:
+        skus[(r.ts_ms // 10_000, r.sku_id)] += number(r.split_activity_amount)
+    got = dws.sku_order_window_batch(df, ORDER, None, "10 seconds").withColumn("s", F.unix_timestamp("stt")).collect()
+    assert {(r.s // 10, r.sku_id): float(r.activity_reduce_amount) for r in got} == dict(skus)

@@ -10,13 +10,13 @@ stateful processors in ``tillstream.streaming`` on a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.dates import ms_to_date, window_bounds
 from tillstream.functions.text import empty_or_null, tokens
 from tillstream.operators.joins import lookup
-from tillstream.operators.sequence import daily_firsts, is_latest, returning_users, session_start
+from tillstream.operators.sequence import daily_firsts, returning_users, session_start
 
 
 def _win(ts_ms: str, size: str):
@@ -37,18 +37,22 @@ def page_views(log: DataFrame) -> DataFrame:
 def traffic_window(log: DataFrame, size: str = "10 seconds") -> DataFrame:
     """AGG-1 with SEQ-1/SEQ-2: page views, sessions, daily unique devices and
     dwell time per (window, vc, ch, ar, is_new)."""
-    pv = page_views(log)
     dims = ["vc", "ch", "ar", "is_new"]
-    rows = pv.select(*dims, "ts", F.lit(0).alias("uv"),
-                     session_start(F.col("last_page_id")).alias("sv"),
-                     F.lit(1).alias("pv"), F.col("during_time").alias("dur"))
-    firsts = daily_firsts(pv, "mid", "ts", "log_id", dims).select(
-        *dims, "ts", F.lit(1).alias("uv"), F.lit(0).alias("sv"), F.lit(0).alias("pv"),
-        F.lit(0).cast("bigint").alias("dur"))
-    agg = (rows.unionByName(firsts)
-           .groupBy(_win("ts", size).alias("window"), *dims)
-           .agg(F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"),
-                F.sum("pv").alias("pv_ct"), F.sum("dur").alias("dur_sum")))
+    # A visit's place in its device's day as one number: time, then log id.
+    place = (F.col("ts").cast("decimal(38,0)") * F.lit("1" + "0" * 19).cast("decimal(20,0)") + F.col("log_id")) \
+        .cast("decimal(38,0)")
+    seen = page_views(log).select(_win("ts", size).alias("window"), *dims, "mid", ms_to_date("ts").alias("day"),
+                                  session_start(F.col("last_page_id")).alias("sv"),
+                                  F.col("during_time").alias("dur"), place.alias("place"))
+    # One row per device, day, window and dimensions; only these, bounded by the
+    # calendar for each device, are compared within the device's day.
+    each = seen.groupBy("window", *dims, "mid", "day").agg(
+        F.sum("sv").alias("sv"), F.count("*").alias("pv"), F.sum("dur").alias("dur"), F.min("place").alias("place"))
+    first = F.min("place").over(Window.partitionBy("mid", "day"))
+    flagged = each.withColumn("uv", F.when(F.col("place") == first, 1).otherwise(0))
+    agg = flagged.groupBy("window", *dims).agg(
+        F.sum("uv").alias("uv_ct"), F.sum("sv").alias("sv_ct"), F.sum("pv").alias("pv_ct"),
+        F.coalesce(F.sum("dur"), F.lit(0)).alias("dur_sum"))
     return agg.select(*window_bounds(), *dims, "uv_ct", "sv_ct", "pv_ct", "dur_sum")
 
 
@@ -140,11 +144,34 @@ def keyword_window(pages: DataFrame, size: str = "1 second") -> DataFrame:
 SKU_OUT = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
 
 
-def _latest_sum(col: str, out: str):
-    """Sum of a money column over the rows that are their id's latest; a bad or
-    null amount counts as zero."""
-    amount = F.coalesce(F.col(col).try_cast("decimal(20,4)"), F.lit(0))
-    return F.sum(F.when(F.col("_last"), amount).otherwise(F.lit(0)).cast("decimal(20,4)")).alias(out)
+def _amount(col: str):
+    """A money column as a number; a bad or null amount counts as zero."""
+    return F.coalesce(F.col(col).try_cast("decimal(20,4)"), F.lit(0)).cast("decimal(20,4)")
+
+
+def _latest_by_window(details: DataFrame, order: list[str], by: str, also: list[str], amounts: list[str],
+                      size: str) -> DataFrame:
+    """(window, ``by``, ``also``, ``_kind``, amounts): from one read and one
+    shuffle of the rows, the latest row of every id (``_kind`` 1) and, with zero
+    amounts, every (window, ``by``, ``also``) that occurs (``_kind`` 0).
+
+    Both are one aggregate over a row per kind: an id, null or not, that holds a
+    third of all rows is reduced to one row per task before anything moves."""
+    zero = F.lit(0).cast("decimal(20,4)")
+    keys = ["window", by, *also]
+    picked = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order)], *keys,
+                      *[_amount(a).alias(a) for a in amounts])
+    place = F.struct(*[F.col(c) for c in keys])
+    rows = details.withColumn("window", _win("ts_ms", size))
+    kinds = rows.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("_kind"), F.lit(None).cast(rows.schema["id"].dataType).alias("id"),
+                 place.alias("at"), F.lit(None).alias("row")),
+        F.struct(F.lit(1).alias("_kind"), F.col("id").alias("id"), F.lit(None).alias("at"),
+                 picked.alias("row")))).alias("k")).select("k.*")
+    one = kinds.groupBy("_kind", "id", "at").agg(F.max("row").alias("row"))
+    latest = F.col("_kind") == 1
+    return one.select("_kind", *[F.when(latest, F.col("row")[c]).otherwise(F.col("at")[c]).alias(c) for c in keys],
+                      *[F.when(latest, F.col("row")[a]).otherwise(zero).alias(a) for a in amounts])
 
 
 def sku_order_window_batch(details: DataFrame, order: list[str],
@@ -154,12 +181,10 @@ def sku_order_window_batch(details: DataFrame, order: list[str],
 
     Summing the retraction stream over a window gives the sum of the ids whose
     *latest* row falls in it; a window that only held superseded rows still
-    appears, with zeros.  One window flags the latest rows and one aggregate
-    sums them, null keys included.  ``dims`` is the flat sku dimension (one
-    lookup), or the dimension tables of the chain."""
-    agg = (details.withColumn("_last", is_latest("id", order))
-           .groupBy(_win("ts_ms", size).alias("window"), "sku_id")
-           .agg(*[_latest_sum(a, o) for a, o in zip(SKU_AMOUNTS, SKU_OUT)]))
+    appears, with zeros.  ``dims`` is the flat sku dimension (one lookup), or
+    the dimension tables of the chain."""
+    agg = (_latest_by_window(details, order, "sku_id", [], SKU_AMOUNTS, size).groupBy("window", "sku_id")
+           .agg(*[F.sum(a).alias(o) for a, o in zip(SKU_AMOUNTS, SKU_OUT)]))
     out = agg.select(*window_bounds(), "sku_id", *SKU_OUT)
     if isinstance(dims, DataFrame):
         return lookup(out, dims, [("sku_id", "id")], [c for c in dims.columns if c != "id"])
@@ -187,10 +212,11 @@ def province_order_window_batch(details: DataFrame, order: list[str],
     """AGG-6 + SEQ-7 on a whole batch: amounts from each id's latest row; the
     distinct order count over every row (the reference's order-id set also
     collects superseded and retracted rows)."""
-    agg = (details.withColumn("_last", is_latest("id", order))
-           .groupBy(_win("ts_ms", size).alias("window"), "province_id")
-           .agg(F.countDistinct("order_id").alias("order_count"),
-                _latest_sum("split_total_amount", "order_amount")))
+    rows = _latest_by_window(details, order, "province_id", ["order_id"], ["split_total_amount"], size)
+    # Every (window, province, order) is one row of kind 0 already.
+    agg = rows.groupBy("window", "province_id").agg(
+        F.count(F.when(F.col("_kind") == 0, F.col("order_id"))).alias("order_count"),
+        F.sum("split_total_amount").alias("order_amount"))
     out = agg.select(*window_bounds(), "province_id", "order_count", "order_amount")
     if provinces is not None:
         out = lookup(out, provinces, [("province_id", "id")], {"name": "province_name"})

@@ -8,8 +8,9 @@ follow from per-key *aggregates* instead of per-key sorts:
   ``(key, date)`` group;
 * the anchor of the new-visitor repair is a property of the key's first row.
 
-Retractions (SEQ-7) need a row's successor: one window over the few versions
-of an id.
+Retractions (SEQ-7) need to know which row of an id is its last: rows are ranked
+within (id, minute), and only the last of each minute are compared across
+minutes, so an id with a third of all rows is spread over its time span.
 
 Aggregates get a map-side partial step, so a key that holds a third of all
 rows never lands whole in one task; joins back to the rows are equi-joins that
@@ -82,12 +83,25 @@ def repair_is_new(log: DataFrame, tiebreak: str = "log_id") -> DataFrame:
              .drop("_mid", "_anchor"))
 
 
-def is_latest(key: str, order: Sequence[str]) -> Column:
-    """Whether a row is the last of its ``key`` by ``order`` (a null key is a key
-    like any other; of rows equal in ``order`` one is the last).  An id has few
-    versions, so its window is short."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-    return F.lead(F.lit(1)).over(w).isNull()
+VERSION_BUCKET_MS = 60_000
+
+
+def with_latest(df: DataFrame, key: str, order: Sequence[str], flag: str = "_last",
+                bucket_ms: int = VERSION_BUCKET_MS) -> DataFrame:
+    """``df`` + whether a row is the last of its ``key`` by ``order`` (a null key
+    is a key like any other; of rows equal in ``order`` one is the last).
+    ``order`` begins with a time in ms.
+
+    One window ranks the rows of a (key, time bucket).  A second one compares
+    the buckets' last rows of a key, one per bucket; all other rows stay in
+    their small partitions there."""
+    bucket = F.coalesce(F.floor(F.col(order[0]) / bucket_ms), F.lit(-(2 ** 62)))    # nulls first, as in the order
+    within = Window.partitionBy(key, "_bucket").orderBy(*[F.col(c) for c in order])
+    ends = df.withColumn("_bucket", bucket).withColumn("_end", F.lead(F.lit(1)).over(within).isNull())
+    ends = ends.withColumn("_part", F.when(~F.col("_end"), F.col("_bucket")))
+    across = Window.partitionBy(key, "_part").orderBy("_bucket")
+    return ends.withColumn(flag, F.col("_end") & F.lead(F.lit(1)).over(across).isNull()) \
+        .drop("_bucket", "_end", "_part")
 
 
 def retract_duplicates(df: DataFrame, key: str, amounts: Sequence[str],
@@ -95,12 +109,12 @@ def retract_duplicates(df: DataFrame, key: str, amounts: Sequence[str],
     """SEQ-7 retraction stream.
 
     Every row is emitted once with ``sign`` = 1; every row that is followed by
-    another row of the same ``key`` (in ``order``, exact repeats included) is
-    emitted again with its amounts negated and ``sign`` = -1, keeping its own
-    event time.  Summing any amount over the output therefore gives the latest
-    row per key.
+    another row of the same ``key`` (in ``order``, which begins with a time in
+    ms; exact repeats included) is emitted again with its amounts negated and
+    ``sign`` = -1, keeping its own event time.  Summing any amount over the
+    output therefore gives the latest row per key.
     """
-    signed = df.withColumn("_last", is_latest(key, order)).withColumn(
+    signed = with_latest(df, key, order).withColumn(
         "sign", F.explode(F.when(F.col("_last"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(-1)))))
     return signed.select(*[
         (F.col("sign") * F.col(c).try_cast("decimal(20,4)")).cast("decimal(20,4)").alias(c)
