@@ -23,7 +23,7 @@ def words(t):
     return re.sub(r"[\W_]+", " ", (t or "").lower()).split()
 
 
-def brute(rows, items):
+def brute(rows, items, whole_if_short=False):
     out = []
     for i, t in rows:
         w = words(t)
@@ -31,9 +31,7 @@ def brute(rows, items):
             p = words(x)
             if not p or not w:
                 continue
-            if len(p) < decontaminate.PIECE:
-                if w == p:
-                    out.append((i, k, 0))
+            if whole_if_short and len(p) < decontaminate.PIECE and w != p:
                 continue
             best = min(distances(p, w))
             if best <= decontaminate.budget(len(p)):
@@ -77,7 +75,7 @@ def test_kept_documents(spark, make):
     docs = make(rows + awkward())
     kept = decontaminate.keep_uncontaminated(docs, bench)
     assert kept.columns == docs.columns
-    bad = {i for i, _, _ in brute(rows, items)}
+    bad = {i for i, _, _ in brute(rows, items, whole_if_short=True)}
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(
         (i for i, _ in rows + awkward() if i not in bad), key=str)
 
@@ -93,8 +91,15 @@ def test_short_items_and_scripts_without_blanks(spark, make):
             (10, "so alpha bravo x charlie delta echo foxtrot y golf hotel india juliet so"),
             (11, "so alpha bravo x charlie delta z echo foxtrot y golf hotel india juliet so"),
             (12, "photosynthesis slowly converts sunlight"), (13, "水在标准中")]
-    want = [(1, 1, 0), (3, 2, 0), (4, 3, 0), (5, 3, 1), (6, 4, 0), (8, 5, 0), (9, 6, 0), (10, 7, 2)]
-    assert found(decontaminate.matches(make(rows), bench)) == sorted(want, key=str)
+    want = [(1, 1, 0), (2, 2, 0), (3, 2, 0), (4, 3, 0), (5, 3, 1), (6, 4, 0), (7, 5, 0), (8, 5, 0), (9, 6, 0),
+            (10, 7, 2)]
+    got = decontaminate.matches(make(rows), bench)
+    assert found(got) == sorted(want, key=str)
+    assert {r.item_id for r in got.filter("not telling").collect()} == {2, 5}
+    capital = spark.createDataFrame([(9, "capital of France")], "item_id BIGINT, text STRING")
+    inside = make([(1, "the capital of France is"), (2, "France: capital of it"), (3, "Capital of France!")])
+    assert found(decontaminate.matches(inside, capital)) == [(1, 9, 0), (3, 9, 0)]
+    assert [r.doc_id for r in decontaminate.keep_uncontaminated(inside, capital).orderBy("doc_id").collect()] == [1, 2]
     assert sorted(r.doc_id for r in decontaminate.keep_uncontaminated(make(rows), bench).collect()) == [2, 7, 11, 12, 13]
 
 

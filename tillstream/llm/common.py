@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import materialize, scratch_path, ship_package
 
-__all__ = ["table", "saved", "scratch_path", "ship_package", "blank", "raw", "without_space",
+__all__ = ["table", "saved", "scratch_path", "ship_package", "path_exists", "blank", "raw", "without_space",
            "crc_remainder", "same", "slices"]
 
 # The ASCII white space that the contracts name: [\x20\x09-\x0D].
@@ -26,6 +26,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def blank(c: str | Column) -> Column:
     """Null text counts as empty."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))

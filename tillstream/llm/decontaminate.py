@@ -72,7 +72,7 @@ def budget(m: int) -> int:
 
 
 def telling(words: list[str]) -> bool:
-    """Whether an item is found inside longer texts: it has ``PIECE`` words, two
+    """Whether finding an item inside a longer text tells that it was copied: it has ``PIECE`` words, two
     Han letters or four of another script without blanks counting as one, or
     ``LETTERS`` letters and digits in fewer words with blanks."""
     quarters, letters = 0, 0
@@ -127,17 +127,14 @@ class Matcher:
     def __init__(self, items: list[tuple[object, str]]):
         import ahocorasick
         self.words = Words()
-        self.items, self.whole = [], {}
+        self.items = []
         at: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             w = self.words.normal(text).split()
             if not w:
                 continue
             k = len(self.items)
-            self.items.append((item_id, w, budget(len(w))))
-            if not telling(w):
-                self.whole.setdefault(" ".join(w), []).append(k)
-                continue
+            self.items.append((item_id, w, budget(len(w)), telling(w)))
             for begin, end in pieces(len(w), self.items[k][2]):
                 at.setdefault(" " + " ".join(w[begin:end]) + " ", []).append((k, begin))
         self.automaton = ahocorasick.Automaton()
@@ -147,13 +144,24 @@ class Matcher:
             self.automaton.make_automaton()
         self.any = bool(at)
 
-    def find(self, text: str) -> list[tuple[object, int, int, int]]:
-        """(item id, distance, begin word, end word) of each item in ``text``."""
+    def find(self, text: str) -> list[tuple[object, int, int, int, bool]]:
+        """(item id, distance, begin word, end word, telling) of each item in
+        ``text``."""
+        normal = self.words.normal(text)
+        found = self._places(normal) if normal and self.any else {}
+        return [(self.items[k][0], *v, self.items[k][3]) for k, v in sorted(found.items())]
+
+    def leaks(self, text: str) -> bool:
+        """Whether ``text`` holds a telling item, or is nothing but an item."""
         normal = self.words.normal(text)
+        found = self._places(normal) if normal and self.any else {}
+        whole = (0, normal.count(" ") + 1)
+        return any(self.items[k][3] or place[1:] == whole for k, place in found.items())
+
+    def _places(self, normal: str) -> dict[int, tuple[int, int, int]]:
+        """(distance, begin word, end word) by item number."""
         found: dict[int, tuple[int, int, int]] = {}
-        for k in self.whole.get(normal, ()):
-            found[k] = (0, 0, len(self.items[k][1]))
-        hits = list(self.automaton.iter(f" {normal} ")) if self.any and normal else []
+        hits = list(self.automaton.iter(f" {normal} "))
         if hits:
             w = normal.split(" ")
             starts, place = {}, 0
@@ -168,10 +176,14 @@ class Matcher:
                     if (k, start) not in tried:
                         tried.add((k, start))
                         self._verify(k, start, w, found)
-        return [(self.items[k][0], *v) for k, v in sorted(found.items())]
+        return found
 
     def _verify(self, k: int, start: int, w: list[str], found: dict) -> None:
-        _, pattern, e = self.items[k]
+        _, pattern, e, _ = self.items[k]
+        if e == 0:      # the hit is the whole item
+            if k not in found:
+                found[k] = (0, start, start + len(pattern))
+            return
         low, high = max(0, start - e), min(len(w), start + len(pattern) + e)
         passage = w[low:high]
         distances = myers(pattern, passage)
@@ -208,13 +220,14 @@ def _blocks(benchmark: DataFrame, block: int):
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, item_id, distance, begin_word, end_word): every item found in
-    every document, places counted in normal words."""
+    """(doc_id, item_id, distance, begin_word, end_word, telling): every item
+    found in every document, places counted in normal words."""
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType),
         T.StructField("item_id", benchmark.schema["item_id"].dataType),
         T.StructField("distance", T.IntegerType()), T.StructField("begin_word", T.LongType()),
-        T.StructField("end_word", T.LongType())])
+        T.StructField("end_word", T.LongType()),
+        T.StructField("telling", T.BooleanType())])
     out = None
     for key, items in _blocks(benchmark, block):
         def find(batches: Iterator[pa.RecordBatch], key=key, items=items) -> Iterator[pa.RecordBatch]:
@@ -225,12 +238,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFr
                     for h in m.find(t.decode("utf-8", "replace")):
                         row.append(r)
                         hit.append(h)
-                columns = list(zip(*hit)) or [()] * 4
+                columns = list(zip(*hit)) or [()] * 5
                 item_type = pa.array([x[0] for x in m.items]).type if m.items else pa.int64()
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").take(pa.array(row, pa.int64())), pa.array(columns[0], item_type),
                      pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int64()),
-                     pa.array(columns[3], pa.int64())], schema.fieldNames())
+                     pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.bool_())], schema.fieldNames())
         part = docs.select("doc_id", raw("text").alias("raw")).mapInArrow(find, schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
@@ -240,12 +253,14 @@ def _clean(key: str, items):
     @F.pandas_udf(T.BooleanType())
     def clean(t: pd.Series) -> pd.Series:
         m = _matcher(key, items)
-        return t.map(lambda x: not m.find(x.decode("utf-8", "replace"))).astype(bool)
+        return t.map(lambda x: not m.leaks(x.decode("utf-8", "replace"))).astype(bool)
     return clean
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, all columns kept."""
+    """The rows of ``docs`` without those that hold a telling item or are nothing
+    but an item, all columns kept: the few words of a shorter item inside a text
+    (:func:`matches` names them) do not condemn it."""
     for key, items in _blocks(benchmark, block):
         docs = docs.filter(_clean(key, items)(raw(docs["text"])))
     return docs

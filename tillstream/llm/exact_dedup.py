@@ -1,17 +1,21 @@
 """Exact de-duplication against a persistent digest index.
 
-The index is a Parquet table bucketed and sorted by digest: one row per
-distinct normalised text with the row that stays.  A batch is reduced to one
-row per digest (partial aggregates, so a text that makes up a third of the
-rows is one row per map task), anti-joined with the index by sort-merge — the
-index side is read bucket by bucket without a shuffle — and the digests that
-are new are appended.  The batch's rows then take their keeper from the
+The index is a Parquet table bucketed and sorted by digest: one row per batch
+and distinct normalised text, with the row that stays and the number of rows the
+batch had of it.  A batch is reduced to one row per digest (partial aggregates,
+so a text that makes up a third of the rows is one row per map task), anti-joined
+with the index by sort-merge — the index side is read bucket by bucket without a
+shuffle — and appended.  The batch's rows then take their keeper from the
 resolved digests by an equi-join whose hot digests AQE splits.
 
+A batch has an identity, by default a digest of its rows.  Index rows of the same
+identity are not looked at and not appended again, so a batch that is repeated,
+or was stopped after its append, gives the same result as the first time.
+
 Defined cases: null text is the empty text and all empty texts are equal; a
 null ``doc_id`` sorts after every id; rows that repeat both id and text are
-one document and carry the same flags; an empty batch appends nothing; other
-columns of the input are ignored (``exact_keep`` passes them through).
+one document and carry the same flags, also when a later batch brings them again;
+an empty batch appends nothing; other columns of the input are ignored (``exact_keep`` passes them through).
 """
 
 from __future__ import annotations
@@ -21,7 +25,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blank, same, saved, scratch_path, without_space
+from .common import blank, path_exists, same, saved, scratch_path, without_space
+
+LEAST_BUCKETS = 32
+BUCKET_ROWS = 4_000_000      # rows of a first batch per bucket of a new index
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -37,28 +44,60 @@ class DigestIndex:
     """Bucketed, sorted digest table at ``path``.
 
     The bucketing is part of the table's definition, so any session opens the
-    same files by path; ``buckets`` must not change over the table's life.
-    """
-
-    SCHEMA = "digest BINARY, keep_id {id_type}, keep_points BIGINT, group_size BIGINT"
-
-    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int = 32):
-        self.spark, self.path, self.buckets = spark, path, buckets
+    same files by path.  ``buckets`` is stored beside the table when it is made
+    (``BUCKET_ROWS`` rows of the first batch each unless given) and holds for its
+    life; :meth:`copy` writes the index in another number."""
+
+    SCHEMA = "digest BINARY, keep_id {id_type}, keep_points BIGINT, group_size BIGINT, batch STRING"
+
+    def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int | None = None,
+                 rows: int = 0):
+        self.spark, self.path, self.id_type = spark, path, id_type
+        kept = f"{path}-buckets"
+        if not path_exists(spark, f"{kept}/_SUCCESS"):
+            n = buckets or max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+            spark.createDataFrame([(n,)], "buckets INT").coalesce(1).write.mode("overwrite").json(kept)
+        self.buckets = spark.read.schema("buckets INT").json(kept).first()[0]
         self.name = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.SCHEMA.format(id_type=id_type)}) "
-                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS "
+                  f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
                   f"LOCATION '{path}'")
 
-    def read(self) -> DataFrame:
+    def rows(self) -> DataFrame:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def append(self, rows: DataFrame) -> None:
-        """One task per bucket writes one sorted file."""
-        (rows.select("digest", "keep_id", "keep_points", "group_size")
+    def read(self, but: str | None = None) -> DataFrame:
+        """One row per digest: its keeper and the rows counted so far, without
+        those of the batch ``but``.  All rows of a digest name one keeper."""
+        rows = self.rows() if but is None else self.rows().filter(F.col("batch") != but)
+        return rows.groupBy("digest").agg(
+            F.min(F.struct("keep_points", "keep_id")).alias("k"), F.sum("group_size").alias("group_size")).select(
+            "digest", F.col("k.keep_id").alias("keep_id"), F.col("k.keep_points").alias("keep_points"), "group_size")
+
+    def append(self, rows: DataFrame, batch: str) -> None:
+        """One task per bucket writes one sorted file; what an earlier try of the
+        batch has appended stays as it is."""
+        own = self.rows().filter(F.col("batch") == batch).select("digest")
+        (rows.join(own, "digest", "left_anti")
+         .select("digest", "keep_id", "keep_points", "group_size", F.lit(batch).alias("batch"))
          .repartition(self.buckets, "digest")
          .write.mode("append").insertInto(self.name))
 
+    def copy(self, path: str, buckets: int) -> DigestIndex:
+        """The index anew at ``path`` in ``buckets`` buckets."""
+        other = DigestIndex(self.spark, path, self.id_type, buckets)
+        self.rows().repartition(buckets, "digest").write.mode("append").insertInto(other.name)
+        return other
+
+
+def batch_identity(keyed: DataFrame) -> str:
+    """Number of rows and order-free digest of (id, text digest)."""
+    r = keyed.agg(F.count(F.lit(1)).alias("n"),
+                  F.sum(F.xxhash64("doc_id", "digest").cast("decimal(38,0)")).alias("a"),
+                  F.sum(F.xxhash64("digest", "doc_id").cast("decimal(38,0)")).alias("b")).first()
+    return f"{r['n']}:{r['a']}:{r['b']}"
+
 
 def batch_groups(keyed: DataFrame) -> DataFrame:
     """One row per digest: the row that stays (most code points, then smallest
@@ -73,49 +112,47 @@ def batch_groups(keyed: DataFrame) -> DataFrame:
         "group_size")
 
 
-def add_batch(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """De-duplicate ``docs`` against ``index`` and within itself, append the new
-    digests and return (doc_id, keep_id, group_size, kept, digest) per row.
+def add_batch(docs: DataFrame, index_path: str, buckets: int | None = None,
+              batch: str | None = None) -> DataFrame:
+    """De-duplicate ``docs`` against the index at ``index_path`` and within
+    itself, append its digests and return (doc_id, text_hash, keep_id,
+    group_size, kept, digest) per row.
 
-    ``group_size`` counts the rows of this batch and, for a digest already in
-    the index, those the index had counted; its keeper stays the indexed one.
-    """
+    ``group_size`` counts the rows of this batch and of all other batches in the
+    index; the keeper of a digest that these have stays theirs.  ``batch`` names
+    the batch where the caller has a name for it."""
+    spark = docs.sparkSession
     keyed = saved(digests(docs), "digests")
+    index = DigestIndex(spark, index_path, docs.schema["doc_id"].dataType.simpleString(), buckets, keyed.count())
+    batch = batch or batch_identity(keyed)
     groups = saved(batch_groups(keyed), "digest-groups")
-    known = index.read()
-    fresh = groups.join(known, "digest", "left_anti")
-    old = groups.join(known.select("digest", F.col("keep_id").alias("old_id"),
-                                   F.col("keep_points").alias("old_points"),
-                                   F.col("group_size").alias("old_size")), "digest")
-    resolved = saved(fresh.select("*", F.lit(True).alias("is_new")).unionByName(
-        old.select("digest", F.col("old_id").alias("keep_id"),
-                   F.col("old_points").alias("keep_points"),
-                   (F.col("group_size") + F.col("old_size")).alias("group_size"),
-                   F.lit(False).alias("is_new"))), "digest-resolved")
-    index.append(resolved.filter("is_new"))
+    known = index.read(but=batch)
+    fresh = groups.join(known, "digest", "left_anti").withColumn("old_size", F.lit(0).cast("long"))
+    old = groups.select("digest", "group_size").join(
+        known.withColumnRenamed("group_size", "old_size"), "digest")
+    resolved = saved(fresh.unionByName(old), "digest-resolved")
+    index.append(resolved, batch)
     return keyed.join(resolved, "digest").select(
-        "doc_id", "text_hash", "keep_id", "group_size",
-        (F.col("is_new") & same(F.col("doc_id"), F.col("keep_id"))
-         & (F.col("n_points") == F.col("keep_points"))).alias("kept"),
+        "doc_id", "text_hash", "keep_id", (F.col("group_size") + F.col("old_size")).alias("group_size"),
+        (same(F.col("doc_id"), F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))).alias("kept"),
         "digest")
 
 
-def exact_dedup(docs: DataFrame, index_path: str | None = None, buckets: int = 32) -> DataFrame:
+def exact_dedup(docs: DataFrame, index_path: str | None = None, buckets: int | None = None,
+                batch: str | None = None) -> DataFrame:
     """:func:`add_batch` on the index at ``index_path`` (a new one when None)."""
-    spark = docs.sparkSession
-    path = index_path or scratch_path(spark, "digest-index")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return add_batch(docs, DigestIndex(spark, path, id_type, buckets))
+    return add_batch(docs, index_path or scratch_path(docs.sparkSession, "digest-index"), buckets, batch)
 
 
-def exact_keep(docs: DataFrame, index_path: str | None = None, buckets: int = 32) -> DataFrame:
+def exact_keep(docs: DataFrame, index_path: str | None = None, buckets: int | None = None,
+               batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.  Of kept rows
     that differ in white space only, the one with the smallest text hash stays;
     of rows that repeat both id and text, any one.
 
     Only the names (id, text hash) of the rows that go are joined with the
     texts, so texts are not moved when these are few enough to broadcast."""
-    rows = saved(exact_dedup(docs, index_path, buckets), "dedup-rows")
+    rows = saved(exact_dedup(docs, index_path, buckets, batch), "dedup-rows")
     first = rows.filter("kept").groupBy("digest").agg(F.min("text_hash").alias("first_hash"))
     stays = F.col("kept") & (F.col("text_hash") == F.col("first_hash"))
     judged = rows.join(first, "digest", "left").select(
