@@ -23,6 +23,16 @@ def test_held_out_language_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_blocks_stay_small_beside_a_long_text():
+    """One text of many trigrams is a block alone, not a row of the others'."""
+    long = "".join(chr(0x4E00 + k % 20_000) + chr(0x61 + k % 26) for k in range(400_000)).encode()
+    texts = [b"abc"] * 100 + [long] + [b"defg", b""] * 20
+    blocks = [(rows.tolist(), counts.shape) for rows, _, counts in language_id._counted(texts)]
+    assert [100] in [rows for rows, _ in blocks]
+    assert max(a * b for _, (a, b) in blocks if a > 1) < 1000
+    assert sorted(r for rows, _ in blocks for r in rows) == [*range(101), *range(101, 141, 2)]
+
+
 def test_language_of_awkward_rows(make):
     got = language_id.identify(make(awkward())).collect()
     assert len(got) == len(awkward())

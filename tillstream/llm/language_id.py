@@ -91,8 +91,8 @@ def trigrams(text: bytes) -> np.ndarray:
 
 def _counted(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Blocks of documents: (rows of the block, distinct trigrams, counts as a
-    rows x trigrams matrix).  A block ends when it is full of characters; one
-    very long text is a block of its own."""
+    rows x trigrams matrix).  A block holds at most ``BLOCK`` trigrams, or one
+    longer text alone: it ends before a text that would pass this."""
     rows, codes, size = [], [], 0
 
     def block():
@@ -108,13 +108,14 @@ def _counted(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
 
     for r, t in enumerate(texts):
         c = trigrams(t)
-        if len(c):
-            rows.append(r)
-            codes.append(c)
-            size += len(c)
-        if size > BLOCK or len(rows) == ROWS:
+        if not len(c):
+            continue
+        if rows and (size + len(c) > BLOCK or len(rows) == ROWS):
             yield block()
             rows, codes, size = [], [], 0
+        rows.append(r)
+        codes.append(c)
+        size += len(c)
     if rows:
         yield block()
 
