@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillstream.session import materialize, scratch_path, ship_package
 
 __all__ = ["table", "saved", "scratch_path", "ship_package", "path_exists", "blank", "raw", "without_space",
-           "crc_remainder", "same", "slices"]
+           "crc_remainder", "same", "slices", "join_groups"]
 
 # The ASCII white space that the contracts name: [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -64,3 +64,18 @@ def slices(batch, rows: int = 256):
 def same(a: Column, b: Column) -> Column:
     """Null-safe equality (an equi-join key for Spark as well)."""
     return a.eqNullSafe(b)
+
+
+HOT_KEYS = 512           # a key with over 1/512 of all rows is joined by broadcast
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, members: str, total: int) -> DataFrame:
+    """``rows`` (``total`` of them) joined with the one row per ``key`` of
+    ``groups``, which says in ``members`` how many rows the key has.  Fewer than
+    ``HOT_KEYS`` keys can have more than a ``HOT_KEYS``-th of all rows: these are
+    broadcast, so that a hot key's rows stay where they are; the rest meet by a
+    shuffle."""
+    many = F.col(members) > total / HOT_KEYS
+    hot, cold = groups.filter(many), groups.filter(~many)
+    other = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(other.join(cold, key))

@@ -6,7 +6,7 @@ batch had of it.  A batch is reduced to one row per digest (partial aggregates,
 so a text that makes up a third of the rows is one row per map task), anti-joined
 with the index by sort-merge — the index side is read bucket by bucket without a
 shuffle — and appended.  The batch's rows then take their keeper from the
-resolved digests by an equi-join whose hot digests AQE splits.
+resolved digests; those few that hold a large share of the rows are broadcast.
 
 A batch has an identity, by default a digest of its rows.  Index rows of the same
 identity are not looked at and not appended again, so a batch that is repeated,
@@ -25,7 +25,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blank, path_exists, same, saved, scratch_path, without_space
+from .common import blank, join_groups, path_exists, same, saved, scratch_path, without_space
 
 LEAST_BUCKETS = 32
 BUCKET_ROWS = 4_000_000      # rows of a first batch per bucket of a new index
@@ -132,7 +132,7 @@ def add_batch(docs: DataFrame, index_path: str, buckets: int | None = None,
         known.withColumnRenamed("group_size", "old_size"), "digest")
     resolved = saved(fresh.unionByName(old), "digest-resolved")
     index.append(resolved, batch)
-    return keyed.join(resolved, "digest").select(
+    return join_groups(keyed, resolved, "digest", "group_size", keyed.count()).select(
         "doc_id", "text_hash", "keep_id", (F.col("group_size") + F.col("old_size")).alias("group_size"),
         (same(F.col("doc_id"), F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))).alias("kept"),
         "digest")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blank, raw, same, saved, slices
+from .common import blank, join_groups, raw, same, saved, slices
 
 UNIVERSE = 1 << 22
 BANDS, ROWS = 32, 4          # a pair at Jaccard 0.8 misses every band once in 2e7
@@ -251,9 +251,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, bands:
                 F.col("any.doc_id").alias("any_id"), F.col("any.text_hash").alias("any_hash"),
                 "n", "bands"), "classes")
     banded = classes.select("node", "n", F.explode("bands").alias("key"))
-    heads = banded.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"),
-                                      F.count(F.lit(1)).alias("members")).filter("members > 1")
-    shared = saved(banded.join(heads, "key").select(
+    heads = saved(banded.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"),
+                                            F.count(F.lit(1)).alias("members")).filter("members > 1"), "heads")
+    shared = saved(join_groups(banded, heads, "key", "members", bands * classes.count()).select(
         "key", "node", "n", "members", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")),
         "buckets")
     pairs = saved(shared.filter(
@@ -291,12 +291,12 @@ def _rest(shared: DataFrame, comps: DataFrame, sets: DataFrame, threshold: int)
     """Links among buckets of three and more members that are not yet one
     component: pairs with the head are decided, all others are compared in
     blocks."""
-    known = shared.filter("members > 2").join(comps, "node", "left").select(
-        "key", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    torn = known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                    F.sum("n").alias("weight")).filter("x <> y")
-    blocks = torn.select("key", F.ceil(F.col("weight") / BLOCK).cast("int").alias("blocks"))
-    members = known.join(blocks, "key").select(
+    known = saved(shared.filter("members > 2").join(comps, "node", "left").select(
+        "key", "node", "n", "members", F.coalesce("comp", "node").alias("comp")), "known")
+    torn = known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.sum("n").alias("weight"),
+                                    F.first("members").alias("members")).filter("x <> y")
+    blocks = saved(torn.select("key", "members", F.ceil(F.col("weight") / BLOCK).cast("int").alias("blocks")), "torn")
+    members = join_groups(known.drop("members"), blocks, "key", "members", known.count()).select(
         "key", "node", "comp", "blocks",
         F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
     # A member meets every block: its own once, and each other as one side.

@@ -38,14 +38,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw, saved, slices
+from .common import join_groups, raw, saved, slices
 from .near_dup import components
 
 SIZE, DISTANCE = 4, 4
 HASH_SEED = 42
 REFERENCES, PARTS = 16, 6
 SEED = 20240917
-HOT_KEYS = 512               # a bucket with over 1/512 of all rows is joined by broadcast
 BLOCK = 4096                 # classes of one bucket that are compared at a time
 SMALL = 64                   # buckets up to this size are compared side by side
 
@@ -139,18 +138,6 @@ def near(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
 
 # -- links ------------------------------------------------------------------
 
-def _on_bucket(rows: DataFrame, buckets: DataFrame, total: int) -> DataFrame:
-    """``rows`` (key, ...; ``total`` of them) joined with one row per key of
-    ``buckets``, which has the ``members`` of each.  Of the keys with more than
-    a ``HOT_KEYS``-th of all rows there are fewer than ``HOT_KEYS``: these are
-    broadcast, so that a hot key's rows stay where they are; the rest meet by a
-    shuffle."""
-    many = F.col("members") > total / HOT_KEYS
-    hot = F.broadcast(buckets.filter(many))
-    other = rows.join(F.broadcast(buckets.filter(many).select("key")), "key", "left_anti")
-    return rows.join(hot, "key").unionByName(other.join(buckets.filter(~many), "key"))
-
-
 def _head_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x, y = (b.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
@@ -252,7 +239,7 @@ def _rest(shared: DataFrame, comps: DataFrame, distance: int) -> DataFrame:
     torn = saved(known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
                                           F.first("members").alias("members"))
                  .filter("x <> y").select("key", "members"), "simhash-torn")
-    open_ = _on_bucket(known.drop("members"), torn, known.count()).withColumn(
+    open_ = join_groups(known.drop("members"), torn, "key", "members", known.count()).withColumn(
         "blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     # A class meets every block: its own once, and each other as one side.
@@ -285,7 +272,8 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, distance: int = DISTANCE)
     placed = classes.select("fingerprint").mapInArrow(spread, "key BIGINT, node BIGINT")
     heads = saved(placed.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))
                   .filter("members > 1"), "simhash-heads")
-    shared = saved(_on_bucket(placed, heads, comb(PARTS, distance) * classes.count()), "simhash-buckets")
+    shared = saved(join_groups(placed, heads, "key", "members", comb(PARTS, distance) * classes.count()),
+                   "simhash-buckets")
     pairs = shared.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = saved(pairs.mapInArrow(lambda b: _head_links(b, distance), "a BIGINT, b BIGINT"), "simhash-links")
     rest = saved(_rest(shared, components(links, "simhash-first"), distance), "simhash-rest")
