@@ -7,7 +7,17 @@ matching) are held against brute-force versions in ``tests/llm``.
 from __future__ import annotations
 
 from .license_scan import TEMPLATES, THRESHOLD
-from .url_reputation import LOWER, MAX_STRENGTH, MIN_STRENGTH, PRIOR_RATE, RULES, UPPER, Z
+from .url_reputation import (
+    ADDRESS_SUFFIX,
+    LOWER,
+    MAX_STRENGTH,
+    MIN_STRENGTH,
+    PRIOR_RATE,
+    RULES,
+    SECOND_LEVEL,
+    UPPER,
+    Z,
+)
 from .url_reputation import THRESHOLD as RATE
 
 ORACLE: dict[str, str] = {}
@@ -85,10 +95,21 @@ judged AS (
   SELECT host, CAST(quality = 1 AS INTEGER) AS ok FROM p JOIN labels ON page_id = doc_id
   WHERE quality IS NOT NULL),
 counts AS (SELECT host, count(*) AS n, sum(ok) AS good FROM judged GROUP BY host),
+named AS (
+  SELECT host, rtrim(regexp_replace(regexp_replace(host, '^.*@', '', 's'), ':[0-9]*$', ''), '.') AS name
+  FROM (SELECT DISTINCT host FROM p)),
+split AS (
+  SELECT host, name, string_split(name, '.') AS l,
+         regexp_full_match(name, '\[.*\]|[0-9]{{1,3}}(\.[0-9]{{1,3}}){{3}}', 's') AS numeric,
+         CASE WHEN list_contains([{', '.join(_text(x) for x in SECOND_LEVEL)}], l[-2])
+                   AND regexp_full_match(l[-1], '[a-z]{{2}}') THEN 2 ELSE 1 END AS k
+  FROM named),
 h AS (
   SELECT host, coalesce(n, 0.0) AS n, coalesce(good, 0.0) AS good,
-         array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix
-  FROM (SELECT DISTINCT host FROM p) LEFT JOIN counts USING (host)),
+         CASE WHEN numeric THEN name ELSE array_to_string(l[greatest(len(l) - k, 1):], '.') END AS domain,
+         CASE WHEN numeric THEN '{ADDRESS_SUFFIX}'
+              ELSE array_to_string(l[greatest(len(l) - k + 1, 1):], '.') END AS suffix
+  FROM split LEFT JOIN counts USING (host)),
 total AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(good) + 1.0) / (sum(n) + 2.0) ELSE {PRIOR_RATE} END AS m0 FROM h),
 x1 AS (SELECT suffix, sum(n) AS n, sum(good) AS good, m0 FROM h, total GROUP BY suffix, m0),
 {_level('s1', 'x1', 'm0')},

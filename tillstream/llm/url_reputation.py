@@ -9,19 +9,30 @@ the lower bound of its host's posterior good rate reaches the threshold.
 Only DataFrame functions run here.  Counts are partial aggregates, so a host
 with a third of all pages is one row per map task; the verdicts per host are
 written down and joined back by an equi-join that AQE may split or broadcast.
-
-Defined cases: a null url, or one without ``://``, has empty host and path and
-is judged by the overall rate; a host without labelled pages takes its
-domain's posterior, a domain without any its suffix's; without any label the
-prior rate is ``PRIOR_RATE``; repeated pages are each returned; an empty table
-gives no rows; other columns of the input are ignored.
+Rules are a table that meets the parent domains of each distinct host in an
+equi-join; a page compares its path with the rules of its own host only.
+
+Levels are taken from the host's name: user, port and closing dots do not
+count.  The suffix is the last label, or the last two where a country code
+follows one of ``SECOND_LEVEL``; the registered domain has one label more.  A
+numeric address is a domain of its own under the common suffix ``#ip``.
+
+Defined cases: a null url, or one without ``://``, has empty host and path, and
+the empty host is judged by the outcomes of its own pages like any other; a
+host without labelled pages takes its domain's posterior, a domain without any
+its suffix's; without any label the prior rate is ``PRIOR_RATE``; repeated or
+null page ids are each returned (a null id has no outcome); of equal rules the
+verdict that sorts last counts; an empty table gives no rows; other columns of
+the input are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstream.session import fixed_table
+
 from .common import saved
 
 # (host, path, verdict); a rule covers its host and every subdomain.
@@ -32,7 +43,11 @@ RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-MAX_RULES = 10_000       # rules travel inside the plan; larger sets are refused
+MAX_RULES = 10_000       # a list of rules travels inside the plan; more are given as a table
+# Labels under which country codes register names.
+SECOND_LEVEL = ["ac", "co", "com", "edu", "go", "gob", "gov", "gouv", "ltd", "mil", "ne", "net", "nhs",
+                "nom", "or", "org", "plc", "sch"]
+ADDRESS_SUFFIX = "#ip"   # no host holds the sign
 PRIOR_RATE = 0.5         # rate assumed when nothing is labelled
 MIN_STRENGTH, MAX_STRENGTH = 2.0, 200.0
 THRESHOLD = 0.5          # least good rate
@@ -60,34 +75,63 @@ def suffixes_of(host: Column) -> Column:
         ".", F.slice(labels, k, F.size(labels))))
 
 
-def matched_rule(host: Column, path: Column, rules=RULES) -> Column:
-    """struct(rule, verdict) of the longest rule that fits, or null.  Rules are
-    a map from host to its (path, verdict) entries, looked up per parent
-    domain."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
-    if not rules:
-        return F.lit(None).cast("struct<size:int,rule:string,verdict:string>")
-    by_host: dict[str, list] = {}
-    for h, p, v in rules:
-        by_host.setdefault(h, []).append(F.struct(
-            F.lit(len(h) + len(p)).alias("size"), F.lit(p).alias("path"), F.lit(h + p).alias("rule"),
-            F.lit(v).alias("verdict")))
-    table = F.create_map(*[x for h, e in by_host.items() for x in (F.lit(h), F.array(*e))])
-    fitting = F.filter(
-        F.flatten(F.filter(F.transform(suffixes_of(host), lambda s: F.try_element_at(table, s)),
-                           lambda e: e.isNotNull())),
-        lambda r: path.startswith(r["path"]))
+def rule_table(spark: SparkSession, rules) -> DataFrame:
+    """(rule_host, path, rule, size, verdict) of a list of rules, or of a table
+    (host, path, verdict) of any length."""
+    if not isinstance(rules, DataFrame):
+        if len(rules) > MAX_RULES:
+            raise ValueError(f"at most {MAX_RULES} rules in a list; give a table (host, path, verdict)")
+        rules = (fixed_table(spark, rules, "host STRING, path STRING, verdict STRING") if rules else
+                 spark.createDataFrame([], "host STRING, path STRING, verdict STRING"))
+    rule = F.concat("host", "path")
+    return rules.select(F.col("host").alias("rule_host"), "path", rule.alias("rule"),
+                        F.length(rule).alias("size"), "verdict").filter("rule is not null")
+
+
+def host_rules(hosts: DataFrame, rules) -> DataFrame:
+    """(host, rules) of the distinct ``hosts`` that have any: their own rules
+    and those of their parent domains.  The array is as long as the rules that
+    name the host or a parent."""
+    parents = hosts.select("host", F.explode(suffixes_of(F.col("host"))).alias("rule_host"))
+    return parents.join(rule_table(hosts.sparkSession, rules), "rule_host").groupBy("host").agg(
+        F.collect_list(F.struct("size", "path", "rule", "verdict")).alias("rules"))
+
+
+def longest_rule(path: Column, rules: Column) -> Column:
+    """struct(size, rule, verdict) of the longest of the host's rules whose
+    path begins ``path``, or null."""
+    fitting = F.filter(rules, lambda r: path.startswith(r["path"]))
     return F.array_max(F.transform(fitting, lambda r: F.struct(r["size"], r["rule"], r["verdict"])))
 
 
+def name_of(host: Column) -> Column:
+    """The host without user, port and closing dots."""
+    return F.regexp_replace(host, r"(?s)\A.*@|:[0-9]*\z|\.+(?::[0-9]*)?\z", "")
+
+
+def _is_address(name: Column) -> Column:
+    return name.rlike(r"(?s)\A(?:\[.*\]|[0-9]{1,3}(?:\.[0-9]{1,3}){3})\z")
+
+
+def _suffix_labels(name: Column) -> Column:
+    two = name.rlike(rf"(?:\A|\.)(?:{'|'.join(SECOND_LEVEL)})\.[a-z]{{2}}\z")
+    return F.when(two, 2).otherwise(1)
+
+
+def _last_labels(name: Column, n: Column) -> Column:
+    labels = F.split(name, r"\.")
+    return F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - n, F.lit(0)) + 1, n))
+
+
 def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+    """Registered domain: one label more than the suffix."""
+    name = name_of(host)
+    return F.when(_is_address(name), name).otherwise(_last_labels(name, _suffix_labels(name) + 1))
 
 
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    name = name_of(host)
+    return F.when(_is_address(name), ADDRESS_SUFFIX).otherwise(_last_labels(name, _suffix_labels(name)))
 
 
 def _strength(level: DataFrame, parent: str) -> DataFrame:
@@ -142,11 +186,13 @@ def reputations(pages: DataFrame, outcomes: DataFrame, threshold: float = THRESH
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold: float = THRESHOLD,
                z: float = Z) -> DataFrame:
-    """(page_id, host, path, rule, verdict, bound) for every page."""
+    """(page_id, host, path, rule, verdict, bound) for every page.  ``rules``
+    is a list or a table of (host, path, verdict)."""
     known = saved(reputations(pages, outcomes, threshold, z), "reputations")
     own = pages.select("page_id", host_of(F.col("url")).alias("host"),
                        path_of(F.col("url")).alias("path"))
-    own = own.withColumn("__rule", matched_rule(F.col("host"), F.col("path"), rules))
-    return own.join(known.withColumnRenamed("verdict", "__verdict"), "host", "left").select(
+    hosts = known.withColumnRenamed("verdict", "__verdict").join(host_rules(known, rules), "host", "left")
+    judged = own.join(hosts, "host", "left").withColumn("__rule", longest_rule(F.col("path"), F.col("rules")))
+    return judged.select(
         "page_id", "host", "path", F.col("__rule.rule").alias("rule"),
         F.coalesce("__rule.verdict", "__verdict").alias("verdict"), "bound")
