@@ -8,7 +8,8 @@ the lower bound of its host's posterior good rate reaches the threshold.
 
 Only DataFrame functions run here.  Counts are partial aggregates, so a host
 with a third of all pages is one row per map task; the verdicts per host are
-written down and joined back by an equi-join that AQE may split or broadcast.
+written down and joined back by an equi-join, those of hosts with a large share
+of all pages by a broadcast of these few.
 Rules are a table that meets the parent domains of each distinct host in an
 equi-join; a page compares its path with the rules of its own host only.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tillstream.session import fixed_table
 
-from .common import saved
+from .common import join_groups, saved
 
 # (host, path, verdict); a rule covers its host and every subdomain.
 RULES = [
@@ -156,7 +157,7 @@ def _posterior(level: DataFrame, parent: str, out: str) -> DataFrame:
 
 def reputations(pages: DataFrame, outcomes: DataFrame, threshold: float = THRESHOLD,
                 z: float = Z) -> DataFrame:
-    """(host, rate, bound, verdict) of every host in ``pages``.  ``outcomes`` is
+    """(host, pages, rate, bound, verdict) of every host in ``pages``.  ``outcomes`` is
     (page_id, good): labelled pages; several labels of a page count each."""
     hosts = pages.select("page_id", host_of(F.col("url")).alias("host"))
     judged = outcomes.select(F.col("page_id").alias("__page"),
@@ -167,7 +168,7 @@ def reputations(pages: DataFrame, outcomes: DataFrame, threshold: float = THRESH
     per_host = saved(
         hosts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
         .join(counts, "host", "left").select(
-            "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"),
+            "host", "pages", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"),
             F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("good", F.lit(0)).alias("good")),
         "hosts")
     total = per_host.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
@@ -180,7 +181,7 @@ def reputations(pages: DataFrame, outcomes: DataFrame, threshold: float = THRESH
     host = _posterior(per_host.join(domain, "domain"), "m2", "rate")
     a, b = F.col("alpha"), F.col("beta")
     bound = F.col("rate") - F.lit(z) * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return host.select("host", "rate", bound.alias("bound")).withColumn(
+    return host.select("host", "pages", "rate", bound.alias("bound")).withColumn(
         "verdict", F.when(F.col("bound") >= threshold, "allow").otherwise("block"))
 
 
@@ -192,7 +193,8 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, threshold: fl
     own = pages.select("page_id", host_of(F.col("url")).alias("host"),
                        path_of(F.col("url")).alias("path"))
     hosts = known.withColumnRenamed("verdict", "__verdict").join(host_rules(known, rules), "host", "left")
-    judged = own.join(hosts, "host", "left").withColumn("__rule", longest_rule(F.col("path"), F.col("rules")))
+    total = known.agg(F.sum("pages")).first()[0] or 0
+    judged = join_groups(own, hosts, "host", "pages", total).withColumn("__rule", longest_rule(F.col("path"), F.col("rules")))
     return judged.select(
         "page_id", "host", "path", F.col("__rule.rule").alias("rule"),
         F.coalesce("__rule.verdict", "__verdict").alias("verdict"), "bound")
