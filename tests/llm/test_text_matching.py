@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from tests.llm.conftest import awkward
 from tillstream.llm import decontaminate, license_scan
 
@@ -139,6 +141,30 @@ def grams(t):
     return set(zip(w, w[1:]))
 
 
+def brute_excerpts(text, threshold):
+    """(dice, license, words) of the excerpts of a text that no better one covers."""
+    w = re.sub("[^a-z0-9]+", " ", re.sub("['’]", "", text.lower())).split()
+    found = []
+    for lic, body in license_scan.TEMPLATES:
+        b, n = grams(body), len(license_scan.body_words(body))
+        runs = []
+        for at in range(len(w) - 1):
+            if (w[at], w[at + 1]) in b:
+                x = w[at:at + n]
+                a = set(zip(x, x[1:]))
+                d = 2 * len(a & b) / (len(a) + len(b))
+                if d >= threshold - 1e-12:
+                    runs.append((at, d, tuple(x)))
+        for k, (at, d, x) in enumerate(runs):
+            before = k and at - runs[k - 1][0] < n and runs[k - 1][1] >= d
+            after = k + 1 < len(runs) and runs[k + 1][0] - at < n and runs[k + 1][1] > d
+            if not before and not after:
+                found.append((d, len(x), lic, -at, x))
+    return [(d, lic, x) for d, n, lic, at, x in found
+            if not any(2 * (min(n - at, m - s) - max(-at, -s)) > n and (e, m, other, s) > (d, n, lic, at)
+                       for e, m, other, s, _ in found)]
+
+
 def brute_licenses(rows, threshold=license_scan.THRESHOLD):
     best, count = {}, {}
     for i, t in rows:
@@ -160,6 +186,9 @@ def brute_licenses(rows, threshold=license_scan.THRESHOLD):
                 key = (i, lic)
                 best[key] = max(best.get(key, (0, "")), (d, kind))
                 count.setdefault(key, set()).add((kind, x))
+        for d, lic, x in brute_excerpts(t, threshold):
+            best[i, lic] = max(best.get((i, lic), (0, "")), (d, "excerpt"))
+            count.setdefault((i, lic), set()).add(("excerpt", x))
     return sorted(((i, lic, round(d, 9), kind, len(count[i, lic])) for (i, lic), (d, kind) in best.items()),
                   key=str)
 
@@ -175,6 +204,11 @@ def test_licenses_against_brute_force(make):
                 v[rng.randrange(len(v))] = "changed"
             rows.append((1000 + 10 * k + j, "Some text here.\n" + " ".join(v).upper() + "\n\nmore text\n"
                          + ("" if j else "\n\n" + body)))
+        rows.append((2000 + k, "Copyright 2021 Jane Doe. " + body + " Thanks to all! " + body))
+        comment = "\n".join("# " + " ".join(w[j:j + 6]) for j in range(0, len(w), 6))
+        rows.append((3000 + k, "#!/bin/sh\n#\n" + comment + "\n#\nset -e\n"))
+    many = " ".join(body for _, body in license_scan.TEMPLATES)
+    rows += [(4000, many), (4001, many), (4000, many), (None, many), (4002, "word " * 30_000 + many + " word" * 30_000)]
     rows += [(5000, license_scan.TEMPLATES[0][1]), (5001, "cc by 4 0"), (5002, "Li'censed under CC BY 4.0")]
     got = sorted(((r.doc_id, r.license, round(r.dice, 9), r.kind, r.segments)
                   for r in license_scan.scan(make(rows)).collect()), key=str)
@@ -183,6 +217,24 @@ def test_licenses_against_brute_force(make):
     assert license_scan.scan(make([])).count() == 0
 
 
+def test_notices_inside_lines_and_comments(make):
+    gpl = license_scan.TEMPLATES[7][1].split()
+    block = "\n".join("# " + " ".join(gpl[k:k + 9]) for k in range(0, len(gpl), 9))
+    rows = [(1, "Copyright 2021 Jane Doe. Released under the MIT License."), (2, "#!/bin/sh\n" + block + "\nexit 0\n"),
+            (3, "We met at the school and were released under the care of a teacher.")]
+    got = {(r.doc_id, r.license): (r.kind, r.dice) for r in license_scan.scan(make(rows)).collect()}
+    assert got == {(1, "MIT"): ("excerpt", 1.0), (2, "GPL-3.0"): ("excerpt", 1.0)}
+
+
+def test_long_templates_and_bounds(make):
+    body = " ".join(f"w{k % 701} v{k % 1009}" for k in range(3000))
+    rows = [(1, "x " * 500 + body + " y" * 500), (2, body[:len(body) // 2])]
+    got = license_scan.scan(make(rows), [("Long", body)]).collect()
+    assert [(r.doc_id, r.license, r.kind, r.dice) for r in got] == [(1, "Long", "excerpt", 1.0)]
+    with pytest.raises(ValueError):
+        license_scan.scan(make(rows), [("Long", "word " * (license_scan.MAX_WORDS + 1))])
+
+
 def test_no_python_runs(make):
     plan = license_scan.scan(make([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

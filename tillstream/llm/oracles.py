@@ -44,13 +44,15 @@ def _words(c: str) -> str:
     return f"string_split({plain}, ' ')"
 
 
-PAIRS = "list_distinct(list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda p: p[1] || ' ' || p[2]))"
+ORDERED = "list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda p: p[1] || ' ' || p[2])"
+PAIRS = f"list_distinct({ORDERED})"
 
 
 ORACLE["op4_license_scan"] = rf"""
 WITH template AS (
-  SELECT license, {PAIRS} AS b FROM (SELECT license, {_words('body')} AS w FROM (VALUES {', '.join(f'({_text(x)}, {_text(y)})' for x, y in TEMPLATES)})
-       AS v(license, body))),
+  SELECT license, {PAIRS} AS b, len(w) AS n, row_number() OVER () AS t
+  FROM (SELECT license, {_words('body')} AS w FROM (VALUES {', '.join(f'({_text(x)}, {_text(y)})' for x, y in TEMPLATES)})
+        AS v(license, body))),
 parts AS (
   SELECT doc_id, 'document' AS kind, [text] AS pieces FROM documents WHERE text IS NOT NULL
   UNION ALL
@@ -65,8 +67,39 @@ own AS (SELECT doc_id, kind, segment, {PAIRS} AS a
 scored AS (
   SELECT doc_id, kind, segment, license, 2.0 * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
   FROM own JOIN template ON len(a) BETWEEN 1 AND 3 * len(b) AND len(b) <= 3 * len(a)),
+-- Runs of a template's length that begin with one of its bigrams.
+whole AS (
+  SELECT r, doc_id, {ORDERED} AS a
+  FROM (SELECT row_number() OVER () AS r, doc_id, {_words('text')} AS w
+        FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)) WHERE len(w) > 1),
+start AS (SELECT DISTINCT t, unnest(b) AS g FROM template),
+place AS (SELECT r, unnest(a) AS g, unnest(range(len(a))) AS pos FROM whole),
+-- A run without enough such places before its end is ruled out.
+near AS (
+  SELECT r, t, pos, n, b, license,
+         lead(pos, CAST(ceil(len(b) * {THRESHOLD} / (2 - {THRESHOLD}) - 1e-9) AS INTEGER) - 1)
+           OVER (PARTITION BY r, t ORDER BY pos) AS later
+  FROM place JOIN start USING (g) JOIN template USING (t)),
+run AS (
+  SELECT r, doc_id, t, license, n, pos, least(pos + n, len(a) + 1) AS stop, b, a[pos + 1:pos + n - 1] AS x
+  FROM near JOIN whole USING (r) WHERE later - pos <= n - 2),
+rated AS (
+  SELECT * FROM (
+    SELECT *, 2.0 * len(list_intersect(list_distinct(x), b)) / (len(list_distinct(x)) + len(b)) AS dice FROM run)
+  WHERE dice >= {THRESHOLD} - 1e-12),
+peak AS (
+  SELECT * FROM rated
+  WINDOW o AS (PARTITION BY r, t ORDER BY pos)
+  QUALIFY (lag(pos) OVER o IS NULL OR pos - lag(pos) OVER o >= n OR lag(dice) OVER o < dice)
+      AND (lead(pos) OVER o IS NULL OR lead(pos) OVER o - pos >= n OR lead(dice) OVER o <= dice)),
+excerpt AS (
+  SELECT doc_id, 'excerpt' AS kind, array_to_string(x, '|') AS segment, license, dice FROM peak p
+  WHERE NOT EXISTS (
+    FROM peak q WHERE q.r = p.r AND 2 * (least(p.stop, q.stop) - greatest(p.pos, q.pos)) > p.stop - p.pos
+      AND (q.dice, q.stop - q.pos, q.license, -q.pos) > (p.dice, p.stop - p.pos, p.license, -p.pos))),
 top AS (
-  SELECT doc_id, kind, segment, max((dice, license)) AS best FROM scored
+  SELECT doc_id, kind, segment, max((dice, license)) AS best
+  FROM (FROM scored UNION ALL FROM excerpt)
   WHERE dice >= {THRESHOLD} - 1e-12 GROUP BY ALL),
 named AS (SELECT doc_id, kind, best[1] AS dice, best[2] AS license FROM top),
 final AS (
