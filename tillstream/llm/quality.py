@@ -5,17 +5,23 @@ that minimises the non-negative unbiased risk
 
     prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))
 
-with the logistic loss; the class prior is estimated as the share of positives
-among the labelled training rows.  The network sees surface statistics of the
-whole text: letter classes, word and line repetition, punctuation per word.
-
-Fitting uses bounded samples (``POSITIVES`` and ``UNLABELLED`` rows, chosen by
-a hash of the id); only the sampled ids are broadcast and only their features
-reach the driver.  Scoring covers every row in one scan without a shuffle.
+with the logistic loss.  The class prior is estimated from trusted positives
+and unlabelled text alone: a network of the same shape is fitted to tell the
+two apart, rows it has not seen are scored, and the prior is the share of
+unlabelled rows over the share of positives above the score where this ratio,
+with its error bound, is least (best bin), less its standard error.  Rows labelled 0 are never used.
+The network sees surface statistics of the whole text: letter classes, word
+and line repetition, punctuation per word.
+
+Fitting uses bounded samples (about ``POSITIVES`` and ``UNLABELLED`` rows, chosen
+by a hash of id and text, and never over ``EXCESS`` times as many, whatever rows
+repeat); only the sampled ids are broadcast and only their features reach the
+driver.  Scoring covers every row in one scan without a shuffle.
 
 Defined cases: a null text is empty and gets the score of the empty text; a
 label that is null is no label, and an id with several labels is positive when
-all of them are 1; without any positive every score is 0.5; repeated rows are
+all of them are 1; without any positive every score is 0.5; with fewer than
+``FEW`` rows of either kind the prior is taken as 0.5; repeated rows are
 each scored; empty tables give no rows; other columns are passed through by
 ``keep_good`` and otherwise ignored.
 """
@@ -34,7 +40,9 @@ from pyspark.sql import types as T
 from .common import crc_remainder, raw
 
 POSITIVES, UNLABELLED = 20_000, 40_000   # bounds of the fitting samples
+EXCESS = 2
 THRESHOLD = 0.3
+FEW, PARTS, CONFIDENCE = 40, 5, 0.1      # prior estimate: least rows, parts, error probability of its bound
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 24, 40, 512, 0.01, 1e-4
 SEED = 7
 
@@ -99,16 +107,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(h @ self.w2 + self.b2, -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = SEED) -> Model:
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed: int = SEED) -> Model:
     """Adam on minibatches of both samples.  Where the estimated negative risk
-    of a batch falls below zero, the step goes up that part instead."""
+    of a batch falls below zero, the step goes up that part instead.  Without a
+    prior the samples are two classes of equal weight."""
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(FEATURES), np.ones(FEATURES))
     rng = np.random.default_rng(seed)
     m = Model(unlabelled.mean(axis=0), np.maximum(unlabelled.std(axis=0), 1e-3))
     p, u = m.inputs(positive), m.inputs(unlabelled)
     params = [rng.normal(0, 1 / np.sqrt(FEATURES), (FEATURES, HIDDEN)), np.zeros(HIDDEN),
-              rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.array(np.log(prior / (1 - prior)))]
+              rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.array(0.0 if prior is None else np.log(prior / (1 - prior)))]
     first, second, step = [np.zeros_like(q) for q in params], [np.zeros_like(q) for q in params], 0
 
     def forward(x):
@@ -130,12 +139,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
             hu, fu = forward(xu)
             sp, su = sigmoid(fp), sigmoid(fu)
             # d/df log(1+e^-f) = s - 1 (as positive), d/df log(1+e^f) = s (as negative)
-            negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-            as_negative_u, as_negative_p = su / len(su), -prior * sp / len(sp)
-            if negative >= 0:
-                gp, gu = prior * (sp - 1) / len(sp) + as_negative_p, as_negative_u
+            if prior is None:
+                gp, gu = (sp - 1) / len(sp), su / len(su)
             else:
-                gp, gu = -as_negative_p, -as_negative_u
+                negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+                as_negative_u, as_negative_p = su / len(su), -prior * sp / len(sp)
+                if negative >= 0:
+                    gp, gu = prior * (sp - 1) / len(sp) + as_negative_p, as_negative_u
+                else:
+                    gp, gu = -as_negative_p, -as_negative_u
             grads = [a + b for a, b in zip(back(xp, hp, gp), back(xu, hu, gu))]
             step += 1
             for q, g, a, b in zip(params, grads, first, second):
@@ -147,35 +159,68 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     return m
 
 
+def best_bin(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[float, float]:
+    """Share of positives among the unlabelled, from the scores of both, and
+    its standard error."""
+    p, u = np.sort(positive), np.sort(unlabelled)
+    cuts = np.unique(p)
+    above_p = 1 - np.searchsorted(p, cuts) / len(p)
+    above_u = 1 - np.searchsorted(u, cuts) / len(u)
+    slack = np.sqrt(np.log(4 / CONFIDENCE) / 2) * (len(u) ** -0.5 + len(p) ** -0.5)
+    best = np.argmin((above_u + 1.01 * slack) / above_p)
+    share = above_u[best] / above_p[best]
+    spread = (1 / above_u[best] - 1) / len(u) + (1 / above_p[best] - 1) / len(p) if share else 0.0
+    return float(share), float(share * np.sqrt(spread))
+
+
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED) -> float:
+    """Estimated share of positives among the unlabelled rows, each row scored
+    by a network that was fitted on the other ``PARTS`` - 1 parts, less one
+    standard error: the risk bears a prior that is too low better than one
+    that is too high, by which it takes bad rows for good."""
+    if min(len(positive), len(unlabelled)) < FEW:
+        return 0.5
+    rng = np.random.default_rng(seed)
+    part_p, part_u = rng.permutation(len(positive)) % PARTS, rng.permutation(len(unlabelled)) % PARTS
+    score_p, score_u = np.zeros(len(positive)), np.zeros(len(unlabelled))
+    for k in range(PARTS):
+        m = fit(positive[part_p != k], unlabelled[part_u != k], None, seed)
+        score_p[part_p == k] = m.score(positive[part_p == k])
+        score_u[part_u == k] = m.score(unlabelled[part_u == k])
+    share, error = best_bin(score_p, score_u)
+    return min(max(share - error, 0.02), 0.98)
+
+
 def _sampled(key: Column, share: float) -> Column:
     """Rows whose hashed key falls in ``share`` of the hash range."""
     return F.pmod(F.xxhash64(key, F.lit(SEED)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
 
 
-def _vectors(texts: DataFrame) -> np.ndarray:
+def _vectors(texts: DataFrame, most: int) -> np.ndarray:
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def vector(t: pd.Series) -> pd.Series:
         return t.map(lambda x: features(x).tolist())
-    got = texts.select(vector(raw("text")).alias("x")).toPandas()["x"]
+    got = texts.select(vector(raw("text")).alias("x")).limit(most).toPandas()["x"]
     return np.array(got.tolist(), dtype=float).reshape(-1, FEATURES)
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
           unlabelled: int = UNLABELLED) -> Model:
-    """Fit on at most about ``positives`` labelled-good and ``unlabelled`` other
-    rows.  ``labels`` is (doc_id, quality)."""
+    """Fit on about ``positives`` labelled-good and ``unlabelled`` other rows.
+    ``labels`` is (doc_id, quality)."""
     judged = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("q")))
     seen = judged.agg(F.count(F.lit(1)).alias("n"), F.sum("q").alias("good")).first()
     if not seen["n"] or not seen["good"]:
         return fit(np.zeros((0, FEATURES)), np.zeros((0, FEATURES)), 0.5)
-    prior = min(max(seen["good"] / seen["n"], 0.02), 0.98)
     chosen = judged.filter((F.col("q") == 1) & _sampled(F.col("__id"), min(1.0, positives / seen["good"])))
     total = docs.count()
-    web = docs.filter(_sampled(F.col("doc_id"), min(1.0, unlabelled / max(total, 1))))
+    web = docs.filter(_sampled(F.xxhash64("doc_id", "text"), min(1.0, unlabelled / max(total, 1))))
     # The chosen ids number about ``positives`` at any size of the corpus.
     trusted = docs.join(F.broadcast(chosen.select("__id")), docs["doc_id"] == F.col("__id"))
-    return fit(_vectors(trusted.select("text")), _vectors(web.select("text")), prior)
+    p = _vectors(trusted.select("text"), EXCESS * positives)
+    u = _vectors(web.select("text"), EXCESS * unlabelled)
+    return fit(p, u, class_prior(p, u))
 
 
 def scorer(model: Model):
