@@ -70,41 +70,6 @@ def test_held_out_quality(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
 
 
-@pytest.mark.parametrize("share", [0.1, 0.4, 0.85])
-def test_the_prior_is_found_in_unlabelled_rows(share):
-    rng = np.random.default_rng(4)
-    n, good = 8000, int(8000 * share)
-    p = rng.normal(1, 1, (3000, quality.FEATURES))
-    u = np.concatenate([rng.normal(1, 1, (good, quality.FEATURES)), rng.normal(-1, 1, (n - good, quality.FEATURES))])
-    assert abs(quality.class_prior(p, u) - share) < 0.05
-    assert quality.class_prior(p[:quality.FEW - 1], u) == 0.5 and quality.class_prior(p, u[:0]) == 0.5
-    assert quality.class_prior(u, u) > 0.9 and quality.class_prior(p, p[:, ::-1] * 0 - 9) < 0.1
-    share, error = quality.best_bin(np.ones(50), np.r_[np.ones(25), np.zeros(75)])
-    assert share == 0.25 and abs(error - math.sqrt(0.25 * 0.75 / 100)) < 1e-9
-    assert quality.best_bin(np.ones(50), np.zeros(20)) == (0.0, 0.0)
-
-
-def test_rows_labelled_bad_are_never_used(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    both = [{r.doc_id: r.score for r in quality.classify(docs, x).collect()}
-            for x in (labels, labels.filter("quality = 1"))]
-    assert both[0].keys() == both[1].keys()
-    assert all(abs(both[1][k] - v) < 1e-9 for k, v in both[0].items())
-
-
-def test_samples_are_bounded_whatever_repeats(spark, monkeypatch):
-    sizes = []
-    monkeypatch.setattr(quality, "fit", lambda p, u, prior, *_: sizes.append((len(p), len(u))) or quality.Model(
-        np.zeros(quality.FEATURES), np.ones(quality.FEATURES)))
-    rows = [(k, f"good words number {k}") for k in range(300)] + [(None, "the same bad text")] * 300
-    rows += [(7, f"one id {k}") for k in range(300)]
-    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
-    labels = spark.createDataFrame([(k, 1) for k in range(300)], "doc_id BIGINT, quality INT")
-    quality.train(docs, labels, positives=30, unlabelled=30)
-    assert all(a <= 60 and b <= 60 for a, b in sizes) and sizes
-
-
 def test_quality_of_awkward_rows(spark, make):
     labels = spark.createDataFrame([(4, 1, 0), (5, 1, 0), (5, 0, 0), (7, None, 0), (None, 1, 0), (9, 1, 0)],
                                    "doc_id BIGINT, quality INT, toxic INT")
