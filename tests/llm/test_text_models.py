@@ -151,7 +151,7 @@ def test_training_learns_bigrams():
         start = rng.choice([0, 10])        # after 0 come 1 2 3, after 10 come 11 12 13
         docs.append(np.array([start, start + 1, start + 2, start + 3, lm_score.END_CLASS], np.uint16))
     count = np.bincount(np.concatenate(docs), minlength=lm_score.CLASSES).astype(float)
-    vocab = lm_score.Vocabulary({}, None, None, None, 1, 1, count, np.zeros(lm_score.CLASSES))
+    vocab = lm_score.Vocabulary({}, None, None, 1, 1, count)
     noise = (count + 1) ** 0.75
     t = lm_score.Trainer(lm_score.start(vocab), noise / noise.sum(), 1)
     for _ in range(60):
@@ -160,3 +160,80 @@ def test_training_learns_bigrams():
     at = lambda w, u, v: float(model(np.array([w]), np.array([u]), np.array([v]))[0])
     assert at(11, 10, lm_score.END_CLASS) > at(1, 10, lm_score.END_CLASS) + 0.5
     assert at(2, 1, 0) > at(12, 1, 0) + 0.5
+
+
+def two_topics(seed, n):
+    """Texts of one of two topics: a common word of the topic, then a rare word
+    of the topic; every topic has 2,000 rare words, too many for own classes."""
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        t = rng.choice("xy")
+        out.append((k, " ".join(f"{t}{rng.randrange(40)} {t}rare{rng.randrange(2000)}" for _ in range(60))))
+    return out
+
+
+def learnt(docs):
+    """The operator's parts over small tables."""
+    sc = docs.sparkSession.sparkContext
+    counts = lm_score.count_tokens(docs.filter("crc32(encode(cast(doc_id as string), 'UTF-8')) % 10 != 0")).cache()
+    vocab = lm_score.vocabulary(counts)
+    sent = sc.broadcast(vocab)
+    encoded = lm_score.encode(docs, sent, 10, 0).cache()
+    model = lm_score.train(encoded, vocab)
+    d, noise = lm_score.anchor_vectors(model, vocab)
+    words = lm_score.learn_words(encoded.filter("not held_out"), vocab, sent, d, noise).cache()
+    return counts, vocab, words, lm_score.inner_model(words, vocab, d)
+
+
+@pytest.mark.parametrize("head", [lm_score.HEAD, 500])
+def test_words_within_a_class(make, monkeypatch, head):
+    monkeypatch.setattr(lm_score, "HEAD", head)
+    docs = make(two_topics(1, 700))
+    counts, vocab, words, inner = learnt(docs)
+    n = {bytes(r.token): r.c for r in counts.collect()}
+    rows = words.collect()
+    own = {w for w, k in vocab.head.items() if not lm_score.WORDS <= vocab.head_class[k] < lm_score.END_CLASS}
+    # every training word has a class of its own or a row with its count; all seen twice have a vector
+    assert {bytes(r.token): r.c for r in rows} == {w: c for w, c in n.items() if w not in own}
+    assert all((r.vec is not None) == (r.c >= lm_score.LEAST) for r in rows)
+    # the words of a class and the unseen word of a class by hash: probabilities sum to one
+    kinds = np.array([r.kind for r in rows])
+    vec = np.array([np.frombuffer(r.vec, np.float32) if r.vec else np.zeros(lm_score.SIZE + 1, np.float32)
+                    for r in rows])
+    log_c = np.log10(np.array([r.c for r in rows]) + lm_score.SMOOTH)
+    for h in (0, 3, lm_score.WORDS):
+        p = 10 ** (log_c + inner.lift(vec, np.full(len(rows), h)) - inner.log_z[kinds - lm_score.WORDS, h])
+        for k in np.unique(kinds):
+            unseen = lm_score.SMOOTH * 10 ** -inner.log_z[k - lm_score.WORDS, h] * (k >= lm_score.FIRST_RARE)
+            assert p[kinds == k].sum() + unseen == pytest.approx(1, abs=1e-4)
+    # a rare word is likelier after a common word of its topic
+    place = {w: k for w, k in vocab.head.items() if vocab.head_class[k] < lm_score.WORDS}
+    x, y = (np.array([vocab.head_class[k] for w, k in place.items() if w[:1] == t and b"rare" not in w])
+            for t in (b"x", b"y"))
+    often = [k for k, r in enumerate(rows) if r.c >= 4]
+    better = 0
+    for k in often:
+        a, b = (10 ** inner.lift(np.repeat(vec[k:k + 1], len(t), 0), t) / 10 ** inner.log_z[
+            kinds[k] - lm_score.WORDS, t] for t in (x, y))
+        better += (a.mean() > b.mean()) == (bytes(rows[k].token)[:1] == b"x")
+    assert better > 0.95 * len(often)
+
+
+def test_scores_do_not_depend_on_where_words_are_held(make, monkeypatch):
+    """Base scores and known words are the same with a head of 500 words."""
+    rows = two_topics(2, 200)
+    docs = make(rows)
+    assert lm_rows(lm_score.lm_scores(docs).collect()) == brute_base(rows)
+    monkeypatch.setattr(lm_score, "HEAD", 500)
+    got = lm_score.lm_scores(docs).collect()
+    assert lm_rows(got) == brute_base(rows)
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_anchor_is_the_last_own_word_of_the_text():
+    w, tail = lm_score.WORDS, lm_score.WORDS + 1
+    kinds = np.array([tail, 5, tail, tail, lm_score.END_CLASS, tail, 7, lm_score.END_CLASS])
+    first = np.array([1, 0, 0, 0, 0, 1, 0, 0], bool)
+    assert lm_score.anchors(kinds, first).tolist() == [w, w, 5, 5, 5, w, w, 7]

@@ -1,22 +1,36 @@
-"""Log-bilinear language model scores.
+"""Log-bilinear language model scores, in two levels: class, then word in class.
 
-The model predicts each token's class from the two classes before it,
+The first level predicts each token's class from the two classes before it,
 
-    s(w | u, v) = C1[u] . Q[w] + C2[v] . Q[w] + b[w],
+    s(k | u, v) = C1[u] . Q[k] + C2[v] . Q[k] + b[k],
 
-with classes for the ``WORDS`` most frequent words, for the end of the text and
-``OTHER`` groups of all remaining words (by their last byte).  A word in a
-group gets its share of the group by smoothed corpus counts.  Training is
-noise-contrastive estimation in numpy: every task makes one pass of minibatches
-over its share of the training documents, and the tasks' parameters are
-averaged by weight, ``ROUNDS`` times, each round on its own share of all
-training documents.  Scores are normalised exactly: the normaliser of every
-context pair is one product of exponentiated score matrices,
+with classes for the ``WORDS`` most frequent words, for the end of the text,
+``BANDS`` bands of less frequent words by their counts, and ``RARE`` classes, by
+hash, of the words seen once, beyond ``HEAD`` or never.  The second level gives
+every word of such a class, however many there are, a vector of its own,
 
-    Z[u, v] = sum_w exp(C1[u].Q[w] + b[w]) exp(C2[v].Q[w]).
+    P(w | k, h) = (c[w] + SMOOTH) exp(D[h] . q[w] + a[w]) / Z[k, h],
+
+where h is the last word before it with a class of its own and D[h] its vector
+of the first level, centred.  A word seen less than ``LEAST`` times keeps its
+count alone; every class by hash holds one word never seen.
+
+Both levels learn by noise-contrastive estimation in numpy.  First level: every
+task makes one pass of minibatches over its share of the training documents,
+and the tasks' parameters are averaged by weight, ``ROUNDS`` times, each round
+on its own share of all training documents.  Second level: the objective is a
+sum over words, so each word learns from its own (word, h) counts against
+shared noise contexts, wherever its row is.  A factor that all words of a class
+share, such as the noise contexts' frequency, drops out with Z.  Scores are
+normalised exactly:
+
+    Z1[u, v] = sum_k exp(C1[u].Q[k] + b[k]) exp(C2[v].Q[k]),
+
+one product of exponentiated score matrices, and Z[k, h] is an aggregate over
+the table of all words.
 
 Counts cover all training documents.  Only the ``HEAD`` most frequent words
-travel to the workers; the rest meet their counts in a join.
+travel to the workers; the rest meet their counts and vectors in a join.
 
 Defined cases: a null or empty text is the end token alone; repeated rows are
 each scored; without training documents the scores are those of a uniform
@@ -28,6 +42,7 @@ from __future__ import annotations
 
 import math
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,8 +56,10 @@ from pyspark.sql import functions as F
 from .common import crc_remainder, raw, saved, slices
 
 WORDS = 2048             # words with a class of their own
-OTHER = 64               # groups of all other words
-HEAD = 131_072           # words whose counts the workers hold
+BANDS = 48               # classes of less frequent words, by count
+RARE = 16                # classes of words seen once, beyond HEAD or never, by hash
+LEAST = 2                # a word seen as often has a vector of its own within its class
+HEAD = 131_072           # words whose counts and vectors the workers hold
 SIZE = 32                # dimensions of the vectors
 ROUNDS = 3               # averaging rounds; a document trains in one of them
 NOISE = 64               # noise samples shared by a minibatch
@@ -54,9 +71,18 @@ SEED = 11
 END = b"\n"              # never a word
 FLUSH = 200_000          # distinct words a task holds while counting
 
-CLASSES = WORDS + OTHER + 1          # words, groups, end
-END_CLASS = WORDS + OTHER
+FIRST_RARE = WORDS + BANDS
+END_CLASS = FIRST_RARE + RARE
+CLASSES = END_CLASS + 1              # words, bands, rare, end
 CONTEXTS = CLASSES                   # the end class doubles as "before the text"
+ANCHORS = WORDS + 1                  # contexts within a class; WORDS: no such word before
+
+INNER_STEPS = 12         # steps of the second level
+INNER_NOISE = 64         # noise contexts shared by a batch of words
+INNER_RATIO = 4.0        # weight of noise against data
+INNER_RATE = 0.3
+RIDGE = 0.5
+PAIRS = 1 << 18          # (word, anchor) pairs a task holds at a time
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -66,8 +92,8 @@ def tokens(text: bytes) -> list[bytes]:
     return out
 
 
-def group_of(word: bytes) -> int:
-    return WORDS + word[-1] % OTHER
+def rare_class(word: bytes) -> int:
+    return FIRST_RARE + zlib.crc32(word) % RARE
 
 
 # -- counts -----------------------------------------------------------------
@@ -98,99 +124,116 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 @dataclass
 class Vocabulary:
     """What every worker needs of the counts; bounded by HEAD."""
-    head: dict[bytes, int]               # word -> its place in the next three
+    head: dict[bytes, int]               # word -> its place in the next two
     head_class: np.ndarray
     head_log: np.ndarray                 # log10(c + SMOOTH)
-    head_grouped: np.ndarray             # whether its class is a group
     total: int                           # N
     distinct: int                        # V
     class_count: np.ndarray              # tokens per class
-    group_distinct: np.ndarray           # distinct words per group class
+    least: float = math.inf              # least bin of counts in the head
+
+    def kinds(self) -> np.ndarray:
+        """Class by id: a place of the head, or -1 - r for a word of rare class
+        r beyond it, or -1 - RARE for an end token never seen."""
+        return np.r_[self.head_class, END_CLASS, np.arange(FIRST_RARE + RARE - 1, FIRST_RARE - 1, -1)].astype(np.int64)
+
+
+def count_bin(c: str):
+    """Counts binned by logarithm."""
+    return F.floor(F.log2(c) * 16)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
+    class_count = np.zeros(CLASSES)
     if not total:
         empty = np.zeros(0)
-        return Vocabulary({}, empty.astype(int), empty, empty.astype(bool), 0, 0, np.zeros(CLASSES),
-                          np.zeros(CLASSES))
-    # The least count of which at most HEAD words have as much: counts are
-    # binned by logarithm first, so few rows reach the driver at any size.
-    step = 16
-    bins = sorted(((r["bin"], r["n"]) for r in counts.groupBy(
-        F.floor(F.log2("c") * step).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    held, least = 0, None
+        return Vocabulary({}, empty.astype(int), empty, 0, 0, class_count)
+    # The least bin down to which at most HEAD words are held; few rows reach
+    # the driver at any size.
+    bins = sorted(((r["bin"], r["n"]) for r in counts.groupBy(count_bin("c").alias("bin")).agg(
+        F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    held, least = 0, math.inf
     for k, n in bins:
         if held + n > HEAD:
             break
         held, least = held + n, k
-    top = counts.filter((F.floor(F.log2("c") * step) >= (least if least is not None else 1 << 30))
-                        | (F.col("token") == F.lit(bytearray(END))))
+    end = F.col("token") == F.lit(bytearray(END))
+    top = counts.filter(end if least == math.inf else (count_bin("c") >= int(least)) | end)
     rows = sorted(((bytes(r["token"]), r["c"]) for r in top.collect()), key=lambda x: (-x[1], x[0]))
-    head_class, words = [], 0
-    class_count, group_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
-    last = F.conv(F.hex(F.substring("token", -1, 1)), 16, 10).cast("int") % OTHER
-    for r in counts.groupBy(last.alias("g")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n")).collect():
-        class_count[WORDS + r["g"]], group_distinct[WORDS + r["g"]] = r["c"], r["n"]
-    for w, c in rows:
-        k = -1
-        if w == END:
-            k = END_CLASS
-        elif words < WORDS:
-            k, words = words, words + 1
-        if k >= 0:
-            class_count[k] = c
-            class_count[group_of(w)] -= c
-            group_distinct[group_of(w)] -= 1
-        head_class.append(k if k >= 0 else group_of(w))
-    kinds = np.array(head_class)
-    return Vocabulary({w: k for k, (w, _) in enumerate(rows)}, kinds,
-                      np.log10(np.array([c for _, c in rows]) + SMOOTH),
-                      (kinds >= WORDS) & (kinds < END_CLASS), total, distinct, class_count, group_distinct)
+    for r in counts.groupBy((F.crc32("token") % RARE).alias("g")).agg(F.sum("c").alias("c")).collect():
+        class_count[FIRST_RARE + r["g"]] = r["c"]
+    c = np.array([n for _, n in rows])
+    kinds = np.array([rare_class(w) for w, _ in rows])
+    by_hash, words = kinds.copy(), np.array([w != END for w, _ in rows])
+    own = np.flatnonzero(words)[:WORDS]
+    tail = np.flatnonzero(words)[WORDS:]
+    tail = tail[c[tail] >= LEAST]
+    kinds[~words] = END_CLASS
+    kinds[own] = np.arange(len(own))
+    if len(tail):
+        mass = np.cumsum(c[tail])
+        kinds[tail] = WORDS + (mass - c[tail]) * BANDS // mass[-1]
+    moved = kinds != by_hash
+    np.subtract.at(class_count, by_hash[moved], c[moved])
+    np.add.at(class_count, kinds[moved], c[moved])
+    return Vocabulary({w: k for k, (w, _) in enumerate(rows)}, kinds, np.log10(c + SMOOTH), total, distinct,
+                      class_count, least)
 
 
 # -- documents as classes ---------------------------------------------------
 
+def anchors(kinds: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For every token the last word of its text before it that has a class of
+    its own (WORDS: none); ``first`` marks the texts' first tokens."""
+    n = np.arange(len(kinds))
+    last = np.r_[-1, np.maximum.accumulate(np.where(kinds < WORDS, n, -1))[:-1]]
+    return np.where(last >= np.maximum.accumulate(np.where(first, n, 0)), kinds[last], WORDS)
+
+
 def encode(docs: DataFrame, vocab, folds: int, held_out: int) -> DataFrame:
-    """One row per document: its classes (16-bit), the sums that the held
-    counts give, and its words beyond them with their numbers."""
+    """One row per document: its ids (see ``Vocabulary.kinds``), the sum that
+    the held counts give, and its words beyond them by anchor, with numbers."""
     fold = F.coalesce(crc_remainder("doc_id", folds) == held_out, F.lit(False))
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out BOOLEAN, n_tokens BIGINT, "
-              "known BIGINT, base_log DOUBLE, group_log DOUBLE, classes BINARY, "
-              "rare ARRAY<BINARY>, rare_n ARRAY<INT>")
+              "known BIGINT, base_log DOUBLE, ids BINARY, rare ARRAY<BINARY>, rare_h ARRAY<INT>, rare_n ARRAY<INT>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
-        place = _Places(v.head)
-        # Place -1, the last of each: a word beyond the head, filled in below.
-        kind = np.r_[v.head_class, 0].astype(np.uint16)
-        log, grouped = np.r_[v.head_log, 0.0], np.r_[v.head_grouped, False]
+        place, kind = _Places(v.head), v.kinds()
+        log = np.r_[v.head_log, math.log10(SMOOTH), np.zeros(RARE)]     # an end never seen has no count
         for b in (part for batch in batches for part in slices(batch)):
             out: list[list] = [[] for _ in range(7)]
             for t in b.column("raw").to_pylist():
                 words = tokens(t)
-                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                classes, logs = kind[at], log[at]
-                beyond = np.flatnonzero(at < 0)
-                rare = Counter(words[k] for k in beyond if words[k] != END)
-                classes[beyond] = [group_of(words[k]) if words[k] != END else END_CLASS for k in beyond]
-                base = logs.sum()
-                if at[-1] < 0:              # no training text: the end has no count
-                    base += math.log10(SMOOTH)
-                for column, value in zip(out, (len(words), len(words) - len(beyond), base,
-                                               logs[grouped[at]].sum(), classes.tobytes(),
-                                               list(rare.keys()), list(rare.values()))):
+                at = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
+                beyond, rare = np.flatnonzero(at < 0), Counter()
+                if len(beyond):
+                    at[beyond] = [FIRST_RARE - 1 - rare_class(words[k]) if words[k] != END else -1 - RARE
+                                  for k in beyond]
+                    kinds = kind[at]
+                    h = anchors(kinds, np.arange(len(at)) == 0)[beyond].tolist()
+                    rare.update((words[k], x) for k, x in zip(beyond, h) if words[k] != END)
+                for column, value in zip(out, (len(words), len(words) - len(beyond), log[at].sum(), at.tobytes(),
+                                               [w for w, _ in rare], [x for _, x in rare], list(rare.values()))):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(),
-                     pa.list_(pa.binary()), pa.list_(pa.int32()))
+            kinds_of = (pa.int64(), pa.int64(), pa.float64(), pa.binary(),
+                        pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(out, kinds)]],
-                ["doc_id", "held_out", "n_tokens", "known", "base_log", "group_log", "classes",
-                 "rare", "rare_n"])
+                [b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(out, kinds_of)]],
+                ["doc_id", "held_out", "n_tokens", "known", "base_log", "ids", "rare", "rare_h", "rare_n"])
 
     return docs.select("doc_id", fold.alias("held_out"), raw("text").alias("raw")).mapInArrow(run, schema)
 
 
+def rare_words(encoded: DataFrame, *columns: str) -> DataFrame:
+    """(columns, token, h, n): the words of each document beyond the head."""
+    return encoded.filter(F.size("rare") > 0).select(
+        *columns, F.explode(F.arrays_zip("rare", "rare_h", "rare_n")).alias("x")).select(
+        *columns, F.col("x.rare").alias("token"), F.col("x.rare_h").alias("h"),
+        F.col("x.rare_n").cast("long").alias("n"))
+
+
 class _Places(dict):
     """Word -> place in the head, -1 beyond it."""
 
@@ -225,12 +268,18 @@ def start(vocab: Vocabulary) -> Parameters:
     return Parameters(uuid.uuid4().hex, small(), small(), small(), np.log(p).astype(np.float32))
 
 
+def starts(docs: list[np.ndarray]) -> np.ndarray:
+    """Marks the first token of each text."""
+    first = np.zeros(sum(len(d) for d in docs), bool)
+    first[np.r_[0, np.cumsum([len(d) for d in docs])[:-1]]] = True
+    return first
+
+
 def contexts(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(w, u, v): every token's class and the two before it, the end class
     standing before a text."""
     w = np.concatenate(docs).astype(np.int64)
-    first = np.zeros(len(w), bool)
-    first[np.r_[0, np.cumsum([len(d) for d in docs])[:-1]]] = True
+    first = starts(docs)
     u = np.r_[END_CLASS, w[:-1]]
     u[first] = END_CLASS
     v = np.r_[END_CLASS, u[:-1]]
@@ -289,7 +338,7 @@ def train_round(encoded: DataFrame, p: Parameters, vocab: Vocabulary, seed: int)
     tasks' parameters, chunks of classes averaged in two levels of groups."""
     noise = (vocab.class_count + 1) ** 0.75
     noise = noise / noise.sum()
-    sent = encoded.sparkSession.sparkContext.broadcast(p)
+    sent, kind = encoded.sparkSession.sparkContext.broadcast(p), vocab.kinds().astype(np.uint16)
     rows = 64                                   # classes per averaged chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,8 +347,8 @@ def train_round(encoded: DataFrame, p: Parameters, vocab: Vocabulary, seed: int)
         t = Trainer(sent.value, noise, seed * 1_000_003 + part)
         for b in batches:
             waiting, size = [], 0
-            for x in b.column("classes").to_pylist():
-                waiting.append(np.frombuffer(x, np.uint16))
+            for x in b.column("ids").to_pylist():
+                waiting.append(kind[np.frombuffer(x, np.int32)])
                 size += len(waiting[-1])
                 if size >= 64 * BATCH:
                     t.train(waiting)
@@ -321,7 +370,7 @@ def train_round(encoded: DataFrame, p: Parameters, vocab: Vocabulary, seed: int)
         return pd.DataFrame({"chunk": got["chunk"].iloc[:1], "seen": [int(weight.sum())],
                              "cells": [(total / weight.sum()).astype(np.float32).tobytes()]})
 
-    parts = encoded.select("classes").mapInArrow(run, "chunk INT, salt INT, seen BIGINT, cells BINARY")
+    parts = encoded.select("ids").mapInArrow(run, "chunk INT, salt INT, seen BIGINT, cells BINARY")
     out = "chunk INT, seen BIGINT, cells BINARY"
     averaged = (parts.groupBy("chunk", "salt").applyInPandas(mean, out)
                 .groupBy("chunk").applyInPandas(mean, out).collect())
@@ -343,6 +392,176 @@ def train(encoded: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> Parame
     return p
 
 
+# -- words within their classes ----------------------------------------------
+
+def anchor_vectors(p: Parameters, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """(D, noise): the anchors' vectors, centred and of mean square length 4,
+    and the distribution that noise contexts are drawn from."""
+    at = np.r_[np.arange(WORDS), END_CLASS]
+    noise = vocab.class_count[at] + 1
+    noise = noise / noise.sum()
+    d = p.c1[at].astype(np.float64)
+    d -= noise @ d
+    length = math.sqrt(float(noise @ (d * d).sum(axis=1)))
+    return (2 * d / max(length, 1e-9)).astype(np.float32), noise
+
+
+def pairs(learning: DataFrame, vocab) -> DataFrame:
+    """(token, h, n) of all tokens without a class of their own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocab.value
+        words, kind = np.array(list(v.head) or [b""], object), v.kinds()
+
+        def out(keys: list[np.ndarray]) -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words[key // ANCHORS], pa.binary()), pa.array((key % ANCHORS).astype(np.int32)),
+                 pa.array(n.astype(np.int64))], ["token", "h", "n"])
+        waiting, size = [], 0
+        for b in batches:
+            for x in b.column("ids").to_pylist():
+                at = np.frombuffer(x, np.int32)
+                kinds = kind[at]
+                hit = np.flatnonzero((at >= 0) & (kinds >= WORDS) & (kinds < END_CLASS))
+                h = anchors(kinds, np.arange(len(at)) == 0)[hit]
+                waiting.append(at[hit].astype(np.int64) * ANCHORS + h)
+                size += len(hit)
+                if size > 8 * PAIRS:
+                    yield out(waiting)
+                    waiting, size = [], 0
+        if size:
+            yield out(waiting)
+
+    head = learning.select("ids").mapInArrow(run, "token BINARY, h INT, n BIGINT")
+    return head.unionByName(rare_words(learning))
+
+
+def fit_words(d: np.ndarray, noise: np.ndarray, h: np.ndarray, n: np.ndarray, first: np.ndarray,
+              rng: np.random.Generator) -> np.ndarray:
+    """Vectors q and offsets a (last column) of words whose (h, n) pairs begin
+    at ``first``: ascends each word's noise-contrastive objective.  A noise word
+    is drawn by count, so the logit of a pair is D[h].q + a - log(INNER_RATIO)."""
+    size = np.diff(np.r_[first, len(h)])
+    word = np.repeat(np.arange(len(first)), size)
+    x = np.c_[d, np.ones(len(d), np.float32)].astype(np.float32)
+    real_x, n = x[h], n.astype(np.float32)
+    c = np.add.reduceat(n, first)
+    q = np.zeros((len(first), x.shape[1]), np.float32)
+    sums = np.full(q.shape, 1e-2, np.float32)
+    cdf, shift = np.cumsum(noise), np.float32(math.log(INNER_RATIO))
+    for _ in range(INNER_STEPS):
+        s = np.minimum(np.searchsorted(cdf, rng.random(INNER_NOISE) * cdf[-1]), len(cdf) - 1)
+        real = np.einsum("ij,ij->i", real_x, q[word]) - shift
+        fake = q @ x[s].T - shift
+        pull = n / (1 + np.exp(np.clip(real, -30, 30)))
+        push = (INNER_RATIO / INNER_NOISE * c)[:, None] / (1 + np.exp(-np.clip(fake, -30, 30)))
+        g = np.add.reduceat(pull[:, None] * real_x, first, axis=0) - push @ x[s] - RIDGE * q
+        sums += g * g
+        q += INNER_RATE * g / np.sqrt(sums)
+    return q
+
+
+def learn_words(learning: DataFrame, vocab: Vocabulary, sent_vocab, d: np.ndarray, noise: np.ndarray) -> DataFrame:
+    """(token, c, kind, vec): every training word without a class of its own;
+    ``vec`` (float32 bytes) is null below LEAST."""
+    sent = learning.sparkSession.sparkContext.broadcast((d, noise))
+    # A word has at most ANCHORS pairs once they are summed.
+    met = (pairs(learning, sent_vocab).groupBy("token", "h").agg(F.sum("n").alias("n"))
+           .groupBy("token").agg(F.sum("n").alias("c"), F.collect_list(F.struct("h", "n")).alias("met")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (d, noise), v = sent.value, sent_vocab.value
+        for b in (part for batch in batches for part in slices(batch, 4096)):
+            words, c = b.column("token").to_pylist(), b.column("c").to_numpy()
+            lists = b.column("met")
+            size = lists.value_lengths().to_numpy()
+            cells = lists.flatten()
+            h, n = cells.field("h").to_numpy(), cells.field("n").to_numpy()
+            begin = np.cumsum(size) - size
+            vecs: list = [None] * len(words)
+            often = np.flatnonzero(c >= LEAST)
+            group = (np.cumsum(size[often]) // PAIRS) if len(often) else np.zeros(0)
+            for g in np.unique(group):
+                mine = often[group == g]
+                at = np.concatenate([np.arange(begin[k], begin[k] + size[k]) for k in mine])
+                rng = np.random.default_rng([SEED, zlib.crc32(words[mine[0]])])
+                q = fit_words(d, noise, h[at], n[at], np.cumsum(size[mine]) - size[mine], rng)
+                for k, row in zip(mine, q):
+                    vecs[k] = row.tobytes()
+            kinds = [int(v.head_class[v.head[w]]) if w in v.head else rare_class(w) for w in words]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("token"), b.column("c"), pa.array(kinds, pa.int32()), pa.array(vecs, pa.binary())],
+                ["token", "c", "kind", "vec"])
+
+    return met.select("token", "c", "met").mapInArrow(run, "token BINARY, c BIGINT, kind INT, vec BINARY")
+
+
+def vectors(column) -> np.ndarray:
+    """Rows of (q, a); zeros for null."""
+    none = np.zeros(SIZE + 1, np.float32).tobytes()
+    return np.frombuffer(b"".join(x if x is not None else none for x in column.to_pylist()),
+                         np.float32).reshape(-1, SIZE + 1)
+
+
+def normaliser(words: DataFrame, d: np.ndarray) -> np.ndarray:
+    """Z[k - WORDS, h] over all words; classes by hash hold one unseen word."""
+    sent = words.sparkSession.sparkContext.broadcast(d)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        x = np.c_[sent.value, np.ones(len(sent.value), np.float32)].astype(np.float32)
+        z = np.zeros((END_CLASS - WORDS, ANCHORS))
+        for b in (part for batch in batches for part in slices(batch, 2048)):
+            kind = b.column("kind").to_numpy() - WORDS
+            weight = (b.column("c").to_numpy() + SMOOTH).astype(np.float32)
+            own = b.column("vec").is_valid().to_numpy(zero_copy_only=False)
+            z += np.bincount(kind[~own], weight[~own], len(z))[:, None]
+            if own.any():
+                vec = vectors(b.column("vec").filter(pa.array(own)))
+                e = np.exp(np.clip(vec @ x.T, -60, 60)) * weight[own][:, None]
+                for k in np.unique(kind[own]):
+                    z[k] += e[kind[own] == k].sum(axis=0, dtype=np.float64)
+        hit = np.flatnonzero(z.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hit.astype(np.int32)), pa.array([TaskContext.get().partitionId() % SALTS] * len(hit), pa.int32()),
+             pa.array([z[k].tobytes() for k in hit], pa.binary())], ["kind", "salt", "cells"])
+
+    def add(got: pd.DataFrame) -> pd.DataFrame:
+        cells = sum(np.frombuffer(c) for c in got["cells"])
+        return pd.DataFrame({"kind": got["kind"].iloc[:1], "cells": [cells.tobytes()]})
+
+    out = "kind INT, cells BINARY"
+    parts = words.select("kind", "c", "vec").mapInArrow(run, "kind INT, salt INT, cells BINARY")
+    z = np.zeros((END_CLASS - WORDS, ANCHORS))
+    z[BANDS:] = SMOOTH
+    for r in parts.groupBy("kind", "salt").applyInPandas(add, out).groupBy("kind").applyInPandas(add, out).collect():
+        z[r["kind"]] += np.frombuffer(r["cells"])
+    return z
+
+
+@dataclass
+class Inner:
+    """The second level as the workers hold it; bounded by HEAD."""
+    d: np.ndarray            # ANCHORS x SIZE
+    log_z: np.ndarray        # log10 Z
+    head: np.ndarray         # (q, a) by place in the head
+
+    def lift(self, vec: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """log10 of exp(D[h].q + a)"""
+        s = np.einsum("ij,ij->i", self.d[h], vec[:, :SIZE]) + vec[:, SIZE]
+        return np.clip(s, -60, 60).astype(np.float64) / math.log(10)
+
+
+def inner_model(words: DataFrame, vocab: Vocabulary, d: np.ndarray) -> Inner:
+    head = np.zeros((len(vocab.head), SIZE + 1), np.float32)
+    if vocab.least < math.inf:
+        for r in words.filter((count_bin("c") >= int(vocab.least)) & F.col("vec").isNotNull()).select(
+                "token", "vec").toLocalIterator():
+            head[vocab.head[bytes(r["token"])]] = np.frombuffer(r["vec"], np.float32)
+    z = normaliser(words, d)
+    return Inner(d, np.log10(np.where(z > 0, z, 1.0)), head)
+
+
 class Scorer:
     """Exact class log-probabilities: per context pair one normaliser."""
 
@@ -368,36 +587,59 @@ def _scorer(p: Parameters) -> Scorer:
     return _SCORERS[p.key]
 
 
-def score(encoded: DataFrame, p: Parameters, vocab: Vocabulary) -> DataFrame:
-    """Add class_log: the text's log10 probability as a sequence of classes,
-    with the groups' denominators."""
+def score(encoded: DataFrame, p: Parameters, inner, vocab) -> DataFrame:
+    """Add text_log: the text's log10 probability, but for what the counts and
+    vectors of its words beyond the head add."""
     sent = encoded.sparkSession.sparkContext.broadcast(p)
-    share = np.zeros(CLASSES)
-    groups = slice(WORDS, WORDS + OTHER)
-    share[groups] = np.log10(vocab.class_count[groups] + SMOOTH * (vocab.group_distinct[groups] + 1))
-    columns = ["row", "doc_id", "held_out", "n_tokens", "known", "base_log", "group_log"]
+    columns = ["row", "doc_id", "held_out", "n_tokens", "known", "base_log"]
     types = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _scorer(sent.value)
+        model, within, v = _scorer(sent.value), inner.value, vocab.value
+        kind = v.kinds()
         for b in batches:
             logs: list[np.ndarray] = []
-            docs = [np.frombuffer(x, np.uint16) for x in b.column("classes").to_pylist()]
+            docs = [np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()]
             k = 0
             while k < len(docs):
                 size, j = 0, k
                 while j < len(docs) and (j == k or size + len(docs[j]) <= 1 << 18):
                     size += len(docs[j])
                     j += 1
-                w, u, v = contexts(docs[k:j])
-                each = model(w, u, v) - share[w]
-                logs.append(np.add.reduceat(each, np.r_[0, np.cumsum([len(d) for d in docs[k:j]])[:-1]]))
+                at = np.concatenate(docs[k:j])
+                w, u, before = contexts([kind[x] for x in docs[k:j]])
+                each = model(w, u, before)
+                tail = np.flatnonzero((w >= WORDS) & (w < END_CLASS))
+                h = anchors(w, starts(docs[k:j]))[tail]
+                each[tail] -= within.log_z[w[tail] - WORDS, h]
+                held = at[tail] >= 0
+                places = at[tail][held]
+                each[tail[held]] += v.head_log[places] + within.lift(within.head[places], h[held])
+                logs.append(np.add.reduceat(each, np.r_[0, np.cumsum([len(x) for x in docs[k:j]])[:-1]]))
                 k = j
             total = np.concatenate(logs) if logs else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in columns] + [pa.array(total, pa.float64())], columns + ["class_log"])
+                [b.column(c) for c in columns] + [pa.array(total, pa.float64())], columns + ["text_log"])
+
+    return encoded.select(*columns, "ids").mapInArrow(run, f"{types}, text_log DOUBLE")
+
+
+def score_rare(met: DataFrame, inner) -> DataFrame:
+    """(row, rare_base, rare_log, rare_known) of (row, h, n, c, vec) rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        within = inner.value
+        for b in (part for batch in batches for part in slices(batch, 4096)):
+            n, known = b.column("n").to_numpy(), b.column("c").is_valid().to_numpy(zero_copy_only=False)
+            c = b.column("c").fill_null(0).to_numpy()
+            base = n * np.log10(c + SMOOTH)
+            lift = n * within.lift(vectors(b.column("vec")), b.column("h").to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), pa.array(base), pa.array(base + lift), pa.array(np.where(known, n, 0))],
+                ["row", "rare_base", "rare_log", "rare_known"])
 
-    return encoded.select(*columns, "classes").mapInArrow(run, f"{types}, class_log DOUBLE")
+    each = met.select("row", "h", "n", "c", "vec").mapInArrow(
+        run, "row BIGINT, rare_base DOUBLE, rare_log DOUBLE, rare_known BIGINT")
+    return each.groupBy("row").agg(*[F.sum(x).alias(x) for x in ("rare_base", "rare_log", "rare_known")])
 
 
 # -- the operator -----------------------------------------------------------
@@ -412,20 +654,19 @@ def lm_scores(docs: DataFrame, folds: int = 10, held_out: int = 0, rounds: int =
     encoded = saved(encode(docs, sent, folds, held_out)
                     .withColumn("row", F.monotonically_increasing_id()), "encoded")
     model = train(encoded, vocab, rounds)
-    scored = score(encoded, model, vocab)
-    # Words beyond the head: each (document, word) meets its count in a join;
-    # none of them is frequent in the training text.
-    rare = (encoded.filter(F.size("rare") > 0)
-            .select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("x"))
-            .select("row", F.col("x.rare").alias("token"), F.col("x.rare_n").alias("n")))
-    met = rare.join(counts, "token", "left").groupBy("row").agg(
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(SMOOTH))).alias("rare_log"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("rare_known"))
+    d, noise = anchor_vectors(model, vocab)
+    words = saved(learn_words(encoded.filter(~F.col("held_out")), vocab, sent, d, noise), "words")
+    inner = spark.sparkContext.broadcast(inner_model(words, vocab, d))
+    scored = score(encoded, model, inner, sent)
+    # Words beyond the head: each (document, word, anchor) meets the word's count
+    # and vector in a join; none of them is frequent in the training text.
+    beyond = words if vocab.least == math.inf else words.filter(count_bin("c") < int(vocab.least))
+    met = score_rare(rare_words(encoded, "row").join(beyond.select("token", "c", "vec"), "token", "left"), inner)
     both = scored.join(met, "row", "left")
-    rare_log, rare_known = F.coalesce("rare_log", F.lit(0.0)), F.coalesce("rare_known", F.lit(0))
+    added = {x: F.coalesce(x, F.lit(0)) for x in ("rare_base", "rare_log", "rare_known")}
     norm = math.log10(vocab.total + SMOOTH * (vocab.distinct + 1))
     return both.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + rare_known).alias("n_known"),
+        "doc_id", "held_out", "n_tokens", (F.col("known") + added["rare_known"]).alias("n_known"),
         F.lit(vocab.total).cast("long").alias("train_tokens"),
-        (F.col("base_log") + rare_log - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
-        (F.col("class_log") + F.col("group_log") + rare_log).alias("score"))
+        (F.col("base_log") + added["rare_base"] - F.col("n_tokens") * F.lit(norm)).alias("base_score"),
+        (F.col("text_log") + added["rare_log"]).alias("score"))
