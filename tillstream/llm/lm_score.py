@@ -6,14 +6,14 @@ The first level predicts each token's class from the two classes before it,
 
 with classes for the ``WORDS`` most frequent words, for the end of the text,
 ``BANDS`` bands of less frequent words by their counts, and ``RARE`` classes, by
-hash, of the words seen once, beyond ``HEAD`` or never.  The second level gives
+hash, of all words seen once, beyond ``HEAD`` or never.  The second level gives
 every word of such a class, however many there are, a vector of its own,
 
     P(w | k, h) = (c[w] + SMOOTH) exp(D[h] . q[w] + a[w]) / Z[k, h],
 
 where h is the last word before it with a class of its own and D[h] its vector
-of the first level, centred.  A word seen less than ``LEAST`` times keeps its
-count alone; every class by hash holds one word never seen.
+of the first level, centred.  Every rare class holds one word never seen, of
+count 0 and without a vector.
 
 Both levels learn by noise-contrastive estimation in numpy.  First level: every
 task makes one pass of minibatches over its share of the training documents,
@@ -56,9 +56,9 @@ from pyspark.sql import functions as F
 from .common import crc_remainder, raw, saved, slices
 
 WORDS = 2048             # words with a class of their own
-BANDS = 48               # classes of less frequent words, by count
-RARE = 16                # classes of words seen once, beyond HEAD or never, by hash
-LEAST = 2                # a word seen as often has a vector of its own within its class
+BANDS = 6                # classes of less frequent words, by count
+RARE = 1                 # classes of words seen once, beyond HEAD or never, by hash
+REPEATED = 2             # a word of a band was seen as often
 HEAD = 131_072           # words whose counts and vectors the workers hold
 SIZE = 32                # dimensions of the vectors
 ROUNDS = 3               # averaging rounds; a document trains in one of them
@@ -168,7 +168,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     by_hash, words = kinds.copy(), np.array([w != END for w, _ in rows])
     own = np.flatnonzero(words)[:WORDS]
     tail = np.flatnonzero(words)[WORDS:]
-    tail = tail[c[tail] >= LEAST]
+    tail = tail[c[tail] >= REPEATED]
     kinds[~words] = END_CLASS
     kinds[own] = np.arange(len(own))
     if len(tail):
@@ -462,8 +462,8 @@ def fit_words(d: np.ndarray, noise: np.ndarray, h: np.ndarray, n: np.ndarray, fi
 
 
 def learn_words(learning: DataFrame, vocab: Vocabulary, sent_vocab, d: np.ndarray, noise: np.ndarray) -> DataFrame:
-    """(token, c, kind, vec): every training word without a class of its own;
-    ``vec`` (float32 bytes) is null below LEAST."""
+    """(token, c, kind, vec): every training word without a class of its own,
+    its count, class and vector (float32 bytes)."""
     sent = learning.sparkSession.sparkContext.broadcast((d, noise))
     # A word has at most ANCHORS pairs once they are summed.
     met = (pairs(learning, sent_vocab).groupBy("token", "h").agg(F.sum("n").alias("n"))
@@ -472,22 +472,18 @@ def learn_words(learning: DataFrame, vocab: Vocabulary, sent_vocab, d: np.ndarra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (d, noise), v = sent.value, sent_vocab.value
         for b in (part for batch in batches for part in slices(batch, 4096)):
-            words, c = b.column("token").to_pylist(), b.column("c").to_numpy()
-            lists = b.column("met")
+            words, lists = b.column("token").to_pylist(), b.column("met")
             size = lists.value_lengths().to_numpy()
             cells = lists.flatten()
             h, n = cells.field("h").to_numpy(), cells.field("n").to_numpy()
-            begin = np.cumsum(size) - size
-            vecs: list = [None] * len(words)
-            often = np.flatnonzero(c >= LEAST)
-            group = (np.cumsum(size[often]) // PAIRS) if len(often) else np.zeros(0)
+            end = np.cumsum(size)
+            group, vecs = end // PAIRS, []
             for g in np.unique(group):
-                mine = often[group == g]
-                at = np.concatenate([np.arange(begin[k], begin[k] + size[k]) for k in mine])
+                mine = np.flatnonzero(group == g)
+                at = slice(end[mine[0]] - size[mine[0]], end[mine[-1]])
                 rng = np.random.default_rng([SEED, zlib.crc32(words[mine[0]])])
-                q = fit_words(d, noise, h[at], n[at], np.cumsum(size[mine]) - size[mine], rng)
-                for k, row in zip(mine, q):
-                    vecs[k] = row.tobytes()
+                first = end[mine] - size[mine] - at.start
+                vecs += [row.tobytes() for row in fit_words(d, noise, h[at], n[at], first, rng)]
             kinds = [int(v.head_class[v.head[w]]) if w in v.head else rare_class(w) for w in words]
             yield pa.RecordBatch.from_arrays(
                 [b.column("token"), b.column("c"), pa.array(kinds, pa.int32()), pa.array(vecs, pa.binary())],
@@ -497,14 +493,14 @@ def learn_words(learning: DataFrame, vocab: Vocabulary, sent_vocab, d: np.ndarra
 
 
 def vectors(column) -> np.ndarray:
-    """Rows of (q, a); zeros for null."""
+    """Rows of (q, a); zeros for null, a word never seen."""
     none = np.zeros(SIZE + 1, np.float32).tobytes()
     return np.frombuffer(b"".join(x if x is not None else none for x in column.to_pylist()),
                          np.float32).reshape(-1, SIZE + 1)
 
 
 def normaliser(words: DataFrame, d: np.ndarray) -> np.ndarray:
-    """Z[k - WORDS, h] over all words; classes by hash hold one unseen word."""
+    """Z[k - WORDS, h] over all words; rare classes hold one unseen word."""
     sent = words.sparkSession.sparkContext.broadcast(d)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -514,13 +510,9 @@ def normaliser(words: DataFrame, d: np.ndarray) -> np.ndarray:
         for b in (part for batch in batches for part in slices(batch, 2048)):
             kind = b.column("kind").to_numpy() - WORDS
             weight = (b.column("c").to_numpy() + SMOOTH).astype(np.float32)
-            own = b.column("vec").is_valid().to_numpy(zero_copy_only=False)
-            z += np.bincount(kind[~own], weight[~own], len(z))[:, None]
-            if own.any():
-                vec = vectors(b.column("vec").filter(pa.array(own)))
-                e = np.exp(np.clip(vec @ x.T, -60, 60)) * weight[own][:, None]
-                for k in np.unique(kind[own]):
-                    z[k] += e[kind[own] == k].sum(axis=0, dtype=np.float64)
+            e = np.exp(np.clip(vectors(b.column("vec")) @ x.T, -60, 60)) * weight[:, None]
+            for k in np.unique(kind):
+                z[k] += e[kind == k].sum(axis=0, dtype=np.float64)
         hit = np.flatnonzero(z.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(hit.astype(np.int32)), pa.array([TaskContext.get().partitionId() % SALTS] * len(hit), pa.int32()),
@@ -555,7 +547,7 @@ class Inner:
 def inner_model(words: DataFrame, vocab: Vocabulary, d: np.ndarray) -> Inner:
     head = np.zeros((len(vocab.head), SIZE + 1), np.float32)
     if vocab.least < math.inf:
-        for r in words.filter((count_bin("c") >= int(vocab.least)) & F.col("vec").isNotNull()).select(
+        for r in words.filter(count_bin("c") >= int(vocab.least)).select(
                 "token", "vec").toLocalIterator():
             head[vocab.head[bytes(r["token"])]] = np.frombuffer(r["vec"], np.float32)
     z = normaliser(words, d)
