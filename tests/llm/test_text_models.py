@@ -182,8 +182,8 @@ def learnt(docs):
     encoded = lm_score.encode(docs, sent, 10, 0).cache()
     model = lm_score.train(encoded, vocab)
     d, noise = lm_score.anchor_vectors(model, vocab)
-    words = lm_score.learn_words(encoded.filter("not held_out"), vocab, sent, d, noise).cache()
-    return counts, vocab, words, lm_score.inner_model(words, vocab, d)
+    words = lm_score.learn_words(encoded.filter("not held_out"), sent, d, noise).cache()
+    return counts, vocab, words, lm_score.inner_model(words, vocab, d, noise)
 
 
 @pytest.mark.parametrize("head", [lm_score.HEAD, 500])
@@ -196,10 +196,10 @@ def test_words_within_a_class(make, monkeypatch, head):
     own = {w for w, k in vocab.head.items() if not lm_score.WORDS <= vocab.head_class[k] < lm_score.END_CLASS}
     # every training word has a class of its own or a row with its count and vector
     assert {bytes(r.token): r.c for r in rows} == {w: c for w, c in n.items() if w not in own}
-    assert all(len(r.vec) == 4 * (lm_score.SIZE + 1) for r in rows)
+    assert all((r.vec is None) == (r.c == 1) == (r.once is not None) for r in rows)
     # the words of a class and the unseen word of a class by hash: probabilities sum to one
     kinds = np.array([r.kind for r in rows])
-    vec = np.array([np.frombuffer(r.vec, np.float32) for r in rows])
+    vec = np.array([np.frombuffer(r.vec, np.float32) if r.vec else inner.ones[r.once] for r in rows])
     log_c = np.log10(np.array([r.c for r in rows]) + lm_score.SMOOTH)
     for h in (0, 3, lm_score.WORDS):
         p = 10 ** (log_c + inner.lift(vec, np.full(len(rows), h)) - inner.log_z[kinds - lm_score.WORDS, h])

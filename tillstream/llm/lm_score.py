@@ -289,7 +289,7 @@ def contexts(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 def _add(target: np.ndarray, sums: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
     """Adagrad step on the given rows; repeated rows are summed first."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")       # a radix sort
     rows = rows[order]
     at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     g = np.add.reduceat(grad[order], at, axis=0)
@@ -406,34 +406,54 @@ def anchor_vectors(p: Parameters, vocab: Vocabulary) -> tuple[np.ndarray, np.nda
     return (2 * d / max(length, 1e-9)).astype(np.float32), noise
 
 
+CELL = np.dtype([("h", "<u2"), ("n", "<u8")])       # a (word, anchor) count, by word
+
+
+def packed(tokens, cells: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
+    """One row per token with its cells, which begin at ``first``."""
+    offsets = (np.r_[first, len(cells)] * CELL.itemsize).astype(np.int32)
+    blobs = pa.Array.from_buffers(pa.binary(), len(first),
+                                  [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(cells.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), blobs], ["token", "cells"])
+
+
+def cells_of(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    cells = np.empty(len(h), CELL)
+    cells["h"], cells["n"] = h, n
+    return cells
+
+
 def pairs(learning: DataFrame, vocab) -> DataFrame:
-    """(token, h, n) of all tokens without a class of their own."""
+    """(token, cells) of all tokens without a class of their own, those of the
+    head added up within each task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
         words, kind = np.array(list(v.head) or [b""], object), v.kinds()
 
         def out(keys: list[np.ndarray]) -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(keys), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words[key // ANCHORS], pa.binary()), pa.array((key % ANCHORS).astype(np.int32)),
-                 pa.array(n.astype(np.int64))], ["token", "h", "n"])
+            place = key // ANCHORS
+            first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            return packed(words[place[first]], cells_of(key % ANCHORS, n), first)
         waiting, size = [], 0
-        for b in batches:
-            for x in b.column("ids").to_pylist():
-                at = np.frombuffer(x, np.int32)
-                kinds = kind[at]
-                hit = np.flatnonzero((at >= 0) & (kinds >= WORDS) & (kinds < END_CLASS))
-                h = anchors(kinds, np.arange(len(at)) == 0)[hit]
-                waiting.append(at[hit].astype(np.int64) * ANCHORS + h)
-                size += len(hit)
-                if size > 8 * PAIRS:
-                    yield out(waiting)
-                    waiting, size = [], 0
+        for b in (part for batch in batches for part in slices(batch)):
+            rare = b.column("rare").flatten()
+            if len(rare):
+                h, n = (b.column(c).flatten().to_numpy() for c in ("rare_h", "rare_n"))
+                yield packed(rare, cells_of(h, n), np.arange(len(h)))
+            docs = [np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()]
+            at = np.concatenate(docs)
+            kinds = kind[at]
+            hit = np.flatnonzero((at >= 0) & (kinds >= WORDS) & (kinds < END_CLASS))
+            waiting.append(at[hit].astype(np.int64) * ANCHORS + anchors(kinds, starts(docs))[hit])
+            size += len(hit)
+            if size > 16 * PAIRS:
+                yield out(waiting)
+                waiting, size = [], 0
         if size:
             yield out(waiting)
 
-    head = learning.select("ids").mapInArrow(run, "token BINARY, h INT, n BIGINT")
-    return head.unionByName(rare_words(learning))
+    return learning.select("ids", "rare", "rare_h", "rare_n").mapInArrow(run, "token BINARY, cells BINARY")
 
 
 def fit_words(d: np.ndarray, noise: np.ndarray, h: np.ndarray, n: np.ndarray, first: np.ndarray,
@@ -461,58 +481,103 @@ def fit_words(d: np.ndarray, noise: np.ndarray, h: np.ndarray, n: np.ndarray, fi
     return q
 
 
-def learn_words(learning: DataFrame, vocab: Vocabulary, sent_vocab, d: np.ndarray, noise: np.ndarray) -> DataFrame:
-    """(token, c, kind, vec): every training word without a class of its own,
-    its count, class and vector (float32 bytes)."""
+def words_seen_once(d: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """The vector of a word seen once, by the anchor it was seen after."""
+    every = np.arange(ANCHORS)
+    return fit_words(d, noise, every, np.ones(ANCHORS), every, np.random.default_rng(SEED))
+
+
+def learn_words(learning: DataFrame, sent_vocab, d: np.ndarray, noise: np.ndarray) -> DataFrame:
+    """(token, c, kind, vec, once): every training word without a class of its
+    own, its count, class and vector (float32 bytes); for a word seen once its
+    anchor in ``once`` tells the vector."""
     sent = learning.sparkSession.sparkContext.broadcast((d, noise))
-    # A word has at most ANCHORS pairs once they are summed.
-    met = (pairs(learning, sent_vocab).groupBy("token", "h").agg(F.sum("n").alias("n"))
-           .groupBy("token").agg(F.sum("n").alias("c"), F.collect_list(F.struct("h", "n")).alias("met")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (d, noise), v = sent.value, sent_vocab.value
-        for b in (part for batch in batches for part in slices(batch, 4096)):
-            words, lists = b.column("token").to_pylist(), b.column("met")
-            size = lists.value_lengths().to_numpy()
-            cells = lists.flatten()
-            h, n = cells.field("h").to_numpy(), cells.field("n").to_numpy()
-            end = np.cumsum(size)
-            group, vecs = end // PAIRS, []
+
+        def learnt(words: list[bytes], h, n, first) -> pa.RecordBatch:
+            c, size = np.add.reduceat(n, first), np.diff(np.r_[first, len(h)])
+            vecs: list = [None] * len(words)
+            often = np.flatnonzero(c > 1)
+            group = np.cumsum(size[often]) // PAIRS
             for g in np.unique(group):
-                mine = np.flatnonzero(group == g)
-                at = slice(end[mine[0]] - size[mine[0]], end[mine[-1]])
+                mine = often[group == g]
+                begin = np.cumsum(size[mine]) - size[mine]
+                at = np.arange(size[mine].sum()) + np.repeat(first[mine] - begin, size[mine])
                 rng = np.random.default_rng([SEED, zlib.crc32(words[mine[0]])])
-                first = end[mine] - size[mine] - at.start
-                vecs += [row.tobytes() for row in fit_words(d, noise, h[at], n[at], first, rng)]
+                for k, row in zip(mine, fit_words(d, noise, h[at], n[at], begin, rng)):
+                    vecs[k] = row.tobytes()
             kinds = [int(v.head_class[v.head[w]]) if w in v.head else rare_class(w) for w in words]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("token"), b.column("c"), pa.array(kinds, pa.int32()), pa.array(vecs, pa.binary())],
-                ["token", "c", "kind", "vec"])
-
-    return met.select("token", "c", "met").mapInArrow(run, "token BINARY, c BIGINT, kind INT, vec BINARY")
-
-
-def vectors(column) -> np.ndarray:
-    """Rows of (q, a); zeros for null, a word never seen."""
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(c.astype(np.int64)), pa.array(kinds, pa.int32()),
+                 pa.array(vecs, pa.binary()), pa.array(h[first].astype(np.int32), mask=c > 1)],
+                ["token", "c", "kind", "vec", "once"])
+
+        # Rows are sorted by word: the last word of a part waits for the next.
+        last: tuple | None = None
+        for b in (part for batch in batches for part in slices(batch, 8192)):
+            words, blobs = b.column("token").to_pylist(), b.column("cells").to_pylist()
+            new = np.array([True] + [x != y for x, y in zip(words[1:], words)])
+            cells = np.frombuffer(b"".join(blobs), CELL)
+            key = np.repeat(np.cumsum(new), [len(x) // CELL.itemsize for x in blobs]) * ANCHORS + cells["h"]
+            n, words = cells["n"].astype(np.int64), [words[k] for k in np.flatnonzero(new)]
+            if last:
+                if last[0] == words[0]:                     # word numbers begin at 1
+                    key, n = np.r_[last[1] + ANCHORS, key], np.r_[last[2], n]
+                else:
+                    key, n, words = np.r_[last[1], key], np.r_[last[2], n], [last[0], *words]
+            key, inverse = np.unique(key, return_inverse=True)
+            n = np.bincount(inverse, n).astype(np.int64)
+            word = key // ANCHORS
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            stop = first[-1]
+            last = words[-1], key[stop:] % ANCHORS, n[stop:]
+            if stop:
+                yield learnt(words[:-1], key[:stop] % ANCHORS, n[:stop], first[:-1])
+        if last:
+            yield learnt([last[0]], last[1], last[2], np.zeros(1, int))
+
+    # A word here has less than a WORDS-th of all tokens, and its rows pass
+    # through a task in bounded memory.
+    return pairs(learning, sent_vocab).repartition("token").sortWithinPartitions("token").mapInArrow(
+        run, "token BINARY, c BIGINT, kind INT, vec BINARY, once INT")
+
+
+def vectors(vec, once, ones: np.ndarray) -> np.ndarray:
+    """Rows of (q, a); zeros for a word never seen."""
     none = np.zeros(SIZE + 1, np.float32).tobytes()
-    return np.frombuffer(b"".join(x if x is not None else none for x in column.to_pylist()),
-                         np.float32).reshape(-1, SIZE + 1)
+    out = np.frombuffer(b"".join(x if x is not None else none for x in vec.to_pylist()),
+                        np.float32).reshape(-1, SIZE + 1).copy()
+    single = once.is_valid().to_numpy(zero_copy_only=False)
+    out[single] = ones[once.drop_null().to_numpy()]
+    return out
 
 
-def normaliser(words: DataFrame, d: np.ndarray) -> np.ndarray:
+def normaliser(words: DataFrame, d: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Z[k - WORDS, h] over all words; rare classes hold one unseen word."""
-    sent = words.sparkSession.sparkContext.broadcast(d)
+    sent = words.sparkSession.sparkContext.broadcast((d, ones))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        x = np.c_[sent.value, np.ones(len(sent.value), np.float32)].astype(np.float32)
+        d, ones = sent.value
+        x = np.c_[d, np.ones(len(d), np.float32)].astype(np.float32)
         z = np.zeros((END_CLASS - WORDS, ANCHORS))
+        singles = np.zeros_like(z)                          # words seen once by class and anchor
         for b in (part for batch in batches for part in slices(batch, 2048)):
             kind = b.column("kind").to_numpy() - WORDS
-            weight = (b.column("c").to_numpy() + SMOOTH).astype(np.float32)
-            e = np.exp(np.clip(vectors(b.column("vec")) @ x.T, -60, 60)) * weight[:, None]
-            for k in np.unique(kind):
-                z[k] += e[kind == k].sum(axis=0, dtype=np.float64)
+            once = b.column("once")
+            single = once.is_valid().to_numpy(zero_copy_only=False)
+            np.add.at(singles, (kind[single], once.drop_null().to_numpy()), 1)
+            often = b.filter(pa.array(~single))
+            if often.num_rows:
+                weight = (often.column("c").to_numpy() + SMOOTH).astype(np.float32)
+                vec = np.frombuffer(b"".join(often.column("vec").to_pylist()), np.float32).reshape(-1, SIZE + 1)
+                e = np.exp(np.clip(vec @ x.T, -60, 60)) * weight[:, None]
+                for k in np.unique(kind[~single]):
+                    z[k] += e[kind[~single] == k].sum(axis=0, dtype=np.float64)
+        if singles.any():
+            z += singles @ (np.exp(np.clip(ones @ x.T, -60, 60)) * (1 + SMOOTH))
         hit = np.flatnonzero(z.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(hit.astype(np.int32)), pa.array([TaskContext.get().partitionId() % SALTS] * len(hit), pa.int32()),
@@ -523,7 +588,7 @@ def normaliser(words: DataFrame, d: np.ndarray) -> np.ndarray:
         return pd.DataFrame({"kind": got["kind"].iloc[:1], "cells": [cells.tobytes()]})
 
     out = "kind INT, cells BINARY"
-    parts = words.select("kind", "c", "vec").mapInArrow(run, "kind INT, salt INT, cells BINARY")
+    parts = words.select("kind", "c", "vec", "once").mapInArrow(run, "kind INT, salt INT, cells BINARY")
     z = np.zeros((END_CLASS - WORDS, ANCHORS))
     z[BANDS:] = SMOOTH
     for r in parts.groupBy("kind", "salt").applyInPandas(add, out).groupBy("kind").applyInPandas(add, out).collect():
@@ -537,6 +602,7 @@ class Inner:
     d: np.ndarray            # ANCHORS x SIZE
     log_z: np.ndarray        # log10 Z
     head: np.ndarray         # (q, a) by place in the head
+    ones: np.ndarray         # (q, a) of a word seen once, by its anchor
 
     def lift(self, vec: np.ndarray, h: np.ndarray) -> np.ndarray:
         """log10 of exp(D[h].q + a)"""
@@ -544,14 +610,14 @@ class Inner:
         return np.clip(s, -60, 60).astype(np.float64) / math.log(10)
 
 
-def inner_model(words: DataFrame, vocab: Vocabulary, d: np.ndarray) -> Inner:
-    head = np.zeros((len(vocab.head), SIZE + 1), np.float32)
+def inner_model(words: DataFrame, vocab: Vocabulary, d: np.ndarray, noise: np.ndarray) -> Inner:
+    head, ones = np.zeros((len(vocab.head), SIZE + 1), np.float32), words_seen_once(d, noise)
     if vocab.least < math.inf:
-        for r in words.filter(count_bin("c") >= int(vocab.least)).select(
-                "token", "vec").toLocalIterator():
-            head[vocab.head[bytes(r["token"])]] = np.frombuffer(r["vec"], np.float32)
-    z = normaliser(words, d)
-    return Inner(d, np.log10(np.where(z > 0, z, 1.0)), head)
+        for r in words.filter(count_bin("c") >= int(vocab.least)).select("token", "vec", "once").toLocalIterator():
+            head[vocab.head[bytes(r["token"])]] = (ones[r["once"]] if r["vec"] is None
+                                                   else np.frombuffer(r["vec"], np.float32))
+    z = normaliser(words, d, ones)
+    return Inner(d, np.log10(np.where(z > 0, z, 1.0)), head, ones)
 
 
 class Scorer:
@@ -617,19 +683,19 @@ def score(encoded: DataFrame, p: Parameters, inner, vocab) -> DataFrame:
 
 
 def score_rare(met: DataFrame, inner) -> DataFrame:
-    """(row, rare_base, rare_log, rare_known) of (row, h, n, c, vec) rows."""
+    """(row, rare_base, rare_log, rare_known) of (row, h, n, c, vec, once) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         within = inner.value
         for b in (part for batch in batches for part in slices(batch, 4096)):
             n, known = b.column("n").to_numpy(), b.column("c").is_valid().to_numpy(zero_copy_only=False)
             c = b.column("c").fill_null(0).to_numpy()
             base = n * np.log10(c + SMOOTH)
-            lift = n * within.lift(vectors(b.column("vec")), b.column("h").to_numpy())
+            lift = n * within.lift(vectors(b.column("vec"), b.column("once"), within.ones), b.column("h").to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array(base), pa.array(base + lift), pa.array(np.where(known, n, 0))],
                 ["row", "rare_base", "rare_log", "rare_known"])
 
-    each = met.select("row", "h", "n", "c", "vec").mapInArrow(
+    each = met.select("row", "h", "n", "c", "vec", "once").mapInArrow(
         run, "row BIGINT, rare_base DOUBLE, rare_log DOUBLE, rare_known BIGINT")
     return each.groupBy("row").agg(*[F.sum(x).alias(x) for x in ("rare_base", "rare_log", "rare_known")])
 
@@ -647,13 +713,14 @@ def lm_scores(docs: DataFrame, folds: int = 10, held_out: int = 0, rounds: int =
                     .withColumn("row", F.monotonically_increasing_id()), "encoded")
     model = train(encoded, vocab, rounds)
     d, noise = anchor_vectors(model, vocab)
-    words = saved(learn_words(encoded.filter(~F.col("held_out")), vocab, sent, d, noise), "words")
-    inner = spark.sparkContext.broadcast(inner_model(words, vocab, d))
+    words = saved(learn_words(encoded.filter(~F.col("held_out")), sent, d, noise), "words")
+    inner = spark.sparkContext.broadcast(inner_model(words, vocab, d, noise))
     scored = score(encoded, model, inner, sent)
     # Words beyond the head: each (document, word, anchor) meets the word's count
     # and vector in a join; none of them is frequent in the training text.
     beyond = words if vocab.least == math.inf else words.filter(count_bin("c") < int(vocab.least))
-    met = score_rare(rare_words(encoded, "row").join(beyond.select("token", "c", "vec"), "token", "left"), inner)
+    beyond = beyond.select("token", "c", "vec", "once")
+    met = score_rare(rare_words(encoded, "row").join(beyond, "token", "left"), inner)
     both = scored.join(met, "row", "left")
     added = {x: F.coalesce(x, F.lit(0)) for x in ("rare_base", "rare_log", "rare_known")}
     norm = math.log10(vocab.total + SMOOTH * (vocab.distinct + 1))
