@@ -72,3 +72,31 @@ def test_payment_unknown_code_dropped(spark):
     dic = spark.createDataFrame([("1101", "alipay")], "dic_code string, dic_name string")
     got = rows(facts.payment_success(ch, details, dic), "order_detail_id", "payment_type_name")
     assert got == [("d1", "alipay"), ("d2", "alipay")]
+
+
+def _odd_changes(spark):
+    """Repeated orders, lines, links and events, null keys, and amounts in odd texts."""
+    ch = _detail_changes(spark)
+    line = lambda i, oid, num, price, a, b, c: (
+        None, {"id": i, "order_id": oid, "sku_id": "7", "sku_name": "n", "create_time": "2024-06-11 19:35:25",
+               "sku_num": num, "order_price": price, "split_total_amount": a, "split_activity_amount": b,
+               "split_coupon_amount": c}, _src("order_detail", 101), "c", 101)
+    more = [line("d5", "o1", "2", "0010.50", "12.3", "bad", None), line("d6", "o2", None, "x", "-0.00", " 7", "1e3"),
+            line(None, "o1", "1", "99999999999999.99", "1", "123456789012345678901.5", ""),
+            line("d7", None, "1", "1", "1", "1", "1"),
+            (None, {"id": None, "user_id": "9", "province_id": "1"}, _src("order_info"), "c", 1)]
+    for t, col in [("u", "order_info"), ("u", "payment_info")]:
+        for oid in ["o1", "o1", "o9", None]:
+            more.append(({"id": oid, "order_status": "1001", "payment_status": "1601"},
+                         {"id": oid, "order_id": oid, "user_id": "u", "order_status": "1003", "payment_status": "1602",
+                          "payment_type": "1101", "operate_time": "2024-06-13 08:00:00", "callback_time": "t"},
+                         _src(col, 400), t, 400))
+    ch = ch.unionByName(spark.createDataFrame(more, ENV))
+    return ch.unionByName(ch.where("source['table'] in ('order_info', 'order_detail_activity') and op = 'c'"))
+
+
+def test_amounts_keep_their_text(spark):
+    got = rows(facts.order_detail(_odd_changes(spark)).where("id is null or id in ('d5', 'd6')").distinct(),
+               "id", "split_original_amount", "split_total_amount", "split_activity_amount", "split_coupon_amount")
+    assert got == [(None, "99999999999999.9900", "1", "123456789012345678901.5", ""),
+                   ("d5", "21.0000", "12.3", "bad", None), ("d6", None, "-0.00", " 7", "1e3")]

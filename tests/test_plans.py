@@ -72,3 +72,32 @@ def test_versions_are_ranked_in_time_buckets(spark):
 def test_traffic_window_hashes(spark):
     plan = _plan(spark, "dws_traffic_pv")
     assert "SortAggregate" not in plan and plan.count("events.parquet") == 1
+
+
+def _exchanged(plan):
+    """For every shuffle of the plan: its keys and the columns of its rows."""
+    out = []
+    lines = plan.split("\n")
+    for k, line in enumerate(lines):
+        m = re.search(r"Exchange hashpartitioning\((.*?), \d+\)", line)
+        if m:
+            out.append((m.group(1), " ".join(lines[k + 1:k + 3])))
+    return out
+
+
+@pytest.mark.parametrize("name", ["dws_sku_order", "dwd_order_detail"])
+def test_order_lines_cross_once_by_order_id(spark, name):
+    by_order = [rows for keys, rows in _exchanged(_plan(spark, name)) if re.fullmatch(r"order_id#\d+", keys)]
+    assert len(by_order) == 1 and "split_total_amount_n" in by_order[0]
+
+
+@pytest.mark.parametrize("name", ["dws_sku_order"])
+def test_columns_that_decide_nothing_do_not_move(spark, name):
+    assert "create_time" not in _plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["dws_sku_order"])
+def test_window_texts_are_made_after_the_last_shuffle(spark, name):
+    plan = _plan(spark, name)
+    assert max(plan.find("Exchange"), 0) > plan.find(" AS stt") > 0
+    assert any(keys.startswith("_start#") for keys, _ in _exchanged(plan))

@@ -192,3 +192,20 @@ def test_money_windows_with_a_hot_and_a_null_id(spark):
         skus[(r.ts_ms // 10_000, r.sku_id)] += number(r.split_activity_amount)
     got = dws.sku_order_window_batch(df, ORDER, None, "10 seconds").withColumn("s", F.unix_timestamp("stt")).collect()
     assert {(r.s // 10, r.sku_id): float(r.activity_reduce_amount) for r in got} == dict(skus)
+
+
+def test_order_stops_where_it_decides_the_output():
+    assert sequence.deciding_order(["ts_ms", "a", "b", "c"], ["b", "ts_ms"]) == ["ts_ms", "a", "b"]
+    assert sequence.deciding_order(["ts_ms", "a", "b"], ["ts_ms", "x"]) == ["ts_ms", "a", "b"]
+
+
+def test_windows_break_ties_by_columns_outside_the_order(spark):
+    df = spark.createDataFrame([("d", "s", "p1", "o1", T0, "1", "1", "1", "5.0"), ("d", "s", "p2", "o1", T0, "1", "1", "1", "5"),
+                                ("d", "s", "p2", "o2", T0, "1", "1", "1", "bad")],
+                               "id string, sku_id string, province_id string, order_id string, ts_ms bigint, "
+                               "split_original_amount string, split_activity_amount string, "
+                               "split_coupon_amount string, split_total_amount string")
+    got = rows(dws.province_order_window_batch(df, ["ts_ms", "sku_id"]), "province_id", "order_count", "order_amount")
+    assert [(p, n, float(a)) for p, n, a in got] == [("p1", 1, 0.0), ("p2", 2, 0.0)]
+    got = rows(dws.sku_order_window_batch(df, ["ts_ms", "sku_id"]), "stt", "edt", "order_amount")
+    assert [(s, e, float(a)) for s, e, a in got] == [("2024-01-01 00:00:00", "2024-01-01 00:00:10", 5.0)]

@@ -10,13 +10,13 @@ stateful processors in ``tillstream.streaming`` on a stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.dates import ms_to_date, window_bounds
 from tillstream.functions.text import empty_or_null, tokens
 from tillstream.operators.joins import lookup
-from tillstream.operators.sequence import daily_firsts, returning_users, session_start
+from tillstream.operators.sequence import daily_firsts, deciding_order, returning_users, session_start
 
 
 def _win(ts_ms: str, size: str):
@@ -144,34 +144,50 @@ def keyword_window(pages: DataFrame, size: str = "1 second") -> DataFrame:
 SKU_OUT = ["original_amount", "activity_reduce_amount", "coupon_reduce_amount", "order_amount"]
 
 
-def _amount(col: str):
+def _amount(col: Column):
     """A money column as a number; a bad or null amount counts as zero."""
-    return F.coalesce(F.col(col).try_cast("decimal(20,4)"), F.lit(0)).cast("decimal(20,4)")
+    return F.coalesce(col.try_cast("decimal(20,4)"), F.lit(0)).cast("decimal(20,4)")
 
 
 def _latest_by_window(details: DataFrame, order: list[str], by: str, also: list[str], amounts: list[str],
                       size: str) -> DataFrame:
-    """(window, ``by``, ``also``, ``_kind``, amounts): from one read and one
-    shuffle of the rows, the latest row of every id (``_kind`` 1) and, with zero
-    amounts, every (window, ``by``, ``also``) that occurs (``_kind`` 0).
+    """(``_start`` of the window, ``by``, ``also``, ``_kind``, amounts): from one
+    read and one shuffle of the rows, the latest row of every id (``_kind`` 1) and,
+    with zero amounts, every (window, ``by``, ``also``) that occurs (``_kind`` 0).
 
     Both are one aggregate over a row per kind: an id, null or not, that holds a
-    third of all rows is reduced to one row per task before anything moves."""
+    third of all rows is reduced to one row per task before anything moves.  A
+    row carries each column once, as it is compared; the window of a latest row
+    and its amounts are computed after the aggregate."""
     zero = F.lit(0).cast("decimal(20,4)")
-    keys = ["window", by, *also]
-    picked = F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order)], *keys,
-                      *[_amount(a).alias(a) for a in amounts])
-    place = F.struct(*[F.col(c) for c in keys])
     rows = details.withColumn("window", _win("ts_ms", size))
+    order = deciding_order(order, ["ts_ms", by, *also, *amounts])
+    at = {c: f"o{k}" for k, c in enumerate(order)}
+    rest = [c for c in dict.fromkeys(["ts_ms", by, *also, *amounts]) if c not in at]
+    at.update({c: f"r{k}" for k, c in enumerate(rest)})
+    start = F.unix_millis(F.col("window")["start"])
+    picked = F.struct(*[F.col(c).alias(at[c]) for c in order], *[
+        (start if c == "ts_ms" else _amount(F.col(c)) if c in amounts else F.col(c)).alias(at[c]) for c in rest])
+    place = {"_ms": start, by: F.col(by), **{c: F.col(c) for c in also}}
     kinds = rows.select(F.explode(F.array(
-        F.struct(F.lit(0).alias("_kind"), F.lit(None).cast(rows.schema["id"].dataType).alias("id"),
-                 place.alias("at"), F.lit(None).alias("row")),
-        F.struct(F.lit(1).alias("_kind"), F.col("id").alias("id"), F.lit(None).alias("at"),
+        F.struct(F.lit(0).alias("_kind"), F.lit(None).cast(rows.schema["id"].dataType).alias("_id"),
+                 *[c.alias(n) for n, c in place.items()], F.lit(None).alias("row")),
+        F.struct(F.lit(1).alias("_kind"), F.col("id").alias("_id"), *[F.lit(None).alias(n) for n in place],
                  picked.alias("row")))).alias("k")).select("k.*")
-    one = kinds.groupBy("_kind", "id", "at").agg(F.max("row").alias("row"))
+    one = kinds.groupBy("_kind", "_id", *place).agg(F.max("row").alias("row"))
     latest = F.col("_kind") == 1
-    return one.select("_kind", *[F.when(latest, F.col("row")[c]).otherwise(F.col("at")[c]).alias(c) for c in keys],
-                      *[F.when(latest, F.col("row")[a]).otherwise(zero).alias(a) for a in amounts])
+    out = one.select(
+        "_kind", F.when(latest, F.col("row")[at["ts_ms"]]).otherwise(F.col("_ms")).alias("_ms"),
+        *[F.when(latest, F.col("row")[at[c]]).otherwise(F.col(c)).alias(c) for c in [by, *also]],
+        *[F.when(latest, _amount(F.col("row")[at[a]])).otherwise(zero).alias(a) for a in amounts])
+    return out.withColumn("window", _win("_ms", size)) \
+        .select("_kind", F.col("window")["start"].alias("_start"), by, *also, *amounts)
+
+
+def _with_bounds(out: DataFrame, size: str) -> DataFrame:
+    """The window's text columns for its ``_start``, after all that moves rows."""
+    return out.withColumn("window", F.window("_start", size)) \
+        .select(*window_bounds(), *[c for c in out.columns if c != "_start"])
 
 
 def sku_order_window_batch(details: DataFrame, order: list[str],
@@ -183,12 +199,14 @@ def sku_order_window_batch(details: DataFrame, order: list[str],
     *latest* row falls in it; a window that only held superseded rows still
     appears, with zeros.  ``dims`` is the flat sku dimension (one lookup), or
     the dimension tables of the chain."""
-    agg = (_latest_by_window(details, order, "sku_id", [], SKU_AMOUNTS, size).groupBy("window", "sku_id")
+    out = (_latest_by_window(details, order, "sku_id", [], SKU_AMOUNTS, size).groupBy("_start", "sku_id")
            .agg(*[F.sum(a).alias(o) for a, o in zip(SKU_AMOUNTS, SKU_OUT)]))
-    out = agg.select(*window_bounds(), "sku_id", *SKU_OUT)
     if isinstance(dims, DataFrame):
-        return lookup(out, dims, [("sku_id", "id")], [c for c in dims.columns if c != "id"])
-    return _sku_dims(out, dims)
+        # One row per window and sku meets one per sku: both grow, so they are merged at any size.
+        out = lookup(out.hint("merge"), dims, [("sku_id", "id")], [c for c in dims.columns if c != "id"])
+    else:
+        out = _sku_dims(out, dims)
+    return _with_bounds(out, size)
 
 
 def _sku_dims(out: DataFrame, dims: dict[str, DataFrame] | None) -> DataFrame:
@@ -214,10 +232,9 @@ def province_order_window_batch(details: DataFrame, order: list[str],
     collects superseded and retracted rows)."""
     rows = _latest_by_window(details, order, "province_id", ["order_id"], ["split_total_amount"], size)
     # Every (window, province, order) is one row of kind 0 already.
-    agg = rows.groupBy("window", "province_id").agg(
+    out = rows.groupBy("_start", "province_id").agg(
         F.count(F.when(F.col("_kind") == 0, F.col("order_id"))).alias("order_count"),
         F.sum("split_total_amount").alias("order_amount"))
-    out = agg.select(*window_bounds(), "province_id", "order_count", "order_amount")
     if provinces is not None:
         out = lookup(out, provinces, [("province_id", "id")], {"name": "province_name"})
-    return out
+    return _with_bounds(out, size)

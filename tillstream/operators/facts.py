@@ -47,30 +47,50 @@ def cart_add(changes: DataFrame) -> DataFrame:
         _src_ts())
 
 
-def order_detail(changes: DataFrame, links: bool = True) -> DataFrame:
+def _as_number(c: str) -> list:
+    """An amount's text ``c`` as a number, and the text itself only where it is
+    not the number's own: amounts cross the shuffles in 8 bytes."""
+    n = A[c].try_cast("decimal(16,2)")
+    return [n.alias(f"{c}_n"), F.when(~n.cast("string").eqNullSafe(A[c]), A[c]).alias(f"{c}_t")]
+
+
+def _as_text(c: str):
+    """The text that ``_as_number`` was given."""
+    return F.coalesce(F.col(f"{c}_t"), F.col(f"{c}_n").cast("string")).alias(c)
+
+
+def placed_orders(changes: DataFrame) -> DataFrame:
+    """Inserted orders: what an order line takes from its order."""
+    return table_changes(changes, "order_info", ["c"]).select(
+        A["id"].alias("oi_id"), A["user_id"].alias("user_id"), A["province_id"].alias("province_id"))
+
+
+def order_detail(changes: DataFrame, links: bool = True, orders: DataFrame | None = None) -> DataFrame:
     """PRJ-9/PRJ-10 + JN-1/JN-2: order lines ⨝ orders, ⟕ activity, ⟕ coupon.
 
     A line meets every activity and coupon row of its detail id, as a stream of
     joins does; the keyed sink keeps one row per id (``latest_details``).
     ``links=False`` leaves those two joins out, for aggregates that keep each
-    id's latest row and read neither."""
+    id's latest row and read neither.  ``orders`` are ``placed_orders`` that were
+    joined to an event of theirs; its columns are passed on, and only the lines
+    of these orders go on to the joins by detail id.
+
+    Lines and orders grow together, so they are merged by order id at any size."""
     od = table_changes(changes, "order_detail", ["c"]).select(
         A["id"].alias("id"), A["order_id"].alias("order_id"), A["sku_id"].alias("sku_id"),
         A["sku_name"].alias("sku_name"), A["create_time"].alias("create_time"),
         A["sku_num"].alias("sku_num"),
-        (A["sku_num"].try_cast("decimal(16,2)") * A["order_price"].try_cast("decimal(16,2)"))
-         .cast("string").alias("split_original_amount"),
-        A["split_total_amount"].alias("split_total_amount"),
-        A["split_activity_amount"].alias("split_activity_amount"),
-        A["split_coupon_amount"].alias("split_coupon_amount"), _src_ts())
-    oi = table_changes(changes, "order_info", ["c"]).select(
-        A["id"].alias("oi_id"), A["user_id"].alias("user_id"), A["province_id"].alias("province_id"))
+        A["order_price"].try_cast("decimal(16,2)").alias("order_price"),
+        *_as_number("split_total_amount"), *_as_number("split_activity_amount"),
+        *_as_number("split_coupon_amount"), _src_ts())
+    oi = placed_orders(changes) if orders is None else orders
+    event = [c for c in oi.columns if c not in ("oi_id", "user_id", "province_id")]
     act = table_changes(changes, "order_detail_activity", ["c"]).select(
         A["order_detail_id"].alias("act_id"), A["activity_id"].alias("activity_id"),
         A["activity_rule_id"].alias("activity_rule_id"))
     cou = table_changes(changes, "order_detail_coupon", ["c"]).select(
         A["order_detail_id"].alias("cou_id"), A["coupon_id"].alias("coupon_id"))
-    j = od.join(oi, od["order_id"] == oi["oi_id"], "inner")
+    j = od.join(oi.hint("merge"), od["order_id"] == oi["oi_id"], "inner")
     if links:
         j = (j.join(act, od["id"] == act["act_id"], "left")
               .join(cou, od["id"] == cou["cou_id"], "left"))
@@ -80,8 +100,11 @@ def order_detail(changes: DataFrame, links: bool = True) -> DataFrame:
     return j.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
         "activity_rule_id", "coupon_id", text_to_date(F.col("create_time")).alias("date_id"),
-        "create_time", "sku_num", "split_original_amount", "split_activity_amount",
-        "split_coupon_amount", "split_total_amount", "ts_ms")
+        "create_time", "sku_num",
+        (F.col("sku_num").try_cast("decimal(16,2)") * F.col("order_price")).cast("string")
+         .alias("split_original_amount"),
+        _as_text("split_activity_amount"), _as_text("split_coupon_amount"), _as_text("split_total_amount"),
+        "ts_ms", *event)
 
 
 def latest_details(details: DataFrame, order: list[str]) -> DataFrame:

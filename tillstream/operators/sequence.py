@@ -104,6 +104,15 @@ def with_latest(df: DataFrame, key: str, order: Sequence[str], flag: str = "_las
         .drop("_bucket", "_end", "_part")
 
 
+def deciding_order(order: Sequence[str], outputs: Sequence[str]) -> list[str]:
+    """The part of ``order`` that can change ``outputs``: rows that agree in a
+    beginning of it which holds every output column look the same there, so the
+    columns after it need not be read or moved."""
+    if not set(outputs) <= set(order):
+        return list(order)
+    return list(order[:max(list(order).index(c) for c in outputs) + 1])
+
+
 def retract_duplicates(df: DataFrame, key: str, amounts: Sequence[str],
                        order: Sequence[str]) -> DataFrame:
     """SEQ-7 retraction stream.
