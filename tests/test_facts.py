@@ -100,3 +100,10 @@ def test_amounts_keep_their_text(spark):
                "id", "split_original_amount", "split_total_amount", "split_activity_amount", "split_coupon_amount")
     assert got == [(None, "99999999999999.9900", "1", "123456789012345678901.5", ""),
                    ("d5", "21.0000", "12.3", "bad", None), ("d6", None, "-0.00", " 7", "1e3")]
+
+
+def test_events_met_before_the_lines_give_the_same_facts(spark):
+    ch = _odd_changes(spark)
+    details = facts.order_detail(ch)
+    got = rows(facts.order_cancel(ch))
+    assert got and got == rows(facts.order_cancel(ch, details))

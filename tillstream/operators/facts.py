@@ -129,9 +129,15 @@ def cancel_columns() -> list:
             "split_total_amount", F.col("oc_ts_ms").alias("ts_ms")]
 
 
-def order_cancel(changes: DataFrame, details: DataFrame) -> DataFrame:
-    """PRJ-6 + JN-3: order lines of cancelled orders."""
+def order_cancel(changes: DataFrame, details: DataFrame | None = None) -> DataFrame:
+    """PRJ-6 + JN-3: order lines of cancelled orders.  Without given ``details``
+    the cancellations meet their orders first, then the lines (all are inner
+    joins on the order id): lines of other orders move once, not three times."""
     oc = cancelled_orders(changes)
+    if details is None:
+        oi = placed_orders(changes)
+        return order_detail(changes, orders=oi.join(oc, oi["oi_id"] == oc["oc_id"], "inner")) \
+            .select(*cancel_columns())
     return details.join(oc, details["order_id"] == oc["oc_id"], "inner").select(*cancel_columns())
 
 

@@ -177,8 +177,7 @@ def q_dwd_order_detail(spark, sf):
 
 @query("dwd_order_cancel")
 def q_dwd_order_cancel(spark, sf):
-    ch = _changes(spark, sf)
-    return facts.order_cancel(ch, facts.order_detail(ch))
+    return facts.order_cancel(_changes(spark, sf))
 
 
 @query("dwd_payment")
