@@ -85,7 +85,7 @@ def _exchanged(plan):
     return out
 
 
-@pytest.mark.parametrize("name", ["dws_sku_order", "dwd_order_cancel", "dwd_order_detail"])
+@pytest.mark.parametrize("name", ["dws_sku_order", "retract_dedup", "dwd_order_cancel", "dwd_order_detail"])
 def test_order_lines_cross_once_by_order_id(spark, name):
     by_order = [rows for keys, rows in _exchanged(_plan(spark, name)) if re.fullmatch(r"order_id#\d+", keys)]
     assert len(by_order) == 1 and "split_total_amount_n" in by_order[0]
@@ -98,7 +98,7 @@ def test_events_meet_their_orders_before_the_lines(spark, name, key):
     assert any(key in l for l in joins[lines + 1:])          # deeper in the plan: earlier
 
 
-@pytest.mark.parametrize("name", ["dws_sku_order"])
+@pytest.mark.parametrize("name", ["dws_sku_order", "retract_dedup"])
 def test_columns_that_decide_nothing_do_not_move(spark, name):
     assert "create_time" not in _plan(spark, name)
 

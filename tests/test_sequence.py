@@ -199,6 +199,15 @@ def test_order_stops_where_it_decides_the_output():
     assert sequence.deciding_order(["ts_ms", "a", "b"], ["ts_ms", "x"]) == ["ts_ms", "a", "b"]
 
 
+def test_retractions_of_kept_columns(spark):
+    df = _versions(spark)
+    keep = ["split_original_amount", "ts_ms", "sku_id", "split_total_amount"]
+    full = sequence.retract_duplicates(df, "id", ["split_original_amount"], ORDER)
+    got = sequence.retract_duplicates(df, "id", ["split_original_amount"], ORDER, keep)
+    assert got.columns == ["id", *keep, "sign"]
+    assert rows(got) == rows(full, *got.columns)
+
+
 def test_windows_break_ties_by_columns_outside_the_order(spark):
     df = spark.createDataFrame([("d", "s", "p1", "o1", T0, "1", "1", "1", "5.0"), ("d", "s", "p2", "o1", T0, "1", "1", "1", "5"),
                                 ("d", "s", "p2", "o2", T0, "1", "1", "1", "bad")],

@@ -114,7 +114,7 @@ def deciding_order(order: Sequence[str], outputs: Sequence[str]) -> list[str]:
 
 
 def retract_duplicates(df: DataFrame, key: str, amounts: Sequence[str],
-                       order: Sequence[str]) -> DataFrame:
+                       order: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
     """SEQ-7 retraction stream.
 
     Every row is emitted once with ``sign`` = 1; every row that is followed by
@@ -122,12 +122,17 @@ def retract_duplicates(df: DataFrame, key: str, amounts: Sequence[str],
     ms; exact repeats included) is emitted again with its amounts negated and
     ``sign`` = -1, keeping its own event time.  Summing any amount over the
     output therefore gives the latest row per key.
+
+    ``keep`` names the columns of the output beside ``key`` (all when omitted).
     """
+    if keep is not None:
+        order = deciding_order(order, keep)
+        df = df.select(key, *dict.fromkeys([*keep, *order]))
     signed = with_latest(df, key, order).withColumn(
         "sign", F.explode(F.when(F.col("_last"), F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(-1)))))
     return signed.select(*[
         (F.col("sign") * F.col(c).try_cast("decimal(20,4)")).cast("decimal(20,4)").alias(c)
-        if c in amounts else F.col(c) for c in df.columns], "sign")
+        if c in amounts else F.col(c) for c in (df.columns if keep is None else [key, *keep])], "sign")
 
 
 def session_start(last_page_id) -> Column:

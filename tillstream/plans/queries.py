@@ -261,7 +261,8 @@ DETAIL_ORDER = ["ts_ms", "sku_id", "sku_num", "split_original_amount", "split_to
 
 @query("retract_dedup")
 def q_retract_dedup(spark, sf):
-    r = sequence.retract_duplicates(_details(spark, sf), "id", dws.SKU_AMOUNTS, DETAIL_ORDER)
+    r = sequence.retract_duplicates(_details(spark, sf), "id", dws.SKU_AMOUNTS, DETAIL_ORDER,
+                                    keep=["sku_id", "ts_ms", *dws.SKU_AMOUNTS])
     return r.select("id", "sign", "sku_id", "ts_ms", *dws.SKU_AMOUNTS)
 
 
