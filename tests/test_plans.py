@@ -85,7 +85,8 @@ def _exchanged(plan):
     return out
 
 
-@pytest.mark.parametrize("name", ["dws_sku_order", "retract_dedup", "dwd_order_cancel", "dwd_order_detail"])
+@pytest.mark.parametrize("name", ["dws_sku_order", "dws_province_order", "retract_dedup", "dwd_order_cancel",
+                                  "dwd_order_detail"])
 def test_order_lines_cross_once_by_order_id(spark, name):
     by_order = [rows for keys, rows in _exchanged(_plan(spark, name)) if re.fullmatch(r"order_id#\d+", keys)]
     assert len(by_order) == 1 and "split_total_amount_n" in by_order[0]
@@ -103,7 +104,7 @@ def test_columns_that_decide_nothing_do_not_move(spark, name):
     assert "create_time" not in _plan(spark, name)
 
 
-@pytest.mark.parametrize("name", ["dws_sku_order"])
+@pytest.mark.parametrize("name", ["dws_sku_order", "dws_province_order"])
 def test_window_texts_are_made_after_the_last_shuffle(spark, name):
     plan = _plan(spark, name)
     assert max(plan.find("Exchange"), 0) > plan.find(" AS stt") > 0
