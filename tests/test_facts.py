@@ -107,3 +107,7 @@ def test_events_met_before_the_lines_give_the_same_facts(spark):
     details = facts.order_detail(ch)
     got = rows(facts.order_cancel(ch))
     assert got and got == rows(facts.order_cancel(ch, details))
+    dic = spark.createDataFrame([("1101", "alipay")], "dic_code string, dic_name string")
+    for interval in [None, (-300, 0), (-299, 0)]:
+        got = rows(facts.payment_success(ch, None, dic, interval))
+        assert got and got == rows(facts.payment_success(ch, details, dic, interval))

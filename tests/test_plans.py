@@ -86,13 +86,13 @@ def _exchanged(plan):
 
 
 @pytest.mark.parametrize("name", ["dws_sku_order", "dws_province_order", "retract_dedup", "dwd_order_cancel",
-                                  "dwd_order_detail"])
+                                  "dwd_payment", "dwd_order_detail"])
 def test_order_lines_cross_once_by_order_id(spark, name):
     by_order = [rows for keys, rows in _exchanged(_plan(spark, name)) if re.fullmatch(r"order_id#\d+", keys)]
     assert len(by_order) == 1 and "split_total_amount_n" in by_order[0]
 
 
-@pytest.mark.parametrize("name,key", [("dwd_order_cancel", "oc_id")])
+@pytest.mark.parametrize("name,key", [("dwd_order_cancel", "oc_id"), ("dwd_payment", "pi_order_id")])
 def test_events_meet_their_orders_before_the_lines(spark, name, key):
     joins = [l for l in _plan(spark, name).split("\n") if re.search(r"(HashJoin|SortMergeJoin) ", l)]
     lines = next(k for k, l in enumerate(joins) if "[order_id#" in l)

@@ -162,17 +162,21 @@ def payment_names(joined: DataFrame, dic: DataFrame) -> DataFrame:
         F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts_ms").alias("ts_ms"))
 
 
-def payment_success(changes: DataFrame, details: DataFrame, dic: DataFrame,
+def payment_success(changes: DataFrame, details: DataFrame | None, dic: DataFrame,
                     interval: tuple[int, int] | None = None) -> DataFrame:
     """PRJ-7 + JN-4 + JN-6: successful payments ⨝ order lines ⨝ payment-type
     names.  ``interval=(lo_ms, hi_ms)`` optionally bounds line time against the
-    payment time (the reference's commented-out −30 min … +5 s)."""
+    payment time (the reference's commented-out −30 min … +5 s).  Without given
+    ``details`` the payments meet their orders first, as in ``order_cancel``."""
     pi = paid_orders(changes)
-    cond = [pi["pi_order_id"] == details["order_id"]]
+    if details is None:
+        oi = placed_orders(changes)
+        j = order_detail(changes, orders=oi.join(pi, oi["oi_id"] == pi["pi_order_id"], "inner"))
+    else:
+        j = pi.join(details, pi["pi_order_id"] == details["order_id"], "inner")
     if interval is not None:
-        cond += [details["ts_ms"] >= pi["pi_ts_ms"] + interval[0],
-                 details["ts_ms"] <= pi["pi_ts_ms"] + interval[1]]
-    return payment_names(pi.join(details, cond, "inner"), dic)
+        j = j.where(F.col("ts_ms").between(F.col("pi_ts_ms") + interval[0], F.col("pi_ts_ms") + interval[1]))
+    return payment_names(j, dic)
 
 
 def refund_requests(changes: DataFrame) -> DataFrame:

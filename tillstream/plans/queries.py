@@ -182,8 +182,7 @@ def q_dwd_order_cancel(spark, sf):
 
 @query("dwd_payment")
 def q_dwd_payment(spark, sf):
-    ch = _changes(spark, sf)
-    return facts.payment_success(ch, facts.order_detail(ch), dims.base_dic(spark))
+    return facts.payment_success(_changes(spark, sf), None, dims.base_dic(spark))
 
 
 @query("dwd_refund")
