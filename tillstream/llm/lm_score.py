@@ -43,13 +43,14 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +70,8 @@ SALTS = 512              # first-level groups of tasks when averaging
 SMOOTH = 0.1
 SEED = 11
 END = b"\n"              # never a word
-FLUSH = 200_000          # distinct words a task holds while counting
+FLUSH = 2_000_000        # words a task holds while counting
+PIECE = 8 << 20          # bytes of text split at a time, unless one text is longer
 
 FIRST_RARE = WORDS + BANDS
 END_CLASS = FIRST_RARE + RARE
@@ -85,11 +87,25 @@ RIDGE = 0.5
 PAIRS = 1 << 18          # (word, anchor) pairs a task holds at a time
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Lower-case (A-Z only) words of a whole text and the end token."""
-    out = text.lower().split()
-    out.append(END)
-    return out
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch with a column ``raw`` in parts of about ``PIECE`` bytes of text."""
+    ends = np.r_[0, np.cumsum(pc.binary_length(batch.column("raw")).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    k = 0
+    while k < batch.num_rows:
+        stop = max(k + 1, int(np.searchsorted(ends, ends[k] + PIECE, "right")) - 1)
+        yield batch.slice(k, stop - k)
+        k = stop
+
+
+def split(raw_text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-case (A-Z only) words of whole texts, one after the other, and how
+    many each text has; the end tokens are left to the caller."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(raw_text.view(pa.string())))
+    words = cut.flatten()
+    full = pc.greater(pc.binary_length(words), 0)           # white space at an edge gives an empty one
+    offsets = cut.offsets.to_numpy()
+    before = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64)][offsets - offsets[0]]
+    return words.filter(full).view(pa.binary()), np.diff(before)
 
 
 def rare_class(word: bytes) -> int:
@@ -101,20 +117,22 @@ def rare_class(word: bytes) -> int:
 def count_tokens(docs: DataFrame) -> DataFrame:
     """(token, c) over all given documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        waiting, size, texts = [], 0, 0
 
         def out():
+            found = pc.value_counts(pa.chunked_array(waiting, pa.binary()))
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                ["token", "c"])
+                [pa.concat_arrays([found.field(0), pa.array([END], pa.binary())]),
+                 pa.concat_arrays([found.field(1), pa.array([texts], pa.int64())])], ["token", "c"])
         for b in batches:
-            for part in slices(b):
-                for t in part.column("raw").to_pylist():
-                    counts.update(tokens(t))
-                if len(counts) > FLUSH:
+            for part in pieces(b):
+                words, n = split(part.column("raw"))
+                waiting.append(words)
+                size, texts = size + len(words), texts + len(n)
+                if size > FLUSH:
                     yield out()
-                    counts.clear()
-        if counts:
+                    waiting, size, texts = [], 0, 0
+        if texts:
             yield out()
 
     return docs.select(raw("text").alias("raw")).mapInArrow(run, "token BINARY, c BIGINT").groupBy(
@@ -183,6 +201,20 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 # -- documents as classes ---------------------------------------------------
 
+def blobs(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The values as binaries, which begin at ``first``."""
+    offsets = (np.r_[first, len(values)] * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first),
+                                 [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def values_of(binaries: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """What ``blobs`` held, one after the other, and how many each binary has."""
+    offsets = np.frombuffer(binaries.buffers()[1], np.int32)[binaries.offset:binaries.offset + len(binaries) + 1]
+    values = np.frombuffer(binaries.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(kind)
+    return values, np.diff(offsets) // kind.itemsize
+
+
 def anchors(kinds: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For every token the last word of its text before it that has a class of
     its own (WORDS: none); ``first`` marks the texts' first tokens."""
@@ -200,27 +232,34 @@ def encode(docs: DataFrame, vocab, folds: int, held_out: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
-        place, kind = _Places(v.head), v.kinds()
+        head, kind, end = pa.array(list(v.head), pa.binary()), v.kinds(), v.head.get(END, -1 - RARE)
         log = np.r_[v.head_log, math.log10(SMOOTH), np.zeros(RARE)]     # an end never seen has no count
-        for b in (part for batch in batches for part in slices(batch)):
-            out: list[list] = [[] for _ in range(7)]
-            for t in b.column("raw").to_pylist():
-                words = tokens(t)
-                at = np.fromiter(map(place.__getitem__, words), np.int32, len(words))
-                beyond, rare = np.flatnonzero(at < 0), Counter()
-                if len(beyond):
-                    at[beyond] = [FIRST_RARE - 1 - rare_class(words[k]) if words[k] != END else -1 - RARE
-                                  for k in beyond]
-                    kinds = kind[at]
-                    h = anchors(kinds, np.arange(len(at)) == 0)[beyond].tolist()
-                    rare.update((words[k], x) for k, x in zip(beyond, h) if words[k] != END)
-                for column, value in zip(out, (len(words), len(words) - len(beyond), log[at].sum(), at.tobytes(),
-                                               [w for w, _ in rare], [x for _, x in rare], list(rare.values()))):
-                    column.append(value)
-            kinds_of = (pa.int64(), pa.int64(), pa.float64(), pa.binary(),
-                        pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        for b in (part for batch in batches for part in pieces(batch)):
+            words, n = split(b.column("raw"))
+            place = pc.index_in(words, value_set=head).fill_null(-1).to_numpy()
+            beyond = np.flatnonzero(place < 0)
+            rare = words.take(pa.array(beyond)).dictionary_encode()
+            each, rare = rare.indices.to_numpy(), rare.dictionary
+            # the words of all texts, each text followed by its end
+            stop = np.cumsum(n + 1)
+            first, is_word = np.zeros(len(place) + len(n), bool), np.ones(len(place) + len(n), bool)
+            first[stop - n - 1], is_word[stop - 1] = True, False
+            at = np.full(len(first), end, np.int32)
+            at[is_word] = place
+            where = np.flatnonzero(is_word)[beyond]
+            at[where] = np.array([FIRST_RARE - 1 - rare_class(w) for w in rare.to_pylist()], np.int32)[each]
+            text = np.searchsorted(stop, where, "right")
+            missed = np.bincount(text, minlength=len(n)) + (end < 0)
+            # a text's words beyond the head by anchor, each with its number
+            h = anchors(kind[at], first)[where]
+            key, times = np.unique((text * ANCHORS + h) * len(rare) + each, return_counts=True)
+            text, h, each = key // max(len(rare), 1) // ANCHORS, key // max(len(rare), 1) % ANCHORS, key % max(len(rare), 1)
+            offsets = pa.array(np.searchsorted(text, np.arange(len(n) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (
+                rare.take(pa.array(each)), pa.array(h, pa.int32()), pa.array(times, pa.int32()))]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("held_out"), *[pa.array(c, k) for c, k in zip(out, kinds_of)]],
+                [b.column("doc_id"), b.column("held_out"), pa.array(n + 1), pa.array(n + 1 - missed),
+                 pa.array(np.add.reduceat(log[at], stop - n - 1)), blobs(at, stop - n - 1), *lists],
                 ["doc_id", "held_out", "n_tokens", "known", "base_log", "ids", "rare", "rare_h", "rare_n"])
 
     return docs.select("doc_id", fold.alias("held_out"), raw("text").alias("raw")).mapInArrow(run, schema)
@@ -234,13 +273,6 @@ def rare_words(encoded: DataFrame, *columns: str) -> DataFrame:
         F.col("x.rare_n").cast("long").alias("n"))
 
 
-class _Places(dict):
-    """Word -> place in the head, -1 beyond it."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 # -- the model --------------------------------------------------------------
 
 @dataclass
@@ -287,15 +319,34 @@ def contexts(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return w, u, v
 
 
-def _add(target: np.ndarray, sums: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
-    """Adagrad step on the given rows; repeated rows are summed first."""
+def runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, at, hit): the order that sorts the rows, where equal ones begin
+    in it, and the distinct rows."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")       # a radix sort
     rows = rows[order]
-    at = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    g = np.add.reduceat(grad[order], at, axis=0)
-    hit = rows[at]
-    sums[hit] += g * g
-    target[hit] += RATE * g / np.sqrt(sums[hit])
+    at = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    return order, at, rows[at]
+
+
+def sums_of(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the rows of a float32 table of even width between the places
+    ``at``: of up to four rows two columns at a time, as one complex number (up
+    to there in the same order), of more rows as they are."""
+    out = np.add.reduceat(table.view(np.complex64), at, axis=0).view(np.float32)
+    stop = np.append(at[1:], len(table))
+    long = np.flatnonzero(stop - at > 4)
+    if len(long):
+        edges = np.stack([at[long], stop[long]], axis=1).ravel()
+        out[long] = np.add.reduceat(table, edges[:-1] if edges[-1] == len(table) else edges, axis=0)[::2]
+    return out
+
+
+def _add(target: np.ndarray, sums: np.ndarray, hit: np.ndarray, g: np.ndarray) -> None:
+    """Adagrad step on distinct rows."""
+    new = sums.take(hit, axis=0)
+    new += g * g
+    sums[hit] = new
+    target[hit] += RATE * g / np.sqrt(new)
 
 
 class Trainer:
@@ -312,17 +363,27 @@ class Trainer:
         """Ascend the NCE objective of one minibatch; its noise words are shared."""
         s = np.searchsorted(self.cdf, self.rng.random(NOISE) * self.cdf[-1])
         s = np.minimum(s, len(self.cdf) - 1)
-        r = self.c1[u] + self.c2[v]
-        qw, qs = self.q[w], self.q[s]
+        r = self.c1.take(u, axis=0)
+        r += self.c2.take(v, axis=0)
+        qw, qs = self.q.take(w, axis=0), self.q.take(s, axis=0)
         real = np.einsum("ij,ij->i", r, qw) + self.b[w] - self.log_kq[w]
-        fake = r @ qs.T + self.b[s] - self.log_kq[s]
+        fake = r @ qs.T
+        fake += self.b[s]
+        fake -= self.log_kq[s]
         gw = 1 / (1 + np.exp(np.clip(real, -30, 30)))          # 1 - sigmoid
-        gs = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))        # - sigmoid
-        gr = gw[:, None] * qw + gs @ qs
-        _add(self.q, self.sums[2], np.r_[w, s], np.concatenate([gw[:, None] * r, gs.T @ r]))
-        _add(self.b, self.sums[3], np.r_[w, s], np.r_[gw, gs.sum(axis=0)])
-        _add(self.c1, self.sums[0], u, gr)
-        _add(self.c2, self.sums[1], v, gr)
+        np.negative(np.clip(fake, -30, 30, out=fake), out=fake)
+        np.exp(fake, out=fake)
+        fake += 1
+        gs = np.divide(-1, fake, out=fake)                     # - sigmoid
+        gr = gs @ qs
+        gr += gw[:, None] * qw
+        order, at, hit = runs(np.concatenate([w, s]))
+        gq = np.concatenate([gw[:, None] * r, gs.T @ r])
+        _add(self.q, self.sums[2], hit, sums_of(gq.take(order, axis=0), at))
+        _add(self.b, self.sums[3], hit, np.add.reduceat(np.concatenate([gw, gs.sum(axis=0)])[order], at))
+        for c, sums, rows in ((self.c1, self.sums[0], u), (self.c2, self.sums[1], v)):
+            order, at, hit = runs(rows)
+            _add(c, sums, hit, sums_of(gr.take(order, axis=0), at))
         self.seen += len(w)
 
     def train(self, docs: list[np.ndarray]) -> None:
@@ -411,10 +472,7 @@ CELL = np.dtype([("h", "<u2"), ("n", "<u8")])       # a (word, anchor) count, by
 
 def packed(tokens, cells: np.ndarray, first: np.ndarray) -> pa.RecordBatch:
     """One row per token with its cells, which begin at ``first``."""
-    offsets = (np.r_[first, len(cells)] * CELL.itemsize).astype(np.int32)
-    blobs = pa.Array.from_buffers(pa.binary(), len(first),
-                                  [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(cells.tobytes())])
-    return pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), blobs], ["token", "cells"])
+    return pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), blobs(cells, first)], ["token", "cells"])
 
 
 def cells_of(h: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -464,18 +522,21 @@ def fit_words(d: np.ndarray, noise: np.ndarray, h: np.ndarray, n: np.ndarray, fi
     size = np.diff(np.r_[first, len(h)])
     word = np.repeat(np.arange(len(first)), size)
     x = np.c_[d, np.ones(len(d), np.float32)].astype(np.float32)
-    real_x, n = x[h], n.astype(np.float32)
+    width = x.shape[1]
+    real_x, n = x.take(h, axis=0), n.astype(np.float32)
+    pulls = np.zeros((len(h), width + width % 2), np.float32)
     c = np.add.reduceat(n, first)
     q = np.zeros((len(first), x.shape[1]), np.float32)
     sums = np.full(q.shape, 1e-2, np.float32)
     cdf, shift = np.cumsum(noise), np.float32(math.log(INNER_RATIO))
     for _ in range(INNER_STEPS):
         s = np.minimum(np.searchsorted(cdf, rng.random(INNER_NOISE) * cdf[-1]), len(cdf) - 1)
-        real = np.einsum("ij,ij->i", real_x, q[word]) - shift
+        real = np.einsum("ij,ij->i", real_x, q.take(word, axis=0)) - shift
         fake = q @ x[s].T - shift
         pull = n / (1 + np.exp(np.clip(real, -30, 30)))
         push = (INNER_RATIO / INNER_NOISE * c)[:, None] / (1 + np.exp(-np.clip(fake, -30, 30)))
-        g = np.add.reduceat(pull[:, None] * real_x, first, axis=0) - push @ x[s] - RIDGE * q
+        np.multiply(pull[:, None], real_x, out=pulls[:, :width])
+        g = sums_of(pulls, first)[:, :width] - push @ x[s] - RIDGE * q
         sums += g * g
         q += INNER_RATE * g / np.sqrt(sums)
     return q
@@ -495,6 +556,7 @@ def learn_words(learning: DataFrame, sent_vocab, d: np.ndarray, noise: np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (d, noise), v = sent.value, sent_vocab.value
+        kind = v.kinds()
 
         def learnt(words: list[bytes], h, n, first) -> pa.RecordBatch:
             c, size = np.add.reduceat(n, first), np.diff(np.r_[first, len(h)])
@@ -508,7 +570,9 @@ def learn_words(learning: DataFrame, sent_vocab, d: np.ndarray, noise: np.ndarra
                 rng = np.random.default_rng([SEED, zlib.crc32(words[mine[0]])])
                 for k, row in zip(mine, fit_words(d, noise, h[at], n[at], begin, rng)):
                     vecs[k] = row.tobytes()
-            kinds = [int(v.head_class[v.head[w]]) if w in v.head else rare_class(w) for w in words]
+            place = np.fromiter(map(v.head.get, words, repeat(-1)), np.int64, len(words))
+            kinds = kind[place]
+            kinds[place < 0] = [rare_class(words[k]) for k in np.flatnonzero(place < 0)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.binary()), pa.array(c.astype(np.int64)), pa.array(kinds, pa.int32()),
                  pa.array(vecs, pa.binary()), pa.array(h[first].astype(np.int32), mask=c > 1)],
@@ -517,11 +581,11 @@ def learn_words(learning: DataFrame, sent_vocab, d: np.ndarray, noise: np.ndarra
         # Rows are sorted by word: the last word of a part waits for the next.
         last: tuple | None = None
         for b in (part for batch in batches for part in slices(batch, 8192)):
-            words, blobs = b.column("token").to_pylist(), b.column("cells").to_pylist()
-            new = np.array([True] + [x != y for x, y in zip(words[1:], words)])
-            cells = np.frombuffer(b"".join(blobs), CELL)
-            key = np.repeat(np.cumsum(new), [len(x) // CELL.itemsize for x in blobs]) * ANCHORS + cells["h"]
-            n, words = cells["n"].astype(np.int64), [words[k] for k in np.flatnonzero(new)]
+            word, (cells, size) = b.column("token"), values_of(b.column("cells"), CELL)
+            new = pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
+            new = np.concatenate([[True], new])
+            key = np.repeat(np.cumsum(new), size) * ANCHORS + cells["h"]
+            n, words = cells["n"].astype(np.int64), word.filter(pa.array(new)).to_pylist()
             if last:
                 if last[0] == words[0]:                     # word numbers begin at 1
                     key, n = np.r_[last[1] + ANCHORS, key], np.r_[last[2], n]
@@ -544,16 +608,6 @@ def learn_words(learning: DataFrame, sent_vocab, d: np.ndarray, noise: np.ndarra
         run, "token BINARY, c BIGINT, kind INT, vec BINARY, once INT")
 
 
-def vectors(vec, once, ones: np.ndarray) -> np.ndarray:
-    """Rows of (q, a); zeros for a word never seen."""
-    none = np.zeros(SIZE + 1, np.float32).tobytes()
-    out = np.frombuffer(b"".join(x if x is not None else none for x in vec.to_pylist()),
-                        np.float32).reshape(-1, SIZE + 1).copy()
-    single = once.is_valid().to_numpy(zero_copy_only=False)
-    out[single] = ones[once.drop_null().to_numpy()]
-    return out
-
-
 def normaliser(words: DataFrame, d: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Z[k - WORDS, h] over all words; rare classes hold one unseen word."""
     sent = words.sparkSession.sparkContext.broadcast((d, ones))
@@ -564,7 +618,7 @@ def normaliser(words: DataFrame, d: np.ndarray, ones: np.ndarray) -> np.ndarray:
         x = np.c_[d, np.ones(len(d), np.float32)].astype(np.float32)
         z = np.zeros((END_CLASS - WORDS, ANCHORS))
         singles = np.zeros_like(z)                          # words seen once by class and anchor
-        for b in (part for batch in batches for part in slices(batch, 2048)):
+        for b in (part for batch in batches for part in slices(batch, 512)):
             kind = b.column("kind").to_numpy() - WORDS
             once = b.column("once")
             single = once.is_valid().to_numpy(zero_copy_only=False)
@@ -573,9 +627,14 @@ def normaliser(words: DataFrame, d: np.ndarray, ones: np.ndarray) -> np.ndarray:
             if often.num_rows:
                 weight = (often.column("c").to_numpy() + SMOOTH).astype(np.float32)
                 vec = np.frombuffer(b"".join(often.column("vec").to_pylist()), np.float32).reshape(-1, SIZE + 1)
-                e = np.exp(np.clip(vec @ x.T, -60, 60)) * weight[:, None]
-                for k in np.unique(kind[~single]):
-                    z[k] += e[kind[~single] == k].sum(axis=0, dtype=np.float64)
+                order = np.argsort(kind[~single], kind="stable")
+                kinds = kind[~single][order]
+                for k in np.unique(kinds):
+                    mine = order[kinds == k]
+                    e = vec[mine] @ x.T
+                    np.exp(np.clip(e, -60, 60, out=e), out=e)
+                    e *= weight[mine, None]
+                    z[k] += e.sum(axis=0, dtype=np.float64)
         if singles.any():
             z += singles @ (np.exp(np.clip(ones @ x.T, -60, 60)) * (1 + SMOOTH))
         hit = np.flatnonzero(z.any(axis=1))
@@ -682,20 +741,46 @@ def score(encoded: DataFrame, p: Parameters, inner, vocab) -> DataFrame:
     return encoded.select(*columns, "ids").mapInArrow(run, f"{types}, text_log DOUBLE")
 
 
-def score_rare(met: DataFrame, inner) -> DataFrame:
-    """(row, rare_base, rare_log, rare_known) of (row, h, n, c, vec, once) rows."""
+def score_rare(rare: DataFrame, beyond: DataFrame, inner) -> DataFrame:
+    """(row, rare_base, rare_log, rare_known) of the documents' words beyond the
+    head (token, row, h, n), which follow their word's row (token, c, vec, once)
+    in one sorted stream: a task holds one word's vector, whatever its rows."""
+    none = np.zeros(SIZE + 1, np.float32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         within = inner.value
-        for b in (part for batch in batches for part in slices(batch, 4096)):
-            n, known = b.column("n").to_numpy(), b.column("c").is_valid().to_numpy(zero_copy_only=False)
-            c = b.column("c").fill_null(0).to_numpy()
-            base = n * np.log10(c + SMOOTH)
-            lift = n * within.lift(vectors(b.column("vec"), b.column("once"), within.ones), b.column("h").to_numpy())
+        last: tuple = None, 0, none                     # word, count, vector
+        for b in (part for batch in batches for part in slices(batch, 8192)):
+            word, h = b.column("token"), b.column("h").fill_null(-1).to_numpy()
+            n = b.column("n").to_numpy()
+            head = b.column("row").is_null().to_numpy(zero_copy_only=False)
+            new = np.concatenate([[word[0].as_py() != last[0]],
+                                  pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)])
+            # entry 0: the last part's word; the others: a word each, of count 0 unless its own row is here
+            entry, first = np.cumsum(new), np.flatnonzero(new)
+            c, vec = np.zeros(len(first) + 1, np.int64), np.zeros((len(first) + 1, SIZE + 1), np.float32)
+            c[0], vec[0] = last[1:]
+            at = np.flatnonzero(head)
+            c[entry[at]] = n[at]
+            single = h[at] >= 0
+            vec[entry[at[single]]] = within.ones[h[at[single]]]
+            learnt = b.column("vec").drop_null()
+            if len(learnt):
+                vec[entry[at[~single]]] = values_of(learnt, np.dtype(np.float32))[0].reshape(-1, SIZE + 1)
+            last = word[-1].as_py(), c[entry[-1]], vec[entry[-1]].copy()
+            at = np.flatnonzero(~head)
+            n, entry = n[at], entry[at]
+            base = n * np.log10(c[entry] + SMOOTH)
+            lift = n * within.lift(vec[entry], h[at])
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), pa.array(base), pa.array(base + lift), pa.array(np.where(known, n, 0))],
+                [b.column("row").take(pa.array(at)), pa.array(base), pa.array(base + lift),
+                 pa.array(np.where(c[entry] > 0, n, 0))],
                 ["row", "rare_base", "rare_log", "rare_known"])
 
-    each = met.select("row", "h", "n", "c", "vec", "once").mapInArrow(
+    met = rare.select("token", "row", "h", "n", F.lit(None).cast("binary").alias("vec")).unionByName(
+        beyond.select("token", F.lit(None).cast("long").alias("row"), F.col("once").alias("h"), F.col("c").alias("n"),
+                      "vec"))
+    each = met.repartition("token").sortWithinPartitions("token", "row").mapInArrow(
         run, "row BIGINT, rare_base DOUBLE, rare_log DOUBLE, rare_known BIGINT")
     return each.groupBy("row").agg(*[F.sum(x).alias(x) for x in ("rare_base", "rare_log", "rare_known")])
 
@@ -716,11 +801,10 @@ def lm_scores(docs: DataFrame, folds: int = 10, held_out: int = 0, rounds: int =
     words = saved(learn_words(encoded.filter(~F.col("held_out")), sent, d, noise), "words")
     inner = spark.sparkContext.broadcast(inner_model(words, vocab, d, noise))
     scored = score(encoded, model, inner, sent)
-    # Words beyond the head: each (document, word, anchor) meets the word's count
-    # and vector in a join; none of them is frequent in the training text.
+    # Words beyond the head: each (document, word, anchor) follows the word's
+    # count and vector; none of them is frequent in the training text.
     beyond = words if vocab.least == math.inf else words.filter(count_bin("c") < int(vocab.least))
-    beyond = beyond.select("token", "c", "vec", "once")
-    met = score_rare(rare_words(encoded, "row").join(beyond, "token", "left"), inner)
+    met = score_rare(rare_words(encoded, "row"), beyond, inner)
     both = scored.join(met, "row", "left")
     added = {x: F.coalesce(x, F.lit(0)) for x in ("rare_base", "rare_log", "rare_known")}
     norm = math.log10(vocab.total + SMOOTH * (vocab.distinct + 1))
