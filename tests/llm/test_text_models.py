@@ -4,10 +4,11 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import awkward
-from tillstream.llm import language_id, lm_score, quality
+from tillstream.llm import common, language_id, lm_score, quality
 
 SF = "/root/testdata/sf0.01"
 
@@ -236,3 +237,47 @@ def test_anchor_is_the_last_own_word_of_the_text():
     kinds = np.array([tail, 5, tail, tail, lm_score.END_CLASS, tail, 7, lm_score.END_CLASS])
     first = np.array([1, 0, 0, 0, 0, 1, 0, 0], bool)
     assert lm_score.anchors(kinds, first).tolist() == [w, w, 5, 5, 5, w, w, 7]
+
+
+def test_words_are_split_as_bytes_are():
+    """Arrow's words are those of bytes.lower().split(), in pieces of any size."""
+    texts = [b"", b" ", b"\n\n", b" A  b\tC\n", b"x\x1cY\x0bz\x0c\r", "\u00c9 \u00e9\u3000Q\u0085 \u212a".encode(), b"\xff\xfe A\x00b",
+             b"one"] * 3
+    got = []
+    for piece in (1, 20, 1 << 20):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["raw"]).slice(1)
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(lm_score, "PIECE", piece)
+            parts = [lm_score.split(b.column("raw")) for b in lm_score.pieces(batch)]
+        words, n = [w for p, _ in parts for w in p.to_pylist()], [k for _, p in parts for k in p]
+        assert words == [w for t in texts[1:] for w in t.lower().split()]
+        assert n == [len(t.lower().split()) for t in texts[1:]]
+        got.append(len(parts))
+    assert got[0] > got[1] > got[2] == 1
+
+
+def test_words_beyond_the_head_follow_their_vector(spark, monkeypatch):
+    """Sums by row over parts of two rows, and the vector is not joined to every
+    row: no join in the plan."""
+    monkeypatch.setattr(lm_score, "slices", lambda b, rows: common.slices(b, 2))
+    rng = np.random.default_rng(3)
+    a = lm_score.ANCHORS
+    inner = lm_score.Inner(rng.normal(size=(a, lm_score.SIZE)).astype(np.float32), None, None,
+                           rng.normal(size=(a, lm_score.SIZE + 1)).astype(np.float32))
+    known = {b"often": (5, rng.normal(size=lm_score.SIZE + 1).astype(np.float32), None), b"once": (1, None, 7)}
+    rare = [(w, row, h, n) for w in (b"never", b"often", b"once", b"other") for row, h, n in
+            ((1, 3, 1), (2, 4, 2), (2, 9, 1), (5, a - 1, 3), (1 << 34, 0, 1))]
+    words = spark.createDataFrame([(bytearray(w), c, v if v is None else bytearray(v.tobytes()), o)
+                                   for w, (c, v, o) in known.items()], "token BINARY, c BIGINT, vec BINARY, once INT")
+    docs = spark.createDataFrame([(bytearray(w), *x) for w, *x in rare], "token BINARY, row BIGINT, h INT, n BIGINT")
+    found = lm_score.score_rare(docs, words, spark.sparkContext.broadcast(inner))
+    assert "Join" not in found._jdf.queryExecution().toString()
+    want = {}
+    for w, row, h, n in rare:
+        c, v, o = known.get(w, (0, np.zeros(lm_score.SIZE + 1, np.float32), None))
+        v = inner.ones[o] if o is not None else v
+        base, sums = n * math.log10(c + lm_score.SMOOTH), want.setdefault(row, np.zeros(3))
+        sums += base, base + n * inner.lift(v[None], np.array([h]))[0], n if c else 0
+    got = {r.row: (r.rare_base, r.rare_log, r.rare_known) for r in found.collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(tuple(want[k])) for k in want)

@@ -70,7 +70,7 @@ SALTS = 512              # first-level groups of tasks when averaging
 SMOOTH = 0.1
 SEED = 11
 END = b"\n"              # never a word
-FLUSH = 2_000_000        # words a task holds while counting
+FLUSH = 1_000_000        # distinct words of its pieces a task holds while counting
 PIECE = 8 << 20          # bytes of text split at a time, unless one text is longer
 
 FIRST_RARE = WORDS + BANDS
@@ -119,21 +119,21 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size, texts = [], 0, 0
 
-        def out():
-            found = pc.value_counts(pa.chunked_array(waiting, pa.binary()))
-            return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([found.field(0), pa.array([END], pa.binary())]),
-                 pa.concat_arrays([found.field(1), pa.array([texts], pa.int64())])], ["token", "c"])
+        def out() -> list[pa.RecordBatch]:
+            end = pa.table({"token": pa.array([END], pa.binary()), "c": pa.array([texts], pa.int64())})
+            found = pa.concat_tables([*waiting, end]).group_by("token", use_threads=False).aggregate([("c", "sum")])
+            return found.select(["token", "c_sum"]).rename_columns(["token", "c"]).to_batches()
         for b in batches:
             for part in pieces(b):
                 words, n = split(part.column("raw"))
-                waiting.append(words)
-                size, texts = size + len(words), texts + len(n)
+                found = pc.value_counts(words)
+                waiting.append(pa.table({"token": found.field(0), "c": found.field(1)}))
+                size, texts = size + len(found), texts + len(n)
                 if size > FLUSH:
-                    yield out()
+                    yield from out()
                     waiting, size, texts = [], 0, 0
         if texts:
-            yield out()
+            yield from out()
 
     return docs.select(raw("text").alias("raw")).mapInArrow(run, "token BINARY, c BIGINT").groupBy(
         "token").agg(F.sum("c").alias("c"))
@@ -265,12 +265,18 @@ def encode(docs: DataFrame, vocab, folds: int, held_out: int) -> DataFrame:
     return docs.select("doc_id", fold.alias("held_out"), raw("text").alias("raw")).mapInArrow(run, schema)
 
 
-def rare_words(encoded: DataFrame, *columns: str) -> DataFrame:
-    """(columns, token, h, n): the words of each document beyond the head."""
-    return encoded.filter(F.size("rare") > 0).select(
-        *columns, F.explode(F.arrays_zip("rare", "rare_h", "rare_n")).alias("x")).select(
-        *columns, F.col("x.rare").alias("token"), F.col("x.rare_h").alias("h"),
-        F.col("x.rare_n").cast("long").alias("n"))
+def rare_words(encoded: DataFrame) -> DataFrame:
+    """(token, row, h, n): the words of each document beyond the head."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for batch in batches for part in slices(batch, 1024)):
+            lists = b.column("rare")
+            rows = np.repeat(b.column("row").to_numpy(), pc.list_value_length(lists).to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [lists.flatten(), pa.array(rows), b.column("rare_h").flatten(), b.column("rare_n").flatten().cast(pa.int64())],
+                ["token", "row", "h", "n"])
+
+    return encoded.select("row", "rare", "rare_h", "rare_n").mapInArrow(
+        run, "token BINARY, row BIGINT, h INT, n BIGINT")
 
 
 # -- the model --------------------------------------------------------------
@@ -328,25 +334,15 @@ def runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, at, rows[at]
 
 
-def sums_of(table: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Sums of the rows of a float32 table of even width between the places
-    ``at``: of up to four rows two columns at a time, as one complex number (up
-    to there in the same order), of more rows as they are."""
-    out = np.add.reduceat(table.view(np.complex64), at, axis=0).view(np.float32)
-    stop = np.append(at[1:], len(table))
-    long = np.flatnonzero(stop - at > 4)
-    if len(long):
-        edges = np.stack([at[long], stop[long]], axis=1).ravel()
-        out[long] = np.add.reduceat(table, edges[:-1] if edges[-1] == len(table) else edges, axis=0)[::2]
-    return out
-
-
 def _add(target: np.ndarray, sums: np.ndarray, hit: np.ndarray, g: np.ndarray) -> None:
     """Adagrad step on distinct rows."""
     new = sums.take(hit, axis=0)
     new += g * g
     sums[hit] = new
-    target[hit] += RATE * g / np.sqrt(new)
+    step = RATE * g
+    step /= np.sqrt(new, out=new)
+    step += target.take(hit, axis=0)
+    target[hit] = step
 
 
 class Trainer:
@@ -379,11 +375,11 @@ class Trainer:
         gr += gw[:, None] * qw
         order, at, hit = runs(np.concatenate([w, s]))
         gq = np.concatenate([gw[:, None] * r, gs.T @ r])
-        _add(self.q, self.sums[2], hit, sums_of(gq.take(order, axis=0), at))
+        _add(self.q, self.sums[2], hit, np.add.reduceat(gq.take(order, axis=0), at, axis=0))
         _add(self.b, self.sums[3], hit, np.add.reduceat(np.concatenate([gw, gs.sum(axis=0)])[order], at))
         for c, sums, rows in ((self.c1, self.sums[0], u), (self.c2, self.sums[1], v)):
             order, at, hit = runs(rows)
-            _add(c, sums, hit, sums_of(gr.take(order, axis=0), at))
+            _add(c, sums, hit, np.add.reduceat(gr.take(order, axis=0), at, axis=0))
         self.seen += len(w)
 
     def train(self, docs: list[np.ndarray]) -> None:
@@ -522,9 +518,7 @@ def fit_words(d: np.ndarray, noise: np.ndarray, h: np.ndarray, n: np.ndarray, fi
     size = np.diff(np.r_[first, len(h)])
     word = np.repeat(np.arange(len(first)), size)
     x = np.c_[d, np.ones(len(d), np.float32)].astype(np.float32)
-    width = x.shape[1]
-    real_x, n = x.take(h, axis=0), n.astype(np.float32)
-    pulls = np.zeros((len(h), width + width % 2), np.float32)
+    real_x, n = x[h], n.astype(np.float32)
     c = np.add.reduceat(n, first)
     q = np.zeros((len(first), x.shape[1]), np.float32)
     sums = np.full(q.shape, 1e-2, np.float32)
@@ -535,8 +529,7 @@ def fit_words(d: np.ndarray, noise: np.ndarray, h: np.ndarray, n: np.ndarray, fi
         fake = q @ x[s].T - shift
         pull = n / (1 + np.exp(np.clip(real, -30, 30)))
         push = (INNER_RATIO / INNER_NOISE * c)[:, None] / (1 + np.exp(-np.clip(fake, -30, 30)))
-        np.multiply(pull[:, None], real_x, out=pulls[:, :width])
-        g = sums_of(pulls, first)[:, :width] - push @ x[s] - RIDGE * q
+        g = np.add.reduceat(pull[:, None] * real_x, first, axis=0) - push @ x[s] - RIDGE * q
         sums += g * g
         q += INNER_RATE * g / np.sqrt(sums)
     return q
@@ -665,7 +658,7 @@ class Inner:
 
     def lift(self, vec: np.ndarray, h: np.ndarray) -> np.ndarray:
         """log10 of exp(D[h].q + a)"""
-        s = np.einsum("ij,ij->i", self.d[h], vec[:, :SIZE]) + vec[:, SIZE]
+        s = np.einsum("ij,ij->i", self.d.take(h, axis=0), vec[:, :SIZE]) + vec[:, SIZE]
         return np.clip(s, -60, 60).astype(np.float64) / math.log(10)
 
 
@@ -771,7 +764,7 @@ def score_rare(rare: DataFrame, beyond: DataFrame, inner) -> DataFrame:
             at = np.flatnonzero(~head)
             n, entry = n[at], entry[at]
             base = n * np.log10(c[entry] + SMOOTH)
-            lift = n * within.lift(vec[entry], h[at])
+            lift = n * within.lift(vec.take(entry, axis=0), h[at])
             yield pa.RecordBatch.from_arrays(
                 [b.column("row").take(pa.array(at)), pa.array(base), pa.array(base + lift),
                  pa.array(np.where(c[entry] > 0, n, 0))],
@@ -804,7 +797,7 @@ def lm_scores(docs: DataFrame, folds: int = 10, held_out: int = 0, rounds: int =
     # Words beyond the head: each (document, word, anchor) follows the word's
     # count and vector; none of them is frequent in the training text.
     beyond = words if vocab.least == math.inf else words.filter(count_bin("c") < int(vocab.least))
-    met = score_rare(rare_words(encoded, "row"), beyond, inner)
+    met = score_rare(rare_words(encoded), beyond, inner)
     both = scored.join(met, "row", "left")
     added = {x: F.coalesce(x, F.lit(0)) for x in ("rare_base", "rare_log", "rare_known")}
     norm = math.log10(vocab.total + SMOOTH * (vocab.distinct + 1))
