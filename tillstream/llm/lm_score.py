@@ -30,7 +30,8 @@ one product of exponentiated score matrices, and Z[k, h] is an aggregate over
 the table of all words.
 
 Counts cover all training documents.  Only the ``HEAD`` most frequent words
-travel to the workers; the rest meet their counts and vectors in a join.
+travel to the workers; the others' rows follow their counts and vectors in a
+stream sorted by word.
 
 Defined cases: a null or empty text is the end token alone; repeated rows are
 each scored; without training documents the scores are those of a uniform
